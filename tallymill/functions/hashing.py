@@ -9,7 +9,8 @@ base conversion.
 from pyspark.sql import functions as F
 
 _LANE = 8                  # hex digits per lane: 32 bits
-LANES = 32 // _LANE        # lanes in one digest
+PRIME = 2 ** 31 - 1
+MAX_POINT = 1000           # keeps the polynomial below 2**63
 
 
 def digest(key, *salt):
@@ -38,3 +39,19 @@ def in_fraction(key, fraction, salt):
 def lane_int(hexdigest, i, modulo):
     """Lane ``i`` as an integer in ``[0, modulo)``."""
     return F.conv(lane(hexdigest, i), 16, 10).cast("bigint") % modulo
+
+
+def coefficients(hexdigest):
+    """The digest as four integers below ``PRIME``."""
+    return F.array(*[lane_int(hexdigest, i, PRIME) for i in range(4)])
+
+
+def polynomial(c, point):
+    """Cubic polynomial over the prime field at an integer point.
+
+    With random coefficients its values at different points are 4-wise
+    independent and uniform in ``[0, PRIME)``: one digest serves many draws for
+    the cost of a few multiplications each. Points stay within ``MAX_POINT``.
+    """
+    r = point.cast("bigint")
+    return (c[0] + c[1] * r + c[2] * r * r + c[3] * r * r * r) % PRIME

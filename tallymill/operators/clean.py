@@ -167,5 +167,7 @@ def clean_corpus(df, text_cleaner, stop_labels=STOP_LABELS, lo=MIN_CHARS, hi=MAX
     texts strictly between ``lo`` and ``hi`` characters."""
     df = df.filter(complete_row(df)).filter(~F.col("zodiac").isin(stop_labels))
     df = df.withColumn("horo", text_cleaner("horo"))
-    size = F.length("horo")
-    return df.filter((size > lo) & (size < hi)).dropDuplicates()
+    # lo < n < hi as one comparison: the filter moves below the cleaning, which
+    # two comparisons would then evaluate twice per row.
+    in_band = F.abs(2 * F.length("horo") - (lo + hi)) < hi - lo
+    return df.filter(in_band).dropDuplicates()

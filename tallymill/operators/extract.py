@@ -58,18 +58,30 @@ class PageRule:
     finish: Optional[Callable] = None
 
 
-def _record(rule, page, block):
-    label = plain_text(F.regexp_extract(page if rule.label_on_page else block, rule.label, 1))
-    if rule.label_last_word:
-        label = last_token(label)
+def _label(rule, part):
+    label = plain_text(F.regexp_extract(part, rule.label, 1))
+    return last_token(label) if rule.label_last_word else label
+
+
+def _record(rule, block):
+    label = F.col("_page_label") if rule.label_on_page else _label(rule, block)
     text = plain_text(F.regexp_extract(block, rule.text, 1))
     if rule.finish:
         text = rule.finish(text)
     return F.struct(label.alias("zodiac"), text.alias("horo"), F.lit(rule.source).alias("source"))
 
 
-def _records(rule, page, blocks):
-    return F.transform(blocks, lambda block: _record(rule, page, block))
+def _records(rule, page):
+    blocks = F.regexp_extract_all(page, F.lit(rule.item), F.lit(1)) if rule.item else F.array(page)
+    return F.transform(blocks, lambda block: _record(rule, block))
+
+
+def _by_host(rules, value):
+    """Value of the first rule whose host suffix fits the page's host."""
+    chain = F
+    for rule in rules:
+        chain = chain.when(F.endswith(F.col("_host"), F.lit(rule.host)), value(rule))
+    return chain
 
 
 def host(url="url"):
@@ -83,16 +95,12 @@ def extract_records(pages, rules, run_date, keep=()):
     unknown hosts give no record.
     """
     page = F.col("_page")
-    records = None
-    for rule in rules:
-        blocks = (F.regexp_extract_all(page, F.lit(rule.item), F.lit(1)) if rule.item
-                  else F.array(page))
-        found = _records(rule, page, blocks)
-        fits = F.endswith(F.col("_host"), F.lit(rule.host))
-        records = F.when(fits, found) if records is None else records.when(fits, found)
+    parts = pages.select(*keep, visible("html").alias("_page"), host().alias("_host"))
+    # A label that stands once per page is read once, not once per block.
+    labelled = parts.withColumn("_page_label", _by_host(
+        rules, lambda r: _label(r, page) if r.label_on_page else F.lit("")))
     return (
-        pages.select(*keep, visible("html").alias("_page"), host().alias("_host"))
-        .select(*keep, F.explode(records).alias("_r"))
+        labelled.select(*keep, F.explode(_by_host(rules, lambda r: _records(r, page))).alias("_r"))
         .select(*keep, F.to_timestamp(F.lit(str(run_date))).alias("date"), "_r.*")
     )
 

@@ -1,8 +1,6 @@
 """Class weights, splits and scaling."""
 
-from pyspark.ml import Pipeline
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tallymill.functions.hashing import in_fraction
@@ -53,8 +51,16 @@ def scaling_stages(columns=FEATURES, output="features"):
 
 
 def standardise(train, df, columns=FEATURES):
-    """``df`` with ``<column>_scaled`` columns, moments taken from ``train``."""
-    model = Pipeline(stages=scaling_stages(columns)).fit(train)
-    scaled = model.transform(df).withColumn("_z", vector_to_array("features"))
-    return scaled.select(
-        *df.columns, *[F.col("_z")[i].alias(f"{c}_scaled") for i, c in enumerate(columns)])
+    """``df`` with ``<column>_scaled`` columns, moments taken from ``train``; a
+    constant column scales to 0.
+
+    All moments come from one scalar subquery, so scaling is a plain projection.
+    """
+    x = {c: F.col(c).cast("double") for c in columns}
+    moments = train.agg(F.struct(*[
+        f(x[c]).alias(f"{c}_{name}") for c in columns
+        for name, f in (("mean", F.avg), ("std", F.stddev_samp))])).scalar()
+    return df.withColumn("_m", moments).select(*df.columns, *[
+        F.when(F.col(f"_m.{c}_std") == 0, 0.0)
+        .otherwise((x[c] - F.col(f"_m.{c}_mean")) / F.col(f"_m.{c}_std")).alias(f"{c}_scaled")
+        for c in columns])

@@ -1,7 +1,6 @@
 """Message routing: the first matching rule names the intent."""
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -33,26 +32,24 @@ BOT_ROUTES = (
 )
 
 
-def _matches(text, route):
+def _matches(text, lowered, route):
     if route.how == "exact":
         return F.col(text).isin(list(route.needles))
     if route.how == "contains":
         return contains_any(text, route.needles)
     if route.how == "contains_lower":
-        return contains_any(F.lower(text), route.needles)
+        return contains_any(lowered, route.needles)
     raise ValueError(f"unknown match kind {route.how!r}")
 
 
-def intent(text="text", routes=BOT_ROUTES, fallback="fallback"):
-    """Intent column: an ordered ``when`` chain over the routes."""
-    first, *others = routes
-    start = F.when(_matches(text, first), first.intent)
-    return reduce(lambda chain, r: chain.when(_matches(text, r), r.intent),
-                  others, start).otherwise(fallback)
-
-
 def route(df, text="text", routes=BOT_ROUTES, fallback="fallback"):
-    return df.withColumn("intent", intent(text, routes, fallback))
+    """Add ``intent``: an ordered ``when`` chain over the routes."""
+    chain = F
+    for r in routes:
+        chain = chain.when(_matches(text, "_lowered", r), r.intent)
+    # Lower-cased once per row, not once per needle.
+    return (df.withColumn("_lowered", F.lower(text))
+            .withColumn("intent", chain.otherwise(fallback)).drop("_lowered"))
 
 
 def intent_counts(routed, *by):

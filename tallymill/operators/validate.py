@@ -4,7 +4,7 @@ import pandas as pd
 from pyspark.sql import functions as F, Window
 from pyspark.sql.types import DoubleType
 
-from tallymill.functions.hashing import LANES, digest, lane, threshold
+from tallymill.functions.hashing import MAX_POINT, PRIME, coefficients, digest, polynomial
 from tallymill.functions.stats import shapiro_wilk, t_two_sided
 
 # Resampling and test parameters.
@@ -56,19 +56,17 @@ def sample_replicates(df, key, salt, replicates=REPLICATES, share=SAMPLE_SHARE):
     """One row per (row, replicate it belongs to): Bernoulli samples without
     replacement, all drawn in one pass. ``salt`` is a string column.
 
-    One digest decides ``LANES`` replicates, so 100 samples cost 25 digests.
+    A row's digest seeds a polynomial whose value at each replicate number
+    decides membership, so drawing stays inside generated code and only members
+    leave it.
     """
-    bound = threshold(share)
-    last = (replicates + LANES - 1) // LANES - 1
-    block = F.col("_block")
-    drawn = F.array_compact(F.array(*[
-        F.when(lane(F.col("_digest"), i) < bound, block * LANES + i) for i in range(LANES)]))
+    if replicates > MAX_POINT:
+        raise ValueError(f"at most {MAX_POINT} replicates")
     return (
-        df.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(last))))
-        .withColumn("_digest", digest(key, F.col(salt), block))
-        .withColumn("replicate", F.explode(drawn))
-        .filter(F.col("replicate") < replicates)
-        .drop("_block", "_digest")
+        df.withColumn("_c", coefficients(digest(key, F.col(salt))))
+        .withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
+        .filter(polynomial(F.col("_c"), F.col("replicate")) < round(share * PRIME))
+        .drop("_c")
     )
 
 

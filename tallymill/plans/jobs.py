@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Observation, functions as F
 
 from tallymill.functions import text
 from tallymill.operators import clean, evaluate, features, model, profile, validate
-from tallymill.session import scratch_path
+from tallymill.session import materialise
 from tallymill.sources import files, runs
 
 _KEY, _LABEL = "tranaction_id", "tx_fraud"
@@ -47,7 +47,8 @@ def training_table(spark, glob, across_runs=True):
     its ids, so one row per id is kept unless ``across_runs`` is off."""
     df = files.read_runs(spark, glob)
     if across_runs:
-        df = clean.first_by_key(df, [_KEY], order_by=["run_path"], latest=True)
+        df = materialise(clean.first_by_key(df, [_KEY], order_by=["run_path"], latest=True),
+                         "training")
     return features.hash_split(
         features.with_class_weight(df.drop("run_path"), _LABEL), _KEY)
 
@@ -86,7 +87,6 @@ def compare_models(train, test, label, key, weight="weight", require_improvement
     Both models' scores are written once to the shared folder; the resampling
     reads them in one job for both models.
     """
-    spark = train.sparkSession
     columns = [key, label, weight, *features.FEATURES]
     train = train.select(*columns).persist()
     try:
@@ -95,16 +95,13 @@ def compare_models(train, test, label, key, weight="weight", require_improvement
         tuned = search.model.bestModel
         scored = model.score(tuned, model.score(baseline, test.select(*columns), "score_initial"),
                              "score_tuned")
-        scored_path = scratch_path(spark, "scored")
-        scored.select(key, label, weight, "score_initial", "score_tuned").write.parquet(scored_path)
+        scored = materialise(
+            scored.select(key, label, weight, "score_initial", "score_tuned"), "scored")
     finally:
         train.unpersist()
-    replicate_path = scratch_path(spark, "replicates")
-    validate.auc_replicates(
-        spark.read.parquet(scored_path), key, label,
-        {"initial": "score_initial", "tuned": "score_tuned"}, weight,
-        replicates, share).write.parquet(replicate_path)
-    scores = spark.read.parquet(replicate_path)
+    scores = materialise(validate.auc_replicates(
+        scored, key, label, {"initial": "score_initial", "tuned": "score_tuned"}, weight,
+        replicates, share), "replicates")
     shapiro = validate.normality(scores).agg(
         *[F.max(F.when(F.col("model") == m, F.col(v))).alias(f"{s}_shapiro_{m}")
           for m in ("initial", "tuned") for v, s in (("statistic", "stat"), ("p_value", "p"))])

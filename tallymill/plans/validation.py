@@ -7,7 +7,7 @@ from tallymill.plans.catalog import query
 from tallymill.plans.views import CLEAN, PREDICTIONS, TX, predictions, table, transactions
 from tallymill.streaming.run import drain, file_stream
 from tallymill.streaming.scoring import score_stream
-from tallymill.session import scratch_path
+from tallymill.session import materialise, scratch_path
 
 _MODELS = {"initial": "score_a", "tuned": "score_b"}
 
@@ -99,17 +99,24 @@ def weighted_auc_by_bucket(spark, sf_dir):
     return out.select("bucket", "n_rows", F.round("auc", 6).alias("auc"))
 
 
-# Membership of a row in replicate 4 * block + i: lane i of one digest below 1 %.
+# A row belongs to a replicate where its polynomial, seeded by one digest, is in
+# the lowest 1 % of the field.
 _REPLICATES = PREDICTIONS + f""",
 models as (
   select event_id, label as y, weight as w, 'initial' as model, score_a as s from predictions
   union all select event_id, label, weight, 'tuned', score_b from predictions),
 digests as (
-  select models.*, block, md5(concat_ws('|', event_id::varchar, model, block::varchar)) as d
-  from models, (select unnest(range(25))::int as block)),
-lanes as (select digests.*, i from digests, (select unnest(range(4))::int as i)),
+  select *, md5(concat_ws('|', event_id::varchar, model)) as d from models),
+seeds as (
+  select model, y, w, s, ('0x' || substr(d, 1, 8))::bigint % 2147483647 as c0,
+    ('0x' || substr(d, 9, 8))::bigint % 2147483647 as c1,
+    ('0x' || substr(d, 17, 8))::bigint % 2147483647 as c2,
+    ('0x' || substr(d, 25, 8))::bigint % 2147483647 as c3 from digests),
 drawn as (
-  select model, block * 4 + i as replicate, y, w, s from lanes where substr(d, i * 8 + 1, 8) < '028f5c29'),
+  select model, replicate, y, w, s
+  from seeds, (select unnest(range(100))::int as replicate)
+  where (c0 + c1 * replicate + c2 * replicate * replicate + c3 * replicate * replicate * replicate)
+    % 2147483647 < 21474836),
 {_auc_ctes('drawn', 'model, replicate, ')}"""
 
 
@@ -203,8 +210,13 @@ def decision_bands(spark, sf_dir):
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+def _cleaned(spark, sf_dir):
+    """Cleaned transactions as a written table: training reads them many times."""
+    return materialise(clean.clean_transactions(transactions(spark, sf_dir)), "cleaned")
+
+
 def _train_test(spark, sf_dir):
-    cleaned = clean.clean_transactions(transactions(spark, sf_dir))
+    cleaned = _cleaned(spark, sf_dir)
     weighted = features.with_class_weight(cleaned, "tx_fraud")
     split = features.hash_split(weighted, "tranaction_id")
     return split.filter("split = 'train'"), split.filter("split = 'test'")

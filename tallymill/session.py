@@ -45,3 +45,11 @@ def shared_dir(spark):
 def scratch_path(spark, name):
     """A fresh path under the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def materialise(df, name):
+    """Write a table under the shared folder and read it back: cuts a lineage that
+    many later jobs would repeat, and survives the loss of executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -27,6 +27,8 @@ def parse(argv=None):
         command.add_argument("--run-ts", default=None, help="run time, ISO format")
     commands.choices["clean"].add_argument("--format", choices=["csv", "parquet"], default="csv")
     commands.choices["clean"].add_argument("--dedup", choices=["between", "last"], default="between")
+    commands.choices["clean"].add_argument("--audit", action="store_true",
+                                           help="also count the rows lost to each rule")
     commands.choices["corpus"].add_argument("--header", action="store_true")
     commands.choices["validate"].add_argument("--require-improvement", action="store_true")
     return parser.parse_args(argv)
@@ -38,7 +40,8 @@ def main(argv=None):
     run_id = f"{args.job}-{run_ts:%Y%m%d%H%M%S}"
     spark = build_session(f"tallymill-{args.job}")
     if args.job == "clean":
-        print(jobs.clean_job(spark, args.source, args.sink, run_ts, args.format, args.dedup))
+        print(jobs.clean_job(spark, args.source, args.sink, run_ts, args.format, args.dedup,
+                             args.audit))
     elif args.job == "review":
         for name, report in jobs.review_job(spark.read.parquet(args.source)).items():
             print(name)

@@ -3,7 +3,7 @@
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tallymill.functions import text
 from tallymill.operators import clean, evaluate, features, model, profile, validate
@@ -13,16 +13,17 @@ from tallymill.sources import files, runs
 _KEY, _LABEL = "tranaction_id", "tx_fraud"
 
 
-def clean_job(spark, source, sink, run_ts, fmt="csv", dedup="between"):
-    """Clean transaction files into one run folder; row counts before and after
-    come from the same action."""
+def clean_job(spark, source, sink, run_ts, fmt="csv", dedup="between", audit=False):
+    """Clean transaction files into one run folder; returns the rows kept, and
+    with ``audit`` the rows lost to each rule (one more pass over the source)."""
     raw = (files.read_transactions_csv(spark, source) if fmt == "csv"
            else spark.read.parquet(source))
-    read, kept = Observation("read"), Observation("kept")
-    counted = raw.observe(read, F.count(F.lit(1)).alias("n"))
-    cleaned = clean.clean_transactions(counted, dedup).observe(kept, F.count(F.lit(1)).alias("n"))
-    files.write_run(cleaned, sink, run_ts)
-    return {"rows_read": read.get["n"], "rows_kept": kept.get["n"]}
+    folder = files.write_run(clean.clean_transactions(raw, dedup), sink, run_ts)
+    counts = {"rows_kept": spark.read.parquet(folder).count()}
+    if audit:
+        report = clean.reject_report(raw, clean.transaction_rules(dedup))
+        counts["rules"] = {r.rule: r.n_rows for r in report.collect()}   # one row per rule
+    return counts
 
 
 def review_job(df):

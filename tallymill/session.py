@@ -32,14 +32,14 @@ def shared_dir(spark):
     Only a local-mode session without that setting gets a temporary folder; a
     cluster session must name its own.
     """
-    named = spark.conf.get(_DIR_KEY, None)
+    context = spark.sparkContext
+    named = spark.conf.get(_DIR_KEY, None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError(f"set {_DIR_KEY} to a folder shared by all executors")
-    path = tempfile.mkdtemp(prefix="tallymill-")
-    spark.conf.set(_DIR_KEY, path)
-    return path
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="tallymill-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark, name):

@@ -37,9 +37,11 @@ def write_new(df, path):
 
 
 def write_run(df, path, run_ts):
-    """Append one run under ``run_ts=<yyyyMMddHHmmss>`` (colons are unsafe in paths)."""
-    stamp = run_ts.strftime("%Y%m%d%H%M%S")
-    df.withColumn("run_ts", F.lit(stamp)).write.mode("append").partitionBy("run_ts").parquet(path)
+    """Write one run under ``run_ts=<yyyyMMddHHmmss>`` (colons are unsafe in paths)
+    and return its folder. A run is written once: an existing folder is an error."""
+    folder = f"{path.rstrip('/')}/run_ts={run_ts:%Y%m%d%H%M%S}"
+    write_new(df, folder)
+    return folder
 
 
 def write_overwrite(df, path, partition_by=(), dynamic=False):

@@ -13,7 +13,8 @@ def spark():
 
     session = build_session("tests", master="local[8]", **{
         "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g",
-        "spark.ui.showConsoleProgress": "false"})
+        "spark.ui.showConsoleProgress": "false",
+        "spark.sql.maxMetadataStringLength": "4000"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

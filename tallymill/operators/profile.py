@@ -218,3 +218,8 @@ def null_or_zero(df, column):
         why = why.when(F.isnan(c), "nan")
     why = why.when(c == 0, "zero")
     return df.withColumn("why", why).filter(F.col("why").isNotNull())
+
+
+def preview(df, n=20):
+    """The first rows found, for display."""
+    return df.limit(n)

@@ -173,19 +173,26 @@ def threshold_metrics(df, label, score, thresholds, floors=None):
     multiply the rows.
     """
     floors = floors or FLOORS
-    cuts = sorted(thresholds)
+    cuts = sorted(float(t) for t in thresholds)
     passed = sum([F.when(F.col(score) >= t, 1).otherwise(0) for t in cuts], F.lit(0))
-    counts = (df.groupBy(passed.alias("_passed"))
+    counts = (df.groupBy(passed.cast("long").alias("_passed"))
               .agg(F.count_if(F.col(label) == 1).alias("_pos"),
                    F.count_if(F.col(label) == 0).alias("_neg")))
-    over = lambda c, i: F.sum(F.when(F.col("_passed") > i, F.col(c)).otherwise(0))
-    one = counts.agg(F.sum("_pos").alias("_all"),
-                     *[over("_pos", i).alias(f"tp{i}") for i in range(len(cuts))],
-                     *[over("_neg", i).alias(f"fp{i}") for i in range(len(cuts))])
-    rows = one.select(F.inline(F.array(*[
-        F.struct(F.lit(float(t)).alias("threshold"), F.col(f"tp{i}").alias("tp"),
-                 F.col(f"fp{i}").alias("fp"), (F.col("_all") - F.col(f"tp{i}")).alias("fn"))
-        for i, t in enumerate(cuts)])))
+    # From here on there is one row per threshold, whatever the table's size.
+    zero = F.lit(0).cast("long")
+    levels = df.sparkSession.range(len(cuts) + 1).select(
+        F.col("id").alias("_passed"), zero.alias("_pos"), zero.alias("_neg"))
+    upward = Window.orderBy(F.desc("_passed")).rowsBetween(Window.unboundedPreceding, 0)
+    level = (counts.unionByName(levels).groupBy("_passed")
+             .agg(F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg")))
+    rows = (
+        level.select("_passed", F.sum("_pos").over(upward).alias("tp"),
+                     F.sum("_neg").over(upward).alias("fp"),
+                     F.sum("_pos").over(Window.partitionBy()).alias("_all"))
+        .filter("_passed > 0")
+        .select(F.element_at(F.array(*[F.lit(t) for t in cuts]), F.col("_passed").cast("int"))
+                .alias("threshold"), "tp", "fp", (F.col("_all") - F.col("tp")).alias("fn"))
+    )
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     ratio = lambda a, b: F.when(b > 0, a / b)
     return (

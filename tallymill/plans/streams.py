@@ -56,7 +56,7 @@ def redelivery_dedup_stream(spark, sf_dir):
         F.explode(F.array(F.lit(1), F.lit(2))).alias("delivery"))
     events.write.parquet(staged)
     stream = file_stream(spark, staged, events.schema)
-    kept = dedupe_redelivered(stream, "event_id", "ts").select("event_id", "user_id", "event_type")
+    kept = dedupe_redelivered(stream, "event_id", "ts", spread_by="delivery").select("event_id", "user_id", "event_type")
     out = drain(kept, scratch_path(spark, "deduped"), scratch_path(spark, "checkpoint"))
     return spark.read.parquet(out)
 

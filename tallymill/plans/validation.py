@@ -56,8 +56,7 @@ m as (select {', '.join(f'avg({c}::double) as a{i}, stddev_samp({c}::double) as
 select tranaction_id, {', '.join(f'round(({c}::double - a{i}) / s{i}, 6) as {c}_scaled'
                                  for i, c in enumerate(features.FEATURES))} from clean, m""")
 def standardise(spark, sf_dir):
-    cleaned = clean.clean_transactions(transactions(spark, sf_dir)).select(
-        "tranaction_id", *features.FEATURES)
+    cleaned = _cleaned(spark, sf_dir).select("tranaction_id", *features.FEATURES)
     train = features.hash_split(cleaned, "tranaction_id").filter("split = 'train'")
     return features.standardise(train, cleaned).select(
         "tranaction_id",

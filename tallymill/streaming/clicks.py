@@ -31,8 +31,18 @@ def rekey(clicks, key="user_id", ignore_null_fields=True):
                          F.to_json(F.struct(*clicks.columns), options).alias("value"))
 
 
-def dedupe_redelivered(events, key, event_time, delay="10 minutes"):
+def dedupe_redelivered(events, key, event_time, delay="10 minutes", spread_by=None, salts=32):
     """Drop repeated deliveries of an event. State is held for ``delay`` past the
-    watermark, which bounds it; copies farther apart pass."""
+    watermark, which bounds it; copies farther apart pass.
+
+    A stream has no map-side reduction, so an event delivered very often would
+    meet one task. ``spread_by`` names a column that differs between copies (an
+    offset, a delivery id): copies are first thinned per key and salt.
+    """
     keys = [key] if isinstance(key, str) else list(key)
-    return events.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
+    events = events.withWatermark(event_time, delay)
+    if spread_by:
+        salt = F.pmod(F.xxhash64(spread_by), F.lit(salts))
+        events = (events.withColumn("_salt", salt)
+                  .dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt"))
+    return events.dropDuplicatesWithinWatermark(keys)

@@ -78,12 +78,15 @@ def test_continuous_trigger_returns_a_handle(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == filter_clicks(batch).count()
 
 
-def test_redelivered_events_pass_once(spark, tmp_path):
-    rows = [(i % 40, datetime(2024, 1, 1, 0, 0, i % 40)) for i in range(200)]
-    df = spark.createDataFrame(rows, "event_id int, ts timestamp")
+@pytest.mark.parametrize("spread_by", [None, "delivery"])
+def test_redelivered_events_pass_once(spark, tmp_path, spread_by):
+    rows = [(i % 40, datetime(2024, 1, 1, 0, 0, i % 40), i) for i in range(200)]
+    rows += [(7, datetime(2024, 1, 1, 0, 0, 7), 1000 + i) for i in range(100)]     # a hot event
+    df = spark.createDataFrame(rows, "event_id int, ts timestamp, delivery int")
     df.repartition(5).write.parquet(str(tmp_path / "src"))
     stream = run.file_stream(spark, str(tmp_path / "src"), df.schema, max_files=1)
-    run.drain(dedupe_redelivered(stream, "event_id", "ts"), str(tmp_path / "out"), str(tmp_path / "ck"))
+    deduped = dedupe_redelivered(stream, "event_id", "ts", spread_by=spread_by)
+    run.drain(deduped, str(tmp_path / "out"), str(tmp_path / "ck"))
     assert sorted(r.event_id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == list(range(40))
 
 

@@ -1,13 +1,21 @@
-"""Table profiling: each report is one aggregate over one pruned scan."""
+"""Table profiling: each report is one aggregate over one pruned scan, and
+:func:`review` fuses the reports of a table into a single aggregate."""
 
 from pyspark.sql import functions as F, types as T, Window
 
+from tallymill.session import materialise
+
 
 def _rows(one_row, structs):
     """Turn the columns of a one-row aggregate into report rows."""
     return one_row.select(F.inline(F.array(*structs)))
 
 
+def _report(df, parts):
+    aggregates, structs = parts
+    return _rows(df.agg(*aggregates), structs)
+
+
 def _is_number(field):
     return isinstance(field.dataType, T.NumericType)
 
@@ -22,12 +30,7 @@ ID_COLUMNS = ("tranaction_id", "customer_id", "terminal_id", "tx_datetime")
 LABEL_COLUMNS = ("tx_fraud", "tx_fraud_scenario")
 
 
-def missing_profile(df, id_columns=ID_COLUMNS, skip=LABEL_COLUMNS):
-    """``(column, n_null, n_zero, n_nan, n_missing)`` for every reviewed column.
-
-    ``n_missing`` is the null count of id columns and the zero-or-NaN count of
-    the others; nulls of the latter show only in ``n_null``.
-    """
+def _missing_parts(df, id_columns, skip):
     fields = [f for f in df.schema.fields if f.name not in skip]
     aggs, structs = [], []
     for i, f in enumerate(fields):
@@ -41,7 +44,16 @@ def missing_profile(df, id_columns=ID_COLUMNS, skip=LABEL_COLUMNS):
             F.lit(f.name).alias("column"), F.col(f"nu{i}").alias("n_null"),
             F.col(f"ze{i}").alias("n_zero"), F.col(f"na{i}").alias("n_nan"),
             missing.alias("n_missing")))
-    return _rows(df.agg(*aggs), structs)
+    return aggs, structs
+
+
+def missing_profile(df, id_columns=ID_COLUMNS, skip=LABEL_COLUMNS):
+    """``(column, n_null, n_zero, n_nan, n_missing)`` for every reviewed column.
+
+    ``n_missing`` is the null count of id columns and the zero-or-NaN count of
+    the others; nulls of the latter show only in ``n_null``.
+    """
+    return _report(df, _missing_parts(df, id_columns, skip))
 
 
 def key_profile(df, key, approx_rsd=None):
@@ -102,9 +114,7 @@ def id_gaps(df, key):
     return gaps.withColumn("n_ids", F.col("gap_end") - F.col("gap_start") + 1)
 
 
-def summary(df, digits=4):
-    """count, mean, sample deviation, min and max of numeric and text columns
-    (other types are left out, as ``describe`` does), one row per column."""
+def _summary_parts(df, digits):
     fields = [f for f in df.schema.fields
               if _is_number(f) or isinstance(f.dataType, T.StringType)]
     aggs, structs = [], []
@@ -126,7 +136,13 @@ def summary(df, digits=4):
             (F.col(f"hi{i}") if number else none).alias("max"),
             (text if number else F.col(f"lo{i}")).alias("min_text"),
             (text if number else F.col(f"hi{i}")).alias("max_text")))
-    return _rows(df.agg(*aggs), structs)
+    return aggs, structs
+
+
+def summary(df, digits=4):
+    """count, mean, sample deviation, min and max of numeric and text columns
+    (other types are left out, as ``describe`` does), one row per column."""
+    return _report(df, _summary_parts(df, digits))
 
 
 def percentiles(df, columns, at=(0.25, 0.5, 0.75), accuracy=10000):
@@ -147,13 +163,15 @@ def value_histogram(df, columns):
             .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
 
 
+def _violation_parts(predicates):
+    aggs = [F.count_if(F.expr(p)).alias(f"v{i}") for i, p in enumerate(predicates.values())]
+    return aggs, [F.struct(F.lit(n).alias("rule"), F.col(f"v{i}").alias("n_rows"))
+                  for i, n in enumerate(predicates)]
+
+
 def violations(df, predicates):
     """``(rule, n_rows)`` breaking each named SQL predicate, in one pass."""
-    names = list(predicates)
-    one = df.agg(*[F.count_if(F.expr(predicates[n])).alias(f"v{i}")
-                   for i, n in enumerate(names)])
-    return _rows(one, [F.struct(F.lit(n).alias("rule"), F.col(f"v{i}").alias("n_rows"))
-                       for i, n in enumerate(names)])
+    return _report(df, _violation_parts(predicates))
 
 
 # Stated label domains and id bounds of transactions.
@@ -164,17 +182,18 @@ TRANSACTION_VIOLATIONS = {
 }
 
 
-def domain_check(df, domains=None):
-    """Values outside a column's domain and nulls, one row per column."""
-    domains = domains or TRANSACTION_DOMAINS
-    names = list(domains)
+def _domain_parts(domains):
     aggs = []
-    for i, n in enumerate(names):
-        aggs += [F.count_if(~F.col(n).isin(domains[n])).alias(f"o{i}"),
+    for i, (n, values) in enumerate(domains.items()):
+        aggs += [F.count_if(~F.col(n).isin(values)).alias(f"o{i}"),
                  F.count_if(F.col(n).isNull()).alias(f"u{i}")]
-    return _rows(df.agg(*aggs), [
-        F.struct(F.lit(n).alias("column"), F.col(f"o{i}").alias("n_outside"),
-                 F.col(f"u{i}").alias("n_null")) for i, n in enumerate(names)])
+    return aggs, [F.struct(F.lit(n).alias("column"), F.col(f"o{i}").alias("n_outside"),
+                           F.col(f"u{i}").alias("n_null")) for i, n in enumerate(domains)]
+
+
+def domain_check(df, domains=None):
+    """Values outside a column's domain and nulls, one row per column."""
+    return _report(df, _domain_parts(domains or TRANSACTION_DOMAINS))
 
 
 def extremes(df, column, k=10):
@@ -189,15 +208,32 @@ def extremes(df, column, k=10):
     return edge("lowest", F.asc("value")).unionByName(edge("highest", F.desc("value")))
 
 
-def schema_profile(df):
-    """``(position, column, type, n_present)`` of every column."""
-    names = df.columns
-    one = df.agg(*[F.count(F.col(n)).alias(f"c{i}") for i, n in enumerate(names)])
-    return _rows(one, [
+def _schema_parts(df):
+    aggs = [F.count(F.col(n)).alias(f"c{i}") for i, n in enumerate(df.columns)]
+    return aggs, [
         F.struct(F.lit(i + 1).alias("position"), F.lit(f.name).alias("column"),
                  F.lit(f.dataType.simpleString()).alias("type"),
                  F.col(f"c{i}").alias("n_present"))
-        for i, f in enumerate(df.schema.fields)])
+        for i, f in enumerate(df.schema.fields)]
+
+
+def schema_profile(df):
+    """``(position, column, type, n_present)`` of every column."""
+    return _report(df, _schema_parts(df))
+
+
+def review(df, id_columns=ID_COLUMNS, skip=LABEL_COLUMNS, predicates=None, domains=None, digits=4):
+    """Schema, summary, missing, violation and domain reports, by name, from one
+    pass: their aggregates run together and the one resulting row is kept."""
+    parts = {
+        "schema": _schema_parts(df),
+        "summary": _summary_parts(df, digits),
+        "missing": _missing_parts(df, id_columns, skip),
+        "violations": _violation_parts(predicates or TRANSACTION_VIOLATIONS),
+        "domains": _domain_parts(domains or TRANSACTION_DOMAINS),
+    }
+    row = materialise(df.agg(*[a for aggs, _ in parts.values() for a in aggs]), "review")
+    return {name: _rows(row, structs) for name, (_, structs) in parts.items()}
 
 
 def schema_drift(df, expected):

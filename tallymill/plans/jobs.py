@@ -29,13 +29,9 @@ def clean_job(spark, source, sink, run_ts, fmt="csv", dedup="between", audit=Fal
 def review_job(df):
     """All review reports of a transactions table, by name."""
     return {
-        "schema": profile.schema_profile(df),
-        "summary": profile.summary(df),
-        "missing": profile.missing_profile(df),
+        **profile.review(df),
         "keys": profile.key_profile(df, _KEY),
         "gaps": profile.id_gaps(df, _KEY),
-        "violations": profile.violations(df, profile.TRANSACTION_VIOLATIONS),
-        "domains": profile.domain_check(df),
         "histograms": profile.value_histogram(df, list(profile.TRANSACTION_DOMAINS)),
         "lowest_highest": profile.extremes(df, "customer_id").unionByName(
             profile.extremes(df, "terminal_id")),

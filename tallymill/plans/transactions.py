@@ -103,7 +103,7 @@ def before_after(spark, sf_dir):
         for name, df in stages.items()])
 
 
-def _missing_sql():
+def _missing_sql(head=f"with {TX} "):
     out = []
     for c in ["tranaction_id", "tx_datetime", "customer_id", "terminal_id", "tx_amount",
               "tx_time_seconds", "tx_time_days"]:
@@ -112,7 +112,7 @@ def _missing_sql():
         missing = null if c in profile.ID_COLUMNS else zero
         out.append(f"""select '{c}' as "column", {null}::bigint as n_null, {zero}::bigint as n_zero,
                        0::bigint as n_nan, {missing}::bigint as n_missing from tx""")
-    return f"with {TX} " + " union all ".join(out)
+    return head + " union all ".join(out)
 
 
 @query("profile_missing", _missing_sql())
@@ -145,6 +145,31 @@ def profile_schema(spark, sf_dir):
     return profile.schema_profile(transactions(spark, sf_dir))
 
 
+def _review_sql():
+    """The reports of the fused review as (report, item, metric) counts."""
+    parts = [f"select 'missing' as report, \"column\" as item, n_missing as n from ({_missing_sql('')})",
+             f"select 'summary', \"column\", n from ({_summary_sql('tx')})"]
+    parts += [f"select 'schema', '{c}', count({c}) from tx" for c in _TYPES]
+    parts += ["select 'violations', 'negative_customer', count(*) filter (customer_id < 0) from tx",
+              "select 'violations', 'terminal_over_999', count(*) filter (terminal_id > 999) from tx",
+              "select 'domains', 'tx_fraud', count(*) filter (tx_fraud not in (0, 1)) from tx",
+              "select 'domains', 'tx_fraud_scenario',"
+              " count(*) filter (tx_fraud_scenario not in (0, 1, 2, 3)) from tx"]
+    return f"with {TX} select report, item, n::bigint as n from ({' union all '.join(parts)})"
+
+
+@query("profile_review", _review_sql())
+def profile_review(spark, sf_dir):
+    """All one-row reports from a single aggregate."""
+    reports = profile.review(transactions(spark, sf_dir))
+    shown = {"missing": ("column", "n_missing"), "summary": ("column", "n"),
+             "schema": ("column", "n_present"), "violations": ("rule", "n_rows"),
+             "domains": ("column", "n_outside")}
+    return reduce(lambda a, b: a.unionByName(b), [
+        reports[name].select(F.lit(name).alias("report"), F.col(item).alias("item"),
+                             F.col(n).alias("n")) for name, (item, n) in shown.items()])
+
+
 @query("profile_keys", f"""
 with {TX} select count(*)::bigint as n_rows, count(*) filter (tranaction_id is null)::bigint as n_null,
   count(distinct tranaction_id)::bigint as n_distinct,

@@ -5,6 +5,7 @@ from datetime import datetime
 
 from tallymill.plans import jobs
 from tallymill.session import build_session
+from tallymill.sources import kafka
 
 _ARGS = {
     "clean": ["source", "sink"],
@@ -14,6 +15,7 @@ _ARGS = {
     "corpus": ["source", "sink"],
     "pairs": ["source", "sink"],
     "evaluate": ["source", "log"],
+    "clicks": ["servers", "source_topic", "sink_topic", "checkpoint"],
 }
 
 
@@ -29,6 +31,7 @@ def parse(argv=None):
     commands.choices["clean"].add_argument("--dedup", choices=["between", "last"], default="between")
     commands.choices["clean"].add_argument("--audit", action="store_true",
                                            help="also count the rows lost to each rule")
+    commands.choices["clicks"].add_argument("--ca", default=None, help="CA certificate")
     commands.choices["corpus"].add_argument("--header", action="store_true")
     commands.choices["validate"].add_argument("--require-improvement", action="store_true")
     return parser.parse_args(argv)
@@ -55,6 +58,12 @@ def main(argv=None):
         jobs.corpus_job(spark, args.source, args.sink, header=args.header)
     elif args.job == "pairs":
         jobs.pairs_job(spark, args.source, args.sink)
+    elif args.job == "clicks":
+        # Credentials come from KAFKA_USERNAME and KAFKA_PASSWORD.
+        source = kafka.source_options(args.servers, args.source_topic, ca_location=args.ca)
+        sink = kafka.sink_options(args.servers, args.sink_topic, ca_location=args.ca)
+        messages = kafka.read_messages(spark, source)
+        jobs.click_job(messages, args.checkpoint, sink).awaitTermination()
     else:
         jobs.evaluate_job(spark, spark.read.parquet(args.source), args.log, run_id, run_ts).show()
 

@@ -25,9 +25,10 @@ BOT_PASSES = 3
 # Fixed value: end-of-sequence marker left by the text generator.
 END_MARKER = "</s>"
 
-# Unicode white space as a regex class body (Java's \s is ASCII only).
+# Unicode white space, as a regex class body (Java's \s is ASCII only) and as text.
 SPACES = (r"\t\n\x0b\f\r \x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029"
           r"\u202f\u205f\u3000")
+SPACE_CHARS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 
 def _col(c):
@@ -63,7 +64,7 @@ def remove_symbols(c, symbols, passes=1):
 
 def strip(c):
     """Trim every kind of white space at both ends."""
-    return F.regexp_replace(_col(c), f"^[{SPACES}]+|[{SPACES}]+$", "")
+    return F.btrim(_col(c), F.lit(SPACE_CHARS))
 
 
 def cut_at_marker(c, marker=END_MARKER):

@@ -245,15 +245,21 @@ def schema_drift(df, expected):
             if want.get(n) != have.get(n)]
 
 
-def null_or_zero(df, column):
-    """Rows whose value is null, zero or NaN, told apart by ``why``."""
-    f = df.schema[column]
+def absence(df, column):
+    """``null``, ``nan`` or ``zero`` for a value that counts as absent, else null."""
     c = F.col(column)
     why = F.when(c.isNull(), "null")
-    if _is_float(f):
+    if _is_float(df.schema[column]):
         why = why.when(F.isnan(c), "nan")
-    why = why.when(c == 0, "zero")
-    return df.withColumn("why", why).filter(F.col("why").isNotNull())
+    return why.when(c == 0, "zero")
+
+
+def absence_counts(df, columns):
+    """``(column, why, n)`` of absent values of numeric columns, in one pass."""
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), absence(df, c).alias("why"))
+                      for c in columns])
+    return (df.select(F.inline(cells)).filter(F.col("why").isNotNull())
+            .groupBy("column", "why").agg(F.count(F.lit(1)).alias("n")))
 
 
 def preview(df, n=20):

@@ -6,9 +6,11 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from tallymill.functions import text
-from tallymill.operators import clean, evaluate, features, model, profile, validate
+from tallymill.operators import clean, evaluate, extract, features, model, profile, validate
 from tallymill.session import materialise
 from tallymill.sources import files, runs
+from tallymill.streaming import run as streams
+from tallymill.streaming.clicks import filter_clicks, rekey
 
 _KEY, _LABEL = "tranaction_id", "tx_fraud"
 
@@ -125,6 +127,11 @@ def validate_job(spark, glob, model_path, scores_path, log_path, run_id, run_ts,
     return row
 
 
+def collect_job(pages, rules, run_date, sink, fmt="parquet"):
+    """Records of all page layouts, appended to the raw collection."""
+    files.append_records(extract.extract_records(pages, rules, run_date), sink, fmt)
+
+
 def corpus_job(spark, source, sink, header=False, disallowed=text.CORPUS_ALLOW):
     """Raw text records to the cleaned corpus (replaced as a whole)."""
     raw = files.read_corpus_csv(spark, source, header=header)
@@ -148,3 +155,13 @@ def evaluate_job(spark, generations, log_path, run_id, run_ts=None):
                      {"top_p": row["top_p"], "temperature": row["temperature"]},
                      {"model_family": row["model_name"]})
     return report
+
+
+def click_job(messages, checkpoint, options, fmt="kafka", interval=streams.INTERVAL,
+              available_now=False):
+    """Start the click stream: filter by country, project, re-key, write on.
+
+    Returns the running query; the caller waits on it (``awaitTermination``).
+    """
+    return streams.start(rekey(filter_clicks(messages)), checkpoint, fmt, options, interval,
+                         available_now)

@@ -127,10 +127,7 @@ union all select 'tx_amount', case when tx_amount is null then 'null' when isnan
   else 'zero' end, count(*)::bigint from tx
 where tx_amount is null or isnan(tx_amount) or tx_amount = 0 group by all""")
 def null_or_zero(spark, sf_dir):
-    tx = transactions(spark, sf_dir)
-    return reduce(lambda a, b: a.unionByName(b), [
-        profile.null_or_zero(tx, c).groupBy(F.lit(c).alias("column"), "why")
-        .agg(F.count(F.lit(1)).alias("n")) for c in ("terminal_id", "tx_amount")])
+    return profile.absence_counts(transactions(spark, sf_dir), ["terminal_id", "tx_amount"])
 
 
 _TYPES = {"tranaction_id": "bigint", "tx_datetime": "timestamp", "customer_id": "bigint",

@@ -151,14 +151,15 @@ generations as (
 
 
 def listings(spark, sf_dir):
-    """Source and target inventories: the copy lost some objects, damaged others
-    and holds some that the source lacks."""
+    """Source and target inventories over all orders: the copy lost the objects of
+    one priority, damaged some others and holds some under new names."""
     orders = (table(spark, sf_dir, "orders").groupBy("o_orderkey")
               .agg(F.floor(F.max("o_totalprice") * 100).cast("long").alias("size"),
-                   F.max(F.col("o_orderdate").cast("timestamp")).alias("modified")))
+                   F.max(F.col("o_orderdate").cast("timestamp")).alias("modified"),
+                   F.max("o_orderpriority").alias("priority")))
     key = F.col("o_orderkey")
     source = orders.select("modified", "size", F.concat(F.lit("p/"), key.cast("string")).alias("key"))
-    target = orders.filter(key % 10 != 0).select(
+    target = orders.filter("priority <> '5-LOW'").select(
         "modified",
         F.when(key % 17 == 0, F.col("size") + 1).otherwise(F.col("size")).alias("size"),
         F.when(key % 101 == 0, F.concat(F.lit("new-"), key.cast("string")))
@@ -169,12 +170,12 @@ def listings(spark, sf_dir):
 LISTINGS = """
 o as (
   select o_orderkey as k, floor(max(o_totalprice) * 100)::bigint as size,
-         max(o_orderdate) as modified
+         max(o_orderdate) as modified, max(o_orderpriority) as priority
   from orders group by 1
 ),
 source_listing as (select modified, size, k::varchar as key from o),
 target_listing as (
   select modified, case when k % 17 = 0 then size + 1 else size end as size,
          case when k % 101 = 0 then 'new-' || k else k::varchar end as key
-  from o where k % 10 <> 0
+  from o where priority <> '5-LOW'
 )"""

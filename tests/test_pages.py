@@ -50,6 +50,16 @@ def test_four_layouts_one_schema(spark):
     assert [f.name for f in out.schema][1:] == ["date", "zodiac", "horo", "source"]
 
 
+def test_collected_records_are_appended_by_day(spark, tmp_path):
+    from tallymill.plans.jobs import collect_job
+
+    sink = str(tmp_path / "raw")
+    collect_job(pages(spark), RULES, "2024-03-02", sink)
+    collect_job(pages(spark), RULES, "2024-03-03", sink)
+    days = {str(r.day): r["count"] for r in spark.read.parquet(sink).groupBy("day").count().collect()}
+    assert days == {"2024-03-02": 6, "2024-03-03": 6}
+
+
 def test_unify_aligns_by_name(spark):
     a = spark.createDataFrame([("x", 1)], "s string, n int")
     b = spark.createDataFrame([(2, "y")], "n int, s string")

@@ -97,10 +97,10 @@ def test_extremes_hold_null_at_the_low_end(spark):
     assert low == [None, 1] and high == [5, 9]
 
 
-def test_null_or_zero(spark):
-    df = spark.createDataFrame([(None,), (0.0,), (float("nan"),), (1.0,)], "x double")
-    got = sorted(r.why for r in profile.null_or_zero(df, "x").collect())
-    assert got == ["nan", "null", "zero"]
+def test_absence(spark):
+    df = spark.createDataFrame([(None, 0), (0.0, 5), (float("nan"), None), (1.0, 2)], "x double, i int")
+    got = {(r.column, r.why): r.n for r in profile.absence_counts(df, ["x", "i"]).collect()}
+    assert got == {("x", "null"): 1, ("x", "zero"): 1, ("x", "nan"): 1, ("i", "zero"): 1, ("i", "null"): 1}
 
 
 def test_schema_drift(spark):

@@ -120,3 +120,27 @@ def test_stream_scores_equal_batch_scores(spark, tmp_path):
     want = {r.tranaction_id: r.score for r in model.score(fitted, tx).collect()}
     assert got == pytest.approx(want)
     assert score_stream(fitted, tx, threshold=2.0).count() == 0
+
+
+def test_click_job_runs_end_to_end(spark, tmp_path):
+    from tallymill.plans.jobs import click_job
+
+    batch = to_messages(clicks(spark, "/root/testdata/sf0.001"))
+    batch.write.parquet(str(tmp_path / "src"))
+    stream = run.file_stream(spark, str(tmp_path / "src"), batch.schema)
+    query = click_job(stream, str(tmp_path / "ck"), {"path": str(tmp_path / "out")}, fmt="parquet",
+                      available_now=True)
+    assert query.awaitTermination(120)
+    assert spark.read.parquet(str(tmp_path / "out")).columns == ["key", "value"]
+    assert spark.read.parquet(str(tmp_path / "out")).count() == filter_clicks(batch).count()
+
+
+def test_messages_are_routed_on_a_stream(spark, tmp_path):
+    from tallymill.operators.routing import route
+
+    batch = spark.createDataFrame([("Назад",), ("hello",), ("?",)], "text string")
+    batch.write.parquet(str(tmp_path / "src"))
+    stream = route(run.file_stream(spark, str(tmp_path / "src"), batch.schema))
+    run.drain(stream, str(tmp_path / "out"), str(tmp_path / "ck"))
+    got = {r.text: r.intent for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {"Назад": "back", "hello": "greeting", "?": "fallback"}

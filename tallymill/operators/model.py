@@ -64,20 +64,18 @@ def cross_validate(train, label, key, weight="weight", columns=FEATURES, folds=F
                    parallelism=4, salt="folds"):
     """Grid search over hash-assigned folds, so a rerun sees the same folds.
 
-    The training columns are cached: each of the grid points reads them anew.
+    The validator caches each fold while its grid points are fitted; give it a
+    stored table (see ``session.materialise``), not a long lineage.
     """
     pipeline = build_pipeline(label, columns)
     grid = build_grid(pipeline.getStages()[-1])
     folded = train.select(
         *columns, label, weight,
-        lane_int(digest(key, salt), 0, folds).cast("int").alias("_fold")).persist()
-    try:
-        search = CrossValidator(
-            estimator=pipeline, estimatorParamMaps=grid, evaluator=evaluator(label, weight),
-            numFolds=folds, foldCol="_fold", parallelism=parallelism)
-        return Search(search.fit(folded), grid)
-    finally:
-        folded.unpersist()
+        lane_int(digest(key, salt), 0, folds).cast("int").alias("_fold"))
+    search = CrossValidator(
+        estimator=pipeline, estimatorParamMaps=grid, evaluator=evaluator(label, weight),
+        numFolds=folds, foldCol="_fold", parallelism=parallelism)
+    return Search(search.fit(folded), grid)
 
 
 def score(model, df, name="score"):

@@ -5,6 +5,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
+from tallymill import schemas
 from tallymill.functions import text
 from tallymill.operators import clean, evaluate, extract, features, model, profile, validate
 from tallymill.session import materialise
@@ -15,10 +16,15 @@ from tallymill.streaming.clicks import filter_clicks, rekey
 _KEY, _LABEL = "tranaction_id", "tx_fraud"
 
 
-def clean_job(spark, source, sink, run_ts, fmt="csv", dedup="between", audit=False):
+def clean_job(spark, source, sink, run_ts, fmt="csv", dedup="between", audit=False, wide=False):
     """Clean transaction files into one run folder; returns the rows kept, and
-    with ``audit`` the rows lost to each rule (one more pass over the source)."""
-    raw = (files.read_transactions_csv(spark, source) if fmt == "csv"
+    with ``audit`` the rows lost to each rule (one more pass over the source).
+
+    ``wide`` reads CSV ids as 64-bit; an id beyond the declared 32 bits is
+    otherwise unreadable, and its row is rejected as incomplete.
+    """
+    schema = schemas.wide_ids() if wide else schemas.TRANSACTIONS
+    raw = (files.read_transactions_csv(spark, source, schema) if fmt == "csv"
            else spark.read.parquet(source))
     folder = files.write_run(clean.clean_transactions(raw, dedup), sink, run_ts)
     counts = {"rows_kept": spark.read.parquet(folder).count()}
@@ -56,7 +62,7 @@ def train_job(spark, glob, model_path, log_path, run_id, run_ts):
     """Grid search on the train side, AUC on the test side, model and run log out."""
     table = training_table(spark, glob)
     train, test = table.filter("split = 'train'"), table.filter("split = 'test'")
-    search = model.cross_validate(train, _LABEL, _KEY)
+    search = model.cross_validate(materialise(train, "train"), _LABEL, _KEY)
     scored = model.score(search.model.bestModel, test)
     auc = validate.weighted_auc(scored, _LABEL, "score", "weight").first()["auc"]
     search.model.bestModel.write().overwrite().save(model_path)
@@ -87,17 +93,13 @@ def compare_models(train, test, label, key, weight="weight", require_improvement
     reads them in one job for both models.
     """
     columns = [key, label, weight, *features.FEATURES]
-    train = train.select(*columns).persist()
-    try:
-        baseline = model.build_pipeline(label).fit(train)
-        search = model.cross_validate(train, label, key, weight)
-        tuned = search.model.bestModel
-        scored = model.score(tuned, model.score(baseline, test.select(*columns), "score_initial"),
-                             "score_tuned")
-        scored = materialise(
-            scored.select(key, label, weight, "score_initial", "score_tuned"), "scored")
-    finally:
-        train.unpersist()
+    train = materialise(train.select(*columns), "train")
+    baseline = model.build_pipeline(label).fit(train)
+    search = model.cross_validate(train, label, key, weight)
+    tuned = search.model.bestModel
+    scored = model.score(tuned, model.score(baseline, test.select(*columns), "score_initial"),
+                         "score_tuned")
+    scored = materialise(scored.select(key, label, weight, "score_initial", "score_tuned"), "scored")
     scores = materialise(validate.auc_replicates(
         scored, key, label, {"initial": "score_initial", "tuned": "score_tuned"}, weight,
         replicates, share), "replicates")

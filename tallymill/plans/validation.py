@@ -225,7 +225,7 @@ def _train_test(spark, sf_dir):
 def lr_grid(spark, sf_dir):
     """Every grid point of the regression search with its average AUC."""
     train, _ = _train_test(spark, sf_dir)
-    return model.cross_validate(train, "tx_fraud", "tranaction_id").report(spark)
+    return model.cross_validate(materialise(train, "train"), "tx_fraud", "tranaction_id").report(spark)
 
 
 @query("lr_test_scores")

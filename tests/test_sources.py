@@ -46,6 +46,16 @@ def test_transaction_csv_edge_rows(spark, csv_dir):
     assert [r[0] for r in clean.clean_transactions(df).select("tranaction_id").orderBy("tranaction_id").collect()] == [1, 8]
 
 
+def test_ids_beyond_32_bits_need_the_wide_schema(spark, tmp_path):
+    (tmp_path / "big.csv").write_text("5000000000,2019-08-22 05:10:37,0,753,70.91,1,0,0,0\n")
+    source = str(tmp_path / "big.csv")
+    job = lambda name, **kw: jobs.clean_job(spark, source, str(tmp_path / name), datetime(2024, 3, 1),
+                                            audit=True, **kw)
+    narrow, wide = job("a"), job("b", wide=True)
+    assert (narrow["rows_kept"], narrow["rules"]["complete"]) == (0, 1)
+    assert wide["rows_kept"] == 1
+
+
 def test_corrupt_lines_can_be_kept(spark, csv_dir):
     df = files.read_transactions_csv(spark, csv_dir, corrupt_column="_corrupt").cache()
     bad = {r.tranaction_id for r in df.filter("_corrupt IS NOT NULL").collect()}

@@ -250,8 +250,7 @@ _BOT_TEXT = """case conv_id % 6 when 0 then '🔥Знаки Огня' when 1 the
 with m as (select role, {_BOT_TEXT} as t from conversations)
 select role, case t when '🔥Знаки Огня' then 'menu_fire' when 'Назад' then 'back' else
   case when contains(t, '♌Лев') then 'sign'
-  when list_bool_or([contains(lower(t), x) for x in
-    ['/hello', 'привет', 'hello', 'hi', 'privet', 'hey', 'добрый день', 'доброе утро', 'добрый вечер']])
+  when {' or '.join(f"contains(lower(t), '{g}')" for g in routing.BOT_ROUTES[-1].needles)}
   then 'greeting' else 'fallback' end end as intent, count(*)::bigint as n from m group by all""")
 def bot_intent_counts(spark, sf_dir):
     messages = table(spark, sf_dir, "conversations").withColumn("text", F.expr(_BOT_TEXT))
@@ -288,7 +287,7 @@ def label_rates(spark, sf_dir):
 
 _CENTROID = """
 normed as (
-  select {keys} unnest(embedding)::double / sqrt(list_sum(list_transform(embedding, lambda x: x::double * x::double))) as e,
+  select {keys} unnest(embedding)::double / sqrt(list_inner_product(embedding::double[], embedding::double[])) as e,
     generate_subscripts(embedding, 1) as pos from {source}
 ),
 centre as (select {keys} pos, avg(e) as c, count(*) as n from normed group by all)"""

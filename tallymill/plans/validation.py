@@ -136,33 +136,97 @@ m as (
     var_samp(auc) filter (model = 'initial') as v1, var_samp(auc) filter (model = 'tuned') as v2 from auc),
 t as (
   select *, n1 + n2 - 2 as dof,
-    (m1 - m2) / sqrt(((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2) * (1.0 / n1 + 1.0 / n2)) as t from m)"""
-# Fixed value: two-sided 1 % critical value of Student's t with 198 degrees of freedom.
-_CRITICAL = 2.6008872780
-
-
+    (m1 - m2) / sqrt(((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2) * (1.0 / n1 + 1.0 / n2)) as t from m),
+th as (select *, atan(abs(t) / sqrt(dof)) as th, dof / (dof + t * t) as c2 from t),
+j as (
+  select j, exp(sum(case when j = 0 then 0 else ln((2 * j - 1) / (2.0 * j)) end) over (order by j)) as even,
+    exp(sum(case when j = 0 then 0 else ln(2 * j / (2.0 * j + 1)) end) over (order by j)) as odd
+  from (select unnest(range(2000))::double as j)),
+series as (
+  select sum(case when j < dof / 2 then even * power(c2, j) else 0 end) as even,
+    sum(case when j < (dof - 1) / 2 then odd * power(c2, j) else 0 end) as odd from j, th),
+p as (
+  select th.*, 1 - case when dof % 2 = 0 then sin(th) * series.even
+    else 2 / pi() * (th + sin(th) * cos(th) * series.odd) end as p from th, series)"""
+
+
+# The p-value in the check is the finite series of Student's t for whole degrees of freedom.
 @query("score_ttest", f"""
 with {_TTEST} select n1::bigint as n_first, n2::bigint as n_second, round(m1, 6) as mean_first,
-  round(m2, 6) as mean_second, dof::bigint as dof, round(t, 5) as t,
-  case when abs(t) > {_CRITICAL} then 'dist_DIFFERENT' else 'dist_IDENTICAL' end as result from t""")
+  round(m2, 6) as mean_second, dof::bigint as dof, round(t, 5) as t, round(p, 6) as p_value,
+  case when p < 0.01 then 'dist_DIFFERENT' else 'dist_IDENTICAL' end as result from p""")
 def score_ttest(spark, sf_dir):
     out = validate.t_test(_replicates(spark, sf_dir), "initial", "tuned")
     return out.select("n_first", "n_second", F.round("mean_first", 6).alias("mean_first"),
                       F.round("mean_second", 6).alias("mean_second"), "dof",
-                      F.round("t", 5).alias("t"), "result")
+                      F.round("t", 5).alias("t"), F.round("p_value", 6).alias("p_value"), "result")
 
 
 @query("champion", f"""
-with {_TTEST} select case when abs(t) > {_CRITICAL} then 'dist_DIFFERENT' else 'dist_IDENTICAL' end as result,
-  case when abs(t) > {_CRITICAL} then 'tuned' else 'initial' end as champion from t""")
+with {_TTEST} select case when p < 0.01 then 'dist_DIFFERENT' else 'dist_IDENTICAL' end as result,
+  case when p < 0.01 then 'tuned' else 'initial' end as champion from p""")
 def champion(spark, sf_dir):
     test = validate.t_test(_replicates(spark, sf_dir), "initial", "tuned")
     return validate.champion(test, "initial", "tuned").select("result", "champion")
 
 
-@query("normality")
+def _horner(x, *coefficients):
+    """Polynomial in SQL, highest power first."""
+    out = str(coefficients[0])
+    for c in coefficients[1:]:
+        out = f"({out} * {x} + {c})"
+    return out
+
+
+# Acklam's rational approximation of the normal quantile, and a
+# Chebyshev fit of the complementary error function.
+_TAIL = (_horner("q", -7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e+00,
+                 -2.549732539343734e+00, 4.374664141464968e+00, 2.938163982698783e+00)
+         + " / " + _horner("q", 7.784695709041462e-03, 3.224671290700398e-01,
+                           2.445134137142996e+00, 3.754408661907416e+00, 1.0))
+_MIDDLE = (_horner("r", -3.969683028665376e+01, 2.209460984245205e+02, -2.759285104469687e+02,
+                   1.383577518672690e+02, -3.066479806614716e+01, 2.506628277459239e+00)
+           + " * (u - 0.5) / " + _horner("r", -5.447609879822406e+01, 1.615858368580409e+02,
+                                         -1.556989798598866e+02, 6.680131188771972e+01,
+                                         -1.328068155288572e+01, 1.0))
+_ERFC = _horner("k", 0.17087277, -0.82215223, 1.48851587, -1.13520398, 0.27886807, -0.18628806,
+                0.09678418, 0.37409196, 1.00002368, -1.26551223)
+
+
+@query("normality", f"""
+with {_REPLICATES},
+x as (
+  select model, auc as v, row_number() over (partition by model order by auc) as i,
+    count(*) over (partition by model) as n, auc - avg(auc) over (partition by model) as dev
+  from auc where auc is not null),
+u as (select *, (i - 0.375) / (n + 0.25)::double as u from x),
+q as (select *, sqrt(-2 * ln(least(u, 1 - u))) as q, (u - 0.5) * (u - 0.5) as r from u),
+m as (
+  select model, v, i, n, dev, case when u < 0.02425 then {_TAIL}
+    when u > 0.97575 then -({_TAIL}) else {_MIDDLE} end as m from q),
+s as (
+  select model, n, sum(m * m) as mm, max(case when i = n then m end) as last,
+    max(case when i = n - 1 then m end) as prev, sum(dev * dev) as spread, 1 / sqrt(n) as w
+  from m group by model, n),
+e as (
+  select *, last / sqrt(mm) + {_horner('w', -2.706056, 4.434685, -2.071190, -0.147981, 0.221157, 0.0)} as a1,
+    prev / sqrt(mm) + {_horner('w', -3.582633, 5.682633, -1.752461, -0.293762, 0.042981, 0.0)} as a2 from s),
+f as (select *, (mm - 2 * last * last - 2 * prev * prev) / (1 - 2 * a1 * a1 - 2 * a2 * a2) as phi from e),
+g as (
+  select model, any_value(f.n) as n, power(sum(v * case when i = f.n then a1 when i = f.n - 1 then a2
+      when i = 1 then -a1 when i = 2 then -a2 else m / sqrt(phi) end), 2) / any_value(spread) as stat
+  from m join f using (model) group by model),
+z as (
+  select *, (ln(1 - stat) - {_horner('ln(n)', 0.0038915, -0.083751, -0.31082, -1.5861)})
+    / exp({_horner('ln(n)', 0.0030302, -0.082676, -0.4803)}) / sqrt(2) as z from g),
+k as (select *, 1 / (1 + 0.5 * abs(z)) as k from z)
+select model, n::bigint as n, round(stat, 5) as statistic,
+  round(case when z >= 0 then k * exp(-z * z + {_ERFC}) / 2
+    else 1 - k * exp(-z * z + {_ERFC}) / 2 end, 4) as p_value from k""")
 def normality(spark, sf_dir):
-    return validate.normality(_replicates(spark, sf_dir))
+    return validate.normality(_replicates(spark, sf_dir)).select(
+        "model", "n", F.round("statistic", 5).alias("statistic"),
+        F.round("p_value", 4).alias("p_value"))
 
 
 @query("jarque_bera", f"""

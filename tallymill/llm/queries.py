@@ -1,6 +1,6 @@
 """One registered query per operator over the stored tables, and the SQL that checks it."""
 
-from tallymill.llm import mixing, quotes, sharding, simhash
+from tallymill.llm import langid, mixing, quality, quotes, sharding, simhash
 from tallymill.llm.common import table
 
 QUERIES = {}
@@ -19,6 +19,13 @@ def op1_shard_tree(spark, sf_dir):
     return sharding.assign(docs).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+@query
+def op2_line_field(spark, sf_dir):
+    """Quality of every document by a conditional random field over its lines."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.score_documents(docs, quality.train(docs, labels))
+
+
 @query
 def op3_reply_order(spark, sf_dir):
     """Conversations without quotes, ordered by answers."""
@@ -124,3 +131,10 @@ SELECT *, ('0x' || substr(md5('shuffle-1:' || coalesce(doc_id::VARCHAR, 'null')
 def op7_simhash_groups(spark, sf_dir):
     """Near-duplicate groups of all documents: 4-word shingles, at most 4 differing bits."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_byte_network(spark, sf_dir):
+    """Language of every document by a bidirectional recurrent network over its bytes."""
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.train(docs))

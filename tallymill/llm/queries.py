@@ -1,6 +1,8 @@
 """One registered query per operator over the stored tables, and the SQL that checks it."""
 
-from tallymill.llm import langid, mixing, quality, quotes, sharding, simhash
+from pyspark.sql import functions as F
+
+from tallymill.llm import decontaminate, langid, mixing, quality, quotes, sharding, simhash
 from tallymill.llm.common import table
 
 QUERIES = {}
@@ -138,3 +140,11 @@ def op8_byte_network(spark, sf_dir):
     """Language of every document by a bidirectional recurrent network over its bytes."""
     docs = table(spark, sf_dir, "documents")
     return langid.identify(docs, langid.train(docs))
+
+
+@query
+def op10_template_matches(spark, sf_dir):
+    """Documents that hold a passage of a benchmark item, word for word or re-parameterised."""
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.groupBy("doc_id", "text_hash", "item_id").agg(
+        F.count("*").alias("n_places"), F.max("n_windows").alias("n_windows"), F.max("changed").alias("changed"))

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tallymill.llm import decontaminate, langid, mixing, quality, quotes, sharding, simhash
+from tallymill.llm import decontaminate, langid, lines, mixing, quality, quotes, sharding, simhash
 from tallymill.llm.common import table
 
 QUERIES = {}
@@ -129,6 +129,12 @@ SELECT *, ('0x' || substr(md5('shuffle-1:' || coalesce(doc_id::VARCHAR, 'null')
 """
 
 
+@query
+def op6_line_runs(spark, sf_dir):
+    """Every document without the runs of lines that stand in an earlier place."""
+    return lines.remove_repeated(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_simhash_groups(spark, sf_dir):
     """Near-duplicate groups of all documents: 4-word shingles, at most 4 differing bits."""

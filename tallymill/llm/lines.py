@@ -95,20 +95,25 @@ def repeated_runs(docs, min_words=MIN_WORDS):
     return later.groupBy("doc_id", "text_hash").agg(spans.alias("spans"))
 
 
-@F.pandas_udf("text string, n_removed int")
-def _without(texts: pd.Series, firsts: pd.Series, lasts: pd.Series) -> pd.DataFrame:
-    kept_texts, removed = [], []
-    for text, first, last in zip(texts, firsts, lasts):
-        if text is None:
-            kept_texts.append(None)
-            removed.append(0)
-            continue
-        lines = text.split("\n")
-        change = np.bincount(first, minlength=len(lines) + 1) - np.bincount(np.asarray(last) + 1, minlength=len(lines) + 1)
-        inside = np.cumsum(change)[:len(lines)] > 0
-        kept_texts.append("\n".join([line for line, gone in zip(lines, inside.tolist()) if not gone]))
-        removed.append(int(inside.sum()))
-    return pd.DataFrame({"text": kept_texts, "n_removed": np.array(removed, np.int32)})
+def _without(text, first, last):
+    """Column of a text without the lines of its spans, and their number."""
+    @F.pandas_udf("text string, n_removed int")
+    def cut(texts: pd.Series, firsts: pd.Series, lasts: pd.Series) -> pd.DataFrame:
+        kept_texts, removed = [], []
+        for text, first, last in zip(texts, firsts, lasts):
+            if text is None:
+                kept_texts.append(None)
+                removed.append(0)
+                continue
+            lines = text.split("\n")
+            n = len(lines) + 1
+            change = np.bincount(first, minlength=n) - np.bincount(np.asarray(last) + 1, minlength=n)
+            inside = np.cumsum(change)[:-1] > 0
+            kept_texts.append("\n".join([line for line, gone in zip(lines, inside.tolist()) if not gone]))
+            removed.append(int(inside.sum()))
+        return pd.DataFrame({"text": kept_texts, "n_removed": np.array(removed, np.int32)})
+
+    return cut(text, first, last)
 
 
 def remove_repeated(docs, min_words=MIN_WORDS):

@@ -69,9 +69,12 @@ def with_distribution(rates):
     return rates.withColumn("cdf", F.when(rate > 0, cdf).otherwise(F.array(F.lit(1.0))))
 
 
-def mix(docs, targets=None, temperature=TEMPERATURE, epochs=EPOCHS, seed=SEED):
-    """All columns of ``docs`` with ``copy`` (1, 2 ...), ``rate`` and ``shuffle_key``, one row per
-    copy, in a random order that the seed fixes.
+NAMES = ("copy", "rate", "shuffle_key")
+
+
+def mix(docs, targets=None, temperature=TEMPERATURE, epochs=EPOCHS, seed=SEED, names=NAMES):
+    """All columns of ``docs`` with ``copy`` (1, 2 ...), ``rate`` and ``shuffle_key`` (or other
+    ``names``), one row per copy, in a random order that the seed fixes.
 
     The copies of a row stand in partitions dealt by ``shuffle_key`` and are sorted
     by it there.  Input columns of the three names are replaced.  A null source is a
@@ -79,7 +82,8 @@ def mix(docs, targets=None, temperature=TEMPERATURE, epochs=EPOCHS, seed=SEED):
     their source.  Rows that share an id share their draw; null ids share one.  An
     empty table gives no rows.
     """
-    columns = [c for c in docs.columns if c.lower() not in {"copy", "rate", "shuffle_key"}]
+    copy, rate, key = names
+    columns = [c for c in docs.columns if c.lower() not in {n.lower() for n in names}]
     rates = with_distribution(source_rates(docs, targets, temperature, epochs))
     small = rates.select("source", "rate", F.size("cdf").alias("n")).agg(F.sum("n")).first()[0] or 0
     rates = rates.select(F.col("source").alias("__tm_source"), F.col("rate").alias("__tm_rate"), F.col("cdf").alias("__tm_cdf"))
@@ -89,9 +93,9 @@ def mix(docs, targets=None, temperature=TEMPERATURE, epochs=EPOCHS, seed=SEED):
              .join(rates, F.col("source").eqNullSafe(F.col("__tm_source"))))
     n = F.size(F.filter("__tm_cdf", lambda c: F.col("__tm_u") >= c))
     copies = (drawn.withColumn("__tm_n", n).where("__tm_n > 0")
-              .select(*[F.col(f"`{c}`") for c in columns], F.col("__tm_rate").alias("rate"),
-                      F.explode(F.sequence(F.lit(1), F.col("__tm_n"))).alias("copy")))
+              .select(*[F.col(f"`{c}`") for c in columns], F.col("__tm_rate").alias(rate),
+                      F.explode(F.sequence(F.lit(1), F.col("__tm_n"))).alias(copy)))
     named = F.concat(F.lit(SHUFFLE_SEED + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")),
-                     F.lit(":"), F.col("copy").cast("string"))
-    keyed = copies.withColumn("shuffle_key", hashed_long(named, 15))
-    return keyed.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+                     F.lit(":"), F.col(copy).cast("string"))
+    keyed = copies.withColumn(key, hashed_long(named, 15))
+    return keyed.repartition(key).sortWithinPartitions(key)

@@ -128,6 +128,10 @@ class Field:
     slope: float
     offset: float
 
+    @property
+    def fitted(self):
+        return bool(np.any(self.weights))
+
     def marginals(self, texts):
         features, lengths, first = line_features(texts)
         scores = ((features - self.mean) / self.scale) @ self.weights[:-1] + self.weights[-1]
@@ -305,7 +309,11 @@ def label_lines(docs, field):
 
 
 def keep_good(docs, field, threshold=THRESHOLD):
-    """The rows of ``docs`` whose score reaches the threshold, with their columns."""
+    """The rows of ``docs`` whose score reaches the threshold, with their columns.
+
+    A field that could not be fitted, for want of labels of both kinds, rejects nothing."""
+    if not field.fitted:
+        return docs
     columns = docs.columns
     scored = docs.select(*[F.col(f"`{c}`") for c in columns], _score_column(field)("text").alias("__tm_score"))
     return scored.where(F.col("__tm_score") >= threshold).select(*[F.col(f"`{c}`") for c in columns])

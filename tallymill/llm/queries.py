@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tallymill.llm import decontaminate, langid, lines, mixing, quality, quotes, sharding, simhash
+from tallymill.llm import decontaminate, langid, lines, mixing, pages, quality, quotes, sharding, simhash
 from tallymill.llm.common import table
 
 QUERIES = {}
@@ -148,6 +148,12 @@ def op8_byte_network(spark, sf_dir):
     return langid.identify(docs, langid.train(docs))
 
 
+@query
+def op9_main_text(spark, sf_dir):
+    """The article of every page."""
+    return pages.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op10_template_matches(spark, sf_dir):
     """Documents that hold a passage of a benchmark item, word for word or re-parameterised."""

@@ -8,7 +8,7 @@ from tallymill.plans.views import CLICKS, LISTINGS, clicks, listings, table
 from tallymill.session import scratch_path
 from tallymill.sources import runs
 from tallymill.sources.clicks import synthetic_clicks, to_messages
-from tallymill.streaming.clicks import dedupe_redelivered, filter_clicks, rekey
+from tallymill.streaming.clicks import dedupe_written, filter_clicks, read_deduped, rekey
 from tallymill.streaming.run import drain, file_stream
 
 _FILTERED = f"with {CLICKS} select ts, user_id, object_id, domain, url from clicks where geo = 'ru'"
@@ -49,16 +49,17 @@ def click_filter_stream(spark, sf_dir):
 @query("redelivery_dedup_stream", """
 select event_id, user_id, event_type from events""")
 def redelivery_dedup_stream(spark, sf_dir):
-    """Every event delivered twice; the stream keeps one of each."""
+    """Every event delivered twice, in four files without regard to time, one file per
+    micro-batch; one of each is kept."""
     staged = scratch_path(spark, "deliveries")
     events = table(spark, sf_dir, "events").select(
         "event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"),
         F.explode(F.array(F.lit(1), F.lit(2))).alias("delivery"))
-    events.write.parquet(staged)
-    stream = file_stream(spark, staged, events.schema)
-    kept = dedupe_redelivered(stream, "event_id", "ts", spread_by="delivery").select("event_id", "user_id", "event_type")
-    out = drain(kept, scratch_path(spark, "deduped"), scratch_path(spark, "checkpoint"))
-    return spark.read.parquet(out)
+    events.repartition(4, F.xxhash64("event_id", "delivery")).write.parquet(staged)
+    stream = file_stream(spark, staged, events.schema, max_files=1)
+    sink = scratch_path(spark, "deduped")
+    dedupe_written(stream, "event_id", sink, scratch_path(spark, "checkpoint"), buckets=4)
+    return read_deduped(spark, sink).select("event_id", "user_id", "event_type")
 
 
 @query("synthetic_clicks", """

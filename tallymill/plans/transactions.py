@@ -275,13 +275,27 @@ def csv_scan_clean(spark, sf_dir):
         files.read_transactions_csv(spark, path, schemas.wide_ids())))
 
 
-@query("clean_arrivals", f"with {CLEAN} select {_OUT} from clean")
-def clean_arrivals(spark, sf_dir):
-    """The cleaning job as a stream over newly arrived files."""
+def _arrivals(spark, sf_dir, dedup):
+    """The cleaning job as a stream over four files, one per micro-batch; the copies of an
+    id stand in different files."""
     staged = scratch_path(spark, "arrivals")
     tx = transactions(spark, sf_dir)
-    tx.write.parquet(staged)
+    tx.repartition(4, F.xxhash64(*tx.columns)).write.parquet(staged)
     sink = scratch_path(spark, "cleaned")
-    stream = file_stream(spark, staged, tx.schema)
-    cleaning.clean_arrivals(stream, sink, scratch_path(spark, "checkpoint"))
-    return _shown(cleaning.read_cleaned(spark, sink))
+    stream = file_stream(spark, staged, tx.schema, max_files=1)
+    cleaning.clean_arrivals(stream, sink, scratch_path(spark, "checkpoint"), dedup)
+    return _shown(cleaning.read_cleaned(spark, sink, dedup))
+
+
+@query("clean_arrivals", f"with {CLEAN} select {_OUT} from clean")
+def clean_arrivals(spark, sf_dir):
+    return _arrivals(spark, sf_dir, "between")
+
+
+@query("clean_arrivals_filters_first", f"""
+with {TX}, ranked as (
+  select *, row_number() over (partition by tranaction_id order by {TX_ORDER}) as rn
+  from tx where {TX_COMPLETE} and tx_amount > 0 and customer_id >= 0 and terminal_id <= 999)
+select {_OUT} from ranked where rn = 1""")
+def clean_arrivals_filters_first(spark, sf_dir):
+    return _arrivals(spark, sf_dir, "last")

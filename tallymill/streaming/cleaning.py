@@ -2,24 +2,37 @@
 
 from pyspark.sql import functions as F
 
-from tallymill.operators.clean import clean_transactions, first_by_key
+from tallymill.operators.clean import Unique, apply_rules, first_by_key, transaction_rules
 from tallymill.streaming.run import drain_batches
 
 
+def _split(dedup):
+    """The rules up to and with the key rule, the keys, and the rules after it."""
+    rules = transaction_rules(dedup)
+    at = next(i for i, rule in enumerate(rules) if isinstance(rule, Unique))
+    return rules[:at + 1], list(rules[at].keys), rules[at + 1:]
+
+
 def clean_arrivals(arrivals, sink, checkpoint, dedup="between"):
-    """Clean each micro-batch of new files into its own ``batch`` folder.
+    """Write the survivors of each micro-batch of new files to its own ``batch`` folder.
 
-    The checkpoint remembers finished files, so nothing is cleaned twice; a
-    batch that is replayed after a failure replaces its own folder only.
+    A batch sees its own copies of an id only, so the rules behind the key rule
+    wait for :func:`read_cleaned`. The checkpoint remembers finished files, so
+    nothing is cleaned twice; a batch that is replayed after a failure replaces
+    its own folder only.
     """
+    before, _, _ = _split(dedup)
+
     def write(batch, batch_id):
-        (clean_transactions(batch, dedup).withColumn("batch", F.lit(batch_id))
+        (apply_rules(batch, before).withColumn("batch", F.lit(batch_id))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch").parquet(sink))
 
     drain_batches(arrivals, write, checkpoint)
 
 
-def read_cleaned(spark, sink, key="tranaction_id"):
-    """All cleaned batches, one row per id: the earliest batch wins."""
-    return first_by_key(spark.read.parquet(sink), [key], order_by=["batch"]).drop("batch")
+def read_cleaned(spark, sink, dedup="between"):
+    """The cleaned rows of all batches, as one batch over all files would give them:
+    the least of the batches' least rows survives, then the later rules apply."""
+    _, keys, after = _split(dedup)
+    return apply_rules(first_by_key(spark.read.parquet(sink).drop("batch"), keys), after)

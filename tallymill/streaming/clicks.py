@@ -3,9 +3,15 @@
 Plain DataFrame functions, so the batch form and the stream share one plan.
 """
 
+from functools import reduce
+from operator import and_
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from tallymill.operators.clean import first_by_key
 from tallymill.schemas import CLICKS
+from tallymill.streaming.run import drain_batches
 
 # The country kept and the fields passed on.
 GEO = "ru"
@@ -31,9 +37,14 @@ def rekey(clicks, key="user_id", ignore_null_fields=True):
                          F.to_json(F.struct(*clicks.columns), options).alias("value"))
 
 
-def dedupe_redelivered(events, key, event_time, delay="10 minutes", spread_by=None, salts=32):
-    """Drop repeated deliveries of an event. State is held for ``delay`` past the
-    watermark, which bounds it; copies farther apart pass.
+def dedupe_redelivered(events, key, event_time, delay, spread_by=None, salts=32):
+    """Drop repeated deliveries of an event within ``delay`` of event time.
+
+    State is held for ``delay`` past the watermark, which bounds it. Copies farther
+    apart pass. An event that arrives more than ``delay`` behind the latest event
+    time seen is dropped, even a first delivery: choose ``delay`` by the longest
+    outage to expect, drain with ``late="fail"`` (or watch ``run.late_rows``), or
+    use :func:`dedupe_written`, which loses nothing.
 
     A stream has no map-side reduction, so an event delivered very often would
     meet one task. ``spread_by`` names a column that differs between copies (an
@@ -46,3 +57,44 @@ def dedupe_redelivered(events, key, event_time, delay="10 minutes", spread_by=No
         events = (events.withColumn("_salt", salt)
                   .dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt"))
     return events.dropDuplicatesWithinWatermark(keys)
+
+
+def _written(spark, sink):
+    try:
+        return spark.read.parquet(sink)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def dedupe_written(events, key, sink, checkpoint, buckets=64):
+    """Append each event once to a parquet folder, however late its copies are.
+
+    A micro-batch reduces to one row per key (the least in column order) and is
+    anti-joined with the keys already written to the hash buckets it touches. Rows
+    stand under ``_bucket`` and ``_batch``; a batch that is replayed after a failure
+    ignores and replaces its own rows. Read with ``read_deduped``.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+
+    def write(batch, batch_id):
+        spark = batch.sparkSession
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+        fresh = first_by_key(batch, keys).withColumn("_bucket", bucket)
+        written = _written(spark, sink)
+        if written is not None:
+            touched = [r[0] for r in batch.select(bucket).distinct().collect()]   # ``buckets`` at most
+            seen = (written.where(F.col("_bucket").isin(touched) & (F.col("_batch") != batch_id))
+                    .select(*[F.col(k).alias(f"_seen_{k}") for k in keys]).distinct())
+            same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_seen_{k}")) for k in keys])
+            fresh = fresh.join(seen, same, "left_anti")
+        (fresh.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("_bucket", "_batch").parquet(sink))
+
+    drain_batches(events, write, checkpoint)
+
+
+def read_deduped(spark, sink):
+    """The events kept by :func:`dedupe_written`."""
+    return spark.read.parquet(sink).drop("_bucket", "_batch")

@@ -13,14 +13,26 @@ def start(df, checkpoint, fmt="parquet", options=None, interval=INTERVAL, availa
     return writer.start()
 
 
-def drain(df, path, checkpoint, timeout=None):
-    """Process everything now available into a parquet folder, then stop."""
+def late_rows(query):
+    """Rows dropped behind the watermark, over the progress a query still remembers
+    (``spark.sql.streaming.numRecentProgressUpdates`` micro-batches)."""
+    return sum(operator["numRowsDroppedByWatermark"] for progress in query.recentProgress
+               for operator in progress["stateOperators"])
+
+
+def drain(df, path, checkpoint, timeout=None, late="allow"):
+    """Process everything now available into a parquet folder, then stop.
+
+    ``late="fail"`` raises if any row was dropped behind the watermark."""
     query = start(df, checkpoint, options={"path": path}, available_now=True)
     if timeout and not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"stream not drained within {timeout} s")
     if not timeout:
         query.awaitTermination()
+    dropped = late_rows(query) if late == "fail" else 0
+    if dropped:
+        raise ValueError(f"{dropped} rows came too late for the watermark")
     return path
 
 

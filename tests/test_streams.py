@@ -11,7 +11,8 @@ from tallymill.plans.views import clicks, transactions
 from tallymill.schemas import TRANSACTIONS
 from tallymill.sources.clicks import to_messages
 from tallymill.streaming import cleaning, run
-from tallymill.streaming.clicks import dedupe_redelivered, filter_clicks, parse_clicks, rekey
+from tallymill.streaming.clicks import (
+    dedupe_redelivered, dedupe_written, filter_clicks, parse_clicks, read_deduped, rekey)
 from tallymill.streaming.scoring import score_stream
 
 
@@ -85,11 +86,53 @@ def test_redelivered_events_pass_once(spark, tmp_path, spread_by):
     df = spark.createDataFrame(rows, "event_id int, ts timestamp, delivery int")
     df.repartition(5).write.parquet(str(tmp_path / "src"))
     stream = run.file_stream(spark, str(tmp_path / "src"), df.schema, max_files=1)
-    deduped = dedupe_redelivered(stream, "event_id", "ts", spread_by=spread_by)
+    deduped = dedupe_redelivered(stream, "event_id", "ts", "10 minutes", spread_by=spread_by)
     run.drain(deduped, str(tmp_path / "out"), str(tmp_path / "ck"))
     assert sorted(r.event_id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == list(range(40))
 
 
+def _out_of_order(spark, path):
+    """Two deliveries of 300 events, days apart, without regard to time in four files."""
+    day = lambda i: datetime(2024, 1, 1 + i * 7 % 25, i % 24)
+    rows = [(i, day(i), d) for i in range(300) for d in (1, 2)]
+    df = spark.createDataFrame(rows, "event_id int, ts timestamp, delivery int")
+    df.repartition(4, F.xxhash64("event_id", "delivery")).write.parquet(path)
+    return run.file_stream(spark, path, df.schema, max_files=1)
+
+
+def test_late_rows_are_reported(spark, tmp_path):
+    stream = _out_of_order(spark, str(tmp_path / "src"))
+    deduped = dedupe_redelivered(stream, "event_id", "ts", "10 minutes")
+    with pytest.raises(ValueError, match="too late"):
+        run.drain(deduped, str(tmp_path / "out"), str(tmp_path / "ck"), late="fail")
+    wide = dedupe_redelivered(stream, "event_id", "ts", "60 days")
+    run.drain(wide, str(tmp_path / "all"), str(tmp_path / "ck2"), late="fail")
+    assert sorted(r.event_id for r in spark.read.parquet(str(tmp_path / "all")).collect()) == list(range(300))
+
+
+def test_written_dedup_loses_no_late_event(spark, tmp_path):
+    stream = _out_of_order(spark, str(tmp_path / "src"))
+    sink = str(tmp_path / "out")
+    for _ in range(2):                                     # a restart adds nothing
+        dedupe_written(stream, "event_id", sink, str(tmp_path / "ck"), buckets=4)
+        kept = read_deduped(spark, sink)
+        assert sorted(r.event_id for r in kept.collect()) == list(range(300))
+    assert spark.read.parquet(sink).select("_batch").distinct().count() > 1
+
+
+@pytest.mark.parametrize("dedup", ["between", "last"])
+def test_many_batches_clean_like_one(spark, tmp_path, dedup):
+    from tallymill.operators.clean import clean_transactions
+
+    tx = transactions(spark, "/root/testdata/sf0.001")
+    tx.repartition(5, F.xxhash64(*tx.columns)).write.parquet(str(tmp_path / "src"))
+    stream = run.file_stream(spark, str(tmp_path / "src"), tx.schema, max_files=1)
+    cleaning.clean_arrivals(stream, str(tmp_path / "sink"), str(tmp_path / "ck"), dedup)
+    got, want = cleaning.read_cleaned(spark, str(tmp_path / "sink"), dedup), clean_transactions(tx, dedup)
+    assert got.count() == want.count()
+    assert got.exceptAll(want).count() == 0
+
+
 def test_arriving_files_are_cleaned_once(spark, tmp_path):
     t = datetime(2019, 8, 22)
     row = lambda i, c=1: (i, t, c, 5, 1.0, 1, 1, 0, 0)
@@ -103,7 +146,8 @@ def test_arriving_files_are_cleaned_once(spark, tmp_path):
     go()
     go()
     written = spark.read.parquet(sink)
-    assert sorted((r.tranaction_id, r.batch) for r in written.collect()) == [(1, 0), (1, 1), (3, 1)]
+    # Rows that only break an id rule wait for the reader.
+    assert sorted((r.tranaction_id, r.batch) for r in written.collect()) == [(1, 0), (1, 1), (2, 0), (3, 1)]
     assert sorted(r.tranaction_id for r in cleaning.read_cleaned(spark, sink).collect()) == [1, 3]
 
 

@@ -31,8 +31,6 @@ def parse(argv=None):
     commands.choices["clean"].add_argument("--dedup", choices=["between", "last"], default="between")
     commands.choices["clean"].add_argument("--audit", action="store_true",
                                            help="also count the rows lost to each rule")
-    commands.choices["clean"].add_argument("--wide-ids", action="store_true",
-                                           help="read CSV ids as 64-bit")
     commands.choices["clicks"].add_argument("--ca", default=None, help="CA certificate")
     commands.choices["corpus"].add_argument("--header", action="store_true")
     commands.choices["validate"].add_argument("--require-improvement", action="store_true")
@@ -46,7 +44,7 @@ def main(argv=None):
     spark = build_session(f"tallymill-{args.job}")
     if args.job == "clean":
         print(jobs.clean_job(spark, args.source, args.sink, run_ts, args.format, args.dedup,
-                             args.audit, args.wide_ids))
+                             args.audit))
     elif args.job == "review":
         for name, report in jobs.review_job(spark.read.parquet(args.source)).items():
             print(name)

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 _LANE = 8                  # hex digits per lane: 32 bits
 PRIME = 2 ** 31 - 1
-MAX_POINT = 1000           # keeps the polynomial below 2**63
 
 
 def digest(key, *salt):
@@ -51,7 +50,11 @@ def polynomial(c, point):
 
     With random coefficients its values at different points are 4-wise
     independent and uniform in ``[0, PRIME)``: one digest serves many draws for
-    the cost of a few multiplications each. Points stay within ``MAX_POINT``.
+    the cost of a few multiplications each. Every step is reduced, so any point
+    below ``PRIME`` stays within 64 bits.
     """
     r = point.cast("bigint")
-    return (c[0] + c[1] * r + c[2] * r * r + c[3] * r * r * r) % PRIME
+    value = c[3]
+    for i in (2, 1, 0):
+        value = (value * r + c[i]) % PRIME
+    return value

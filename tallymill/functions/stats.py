@@ -59,11 +59,12 @@ def _poly(coefficients, x):
 
 
 def shapiro_wilk(values):
-    """Shapiro-Wilk W and p-value by Royston's approximation, 3 <= n <= 5000."""
+    """Shapiro-Wilk W and p-value by Royston's approximation, made for at most ``SHAPIRO_MAX``
+    values and extrapolated beyond. NaN below three values."""
     x = np.sort(np.asarray(values, dtype=float))
     n = len(x)
-    if not 3 <= n <= SHAPIRO_MAX:
-        raise ValueError(f"Shapiro-Wilk needs 3 to {SHAPIRO_MAX} values, got {n}")
+    if n < 3:
+        return math.nan, math.nan
     centred = x - x.mean()
     spread = float(centred @ centred)
     if spread == 0.0:

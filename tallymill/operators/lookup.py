@@ -1,5 +1,8 @@
 """Joins against small tables."""
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import functions as F
 
 # Signs by element.
@@ -24,16 +27,15 @@ def with_element(df, sign="sign"):
     return df.join(F.broadcast(dim), sign, "left")
 
 
-def lookup_join(df, small, on, max_rows=10_000, salts=32):
-    """Left join to a table expected, but not known, to be small.
+def lookup_join(df, small, on):
+    """Left join to another table's columns; null keys match null keys.
 
-    Its rows are counted first (keys only, and no further than the bound). Under
-    the bound it is broadcast; over it, both sides are salted so that one hot key
-    spreads over ``salts`` tasks.
+    A plain equi-join on purpose: adaptive execution broadcasts the other side
+    when its measured bytes are few, and else splits the partitions of a hot key,
+    identical rows of it included.
     """
     on = [on] if isinstance(on, str) else list(on)
-    if small.select(*on).limit(max_rows + 1).count() <= max_rows:
-        return df.join(F.broadcast(small), on, "left")
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int")
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return df.withColumn("_salt", spread).join(copies, [*on, "_salt"], "left").drop("_salt")
+    named = small.select(*[F.col(c).alias(f"_on_{c}") for c in on],
+                         *[c for c in small.columns if c not in on])
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in on])
+    return df.join(named, same, "left").drop(*[f"_on_{c}" for c in on])

@@ -198,8 +198,8 @@ def domain_check(df, domains=None):
 
 def extremes(df, column, k=10):
     """The ``k`` lowest and ``k`` highest distinct values, as two top-k's rather
-    than the ends of a full sort. A null ranks lowest."""
-    values = df.select(F.col(column).cast("long").alias("value")).distinct()
+    than the ends of a full sort. Values keep their type. A null ranks lowest."""
+    values = df.select(F.col(column).alias("value")).distinct()
 
     def edge(name, order):
         return (values.orderBy(order).limit(k)

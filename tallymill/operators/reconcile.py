@@ -27,7 +27,9 @@ def strip_prefix(listing, prefix):
 
 
 def compare(source, target, source_prefix=""):
-    """Status of every key: ``ok``, ``missing``, ``extra`` or ``size_mismatch``.
+    """Status of every key: ``missing`` (source only), ``extra`` (target only),
+    ``duplicate_key`` (one side lists it with several sizes), ``unknown_size`` (a size is
+    null), ``size_mismatch`` or ``ok``.
 
     A full outer join in substance, written as one aggregate over both listings:
     one shuffle with map-side reduction instead of two sorted sides, and a key
@@ -35,16 +37,21 @@ def compare(source, target, source_prefix=""):
     """
     if source_prefix:
         source = strip_prefix(source, source_prefix)
-    no_size = F.lit(None).cast("long")
-    both = (source.select("key", F.col("size").alias("s"), no_size.alias("t"))
-            .unionByName(target.select("key", no_size.alias("s"), F.col("size").alias("t"))))
-    sized = both.groupBy("key").agg(F.max("s").alias("source_size"),
-                                    F.max("t").alias("target_size"))
-    s, t = F.col("source_size"), F.col("target_size")
-    return sized.withColumn(
-        "status",
-        F.when(t.isNull(), "missing").when(s.isNull(), "extra")
-        .when(s != t, "size_mismatch").otherwise("ok"))
+    both = (source.select("key", "size", F.lit(True).alias("is_source"))
+            .unionByName(target.select("key", "size", F.lit(False).alias("is_source"))))
+    of = {"s": F.col("is_source"), "t": ~F.col("is_source")}
+    listed = both.groupBy("key").agg(
+        *[f(F.when(side, F.col("size"))).alias(f"{s}_{name}") for s, side in of.items()
+          for name, f in (("min", F.min), ("max", F.max))],
+        *[F.count_if(side).alias(f"{s}_n") for s, side in of.items()],
+        F.count_if(F.col("size").isNull()).alias("n_unknown"))
+    c = F.col
+    status = (F.when(c("t_n") == 0, "missing").when(c("s_n") == 0, "extra")
+              .when((c("s_min") != c("s_max")) | (c("t_min") != c("t_max")), "duplicate_key")
+              .when(c("n_unknown") > 0, "unknown_size")
+              .when(c("s_max") != c("t_max"), "size_mismatch").otherwise("ok"))
+    return listed.select("key", c("s_max").alias("source_size"), c("t_max").alias("target_size"),
+                         status.alias("status"))
 
 
 def differences(source, target, source_prefix=""):

@@ -2,15 +2,16 @@
 
 import pandas as pd
 from pyspark.sql import functions as F, Window
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
-from tallymill.functions.hashing import MAX_POINT, PRIME, coefficients, digest, polynomial
-from tallymill.functions.stats import shapiro_wilk, t_two_sided
+from tallymill.functions.hashing import PRIME, coefficients, digest, polynomial
+from tallymill.functions.stats import SHAPIRO_MAX, shapiro_wilk, t_two_sided
 
-# Resampling and test parameters.
+# Resampling and test parameters, names of the test's results.
 REPLICATES = 100
 SAMPLE_SHARE = 0.01
 ALPHA = 0.01
+DIFFERENT, IDENTICAL = "dist_DIFFERENT", "dist_IDENTICAL"
 
 
 def weighted_auc(df, label, score, weight=None, by=()):
@@ -20,16 +21,17 @@ def weighted_auc(df, label, score, weight=None, by=()):
     neither a hot group nor a long score list meets one task: every segment
     ranks its own scores, and segments combine through their totals (a segment's
     positives beat all negatives of the segments below). Ties count one half.
-    ``auc`` is null where a class is absent.
+    ``auc`` is null where a class is absent. Rows without a score take no part;
+    ``n_null_score`` counts them.
     """
     by = list(by)
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
+    scored = F.col(score).isNotNull()
     per_score = (
-        df.filter(F.col(score).isNotNull())
-        .groupBy(*by, F.col(score).alias("_s"))
-        .agg(F.sum(F.when(F.col(label) == 1, w).otherwise(0.0)).alias("_p"),
-             F.sum(F.when(F.col(label) == 0, w).otherwise(0.0)).alias("_n"),
-             F.count(F.lit(1)).alias("_rows"))
+        df.groupBy(*by, F.col(score).alias("_s"))
+        .agg(F.sum(F.when(scored & (F.col(label) == 1), w).otherwise(0.0)).alias("_p"),
+             F.sum(F.when(scored & (F.col(label) == 0), w).otherwise(0.0)).alias("_n"),
+             F.count_if(scored).alias("_rows"), F.count_if(~scored).alias("_null"))
     )
     ranged = (per_score.repartitionByRange(*by, "_s")
               .withColumn("_seg", F.spark_partition_id()))
@@ -39,7 +41,7 @@ def weighted_auc(df, label, score, weight=None, by=()):
     segments = (
         ranged.withColumn("_u", F.col("_p") * (below + F.col("_n") / 2))
         .groupBy(*by, "_seg")
-        .agg(*[F.sum(c).alias(c) for c in ("_p", "_n", "_u", "_rows")])
+        .agg(*[F.sum(c).alias(c) for c in ("_p", "_n", "_u", "_rows", "_null")])
     )
     # One row per group and partition from here on.
     lower = (Window.partitionBy(*by).orderBy("_seg")
@@ -48,7 +50,7 @@ def weighted_auc(df, label, score, weight=None, by=()):
         "_u", F.col("_u") + F.col("_p") * F.coalesce(F.sum("_n").over(lower), F.lit(0.0)))
     pairs = F.sum("_p") * F.sum("_n")
     return joined.groupBy(*by).agg(
-        F.sum("_rows").alias("n_rows"), F.sum("_p").alias("w_pos"), F.sum("_n").alias("w_neg"),
+        F.sum("_rows").alias("n_rows"), F.sum("_null").alias("n_null_score"), F.sum("_p").alias("w_pos"), F.sum("_n").alias("w_neg"),
         F.when(pairs > 0, F.sum("_u") / pairs).alias("auc"))
 
 
@@ -60,8 +62,6 @@ def sample_replicates(df, key, salt, replicates=REPLICATES, share=SAMPLE_SHARE):
     decides membership, so drawing stays inside generated code and only members
     leave it.
     """
-    if replicates > MAX_POINT:
-        raise ValueError(f"at most {MAX_POINT} replicates")
     return (
         df.withColumn("_c", coefficients(digest(key, F.col(salt))))
         .withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
@@ -106,16 +106,23 @@ def auc_replicates(df, key, label, scores, weight=None, replicates=REPLICATES,
 
 
 def normality(scores, by="model", value="auc"):
-    """Shapiro-Wilk statistic and p-value per group of scores.
+    """Shapiro-Wilk statistic and p-value per group of scores; ``by`` is a column or a list.
 
-    A group is one model's replicates (5000 at most), never raw rows."""
-    def test(pdf):
-        stat, p = shapiro_wilk(pdf[value].to_numpy())
-        return pd.DataFrame({by: [pdf[by].iloc[0]], "n": [len(pdf)],
-                             "statistic": [stat], "p_value": [p]})
+    A group is one model's replicates, never raw rows. Null scores are left out.
+    Below three values there is no statistic; above 5000 the p-value lies outside
+    the range its approximation was made for, and ``extrapolated`` says so."""
+    by = [by] if isinstance(by, str) else list(by)
+    fields = [scores.schema[c] for c in by]
+    out = StructType([*fields, StructField("n", LongType()), StructField("statistic", DoubleType()),
+                      StructField("p_value", DoubleType()), StructField("extrapolated", BooleanType())])
 
-    return scores.groupBy(by).applyInPandas(
-        test, f"{by} string, n long, statistic double, p_value double")
+    def test(key, pdf):
+        values = pdf[value].dropna().to_numpy()
+        stat, p = shapiro_wilk(values) if len(values) >= 3 else (None, None)
+        return pd.DataFrame([[*key, len(values), stat, p, len(values) > SHAPIRO_MAX]],
+                            columns=out.names)
+
+    return scores.select(*by, value).groupBy(*by).applyInPandas(test, out)
 
 
 def jarque_bera(scores, by="model", value="auc"):
@@ -146,8 +153,7 @@ def t_test(scores, first, second, model="model", value="auc", alpha=ALPHA):
         .withColumn("t", (F.col("mean_first") - F.col("mean_second"))
                     / F.sqrt(pooled * (1 / n1 + 1 / n2)))
         .withColumn("p_value", _t_p_value("t", F.col("dof").cast("double")))
-        .withColumn("result", F.when(F.col("p_value") < alpha, "dist_DIFFERENT")
-                    .otherwise("dist_IDENTICAL"))
+        .withColumn("result", F.when(F.col("p_value") < alpha, DIFFERENT).otherwise(IDENTICAL))
         .select("n_first", "n_second", "mean_first", "mean_second", "dof", "t", "p_value", "result")
     )
 
@@ -155,7 +161,7 @@ def t_test(scores, first, second, model="model", value="auc", alpha=ALPHA):
 def champion(test, baseline, tuned, require_improvement=False):
     """The tuned model wins when the distributions differ, in either direction
     unless an improvement is required."""
-    wins = F.col("result") == "dist_DIFFERENT"
+    wins = F.col("result") == DIFFERENT
     if require_improvement:
         wins = wins & (F.col("mean_second") > F.col("mean_first"))
     return test.withColumn("champion", F.when(wins, tuned).otherwise(baseline))
@@ -167,7 +173,8 @@ FLOORS = {"precision": 0.98, "recall": 0.95, "f1": 0.96}
 
 def threshold_metrics(df, label, score, thresholds, floors=None):
     """Precision, recall, F1 and false positives at each threshold (predicted 1
-    when score >= threshold).
+    when score >= threshold). Rows without a score take no part; ``n_null_score``
+    counts them.
 
     Rows reduce to counts per threshold interval in one pass; thresholds never
     multiply the rows.
@@ -175,23 +182,26 @@ def threshold_metrics(df, label, score, thresholds, floors=None):
     floors = floors or FLOORS
     cuts = sorted(float(t) for t in thresholds)
     passed = sum([F.when(F.col(score) >= t, 1).otherwise(0) for t in cuts], F.lit(0))
+    scored = F.col(score).isNotNull()
     counts = (df.groupBy(passed.cast("long").alias("_passed"))
-              .agg(F.count_if(F.col(label) == 1).alias("_pos"),
-                   F.count_if(F.col(label) == 0).alias("_neg")))
+              .agg(F.count_if(scored & (F.col(label) == 1)).alias("_pos"),
+                   F.count_if(scored & (F.col(label) == 0)).alias("_neg"),
+                   F.count_if(~scored).alias("_null")))
     # From here on there is one row per threshold, whatever the table's size.
     zero = F.lit(0).cast("long")
     levels = df.sparkSession.range(len(cuts) + 1).select(
-        F.col("id").alias("_passed"), zero.alias("_pos"), zero.alias("_neg"))
+        F.col("id").alias("_passed"), zero.alias("_pos"), zero.alias("_neg"), zero.alias("_null"))
     upward = Window.orderBy(F.desc("_passed")).rowsBetween(Window.unboundedPreceding, 0)
     level = (counts.unionByName(levels).groupBy("_passed")
-             .agg(F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg")))
+             .agg(*[F.sum(c).alias(c) for c in ("_pos", "_neg", "_null")]))
     rows = (
         level.select("_passed", F.sum("_pos").over(upward).alias("tp"),
                      F.sum("_neg").over(upward).alias("fp"),
-                     F.sum("_pos").over(Window.partitionBy()).alias("_all"))
+                     F.sum("_pos").over(Window.partitionBy()).alias("_all"),
+                     F.sum("_null").over(Window.partitionBy()).alias("n_null_score"))
         .filter("_passed > 0")
         .select(F.element_at(F.array(*[F.lit(t) for t in cuts]), F.col("_passed").cast("int"))
-                .alias("threshold"), "tp", "fp", (F.col("_all") - F.col("tp")).alias("fn"))
+                .alias("threshold"), "tp", "fp", (F.col("_all") - F.col("tp")).alias("fn"), "n_null_score")
     )
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     ratio = lambda a, b: F.when(b > 0, a / b)

@@ -329,6 +329,25 @@ def text_diversity_by_group(spark, sf_dir):
     return out.select("vec_id", F.round("diver", 6).alias("diver"))
 
 
+_GROUPED = """
+g as (select vec_id, case when vec_id % 7 = 0 then null else label end as label, embedding from embeddings),
+normed as (
+  select vec_id, label, unnest(embedding)::double / sqrt(list_inner_product(embedding::double[], embedding::double[])) as e,
+    generate_subscripts(embedding, 1) as pos from g),
+centre as (select label, pos, avg(e) as c from normed group by all)"""
+
+
+@query("text_diversity_null_group", f"""with {_GROUPED}
+select vec_id, round(1 - sum(e * c), 6) as diver from normed join centre
+  on normed.pos = centre.pos and normed.label is not distinct from centre.label group by vec_id""")
+def text_diversity_null_group(spark, sf_dir):
+    """Texts without a group form a group."""
+    vectors = table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 != 0, F.col("label")))
+    out = evaluate.text_diversity(vectors, by=["label"])
+    return out.select("vec_id", F.round("diver", 6).alias("diver"))
+
+
 @query("sweep_report", f"""
 with {GENERATIONS},
 {_CENTROID.format(keys='top_p, temperature,', source='generations')},

@@ -4,7 +4,6 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from tallymill import schemas
 from tallymill.operators import clean, profile
 from tallymill.plans.catalog import query
 from tallymill.plans.views import CLEAN, TX, TX_COMPLETE, TX_ORDER, transactions
@@ -224,6 +223,27 @@ def extreme_ids(spark, sf_dir):
     return reduce(lambda a, b: a.unionByName(b), [profile.extremes(tx, c) for c in _REVIEWED_IDS])
 
 
+@query("extreme_amounts", f"with {TX} " + " union all ".join(
+    f"""select * from (select '{edge}' as edge, round(tx_amount::double, 2) as value
+        from (select distinct tx_amount from tx) order by tx_amount {order} limit 10)"""
+    for edge, order in (("lowest", "asc nulls first"), ("highest", "desc nulls last"))))
+def extreme_amounts(spark, sf_dir):
+    """Fractional values keep their fraction."""
+    return profile.extremes(transactions(spark, sf_dir), "tx_amount").select(
+        "edge", F.round(F.col("value").cast("double"), 2).alias("value"))
+
+
+@query("wide_ids_csv", f"""
+with {CLEAN} select tranaction_id + 5000000000 as tranaction_id, customer_id from clean""")
+def wide_ids_csv(spark, sf_dir):
+    """Transaction files whose ids lie beyond 32 bits."""
+    tx = transactions(spark, sf_dir).withColumn("tranaction_id", F.col("tranaction_id") + 5_000_000_000)
+    path = scratch_path(spark, "wide")
+    tx.select(F.to_csv(F.struct(*tx.columns)).alias("value")).write.text(path)
+    cleaned = clean.clean_transactions(files.read_transactions_csv(spark, path))
+    return cleaned.select("tranaction_id", "customer_id")
+
+
 # Two cleaning runs over one input; the second run saw corrected amounts.
 _RUNS = {"20240301000000": 0.0, "20240302000000": 1.0}
 
@@ -272,7 +292,7 @@ def csv_scan_clean(spark, sf_dir):
     (tx.select(F.explode(F.when(has_comment, F.array(comment, line)).otherwise(F.array(line)))
                .alias("value")).write.text(path))
     return _shown(clean.clean_transactions(
-        files.read_transactions_csv(spark, path, schemas.wide_ids())))
+        files.read_transactions_csv(spark, path)))
 
 
 def _arrivals(spark, sf_dir, dedup):

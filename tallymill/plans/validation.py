@@ -98,6 +98,26 @@ def weighted_auc_by_bucket(spark, sf_dir):
     return out.select("bucket", "n_rows", F.round("auc", 6).alias("auc"))
 
 
+_NULL_SCORES = PREDICTIONS + """,
+gaps as (select *, case when event_id % 11 = 0 then null else score_a end as s from predictions)"""
+
+
+def _with_null_scores(spark, sf_dir):
+    return predictions(spark, sf_dir).withColumn(
+        "score", F.when(F.col("event_id") % 11 != 0, F.col("score_a")))
+
+
+@query("weighted_auc_null_scores", f"""
+with {_NULL_SCORES}, x as (select event_id % 3 as bucket, s, label as y, weight as w from gaps where s is not null),
+{_auc_ctes('x', 'bucket, ')}, missing as (
+  select event_id % 3 as bucket, count(*) filter (s is null)::bigint as n_null_score from gaps group by 1)
+select bucket, n_rows, n_null_score, round(auc, 6) as auc from auc join missing using (bucket)""")
+def weighted_auc_null_scores(spark, sf_dir):
+    df = _with_null_scores(spark, sf_dir).withColumn("bucket", F.col("event_id") % 3)
+    out = validate.weighted_auc(df, "label", "score", "weight", by=["bucket"])
+    return out.select("bucket", "n_rows", "n_null_score", F.round("auc", 6).alias("auc"))
+
+
 # A row belongs to a replicate where its polynomial, seeded by one digest, is in
 # the lowest 1 % of the field.
 _REPLICATES = PREDICTIONS + f""",
@@ -150,6 +170,28 @@ p as (
     else 2 / pi() * (th + sin(th) * cos(th) * series.odd) end as p from th, series)"""
 
 
+_MANY = 1500
+
+
+@query("auc_many_replicates", f"""
+with {_REPLICATES.split("drawn as (")[0]}
+drawn as (
+  select model, replicate, y, w, s
+  from seeds, (select unnest(range({_MANY}))::hugeint as replicate) where model = 'initial' and
+    (c0 + c1 * replicate + c2 * replicate * replicate + c3 * replicate * replicate * replicate)
+    % 2147483647 < 4294967),
+{_auc_ctes('drawn', 'replicate, ')}
+select count(*)::bigint as n_samples, sum(n_rows)::bigint as n_rows, round(avg(auc), 6) as mean_auc,
+  round(min(auc), 6) as min_auc, round(max(auc), 6) as max_auc from auc where auc is not null""")
+def auc_many_replicates(spark, sf_dir):
+    """More replicates than one polynomial of plain 64-bit products could serve."""
+    out = validate.auc_replicates(predictions(spark, sf_dir), "event_id", "label",
+                                  {"initial": "score_a"}, "weight", replicates=_MANY, share=0.002)
+    return out.agg(F.count(F.lit(1)).alias("n_samples"), F.sum("n_rows").alias("n_rows"),
+                   *[F.round(f("auc"), 6).alias(f"{n}_auc")
+                     for n, f in (("mean", F.avg), ("min", F.min), ("max", F.max))])
+
+
 # The p-value in the check is the finite series of Student's t for whole degrees of freedom.
 @query("score_ttest", f"""
 with {_TTEST} select n1::bigint as n_first, n2::bigint as n_second, round(m1, 6) as mean_first,
@@ -262,6 +304,17 @@ def threshold_metrics(spark, sf_dir):
                       *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")])
 
 
+@query("threshold_metrics_null_scores", f"""
+with {_NULL_SCORES}, t as (select unnest({_THRESHOLDS})::double as threshold)
+select threshold, count(*) filter (label = 1 and s >= threshold)::bigint as tp,
+  count(*) filter (label = 0 and s >= threshold)::bigint as fp,
+  count(*) filter (label = 1 and s < threshold)::bigint as fn,
+  count(*) filter (s is null)::bigint as n_null_score from gaps, t group by threshold""")
+def threshold_metrics_null_scores(spark, sf_dir):
+    out = validate.threshold_metrics(_with_null_scores(spark, sf_dir), "label", "score", _THRESHOLDS)
+    return out.select("threshold", "tp", "fp", "fn", "n_null_score")
+
+
 @query("decision_bands", f"""
 with {PREDICTIONS} select label, case when score_a >= 150 then 'block' when score_a >= 100 then 'review'
   when score_b >= 60 and score_a >= 40 then 'review' else 'pass' end as decision, count(*)::bigint as n

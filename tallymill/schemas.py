@@ -8,12 +8,12 @@ def _struct(*fields):
 
 
 # Column names (including the misspelt transaction id) and types
-# of the incoming transaction files.
+# of the incoming transaction files. Ids are 64-bit, so that no range is unreadable.
 TRANSACTIONS = _struct(
-    ("tranaction_id", T.IntegerType()),
+    ("tranaction_id", T.LongType()),
     ("tx_datetime", T.TimestampType()),
-    ("customer_id", T.IntegerType()),
-    ("terminal_id", T.IntegerType()),
+    ("customer_id", T.LongType()),
+    ("terminal_id", T.LongType()),
     ("tx_amount", T.FloatType()),
     ("tx_time_seconds", T.IntegerType()),
     ("tx_time_days", T.IntegerType()),
@@ -54,9 +54,3 @@ LISTING = _struct(
     ("key", T.StringType()),
 )
 
-
-def wide_ids(schema=TRANSACTIONS):
-    """The same schema with 64-bit ids, for id ranges beyond 32 bits."""
-    return T.StructType([
-        T.StructField(f.name, T.LongType() if f.name.endswith("_id") else f.dataType, True)
-        for f in schema.fields])

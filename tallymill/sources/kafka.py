@@ -15,7 +15,8 @@ def _quoted(text):
 
 def connection(servers, username=None, password=None, ca_location=None):
     """Options shared by source and sink; user and password fall back to
-    ``KAFKA_USERNAME`` / ``KAFKA_PASSWORD``."""
+    ``KAFKA_USERNAME`` / ``KAFKA_PASSWORD``. ``ca_location`` is a PEM file that every
+    executor can read."""
     username = username or os.environ.get("KAFKA_USERNAME")
     password = password or os.environ.get("KAFKA_PASSWORD")
     options = {"kafka.bootstrap.servers": servers}
@@ -29,7 +30,8 @@ def connection(servers, username=None, password=None, ca_location=None):
                                        f"password={_quoted(password)};"),
         })
     if ca_location:
-        options["kafka.ssl.ca.location"] = ca_location
+        options["kafka.ssl.truststore.location"] = ca_location
+        options["kafka.ssl.truststore.type"] = "PEM"
     return options
 
 

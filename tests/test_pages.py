@@ -118,6 +118,15 @@ def test_reconcile_statuses(spark):
     assert {r.key for r in reconcile.missing_only(source, target, "p/").collect()} == {"c"}
 
 
+def test_reconcile_tells_unknown_sizes_and_duplicate_keys(spark):
+    listing = lambda rows: spark.createDataFrame(rows, "key string, size long")
+    source = listing([("a", None), ("b", 10), ("b", 20), ("c", 5), ("c", 5), ("d", None), ("e", 1)])
+    target = listing([("a", 3), ("b", 20), ("c", 5), ("e", 1), ("e", 2), ("f", None)])
+    got = {r.key: r.status for r in reconcile.compare(source, target).collect()}
+    assert got == {"a": "unknown_size", "b": "duplicate_key", "c": "ok", "d": "missing",
+                   "e": "duplicate_key", "f": "extra"}
+
+
 def test_reconcile_with_itself_and_with_a_join(spark):
     rng = random.Random(9)
     rows = [(f"k{i}", rng.randrange(100)) for i in range(400)]

@@ -97,6 +97,12 @@ def test_extremes_hold_null_at_the_low_end(spark):
     assert low == [None, 1] and high == [5, 9]
 
 
+def test_extremes_keep_the_type(spark):
+    df = spark.createDataFrame([(901.5, "b"), (0.25, "a")], "x double, t string")
+    edge = lambda c: sorted(r.value for r in profile.extremes(df, c, k=1).collect())
+    assert edge("x") == [0.25, 901.5] and edge("t") == ["a", "b"]
+
+
 def test_absence(spark):
     df = spark.createDataFrame([(None, 0), (0.0, 5), (float("nan"), None), (1.0, 2)], "x double, i int")
     got = {(r.column, r.why): r.n for r in profile.absence_counts(df, ["x", "i"]).collect()}

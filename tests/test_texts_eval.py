@@ -74,17 +74,24 @@ def test_sign_dimension(spark):
     assert {r.sign: r.element for r in got} == {"Лев": "fire", "Рак": "water", "?": None}
 
 
-def test_lookup_beyond_the_bound_gives_the_same_rows(spark):
-    big = spark.createDataFrame([(i, 1 if i % 3 == 0 else i % 40) for i in range(600)], "id int, k int")
-    small = spark.createDataFrame([(k, k * k) for k in range(35)], "k int, v int")
-    rows = lambda bound: sorted(map(str, lookup.lookup_join(big, small, "k", max_rows=bound).select(
-        "id", "k", "v").collect()))
-    assert rows(1000) == rows(5)
-    assert len(rows(5)) == 600
+def test_lookup_matches_null_keys_and_identical_rows(spark):
+    big = spark.createDataFrame([(1, 7)] * 500 + [(2, None)] * 3 + [(3, 99)], "id int, k int")
+    small = spark.createDataFrame([(7, 49), (None, -1)], "k int, v int")
+    rows = lookup.lookup_join(big, small, "k")
+    assert rows.columns == ["id", "k", "v"]
+    got = {(r.id, r.v): r["count"] for r in rows.groupBy("id", "v").count().collect()}
+    assert got == {(1, 49): 500, (2, -1): 3, (3, None): 1}
 
 
-def test_salted_lookup_spreads_a_hot_key(spark):
+def test_lookup_is_one_join_and_no_extra_job(spark):
     plan = lookup.lookup_join(spark.range(1000).withColumn("k", F.lit(1)),
-                              spark.range(50).withColumnRenamed("id", "k"), "k", max_rows=5)
+                              spark.range(50).withColumnRenamed("id", "k"), "k")
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
     assert plan.count() == 1000
-    assert "_salt" in plan._jdf.queryExecution().toString()
+
+
+def test_texts_of_a_null_group_have_a_diversity(spark):
+    df = spark.createDataFrame([(1, None, [1.0, 0.0]), (2, None, [0.0, 1.0]), (3, "a", [1.0, 1.0])],
+                               "id int, g string, embedding array<double>")
+    got = {r.id: round(r.diver, 6) for r in evaluate.text_diversity(df, by=["g"]).collect()}
+    assert got == {1: 0.5, 2: 0.5, 3: 0.0}

@@ -3,9 +3,11 @@
 import argparse
 from datetime import datetime
 
+from tallymill.operators import extract
 from tallymill.plans import jobs
 from tallymill.session import build_session
 from tallymill.sources import kafka
+from tallymill.streaming import run as streams
 
 _ARGS = {
     "clean": ["source", "sink"],
@@ -15,6 +17,10 @@ _ARGS = {
     "corpus": ["source", "sink"],
     "pairs": ["source", "sink"],
     "evaluate": ["source", "log"],
+    "collect": ["pages", "rules", "sink"],
+    "reconcile": ["source", "target", "sink"],
+    "arrivals": ["source", "staging", "checkpoint", "sink"],
+    "score": ["source", "model", "sink", "checkpoint"],
     "clicks": ["servers", "source_topic", "sink_topic", "checkpoint"],
 }
 
@@ -32,6 +38,14 @@ def parse(argv=None):
     commands.choices["clean"].add_argument("--audit", action="store_true",
                                            help="also count the rows lost to each rule")
     commands.choices["clicks"].add_argument("--ca", default=None, help="CA certificate")
+    commands.choices["clicks"].add_argument("--starting-offsets", default="earliest")
+    commands.choices["clicks"].add_argument("--interval", default=streams.INTERVAL, help="trigger interval")
+    commands.choices["clicks"].add_argument("--available-now", action="store_true",
+                                            help="stop when the present messages are done")
+    commands.choices["arrivals"].add_argument("--dedup", choices=["between", "last"], default="between")
+    commands.choices["score"].add_argument("--threshold", type=float, default=None)
+    commands.choices["reconcile"].add_argument("--source-prefix", default="")
+    commands.choices["evaluate"].add_argument("--texts", default=None, help="folder for the texts with their diversity")
     commands.choices["corpus"].add_argument("--header", action="store_true")
     commands.choices["validate"].add_argument("--require-improvement", action="store_true")
     return parser.parse_args(argv)
@@ -60,12 +74,21 @@ def main(argv=None):
         jobs.pairs_job(spark, args.source, args.sink)
     elif args.job == "clicks":
         # Credentials come from KAFKA_USERNAME and KAFKA_PASSWORD.
-        source = kafka.source_options(args.servers, args.source_topic, ca_location=args.ca)
+        source = kafka.source_options(args.servers, args.source_topic, args.starting_offsets, ca_location=args.ca)
         sink = kafka.sink_options(args.servers, args.sink_topic, ca_location=args.ca)
         messages = kafka.read_messages(spark, source)
-        jobs.click_job(messages, args.checkpoint, sink).awaitTermination()
+        jobs.click_job(messages, args.checkpoint, sink, interval=args.interval,
+                       available_now=args.available_now).awaitTermination()
+    elif args.job == "collect":
+        jobs.collect_job(spark.read.parquet(args.pages), extract.load_rules(args.rules), run_ts.date(), args.sink)
+    elif args.job == "reconcile":
+        print(jobs.reconcile_job(spark, args.source, args.target, args.sink, args.source_prefix))
+    elif args.job == "arrivals":
+        jobs.arrivals_job(spark, args.source, args.staging, args.checkpoint, args.sink, args.dedup)
+    elif args.job == "score":
+        jobs.score_job(spark, args.source, args.model, args.sink, args.checkpoint, args.threshold)
     else:
-        jobs.evaluate_job(spark, spark.read.parquet(args.source), args.log, run_id, run_ts).show()
+        jobs.evaluate_job(spark, spark.read.parquet(args.source), args.log, run_id, run_ts, args.texts).show()
 
 
 if __name__ == "__main__":

@@ -1,6 +1,8 @@
 """Rule-driven record extraction from raw pages."""
 
+import json
 from dataclasses import dataclass
+from html.entities import html5
 from typing import Callable, Optional
 
 from pyspark.sql import functions as F
@@ -10,10 +12,18 @@ from tallymill.functions.text import last_token
 # Parts of a page whose content is not page text, and any single tag.
 _HIDDEN = r"(?s)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
 _TAG = r"<[^>]*>"
-# Entities and their characters; the ampersand comes last so that
-# an escaped entity is unescaped once only.
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-            ("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
+_REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+# The references that pages hold most come first in the lookup.
+_COMMON = ["amp", "lt", "gt", "quot", "nbsp", "apos", "laquo", "raquo", "mdash", "ndash", "hellip", "copy", "middot"]
+
+_UNCOMMON = "&(#|(?!(?:" + "|".join(_COMMON) + ");)[A-Za-z])"
+
+
+def _named_references():
+    """Map of all names to their characters; one JSON literal, which folds to one constant."""
+    names = {n[:-1]: c for n, c in html5.items() if n.endswith(";")}
+    order = _COMMON + sorted(set(names) - set(_COMMON))
+    return F.from_json(F.lit(json.dumps({n: names[n] for n in order})), "map<string,string>")
 
 
 def visible(html):
@@ -21,12 +31,42 @@ def visible(html):
     return F.regexp_replace(html, _HIDDEN, "")
 
 
+def _character(code):
+    """Text of a code point; U+FFFD where there is no such character."""
+    legal = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    number = F.when(legal, code).otherwise(0xFFFD)
+    return F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+
+
+def unescape(c):
+    """Every named, decimal and hexadecimal character reference replaced, once; what is
+    none stays as it stands."""
+    named = _named_references()
+
+    def decode(part):
+        name = F.regexp_extract(part, _REFERENCE, 1)
+        digits = F.conv(F.substring(name, 3, 6), 16, 10).cast("long")
+        value = (F.when(name == "", F.lit(None).cast("string"))
+                 .when(F.lower(F.substring(name, 1, 2)) == "#x", _character(digits))
+                 .when(F.startswith(name, F.lit("#")), _character(F.substring(name, 2, 7).cast("long")))
+                 .otherwise(F.try_element_at(named, name)))
+        rest = F.substring(part, F.length(name) + 2, F.length(part))
+        return F.coalesce(F.concat(value, rest), F.concat(F.lit("&"), part))
+
+    def one(x):
+        decoded = F.transform(F.split(x, "&"), lambda part, i: F.when(i == 0, part).otherwise(decode(part)))
+        common = x
+        for name in [*_COMMON[1:], "amp"]:       # the ampersand last, so that nothing is decoded twice
+            common = F.replace(common, F.lit(f"&{name};"), F.lit(html5[f"{name};"]))
+        return F.when(x.rlike(_UNCOMMON), F.array_join(decoded, "")).otherwise(common)
+
+    # A one-element array names the text, which is thereby computed once.
+    return F.get(F.transform(F.array(c), one), 0)
+
+
 def plain_text(fragment):
-    """Tags removed, common entities unescaped."""
-    out = F.regexp_replace(fragment, _TAG, "")
-    for entity, char in ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return out
+    """Tags removed, character references decoded."""
+    return unescape(F.regexp_replace(fragment, _TAG, ""))
 
 
 def tabbed_cut(c):
@@ -113,16 +153,57 @@ def unify(frames):
     return first
 
 
-def absolute_url(href, page_url):
-    """Protocol-relative and root-relative links made absolute."""
-    site = F.regexp_extract(page_url, r"^(https?://[^/?#]+)", 1)
-    return (F.when(F.startswith(href, F.lit("//")), F.concat(F.lit("https:"), href))
-            .when(F.startswith(href, F.lit("/")), F.concat(site, href))
-            .otherwise(href))
+def load_rules(path):
+    """Page rules from a JSON file: a list of objects with the fields of ``PageRule``;
+    ``finish`` may name the tab layout (``"tabbed_cut"``)."""
+    named = {"tabbed_cut": tabbed_cut, None: None}
+    with open(path, encoding="utf-8") as f:
+        return [PageRule(**{**rule, "finish": named[rule.get("finish")]}) for rule in json.load(f)]
+
 
+def _resolve(path):
+    """A path without ``.`` and ``..`` segments."""
+    def step(done, part):
+        up = F.when(F.size(done) > 1, F.slice(done, 1, F.size(done) - 1)).otherwise(done)
+        return F.when(part == "..", up).when(part == ".", done).otherwise(F.concat(done, F.array(part)))
 
-def discover_links(pages, anchor=r'<a [^>]*?href="([^"]+)"'):
-    """``(page_id, link)`` for every anchor outside scripts and comments."""
-    links = F.regexp_extract_all(visible("html"), F.lit(anchor), F.lit(1))
-    return (pages.select("page_id", "url", F.explode(links).alias("href"))
+    parts = F.split(path, "/")
+    kept = F.aggregate(parts, F.array().cast("array<string>"), step)
+    ends_open = F.element_at(parts, -1).isin(".", "..")
+    return F.concat(F.array_join(kept, "/"), F.when(ends_open, F.lit("/")).otherwise(F.lit("")))
+
+
+def absolute_url(href, page_url):
+    """A link as a full address: with its own scheme as it is, else relative to the page
+    (``//host``, ``/path``, ``?query``, ``#part``, ``path``, ``../path``)."""
+    site = F.regexp_extract(page_url, r"^(https?://[^/?#]+)", 1)
+    address = F.regexp_extract(page_url, r"^https?://[^/?#]+([^?#]*)", 1)
+    folder = F.coalesce(F.nullif(F.regexp_extract(address, r"^(.*/)", 1), F.lit("")), F.lit("/"))
+    path, tail = F.regexp_extract(href, r"^([^?#]*)", 1), F.regexp_extract(href, r"([?#].*)$", 1)
+    return (F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href)
+            .when(F.startswith(href, F.lit("//")), F.concat(F.lit("https:"), href))
+            .when(F.startswith(href, F.lit("/")), F.concat(site, _resolve(path), tail))
+            .when(F.startswith(href, F.lit("?")), F.concat(site, address, href))
+            .when(F.startswith(href, F.lit("#")), F.concat(F.regexp_extract(page_url, r"^([^#]*)", 1), href))
+            .otherwise(F.concat(site, _resolve(F.concat(folder, path)), tail)))
+
+
+_ANCHOR = r"""(?is)<a\s(?:"[^"]*"|'[^']*'|[^'">])*>"""
+
+
+def _attribute(tag, name):
+    """Value of a tag's attribute, quoted either way or not at all; empty without it."""
+    pattern = rf"""(?is)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    return F.concat(*[F.regexp_extract(tag, pattern, i) for i in (1, 2, 3)])
+
+
+def discover_links(pages, css_class=None):
+    """``(page_id, link)`` for every anchor outside scripts and comments, or for those that
+    carry a class. Links are decoded and absolute; anchors without one are left out."""
+    anchors = F.regexp_extract_all(visible("html"), F.lit(_ANCHOR), F.lit(0))
+    tags = pages.select("page_id", "url", F.explode(anchors).alias("tag"))
+    if css_class:
+        tags = tags.filter(F.array_contains(F.split(_attribute(F.col("tag"), "class"), r"\s+"), css_class))
+    href = F.trim(unescape(_attribute(F.col("tag"), "href")))
+    return (tags.select("page_id", "url", href.alias("href")).filter("href <> ''")
             .select("page_id", absolute_url(F.col("href"), F.col("url")).alias("link")))

@@ -1,16 +1,19 @@
 """Logistic regression with a grid search, on Spark ML."""
 
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import Pipeline
+from pyspark import inheritable_thread_target
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
 from tallymill.functions.hashing import digest, lane_int
 from tallymill.operators.features import FEATURES, scaling_stages
+from tallymill.session import materialise
 
 # Iterations, grid and folds of the search.
 MAX_ITER = 10
@@ -40,42 +43,68 @@ def build_grid(lr, reg_params=REG_PARAMS, elastic_nets=ELASTIC_NETS):
 
 @dataclass
 class Search:
-    model: CrossValidatorModel
+    """Result of a grid search: the best point's pipeline fitted on all rows, and the
+    metric of every grid point in every fold."""
+    best: PipelineModel
     grid: list
+    folds: list                      # one list of metrics per fold, in grid order
+
+    @property
+    def averages(self):
+        return [sum(of_point) / len(self.folds) for of_point in zip(*self.folds)]
 
     def best_params(self):
-        lr = self.model.bestModel.stages[-1]
+        lr = self.best.stages[-1]
         return {"regParam": lr.getRegParam(), "elasticNetParam": lr.getElasticNetParam()}
 
-    def report(self, spark):
-        """Every grid point with its average metric; the best is marked."""
-        best = max(self.model.avgMetrics)
-        rows, seen = [], False
-        for point, metric in zip(self.grid, self.model.avgMetrics):
+    def points(self):
+        """``(reg_param, elastic_net, average, is_best)`` of every grid point; the first best is marked."""
+        averages = self.averages
+        top = averages.index(max(averages))
+        for i, (point, metric) in enumerate(zip(self.grid, averages)):
             values = {p.name: v for p, v in point.items()}
-            top = metric == best and not seen
-            seen = seen or top
-            rows.append((values["regParam"], values["elasticNetParam"], float(metric), bool(top)))
+            yield values["regParam"], values["elasticNetParam"], float(metric), i == top
+
+    def report(self, spark):
         return spark.createDataFrame(
-            rows, "reg_param double, elastic_net double, avg_auc double, is_best boolean")
+            list(self.points()), "reg_param double, elastic_net double, avg_auc double, is_best boolean")
+
+
+def with_fold(df, key, folds=FOLDS, salt="folds"):
+    """Hash-assigned fold number of every row, as ``_fold``."""
+    return df.withColumn("_fold", lane_int(digest(key, salt), 0, folds).cast("int"))
 
 
 def cross_validate(train, label, key, weight="weight", columns=FEATURES, folds=FOLDS,
                    parallelism=4, salt="folds"):
     """Grid search over hash-assigned folds, so a rerun sees the same folds.
 
-    The validator caches each fold while its grid points are fitted; give it a
-    stored table (see ``session.materialise``), not a long lineage.
+    Scaling does not depend on the grid: it is fitted once per fold, on that fold's
+    training side, and the fold's scaled vectors are written once for all points.
+    The best point is fitted again on all rows. Give it a stored table (see
+    ``session.materialise``), not a long lineage.
     """
     pipeline = build_pipeline(label, columns)
-    grid = build_grid(pipeline.getStages()[-1])
-    folded = train.select(
-        *columns, label, weight,
-        lane_int(digest(key, salt), 0, folds).cast("int").alias("_fold"))
-    search = CrossValidator(
-        estimator=pipeline, estimatorParamMaps=grid, evaluator=evaluator(label, weight),
-        numFolds=folds, foldCol="_fold", parallelism=parallelism)
-    return Search(search.fit(folded), grid)
+    scaling, lr = Pipeline(stages=pipeline.getStages()[:-1]), pipeline.getStages()[-1]
+    grid, judge = build_grid(lr), evaluator(label, weight)
+    folded = with_fold(train.select(*columns, label, weight, key), key, folds, salt)
+
+    def metric(job):
+        point, learn, check = job
+        return judge.evaluate(lr.copy(point).fit(learn).transform(check))
+
+    metrics = []
+    with ThreadPool(min(parallelism, len(grid))) as pool:
+        for fold in range(folds):
+            scaler = scaling.fit(folded.filter(F.col("_fold") != fold))
+            scaled = materialise(scaler.transform(folded).select("features", label, weight, "_fold"), "fold")
+            learn, check = scaled.filter(F.col("_fold") != fold), scaled.filter(F.col("_fold") == fold)
+            run = inheritable_thread_target(train.sparkSession)(metric)
+            metrics.append(pool.map(run, [(point, learn, check) for point in grid]))
+    search = Search(None, grid, metrics)
+    top = next(point for point, row in zip(grid, search.points()) if row[3])
+    search.best = Pipeline(stages=[*scaling.getStages(), lr.copy(top)]).fit(train)
+    return search
 
 
 def score(model, df, name="score"):

@@ -135,7 +135,8 @@ def text_functions(spark, sf_dir):
         text.contains_any("text", ["the", "que", "der"]).alias("has_word"))
 
 
-# Three page layouts: paragraphs under one heading, navigation entries, whole articles.
+# Four page layouts: paragraphs under one heading, navigation entries, whole articles, and
+# tab-laid headings (a space ends the first piece there).
 _H1 = r"(?s)<h1[^>]*>(.*?)</h1>"
 PAGE_RULES = (
     PageRule("paragraphs", ".example.com", item=r"(?s)<p>(.*?)</p>", label=_H1,
@@ -144,12 +145,19 @@ PAGE_RULES = (
              label=r"(?s)<a [^>]*>(.*?)</a>", text=r'href="([^"]*)"'),
     PageRule("article", ".example.org", label=_H1, label_last_word=True,
              text=r"(?s)<article>(.*?)</article>"),
+    PageRule("tabs", "", label=_H1, label_last_word=True, text=_H1,
+             finish=lambda c: extract.tabbed_cut(F.replace(c, F.lit(" "), F.lit("\t" * 7)))),
 )
+_KNOWN = "(ends_with(host, '.example.com') or ends_with(host, '.example.net') or ends_with(host, '.example.org'))"
+
+
+# The references that the stored pages hold, for the check.
+_REFERENCES = [("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
 
 
 def _plain_sql(e):
-    return reduce(lambda s, pair: "replace({}, '{}', '{}')".format(s, *[p.replace("'", "''") for p in pair]),
-                  extract.ENTITIES, f"regexp_replace({e}, '<[^>]*>', '', 'g')")
+    return reduce(lambda s, pair: "replace({}, '{}', '{}')".format(s, *pair),
+                  _REFERENCES, f"regexp_replace({e}, '<[^>]*>', '', 'g')")
 
 
 def _last_word_sql(e):
@@ -178,6 +186,10 @@ records as (
   select page_id, {_last_word_sql(_plain_sql(_H1_SQL))},
     {_plain_sql("regexp_extract(page, '(?s)<article>(.*?)</article>', 1)")}, 'article'
   from v where ends_with(host, '.example.org')
+  union all
+  select page_id, {_last_word_sql(_plain_sql(_H1_SQL))},
+    coalesce(list_extract(string_split(replace({_plain_sql(_H1_SQL)}, ' ', 'li'), 'li'), 2), ''), 'tabs'
+  from v where not {_KNOWN}
 )"""
 
 
@@ -214,6 +226,40 @@ def discover_links(spark, sf_dir):
     return extract.discover_links(table(spark, sf_dir, "pages"))
 
 
+@query("discover_links_by_class", r"""
+with a as (
+  select page_id, regexp_extract(url, '^(https?://[^/?#]+)', 1) as site,
+    case when regexp_matches(url, '^https?://[^/]+/.*/') then regexp_extract(url, '^https?://[^/]+(/.*/)[^/]*$', 1)
+      else '/' end as folder,
+    unnest(regexp_extract_all(split_part(split_part(html, '<nav>', 2), '</nav>', 1), '<a href="/([^"]+)"', 1)) as word
+  from pages)
+select page_id, case page_id % 4 when 0 then site || '/' || word when 1 then site || folder || word
+    when 2 then site || '/top/' || word else site || '/' || word || '?a=1&b=«2»' end as link from a""")
+def discover_links_by_class(spark, sf_dir):
+    """The menu's links under other quotes, cases, path forms and references, chosen by class."""
+    kind = F.col("page_id") % 4
+    marked = (F.when(kind == 0, F.regexp_replace("html", r'<a href="(/[^"]+)"', "<A Class='item first' HREF='$1'"))
+              .when(kind == 1, F.regexp_replace("html", r'<a href="/([^"]+)"', '<a href="$1" class=item'))
+              .when(kind == 2, F.regexp_replace("html", r'<a href="/([^"]+)"',
+                                                '<a class="x item" data-href="/no" href="/a/./b/../../top/$1"'))
+              .otherwise(F.regexp_replace("html", r'<a href="(/[^"]+)"',
+                                          '<a class="item" href="$1?a=1&amp;b=&laquo;2&#xBB;"')))
+    menu = F.regexp_extract(marked, r"(?s)<nav>(.*?)</nav>", 1)
+    page = F.concat(F.lit('<a href="/other">x</a><a class="items" href="/other">x</a>'), menu)
+    return extract.discover_links(table(spark, sf_dir, "pages").withColumn("html", page), css_class="item")
+
+
+@query("character_references", r"""
+select page_id, replace(replace(replace(url, '/', '«'), '.', '—'), 'e', '&lt;') || '&nosuch; & €𝄞 ' || chr(65533) as text
+from pages""")
+def character_references(spark, sf_dir):
+    """Named, decimal, hexadecimal, escaped, unknown and illegal references."""
+    coded = F.replace(F.replace(F.replace("url", F.lit("e"), F.lit("&amp;lt;")), F.lit("/"), F.lit("&laquo;")),
+                      F.lit("."), F.lit("&#8212;"))
+    return table(spark, sf_dir, "pages").select("page_id", extract.unescape(
+        F.concat(coded, F.lit("&nosuch; & &#x20aC;&#119070; &#xD800;"))).alias("text"))
+
+
 # Routes over the stored conversations: an exact text, a literal, lower-cased literals.
 MESSAGE_ROUTES = (
     routing.Route("thanks", "exact", ("Thanks.", "Danke.")),

@@ -3,13 +3,15 @@
 from dataclasses import dataclass
 from datetime import datetime
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
+from tallymill import schemas
 from tallymill.functions import text
-from tallymill.operators import clean, evaluate, extract, features, model, profile, validate
-from tallymill.session import materialise
+from tallymill.operators import clean, evaluate, extract, features, model, profile, reconcile, validate
+from tallymill.session import job_folder, materialise
 from tallymill.sources import files, runs
-from tallymill.streaming import run as streams
+from tallymill.streaming import cleaning, run as streams, scoring
 from tallymill.streaming.clicks import filter_clicks, rekey
 
 _KEY, _LABEL = "tranaction_id", "tx_fraud"
@@ -52,18 +54,30 @@ def training_table(spark, glob, across_runs=True):
         features.with_class_weight(df.drop("run_path"), _LABEL), _KEY)
 
 
+# Metric and tag names of the run log.
+AUC_TEST, AUC_AVERAGE, AUC_FIRST = "aUROC_test", "aUROC_avg", "aUROC_first"
+TRAIN_TAGS = {"optimizer_engine": "grid_search", "model_family": "logistic regression"}
+
+
+def grid_metrics(search):
+    """The average of every grid point, named by its parameters."""
+    return {f"{AUC_AVERAGE}/regParam={reg}/elasticNetParam={net}": metric
+            for reg, net, metric, _ in search.points()}
+
+
 def train_job(spark, glob, model_path, log_path, run_id, run_ts):
-    """Grid search on the train side, AUC on the test side, model and run log out."""
-    table = training_table(spark, glob)
-    train, test = table.filter("split = 'train'"), table.filter("split = 'test'")
-    search = model.cross_validate(materialise(train, "train"), _LABEL, _KEY)
-    scored = model.score(search.model.bestModel, test)
-    auc = validate.weighted_auc(scored, _LABEL, "score", "weight").first()["auc"]
-    search.model.bestModel.write().overwrite().save(model_path)
-    metrics = {"aUROC_test": auc, "aUROC_avg": max(search.model.avgMetrics),
-               "aUROC_first": search.model.avgMetrics[0]}
-    runs.log_run(spark, log_path, run_id, run_ts, metrics, search.best_params(),
-                 {"optimizer_engine": "grid_search", "model_family": "logistic regression"})
+    """Grid search on the train side, AUC on the test side, model and run log (with the
+    whole grid) out."""
+    with job_folder(spark, "train"):
+        table = training_table(spark, glob)
+        train, test = table.filter("split = 'train'"), table.filter("split = 'test'")
+        search = model.cross_validate(materialise(train, "train"), _LABEL, _KEY)
+        scored = model.score(search.best, test)
+        auc = validate.weighted_auc(scored, _LABEL, "score", "weight").first()["auc"]
+        search.best.write().overwrite().save(model_path)
+    metrics = {AUC_TEST: auc, AUC_AVERAGE: max(search.averages), AUC_FIRST: search.averages[0]}
+    runs.log_run(spark, log_path, run_id, run_ts, {**metrics, **grid_metrics(search)},
+                 search.best_params(), TRAIN_TAGS)
     return metrics
 
 
@@ -90,7 +104,7 @@ def compare_models(train, test, label, key, weight="weight", require_improvement
     train = materialise(train.select(*columns), "train")
     baseline = model.build_pipeline(label).fit(train)
     search = model.cross_validate(train, label, key, weight)
-    tuned = search.model.bestModel
+    tuned = search.best
     scored = model.score(tuned, model.score(baseline, test.select(*columns), "score_initial"),
                          "score_tuned")
     scored = materialise(scored.select(key, label, weight, "score_initial", "score_tuned"), "scored")
@@ -110,13 +124,14 @@ def compare_models(train, test, label, key, weight="weight", require_improvement
 def validate_job(spark, glob, model_path, scores_path, log_path, run_id, run_ts,
                  require_improvement=False):
     """A/B validation: score samples, both normality tests, t-test, champion."""
-    table = training_table(spark, glob)
-    result = compare_models(table.filter("split = 'train'"), table.filter("split = 'test'"),
-                            _LABEL, _KEY, require_improvement=require_improvement)
-    files.write_scores(result.scores, scores_path, run_id)
-    row = result.decision.first().asDict()
-    chosen = result.tuned if row["champion"] == "tuned" else result.baseline
-    chosen.write().overwrite().save(model_path)
+    with job_folder(spark, "validate"):
+        table = training_table(spark, glob)
+        result = compare_models(table.filter("split = 'train'"), table.filter("split = 'test'"),
+                                _LABEL, _KEY, require_improvement=require_improvement)
+        files.write_scores(result.scores, scores_path, run_id)
+        row = result.decision.first().asDict()
+        chosen = result.tuned if row["champion"] == "tuned" else result.baseline
+        chosen.write().overwrite().save(model_path)
     metrics = {k: row[k] for k in row if k.startswith(("p_", "stat_"))}
     runs.log_run(spark, log_path, run_id, run_ts, metrics, result.params,
                  {"champion": row["champion"], "result": row["result"]})
@@ -141,18 +156,53 @@ def pairs_job(spark, corpus_path, sink):
     files.write_overwrite(pairs, sink, partition_by=["split"])
 
 
-def evaluate_job(spark, generations, log_path, run_id, run_ts=None):
-    """Sweep report of generated texts, one logged run per parameter set."""
-    report = evaluate.sweep_report(generations)
-    for row in report.toLocalIterator():       # one row per parameter set
-        name = f"{run_id}-top_p={row['top_p']}-temp={row['temperature']}"
-        metrics = {k: row[k] for k in ("gramm_corr", "diversity", "positiv", "avg_gen_time")}
-        runs.log_run(spark, log_path, name, run_ts or datetime.now(), metrics,
-                     {"top_p": row["top_p"], "temperature": row["temperature"]},
-                     {"model_family": row["model_name"]})
+_SWEEP = ("model_name", "top_p", "temperature")
+
+
+def sweep_log(report, run_id, run_ts):
+    """Run log rows of a sweep report: one run per parameter set."""
+    entry = lambda kind, name, value: F.struct(
+        F.lit(kind).alias("kind"), F.lit(name).alias("name"), F.col(value).cast("string").alias("value"))
+    entries = [entry("metric", c, c) for c in ("gramm_corr", "diversity", "positiv", "avg_gen_time")]
+    entries += [entry("param", c, c) for c in _SWEEP[1:]] + [entry("tag", "model_family", "model_name")]
+    name = F.concat(F.lit(f"{run_id}-top_p="), F.col("top_p").cast("string"),
+                    F.lit("-temp="), F.col("temperature").cast("string"))
+    return report.select(name.alias("run_id"), F.lit(run_ts).cast("timestamp").alias("ts"),
+                         F.inline(F.array(*entries)))
+
+
+def evaluate_job(spark, generations, log_path, run_id, run_ts=None, texts_path=None):
+    """Sweep report of generated texts, one logged run per parameter set in one append;
+    with ``texts_path`` also the texts with their own diversity."""
+    report = materialise(evaluate.sweep_report(generations), "sweep")
+    sweep_log(report, run_id, run_ts or datetime.now()).coalesce(1).write.mode("append").parquet(log_path)
+    if texts_path:
+        files.write_overwrite(evaluate.text_diversity(generations, by=_SWEEP).drop("embedding"), texts_path)
     return report
 
 
+def reconcile_job(spark, source, target, sink, source_prefix=""):
+    """Status of every key of two listing files; returns the count of each status."""
+    files.write_overwrite(reconcile.compare(files.read_listing(spark, source), files.read_listing(spark, target),
+                                            source_prefix), sink)
+    return {r["status"]: r["count"] for r in spark.read.parquet(sink).groupBy("status").count().collect()}
+
+
+def arrivals_job(spark, source, staging, checkpoint, sink, dedup="between"):
+    """Clean the transaction files that arrived since the last run; ``sink`` then holds the
+    cleaned rows of all files seen so far."""
+    cleaning.clean_arrivals(streams.file_stream(spark, source, schemas.TRANSACTIONS, fmt="csv", comment="#"),
+                            staging, checkpoint, dedup)
+    files.write_overwrite(cleaning.read_cleaned(spark, staging, dedup), sink)
+
+
+def score_job(spark, source, model_path, sink, checkpoint, threshold=None):
+    """Scores of the transaction files that arrived since the last run, appended to ``sink``."""
+    stream = streams.file_stream(spark, source, schemas.TRANSACTIONS, fmt="csv", comment="#").na.drop("any")
+    scored = scoring.score_stream(PipelineModel.load(model_path), stream, threshold)
+    streams.drain(scored.select(_KEY, "score"), sink, checkpoint)
+
+
 def click_job(messages, checkpoint, options, fmt="kafka", interval=streams.INTERVAL,
               available_now=False):
     """Start the click stream: filter by country, project, re-key, write on.

@@ -6,10 +6,12 @@ hard-coded here except the semantics every operator relies on (UTC, AQE).
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 _DIR_KEY = "spark.checkpoint.dir"
+_JOBS = []          # folders of the running jobs, innermost last
 
 
 def build_session(app_name, master=None, **conf):
@@ -43,8 +45,23 @@ def shared_dir(spark):
 
 
 def scratch_path(spark, name):
-    """A fresh path under the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder, or under the running job's folder there."""
+    root = _JOBS[-1] if _JOBS else shared_dir(spark)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def job_folder(spark, name):
+    """Intermediate tables written inside stand in one folder, which is deleted at the end;
+    nothing that reads them may be used later."""
+    folder = scratch_path(spark, f"job-{name}")
+    _JOBS.append(folder)
+    try:
+        yield folder
+    finally:
+        _JOBS.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df, name):

@@ -118,6 +118,39 @@ def test_reconcile_statuses(spark):
     assert {r.key for r in reconcile.missing_only(source, target, "p/").collect()} == {"c"}
 
 
+def test_links_under_all_quotes_cases_and_path_forms(spark):
+    page = """<A HREF='/one'>1</A><a class="m  x" href=two.html>2</a><a href="../three?q=1&amp;r=2#f">3</a>
+      <a href="?page=2">4</a><a href="#part">5</a><a href="//cdn.example/a">6</a><a href="mailto:a@b.c">7</a>
+      <a name="none">8</a><a title="a > b" class='m' href="./four/">9</a><a data-href="no" href="">x</a>
+      <script>"<a href='/hidden'>"</script><!-- <a href="/gone"> --><abbr href="/not">z</abbr>"""
+    df = spark.createDataFrame([(1, "https://s.example/a/b/c.html?x=1#y", page)], "page_id int, url string, html string")
+    assert [r.link for r in extract.discover_links(df).collect()] == [
+        "https://s.example/one", "https://s.example/a/b/two.html", "https://s.example/a/three?q=1&r=2#f",
+        "https://s.example/a/b/c.html?page=2", "https://s.example/a/b/c.html?x=1#part",
+        "https://cdn.example/a", "mailto:a@b.c", "https://s.example/a/b/four/"]
+    assert [r.link for r in extract.discover_links(df, "m").collect()] == [
+        "https://s.example/a/b/two.html", "https://s.example/a/b/four/"]
+
+
+def test_character_references(spark):
+    cases = {"&laquo;&raquo;&mdash;&#171;&#x2014;&apos;": "«»—«—'", "&amp;lt; &amp;amp;": "&lt; &amp;",
+             "a & b &nosuch; &": "a & b &nosuch; &", "&#0;&#x110000;": "\ufffd\ufffd", "&nbsp;&hellip;": "\u00a0…",
+             "": "", "&NotEqualTilde;": "≂̸"}
+    df = spark.createDataFrame([(k, v) for k, v in cases.items()] + [(None, None)], "raw string, want string")
+    got = df.select("raw", "want", extract.unescape("raw").alias("got")).collect()
+    assert [r.got for r in got] == [r.want for r in got]
+
+
+def test_rules_from_a_file(spark, tmp_path):
+    import json
+
+    path = tmp_path / "rules.json"
+    path.write_text(json.dumps([{"source": "tabs", "host": "tabs.example", "label": r"(?s)<h6>(.*?)</h6>", "text": r"(?s)^(.*)$",
+                                 "item": r'(?s)<div class="text_box">(.*?)</div>', "finish": "tabbed_cut"}]))
+    out = extract.extract_records(pages(spark), extract.load_rules(str(path)), "2024-03-02")
+    assert sorted((r.zodiac, r.horo) for r in out.collect()) == [("Рак", "Покой"), ("Рыбы", "")]
+
+
 def test_reconcile_tells_unknown_sizes_and_duplicate_keys(spark):
     listing = lambda rows: spark.createDataFrame(rows, "key string, size long")
     source = listing([("a", None), ("b", 10), ("b", 20), ("c", 5), ("c", 5), ("d", None), ("e", 1)])

@@ -282,7 +282,7 @@ def test_grid_report_marks_one_best(spark):
     best = max(report, key=lambda r: r.avg_auc)
     assert best.is_best and best.avg_auc > 0.85
     assert search.best_params() == {"regParam": best.reg_param, "elasticNetParam": best.elastic_net}
-    scored = model.score(search.model.bestModel, df)
+    scored = model.score(search.best, df)
     assert validate.weighted_auc(scored, "y", "score", "weight").first().auc > 0.85
     weighted = model.build_pipeline("y", ("a", "b"), weight="weight").fit(df)
     assert weighted.stages[-1].getWeightCol() == "weight"

@@ -22,10 +22,10 @@ ELASTIC_NETS = (0.6, 0.8)
 FOLDS = 2
 
 
-def build_pipeline(label, columns=FEATURES, weight=None):
+def build_pipeline(label, columns=FEATURES, weight=None, max_iter=MAX_ITER, tol=1e-6):
     """Scaling and regression. Class weights enter the fit only on request; by
     default they serve the evaluator alone."""
-    lr = LogisticRegression(labelCol=label, featuresCol="features", maxIter=MAX_ITER)
+    lr = LogisticRegression(labelCol=label, featuresCol="features", maxIter=max_iter, tol=tol)
     if weight:
         lr = lr.setWeightCol(weight)
     return Pipeline(stages=[*scaling_stages(columns), lr])
@@ -76,22 +76,23 @@ def with_fold(df, key, folds=FOLDS, salt="folds"):
 
 
 def cross_validate(train, label, key, weight="weight", columns=FEATURES, folds=FOLDS,
-                   parallelism=4, salt="folds"):
+                   parallelism=4, salt="folds", judge=None):
     """Grid search over hash-assigned folds, so a rerun sees the same folds.
 
     Scaling does not depend on the grid: it is fitted once per fold, on that fold's
     training side, and the fold's scaled vectors are written once for all points.
-    The best point is fitted again on all rows. Give it a stored table (see
+    ``judge`` maps scored validation rows to the metric (default: weighted AUC by
+    Spark ML). The best point is fitted again on all rows. Give it a stored table (see
     ``session.materialise``), not a long lineage.
     """
     pipeline = build_pipeline(label, columns)
     scaling, lr = Pipeline(stages=pipeline.getStages()[:-1]), pipeline.getStages()[-1]
-    grid, judge = build_grid(lr), evaluator(label, weight)
+    grid, judge = build_grid(lr), judge or evaluator(label, weight).evaluate
     folded = with_fold(train.select(*columns, label, weight, key), key, folds, salt)
 
     def metric(job):
         point, learn, check = job
-        return judge.evaluate(lr.copy(point).fit(learn).transform(check))
+        return judge(lr.copy(point).fit(learn).transform(check))
 
     metrics = []
     with ThreadPool(min(parallelism, len(grid))) as pool:

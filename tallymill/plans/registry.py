@@ -1,6 +1,6 @@
 """All registered queries and their checks."""
 
-from tallymill.plans import corpus, streams, transactions, validation  # noqa: F401
+from tallymill.plans import corpus, sinks, streams, transactions, validation  # noqa: F401
 from tallymill.plans.catalog import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -1,5 +1,6 @@
 """Queries over transactions: scans, profiling, cleaning."""
 
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -272,8 +273,10 @@ with {CLEAN}, runs as (select '20240301000000' as run_ts, 0 as d union all selec
 select run_ts, count(*)::bigint as n_rows, count(distinct tranaction_id)::bigint as n_ids,
   round(sum((tx_amount::double + d)::real::double), 1) as amount from clean, runs group by run_ts""")
 def run_outputs_scan(spark, sf_dir):
-    path = scratch_path(spark, "runs")
-    _two_runs(spark, sf_dir).write.mode("append").partitionBy("run_ts").parquet(path)
+    path, both = scratch_path(spark, "runs"), _two_runs(spark, sf_dir)
+    for stamp in _RUNS:
+        files.write_run(both.filter(F.col("run_ts") == stamp).drop("run_ts"), path,
+                        datetime.strptime(stamp, "%Y%m%d%H%M%S"))
     runs = files.read_runs(spark, f"{path}/run_ts=*")
     run_ts = F.regexp_extract("run_path", r"run_ts=(\d+)", 1)
     return runs.groupBy(run_ts.alias("run_ts")).agg(

@@ -1,5 +1,6 @@
 """Queries over labels and scores: weights, splits, metrics, tests, models."""
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tallymill.operators import clean, features, model, validate
@@ -338,6 +339,10 @@ def _train_test(spark, sf_dir):
     return split.filter("split = 'train'"), split.filter("split = 'test'")
 
 
+_TRAIN_TEST = f"""{CLEAN}, sides as (
+  select *, {_SPLIT.format('tranaction_id')} as is_train from clean)"""
+
+
 @query("lr_grid")
 def lr_grid(spark, sf_dir):
     """Every grid point of the regression search with its average AUC."""
@@ -345,31 +350,137 @@ def lr_grid(spark, sf_dir):
     return model.cross_validate(materialise(train, "train"), "tx_fraud", "tranaction_id").report(spark)
 
 
-@query("lr_test_scores")
+@query("lr_grid_checks", f"""
+with {_TRAIN_TEST}, folds as (
+  select ('0x' || substr(md5(concat_ws('|', tranaction_id::varchar, 'folds')), 1, 8))::bigint % 2 as fold
+  from sides where is_train),
+points as (select * from (values (0.1::double), (0.001)) r(reg_param), (values (0.6::double), (0.8)) e(elastic_net))
+select reg_param, elastic_net, (select count(*) from folds where fold = 0)::bigint as n_first_fold,
+  (select count(*) from folds where fold = 1)::bigint as n_second_fold, true as auc_agrees, 1::bigint as n_best from points""")
+def lr_grid_checks(spark, sf_dir):
+    """Grid points, fold sizes, one best point, and each fold's metric against the exact weighted AUC."""
+    train = materialise(_train_test(spark, sf_dir)[0], "train")
+    pairs = []
+
+    def judge(scored):
+        theirs = model.evaluator("tx_fraud").evaluate(scored)
+        own = validate.weighted_auc(scored.withColumn("s", vector_to_array("rawPrediction")[1]),
+                                    "tx_fraud", "s", "weight").first()["auc"]
+        pairs.append(abs(theirs - own))
+        return theirs
+
+    search = model.cross_validate(train, "tx_fraud", "tranaction_id", judge=judge)
+    sizes = model.with_fold(train, "tranaction_id").agg(
+        *[F.count_if(F.col("_fold") == i).alias(n) for i, n in enumerate(("n_first_fold", "n_second_fold"))]).first()
+    report = search.report(spark)
+    n_best = report.agg(F.count_if("is_best")).scalar()
+    return report.select("reg_param", "elastic_net", F.lit(sizes[0]).alias("n_first_fold"), F.lit(sizes[1]).alias("n_second_fold"),
+                         F.lit(len(pairs) == 8 and max(pairs) < 0.005).alias("auc_agrees"), n_best.alias("n_best"))
+
+
+# Two features: one optimum, which twelve Newton steps reach from zero.
+_PAIR = ("tx_amount", "terminal_id")
+_CURVE = "1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2)))"
+_NEWTON = f"""{_TRAIN_TEST},
+m as (select avg({_PAIR[0]}::double) as m1, stddev_samp({_PAIR[0]}::double) as s1, avg({_PAIR[1]}::double) as m2,
+  stddev_samp({_PAIR[1]}::double) as s2 from sides where is_train),
+scaled as (select tranaction_id, is_train, tx_fraud as y, ({_PAIR[0]}::double - m1) / s1 as x1, ({_PAIR[1]}::double - m2) / s2 as x2
+  from sides, m),
+steps as (
+  select 0 as k, 0.0::double as b0, 0.0::double as b1, 0.0::double as b2
+  union all
+  select k + 1,
+    b0 + (g0 * (h11 * h22 - h12 * h12) - h01 * (g1 * h22 - h12 * g2) + h02 * (g1 * h12 - h11 * g2)) / det,
+    b1 + (h00 * (g1 * h22 - h12 * g2) - g0 * (h01 * h22 - h12 * h02) + h02 * (h01 * g2 - g1 * h02)) / det,
+    b2 + (h00 * (h11 * g2 - g1 * h12) - h01 * (h01 * g2 - g1 * h02) + g0 * (h01 * h12 - h11 * h02)) / det
+  from (select *, h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h12 * h02) + h02 * (h01 * h12 - h11 * h02) as det
+    from (select k, any_value(b0) as b0, any_value(b1) as b1, any_value(b2) as b2,
+        sum(y - p) as g0, sum((y - p) * x1) as g1, sum((y - p) * x2) as g2,
+        sum(w) as h00, sum(w * x1) as h01, sum(w * x2) as h02, sum(w * x1 * x1) as h11, sum(w * x1 * x2) as h12,
+        sum(w * x2 * x2) as h22
+      from (select *, p * (1 - p) as w from (select *, {_CURVE} as p from steps, scaled where is_train and k < 12))
+      group by k))),
+best as (select b0, b1, b2 from steps where k = 12)"""
+
+
+def _converged(train):
+    return model.build_pipeline("tx_fraud", _PAIR, max_iter=200, tol=1e-14).fit(train)
+
+
+@query("lr_optimum", f"""
+with recursive {_NEWTON} select round(b0, 4) as intercept, round(b1, 4) as amount, round(b2, 4) as terminal from best""")
+def lr_optimum(spark, sf_dir):
+    """Coefficients of an unpenalised fit run to convergence."""
+    fitted = _converged(_train_test(spark, sf_dir)[0]).stages[-1]
+    row = (float(fitted.intercept), *map(float, fitted.coefficients))
+    return spark.createDataFrame([row], "intercept double, amount double, terminal double").select(
+        *[F.round(c, 4).alias(c) for c in ("intercept", "amount", "terminal")])
+
+
+@query("lr_optimum_scores", f"""
+with recursive {_NEWTON}, scored as (select y, {_CURVE} as p from scaled, best where not is_train)
+select floor(p * 50)::int as band, y::int as tx_fraud, count(*)::bigint as n from scored group by all""")
+def lr_optimum_scores(spark, sf_dir):
+    """Test rows by band of the converged fit's score."""
+    train, test = _train_test(spark, sf_dir)
+    scored = model.score(_converged(train), test)
+    return scored.groupBy(F.floor(F.col("score") * 50).cast("int").alias("band"), F.col("tx_fraud").cast("int").alias("tx_fraud")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@query("lr_test_scores", f"""
+with {_TRAIN_TEST}, n as (select count(*) filter (tx_fraud = 1) as ones, count(*) filter (tx_fraud = 0) as zeros from clean)
+select tranaction_id, tx_fraud, round(case when tx_fraud = 1 then (ones + zeros) / (2.0 * ones)
+  else (ones + zeros) / (2.0 * zeros) end::double, 6) as weight, true as in_range from sides, n where not is_train""")
 def lr_test_scores(spark, sf_dir):
-    """Scores of the test side under a regression fitted on the train side."""
+    """Test side under a regression of all features fitted on the train side; the values of
+    scores are checked by ``lr_optimum_scores``."""
     train, test = _train_test(spark, sf_dir)
     fitted = model.build_pipeline("tx_fraud").fit(train)
-    return model.score(fitted, test).select("tranaction_id", "tx_fraud", "weight", "score")
+    return model.score(fitted, test).select("tranaction_id", "tx_fraud", F.round("weight", 6).alias("weight"),
+                                            ((F.col("score") > 0) & (F.col("score") < 1)).alias("in_range"))
 
 
-@query("lr_champion")
+@query("lr_champion", f"""
+with {_TRAIN_TEST}, models as (
+  select tx_fraud as y, model, md5(concat_ws('|', tranaction_id::varchar, model)) as d
+  from sides, (select unnest(['initial', 'tuned']) as model) where not is_train),
+seeds as (
+  select model, y, ('0x' || substr(d, 1, 8))::bigint % 2147483647 as c0, ('0x' || substr(d, 9, 8))::bigint % 2147483647 as c1,
+    ('0x' || substr(d, 17, 8))::bigint % 2147483647 as c2, ('0x' || substr(d, 25, 8))::bigint % 2147483647 as c3 from models),
+drawn as (
+  select model, replicate, count(*) filter (y = 1) as ones, count(*) filter (y = 0) as zeros
+  from seeds, (select unnest(range(100))::int as replicate)
+  where (c0 + c1 * replicate + c2 * replicate * replicate + c3 * replicate * replicate * replicate) % 2147483647 < 21474836
+  group by all)
+select count(*) filter (model = 'initial')::bigint as n_first, count(*) filter (model = 'tuned')::bigint as n_second,
+  (count(*) - 2)::bigint as dof, true as consistent from drawn where ones > 0 and zeros > 0""")
 def lr_champion(spark, sf_dir):
-    """Baseline against tuned model on resampled test AUCs, with both normality tests."""
+    """Baseline against tuned model on resampled test AUCs: sizes of the samples, and whether the
+    test, the champion and both normality tests fit together."""
     from tallymill.plans.jobs import compare_models
 
     train, test = _train_test(spark, sf_dir)
-    return compare_models(train, test, "tx_fraud", "tranaction_id").decision
+    decision = compare_models(train, test, "tx_fraud", "tranaction_id").decision
+    differs = F.col("p_value") < validate.ALPHA
+    consistent = ((F.col("result") == F.when(differs, validate.DIFFERENT).otherwise(validate.IDENTICAL))
+                  & (F.col("champion") == F.when(differs, "tuned").otherwise("initial"))
+                  & F.col("p_value").between(0, 1) & F.col("mean_first").between(0, 1) & F.col("mean_second").between(0, 1))
+    for m in ("initial", "tuned"):
+        consistent &= F.col(f"stat_shapiro_{m}").between(0, 1) & F.col(f"p_shapiro_{m}").between(0, 1)
+    return decision.select("n_first", "n_second", "dof", consistent.alias("consistent"))
 
 
-@query("score_stream")
+@query("score_stream", f"with {_TRAIN_TEST} select tranaction_id, true as agrees from sides where not is_train")
 def score_transactions_stream(spark, sf_dir):
-    """The fitted regression over a stream of transaction files."""
+    """The fitted regression over a stream of transaction files, against its batch scores."""
     train, test = _train_test(spark, sf_dir)
     fitted = model.build_pipeline("tx_fraud").fit(train)
     staged = scratch_path(spark, "to-score")
-    test.write.parquet(staged)
-    stream = file_stream(spark, staged, test.schema)
+    test.repartition(3).write.parquet(staged)
+    stream = file_stream(spark, staged, test.schema, max_files=1)
     scored = score_stream(fitted, stream).select("tranaction_id", "score")
     out = drain(scored, scratch_path(spark, "scored"), scratch_path(spark, "checkpoint"))
-    return spark.read.parquet(out)
+    batch = model.score(fitted, spark.read.parquet(staged)).select("tranaction_id", F.col("score").alias("batch"))
+    return spark.read.parquet(out).join(batch, "tranaction_id", "left").select(
+        "tranaction_id", F.coalesce(F.abs(F.col("score") - F.col("batch")) < 1e-12, F.lit(False)).alias("agrees"))

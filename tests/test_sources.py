@@ -256,3 +256,56 @@ def test_command_line():
     assert (args.job, args.source, args.sink, args.format, args.dedup) == ("clean", "in", "out", "parquet", "last")
     with pytest.raises(SystemExit):
         cli.parse(["unknown"])
+
+
+def test_new_commands():
+    args = cli.parse(["clicks", "b:1", "in", "out", "ck", "--starting-offsets", "latest", "--interval", "5 seconds", "--available-now"])
+    assert (args.starting_offsets, args.interval, args.available_now) == ("latest", "5 seconds", True)
+    assert cli.parse(["arrivals", "a", "b", "c", "d", "--dedup", "last"]).dedup == "last"
+    assert cli.parse(["score", "a", "b", "c", "d", "--threshold", "0.5"]).threshold == 0.5
+    assert cli.parse(["collect", "a", "b", "c"]).rules == "b"
+    assert cli.parse(["reconcile", "a", "b", "c", "--source-prefix", "p/"]).source_prefix == "p/"
+
+
+def test_grid_is_logged_and_intermediate_tables_are_removed(spark, cleaned_runs, tmp_path):
+    from tallymill.session import shared_dir
+
+    before = set(os.listdir(shared_dir(spark).removeprefix("file:")))
+    jobs.train_job(spark, f"{cleaned_runs}/runs/run_ts=*", str(tmp_path / "m"), str(tmp_path / "log"), "r", datetime(2024, 3, 3))
+    assert set(os.listdir(shared_dir(spark).removeprefix("file:"))) == before
+    names = {r.name for r in spark.read.parquet(str(tmp_path / "log")).collect()}
+    assert sum(n.startswith("aUROC_avg/regParam=") for n in names) == 4
+
+
+def test_reconcile_job(spark, tmp_path):
+    (tmp_path / "s.txt").write_text("2024-03-02 10:00:00 5 p/a\n2024-03-02 10:00:00 6 p/b\nTotal Objects: 2\n")
+    (tmp_path / "t.txt").write_text("2024-03-02 10:00:00 5 a\n")
+    counts = jobs.reconcile_job(spark, str(tmp_path / "s.txt"), str(tmp_path / "t.txt"), str(tmp_path / "out"), "p/")
+    assert counts == {"ok": 1, "missing": 1}
+
+
+def test_arrivals_and_scores_of_csv_files(spark, tmp_path):
+    from tallymill.operators import features, model
+
+    source, sink = str(tmp_path / "in"), str(tmp_path / "out")
+    tx = transactions(spark, "/root/testdata/sf0.001")
+    weighted = features.with_class_weight(clean.clean_transactions(tx), "tx_fraud")
+    model.build_pipeline("tx_fraud").fit(weighted).write().save(str(tmp_path / "m"))
+    for day in range(2):
+        (tx.filter(F.col("tranaction_id") % 2 == day).select(F.to_csv(F.struct(*tx.columns)).alias("value"))
+         .coalesce(1).write.mode("append").text(source))
+        jobs.arrivals_job(spark, source, str(tmp_path / "staging"), str(tmp_path / "ck"), sink)
+        jobs.score_job(spark, source, str(tmp_path / "m"), str(tmp_path / "scores"), str(tmp_path / "ck2"))
+    assert spark.read.parquet(sink).count() == 3930
+    assert spark.read.parquet(str(tmp_path / "scores")).count() == tx.na.drop("any").count()
+
+
+def test_evaluation_job_writes_the_texts(spark, tmp_path):
+    from tallymill.plans.views import generations
+
+    df = generations(spark, "/root/testdata/sf0.01")
+    jobs.evaluate_job(spark, df, str(tmp_path / "log"), "e", datetime(2024, 3, 2), str(tmp_path / "texts"))
+    texts = spark.read.parquet(str(tmp_path / "texts"))
+    assert texts.count() == df.count() and "diver" in texts.columns
+    log = spark.read.parquet(str(tmp_path / "log"))
+    assert log.count() == 3 * 7 and log.select("ts").distinct().count() == 1

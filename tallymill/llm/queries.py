@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tallymill.llm import decontaminate, langid, lines, mixing, pages, quality, quotes, sharding, simhash
+from tallymill.llm import decontaminate, langid, lines, mixing, pages, quality, quotes, sharding, simhash, vectors
 from tallymill.llm.common import table
 
 QUERIES = {}
@@ -98,6 +98,12 @@ LEFT JOIN threads t ON t.conv_id = o.conv_id AND t.turn = o.turn
 """
 
 
+@query
+def op4_projection_links(spark, sf_dir):
+    """Vectors with a cosine of at least 0.95, and their components."""
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op5_poisson_mix(spark, sf_dir):
     """All documents repeated by Poisson draws towards square-root weights of the sources' bytes."""

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tallymill.session import materialise
 
 MIN_WORDS = 50
+_BLANK = " \t\r\x0b\x0c"
 
 
 def _lines(text):
@@ -109,6 +110,13 @@ def _without(text, first, last):
             n = len(lines) + 1
             change = np.bincount(first, minlength=n) - np.bincount(np.asarray(last) + 1, minlength=n)
             inside = np.cumsum(change)[:-1] > 0
+            full = np.flatnonzero([bool(line.strip(_BLANK)) for line in lines])
+            if len(full) < len(lines):
+                at = np.searchsorted(full, np.arange(len(lines)))
+                before, after = inside[full[np.maximum(at - 1, 0)]], inside[full[np.minimum(at, len(full) - 1)]]
+                between = before & after & (at > 0) & (at < len(full))
+                between[full] = inside[full]
+                inside = between
             kept_texts.append("\n".join([line for line, gone in zip(lines, inside.tolist()) if not gone]))
             removed.append(int(inside.sum()))
         return pd.DataFrame({"text": kept_texts, "n_removed": np.array(removed, np.int32)})
@@ -122,8 +130,8 @@ def remove_repeated(docs, min_words=MIN_WORDS):
     Deleted are the non-blank lines of every run of at least ``min_words`` words that
     also stands at a lower place (document id, then hash of the text, then line
     number; null ids come last).  Lines compare without white space at their ends.
-    Each line keeps at least its first occurrence.  Blank lines stay, except
-    inside a deleted run.  A null text stays null, an empty one empty, with
+    Each line keeps at least its first occurrence.  A blank line goes where the lines
+    before and after it go.  A null text stays null, an empty one empty, with
     ``n_lines`` 0.  Rows that share id and text are one document and come out alike.
     Other columns are not read.  An empty table gives no rows.
     """

@@ -8,14 +8,10 @@ enough words, and each placeholder value of the item must stand for one and the
 same value of the document everywhere, and the other way round.
 """
 
-import re
-
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import functions as F
 
-from tallymill.llm.common import text_blocks
 from tallymill.session import materialise
 
 WINDOW = 8
@@ -28,55 +24,110 @@ UNITS = """% percent km m cm mm mi mile miles ft feet foot inch inches yd yard y
 l ml liter liters litre litres gallon gallons s sec second seconds min minute minutes h hr hour hours day days week weeks
 month months year years mph kmh kph hz khz mhz ghz kb mb gb tb w kw mw v kv a ma j kj cal kcal n pa kpa bar c f k
 dollar dollars cent cents euro euros usd eur gbp"""
-_UNITS = frozenset(UNITS.split())
-_TOKEN = re.compile(r"\d[\d.,]*\d|\d|[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?:;\n\"“”«»(\[|>*#$%&]")
-_WORD, _UNIT_WORD, _CAPITAL, _NUMBER, _PERCENT, _MARK = range(6)
-_KIND = np.uint64(7)
-NUMBER, UNIT, NAME = (np.uint64(xxhash.xxh64_intdigest(k)) & ~_KIND for k in (b"\0number", b"\0unit", b"\0name"))
-
-
-class Vocabulary(dict):
-    """Tokens to 64-bit hashes of their lower case with the kind of token in the last three bits.
-
-    Filled as tokens come up, and emptied when it gets large."""
-    KEEP = 300_000
-
-    def __missing__(self, token):
-        if len(self) > self.KEEP:
-            self.clear()
-        plain, head = token.lower(), token[0]
-        if head.isdigit():
-            kind = _NUMBER
-        elif head == "%":
-            kind = _PERCENT
-        elif not head.isalpha():
-            kind = _MARK
-        elif head != plain[0] and token[1:] == plain[1:] and len(token) > 1:
-            kind = _CAPITAL
-        else:
-            kind = _UNIT_WORD if plain in _UNITS else _WORD
-        value = xxhash.xxh64_intdigest(plain.encode("utf-8", "surrogatepass")) & ~7 | kind
-        self[token] = value
-        return value
-
-
-def template(text, vocabulary):
-    """(tokens, hashes, literal): the words of a text, the hash of each word or placeholder, and
-    whether it stands for itself.
-
-    A capitalised word is a name unless it begins the text or follows a mark that may
-    end a sentence; a unit or percent sign counts as one right after a number."""
-    tokens = _TOKEN.findall(text)
-    coded = np.fromiter(map(vocabulary.__getitem__, tokens), np.uint64, len(tokens))
-    kind, hashes = (coded & _KIND).astype(np.int8), coded & ~_KIND
-    before = np.concatenate([[_MARK], kind[:-1]]) if len(kind) else kind
-    after_number = before == _NUMBER
-    name = (kind == _CAPITAL) & (before != _MARK) & (before != _PERCENT)
-    unit = after_number & ((kind == _UNIT_WORD) | (kind == _PERCENT))
-    number = kind == _NUMBER
-    hashes[name], hashes[unit], hashes[number] = NAME, UNIT, NUMBER
-    kept = np.flatnonzero((kind != _MARK) & ((kind != _PERCENT) | unit))
-    return [tokens[i] for i in kept] if len(kept) < len(tokens) else tokens, hashes[kept], ~(name | unit | number)[kept]
+_OTHER, _LETTER, _DIGIT, _MARK, _PERCENT, _APOSTROPHE, _DOT, _COMMA = range(8)
+_BLOCK_CHARS = 1 << 19
+_PIECE_CHARS = 1 << 20
+_MULTIPLIERS = np.random.default_rng(5).integers(1 << 62, 1 << 63, 65, dtype=np.uint64) | np.uint64(1)
+_TABLES = {}
+
+
+def _characters():
+    """Class and lower case of every code point.
+
+    Built once; functions that are sent to tasks take the filled tables along, so the
+    driver fills them first."""
+    if not _TABLES:
+        kinds, lower = np.zeros(0x110000, np.uint8), np.arange(0x110000, dtype=np.uint32)
+        for code in range(0x110000):
+            c = chr(code)
+            if c.isalnum():
+                kinds[code] = _DIGIT if c.isdecimal() else _LETTER
+                low = c.lower()
+                if len(low) == 1:
+                    lower[code] = ord(low)
+        for kind, members in ((_MARK, "!?:;\n\"“”«»([|>*#$&"), (_PERCENT, "%"), (_APOSTROPHE, "'’"), (_DOT, "."), (_COMMA, ",")):
+            kinds[[ord(c) for c in members]] = kind
+        _TABLES["kinds"], _TABLES["lower"] = kinds, lower
+    return _TABLES["kinds"], _TABLES["lower"]
+
+
+def _mix(hashes):
+    hashes = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return hashes ^ (hashes >> np.uint64(29))
+
+
+def _join_numbers(kinds):
+    """Dots and commas between digits become digits; other dots end sentences."""
+    at = np.flatnonzero((kinds == _DOT) | (kinds == _COMMA))
+    if len(at):
+        first = np.flatnonzero(np.diff(at, prepend=-2) != 1)
+        last = np.append(first[1:], len(at)) - 1
+        padded = np.concatenate([[_OTHER], kinds, [_OTHER]])
+        inside = (padded[at[first]] == _DIGIT) & (padded[at[last] + 2] == _DIGIT)
+        inside = np.repeat(inside, last - first + 1)
+        kinds[at] = np.where(inside, _DIGIT, np.where(kinds[at] == _DOT, _MARK, _OTHER))
+    at = np.flatnonzero(kinds == _APOSTROPHE)
+    if len(at):
+        padded = np.concatenate([[_OTHER], kinds, [_OTHER]])
+        kinds[at] = np.where((padded[at] == _LETTER) & (padded[at + 2] == _LETTER), _LETTER, _OTHER)
+
+
+def _word_hashes(codes, starts, lengths):
+    """Hash of each run of lower-cased code points."""
+    ends = np.cumsum(lengths)
+    before = ends - lengths
+    place = np.arange(ends[-1]) - np.repeat(before, lengths)
+    letters = codes[place + np.repeat(starts, lengths)]
+    sums = np.add.reduceat((letters.astype(np.uint64) + np.uint64(1)) * _MULTIPLIERS[place & 63], before)
+    return _mix(sums + lengths.astype(np.uint64) * _MULTIPLIERS[64])
+
+
+def _fixed(name):
+    codes = np.frombuffer(name.encode("utf-32-le"), np.uint32)
+    return _word_hashes(codes, np.array([0]), np.array([len(codes)]))[0]
+
+
+NUMBER, UNIT, NAME = (_fixed("\0" + name) for name in ("number", "unit", "name"))
+_UNIT_HASHES = np.array(sorted(_fixed(unit) for unit in UNITS.split() if unit != "%"), np.uint64)
+
+
+def template(text):
+    """(starts, ends, hashes, literal) of the words of a text: where each stands, the hash of the
+    word or of its placeholder, and whether it stands for itself.
+
+    Words are runs of letters, with apostrophes inside; numbers are runs of digits,
+    with dots and commas inside. A capitalised word is a name unless it begins the
+    text or follows a mark that may end a sentence; a unit or percent sign counts as
+    one right after a number, and other percent signs are marks."""
+    table, lower = _characters()
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    if not len(codes):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool)
+    kinds = table[codes]
+    _join_numbers(kinds)
+    starts = np.concatenate([[0], np.flatnonzero(kinds[1:] != kinds[:-1]) + 1])
+    kind, ends = kinds[starts], np.append(starts[1:], len(kinds))
+    token = np.flatnonzero((kind == _LETTER) | (kind == _DIGIT) | (kind == _PERCENT))
+    if not len(token):
+        return starts[:0], ends[:0], np.zeros(0, np.uint64), np.zeros(0, bool)
+    marked = np.diff(np.cumsum(kind == _MARK)[token], prepend=-1) > 0
+    starts, ends, kind = starts[token], ends[token], kind[token]
+    before = np.where(marked, _MARK, np.concatenate([[_MARK], kind[:-1]]))
+    hashes = np.full(len(token), NUMBER, np.uint64)
+    words = np.flatnonzero(kind == _LETTER)
+    name, unit = np.zeros(len(token), bool), (kind == _PERCENT) & (before == _DIGIT)
+    if len(words):
+        low, lengths = lower[codes], ends[words] - starts[words]
+        hashes[words] = _word_hashes(low, starts[words], lengths)
+        capitals = np.concatenate([[0], np.cumsum(low != codes)])
+        head = low[starts[words]] != codes[starts[words]]
+        alone = capitals[ends[words]] - capitals[starts[words]] == 1
+        name[words] = head & alone & (lengths > 1) & (before[words] != _MARK) & (before[words] != _PERCENT)
+        measured = words[before[words] == _DIGIT]
+        unit[measured] = np.isin(hashes[measured], _UNIT_HASHES)
+    hashes[name], hashes[unit] = NAME, UNIT
+    kept = (kind != _PERCENT) | unit
+    return starts[kept], ends[kept], hashes[kept], ~(name | unit | (kind == _DIGIT))[kept]
 
 
 def runs(hashes, length):
@@ -86,43 +137,85 @@ def runs(hashes, length):
         return np.zeros(0, np.uint64)
     mixed = np.full(n, length, np.uint64)
     for k in range(length):
-        mixed = (mixed ^ hashes[k:k + n]) * np.uint64(0x9E3779B97F4A7C15)
-        mixed ^= mixed >> np.uint64(29)
+        mixed = _mix(mixed ^ hashes[k:k + n])
     return mixed
 
 
-def _windows(text, lengths, vocabulary, wanted=None):
-    """(hash, position, length, values) of windows with enough ordinary words; a value is empty for
-    an ordinary word.  ``wanted`` keeps only hashes whose bit is set in a filter."""
-    tokens, hashes, literal = template(text, vocabulary)
-    ordinary = np.concatenate([[0], np.cumsum(literal)])
-    for length in lengths:
-        mixed = runs(hashes, length)
-        if not len(mixed):
+def _pieces(text):
+    """A text cut into pieces of bounded size, after a line end or sentence where there is one."""
+    at = 0
+    while len(text) - at > _PIECE_CHARS:
+        end = at + _PIECE_CHARS
+        cut = max(text.rfind("\n", at, end) + 1, text.rfind(". ", at, end) + 2)
+        cut = cut if cut > at + 1 else end
+        yield at, text[at:cut]
+        at = cut
+    yield at, text[at:]
+
+
+def _templates(texts):
+    """(text number, starts, ends, hashes, literal) of the words of blocks of consecutive texts; a
+    text is never cut between blocks."""
+    block, held = [], 0
+    for i, text in enumerate(texts):
+        if len(text) > _PIECE_CHARS:
+            parts = [(at, *template(piece)) for at, piece in _pieces(text)]
+            starts, ends = (np.concatenate([p[0] + p[k] for p in parts]) for k in (1, 2))
+            yield (np.full(len(starts), i), starts, ends, *(np.concatenate([p[k] for p in parts]) for k in (3, 4)))
             continue
-        chosen = ordinary[length:] - ordinary[:-length] >= min(MIN_LITERALS, length)
-        if wanted is not None:
-            bits = (mixed & np.uint64(FILTER_BITS - 1)).astype(np.int64)
-            chosen &= (wanted[bits >> 3] >> (bits & 7).astype(np.uint8)) & 1 == 1
-        for at in np.flatnonzero(chosen).tolist():
-            yield (int(mixed[at].view(np.int64)), at, length,
-                   ["" if plain else t for t, plain in zip(tokens[at:at + length], literal[at:at + length])])
+        if held and held + len(text) > _BLOCK_CHARS:
+            yield _block(block)
+            block, held = [], 0
+        block.append((i, text))
+        held += len(text) + 1
+    if block:
+        yield _block(block)
+
+
+def _block(block):
+    numbers = np.array([i for i, _ in block])
+    first = np.concatenate([[0], np.cumsum([len(text) + 1 for _, text in block])[:-1]])
+    starts, ends, hashes, literal = template("\n".join(text for _, text in block))
+    of = np.searchsorted(first, starts, side="right") - 1
+    return numbers[of], starts - first[of], ends - first[of], hashes, literal
+
+
+def _windows(texts, lengths, wanted=None):
+    """(text number, hash, position, length, values) of windows with enough ordinary words; a value
+    is empty for an ordinary word.  ``wanted`` keeps only hashes whose bit is set in a
+    filter."""
+    for owner, starts, ends, hashes, literal in _templates(texts):
+        ordinary = np.concatenate([[0], np.cumsum(literal)])
+        first = np.searchsorted(owner, owner)
+        for length in lengths:
+            mixed = runs(hashes, length)
+            if not len(mixed):
+                continue
+            chosen = owner[length - 1:] == owner[:len(mixed)]
+            chosen &= ordinary[length:] - ordinary[:-length] >= min(MIN_LITERALS, length)
+            if wanted is not None:
+                bits = (mixed & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+                chosen &= (wanted[bits >> 3] >> (bits & 7).astype(np.uint8)) & 1 == 1
+            for at in np.flatnonzero(chosen).tolist():
+                text = texts[owner[at]]
+                yield (int(owner[at]), int(mixed[at].view(np.int64)), int(at - first[at]), length,
+                       ["" if literal[k] else text[starts[k]:ends[k]] for k in range(at, at + length)])
 
 
 def item_windows(benchmark, window=WINDOW):
     """``hash, item_id, item_pos, length, item_values, item_words``; an item shorter than the window is
     one window of its own length.  Items with equal texts give windows once, under their least id."""
+    _characters()
     items = benchmark.where("text is not null").groupBy("text").agg(F.min("item_id").alias("item_id"))
     schema = "item_id long, hash long, item_pos int, length int, item_values array<string>, item_words int"
 
     def cut(batches):
-        vocabulary = Vocabulary()
         for batch in batches:
             rows = []
             for item, text in zip(batch["item_id"], batch["text"]):
-                n = len(template(text, vocabulary)[0])
+                n = len(template(text)[0])
                 if n:
-                    rows += [(item, h, at, k, v, n) for h, at, k, v in _windows(text, [min(n, window)], vocabulary)]
+                    rows += [(item, *found, n) for _, *found in _windows([text], [min(n, window)])]
             yield pd.DataFrame(rows, columns=["item_id", "hash", "item_pos", "length", "item_values", "item_words"]
                                ).astype({"item_id": "Int64"})
 
@@ -145,20 +238,18 @@ def hits(docs, windows):
     """``doc_id, text_hash, doc_pos, doc_values`` with the item's columns, for windows of documents
     that equal a window of the benchmark.  A document's windows pass a bit filter of
     fixed size (the only thing broadcast) before they are shuffled."""
+    _characters()
     lengths = sorted(r["length"] for r in windows.select("length").distinct().collect())
     wanted = docs.sparkSession.sparkContext.broadcast(_filter(windows))
     schema = "doc_id long, text_hash long, hash long, doc_pos int, length int, doc_values array<string>"
 
     def cut(batches):
-        vocabulary, bits = Vocabulary(), wanted.value
+        bits = wanted.value
         for batch in batches:
-            encoded = batch["text"].str.len().fillna(0).tolist()
-            for a, b in text_blocks([range(int(n)) for n in encoded]):
-                part, rows = batch.iloc[a:b], []
-                for doc, key, text in zip(part["doc_id"], part["text_hash"], part["text"]):
-                    rows += [(doc, key, *found) for found in _windows(text, lengths, vocabulary, bits)]
-                yield pd.DataFrame(rows, columns=["doc_id", "text_hash", "hash", "doc_pos", "length", "doc_values"]
-                                   ).astype({"doc_id": "Int64"})
+            ids, keys = batch["doc_id"].tolist(), batch["text_hash"].tolist()
+            rows = [(ids[i], keys[i], *found) for i, *found in _windows(batch["text"].tolist(), lengths, bits)]
+            yield pd.DataFrame(rows, columns=["doc_id", "text_hash", "hash", "doc_pos", "length", "doc_values"]
+                               ).astype({"doc_id": "Int64"})
 
     found = (docs.where("text is not null")
              .select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")

@@ -85,12 +85,15 @@ def repeated_runs(docs, min_words=MIN_WORDS):
     that has any; overlapping spans make up a run."""
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "first")
     stored = materialise(winnow(docs, min_words), "windows")
-    fingerprints = (stored.groupBy("fingerprint").agg(F.min(F.struct("doc_id", "text_hash", "line")).alias("a"),
-                                                      F.max(F.struct("doc_id", "text_hash", "line")).alias("b"))
-                    .where("a <> b").select("fingerprint"))
+    # The repeated keys are written before they are joined: a join of two plain shuffles is one
+    # that adaptive execution can split at a fingerprint or window that very many texts share.
+    fingerprints = materialise(
+        stored.groupBy("fingerprint").agg(F.min(F.struct("doc_id", "text_hash", "line")).alias("a"),
+                                          F.max(F.struct("doc_id", "text_hash", "line")).alias("b"))
+        .where("a <> b").select("fingerprint"), "fingerprints")
     extended = stored.join(fingerprints, "fingerprint", "left_semi")
-    first_places = (extended.groupBy("window").agg(F.min(place).alias("a"), F.max(place).alias("b"))
-                    .where("a <> b").select("window", "a"))
+    first_places = materialise(extended.groupBy("window").agg(F.min(place).alias("a"), F.max(place).alias("b"))
+                               .where("a <> b").select("window", "a"), "first-places")
     later = extended.join(first_places, "window").where(place != F.col("a"))
     spans = F.sort_array(F.collect_set(F.struct("first", "last")))
     return later.groupBy("doc_id", "text_hash").agg(spans.alias("spans"))

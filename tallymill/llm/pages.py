@@ -186,8 +186,9 @@ def repeated_positions(keyed, min_run=MIN_RUN):
     stored = materialise(suffixes(keyed.select("page", "host", "html"), min_run), "suffixes")
     repeated = (stored.groupBy("run").agg(F.min("page").alias("a"), F.max("page").alias("b"))
                 .where("a <> b").select("run"))
-    return (stored.where("is_open").join(repeated, "run", "left_semi")
-            .groupBy("page").agg(F.collect_set("pos").alias("covered")))
+    covered = (stored.where("is_open").join(repeated, "run", "left_semi")
+               .groupBy("page").agg(F.collect_set("pos").alias("covered")))
+    return materialise(covered, "covered")
 
 
 def main_text(parts, covered, min_run=MIN_RUN):

@@ -1,0 +1,288 @@
+"""Line runs, pages, decontamination and quotations against plain forms."""
+
+import html
+import random
+import re
+
+import pytest
+from cases import LONG, awkward_documents, empty
+
+from tallymill.llm import decontaminate, lines, pages, quotes
+from tallymill.llm.common import table
+
+
+def plain_line_dedup(docs, min_words):
+    """Delete every line of a run of enough words that also stands at a lower place."""
+    parsed, first = [], {}
+    for i, (_, text) in enumerate(docs):
+        kept = [(at, line.strip(" \t\r\x0b\x0c"), len(line.split())) for at, line in enumerate(text.split("\n")) if line.split()]
+        parsed.append(kept)
+    def runs(kept):
+        for a in range(len(kept)):
+            words = 0
+            for b in range(a, len(kept)):
+                words += kept[b][2]
+                if words >= min_words:
+                    yield a, b, tuple(line for _, line, _ in kept[a:b + 1])
+    for i, kept in enumerate(parsed):
+        for a, _, run in runs(kept):
+            first.setdefault(run, (i, a))
+    out = {}
+    for i, (doc, text) in enumerate(docs):
+        gone = {parsed[i][k][0] for a, b, run in runs(parsed[i]) if first[run] != (i, a) for k in range(a, b + 1)}
+        full = [at for at, _, _ in parsed[i]]
+        gone |= {at for p, q in zip(full, full[1:]) if p in gone and q in gone for at in range(p + 1, q)}
+        out[doc] = "\n".join(line for at, line in enumerate(text.split("\n")) if at not in gone), len(gone)
+    return out
+
+
+@pytest.mark.parametrize("seed,min_words", [(1, 5), (2, 9), (3, 14)])
+def test_line_runs_match_the_plain_form(spark, seed, min_words):
+    rng = random.Random(seed)
+    pool = [" ".join(rng.choice("abc") for _ in range(rng.randint(0, 6))) + rng.choice(["", " ", "\t"]) for _ in range(9)]
+    docs = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randint(0, 14)))) for i in range(70)]
+    rows = lines.remove_repeated(spark.createDataFrame(docs, "doc_id long, text string"), min_words).collect()
+    want = plain_line_dedup(docs, min_words)
+    assert {r.doc_id: (r.text, r.n_removed) for r in rows} == want and sum(n for _, n in want.values()) > 20
+
+
+def test_line_runs_of_the_stored_documents(spark):
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    want = plain_line_dedup(sorted((r.doc_id, r.text) for r in docs.collect()), lines.MIN_WORDS)
+    assert {r.doc_id: (r.text, r.n_removed) for r in lines.remove_repeated(docs).collect()} == want
+
+
+def test_one_long_line_counts_as_a_run(spark):
+    passage = " ".join(f"w{i}" for i in range(60))
+    docs = [(1, f"own\n{passage}\nown too"), (2, f"else\n{passage}\nelse too"), (3, "w0 w1\nshort")]
+    got = {r.doc_id: r.text for r in lines.remove_repeated(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {1: docs[0][1], 2: "else\nelse too", 3: docs[2][1]}
+
+
+def test_line_runs_of_awkward_rows(spark):
+    docs = awkward_documents(spark, "spans", "first", "cut", "n_lines")
+    rows = lines.remove_repeated(docs, 3).collect()
+    assert len(rows) == docs.count()
+    by = {}
+    for r in rows:
+        by.setdefault(r.doc_id, []).append(r)
+    assert [(r.text, r.n_lines, r.n_removed) for r in by[2]] == [(None, 0, 0)] and by[3][0].text == "" and by[4][0].text == "   \n\t "
+    assert by[5][0].n_removed == 2999 and by[5][0].text.endswith("\nline of it\n")
+    plain = [r for r in by[1] if r.text.startswith("One")]
+    assert len(plain) == 2 and all(r.n_removed == 0 for r in plain)
+    assert lines.remove_repeated(empty(docs)).count() == 0
+
+
+def test_windows_cover_every_long_run():
+    rng = random.Random(8)
+    for _ in range(200):
+        words = [rng.randint(1, 9) for _ in range(rng.randint(0, 12))]
+        got = {tuple(w) for w in lines.line_windows(__import__("numpy").array(words, int), 10).tolist()}
+        runs = {(a, b) for a in range(len(words)) for b in range(a, len(words)) if sum(words[a:b + 1]) >= 10}
+        for a, b in runs:
+            inside = [w for w in got if a <= w[0] and w[1] <= b]
+            assert set(range(a, b + 1)) == {k for x, y in inside for k in range(x, y + 1)}
+        assert got <= runs
+
+
+ARTICLE = """<html><head><title>T</title><style>p{}</style></head><body class="with-sidebar"><header>Site</header>
+<nav><a href=x>Menu</a></nav><div class="cookie-notice">We use cookies</div><main><article><header><h1>Head&amp;line</h1></header>
+<p>First  para<b>graph</b> here.<br>Second &#8212; line.<div class="ad-box"><p>Buy now</p></div><p>Third &amp;lt; one</p>
+<aside>Aside</aside><form><input name=q>Find</form><script>"</article>"</script><ul><li>One<li>Two</ul>
+<section id="comments"><p>Great!</p></section></article></main><footer>&copy; Us</footer></body></html>"""
+
+
+def test_article_text():
+    text = pages.main_text(pages.blocks(ARTICLE), None)
+    assert text == "Head&line First paragraph here. Second — line. Third &lt; one One Two"
+
+
+def test_articles_of_the_stored_pages(spark, sf_dir):
+    stored = table(spark, sf_dir, "pages")
+    got = {r.page_id: r for r in pages.extract(stored).collect()}
+    for r in stored.collect():
+        inner = r.html.split("<article>", 1)[1].split("</article>")[0]
+        spaced = re.sub(r"</?(?:p|h1|br)>", " ", inner)
+        want = " ".join(html.unescape(re.sub(r"<[^>]+>", "", spaced)).split())
+        assert (got[r.page_id].text, got[r.page_id].n_chars, got[r.page_id].url) == (want, len(want), r.url)
+
+
+def test_repeated_runs_of_a_host_go_and_unique_ones_stay(spark):
+    rng = random.Random(4)
+    story = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(30))
+    stories = [story() for _ in range(8)]
+    shared = "<div>welcome to this place where all of our readers enjoy the news every day</div>"
+    page = lambda s: f"<body>{shared}<div><p>{s}</p></div><div>all rights are reserved by the owners of this very place</div></body>"
+    rows = [(k, f"http://host.example/{k}", page(s)) for k, s in enumerate(stories)]
+    rows += [(20, "http://other.example/1", page("only one page here so nothing is known to repeat"))]
+    rows += [(30 + k, f"http://marked.example/{k}", f"<article><p>{shared}</p></article>{shared}") for k in range(3)]
+    got = {r.page_id: r.text for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[k] for k in range(8)] == stories
+    assert got[20].startswith("welcome to this place") and got[20].endswith("very place")
+    inner = re.sub(r"<[^>]+>", "", shared)
+    assert {got[30 + k] for k in range(3)} == {inner}        # an article keeps its words, the repeat outside goes
+
+
+def test_pages_of_awkward_rows(spark):
+    rows = [(1, "http://h.example/a", None), (2, None, ""), (3, "x", "no tags & all"), (None, None, "<p>one"), (None, None, "<p>one"),
+            (4, "http://h.example/b", "<p>" + LONG + "<"), (5, "", "<div <p a='>b</p>" + "<" * 500), (6, "http://h.example/c", "<nav>only</nav>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 as page", "2 as covered", "'h' as host")
+    got = pages.extract(df).collect()
+    by = {r.page_id: r.text for r in got}
+    assert len(got) == len(rows) and (by[1], by[2], by[3], by[None], by[6]) == ("", "", "no tags & all", "one", "")
+    assert by[4] == " ".join(LONG.split()) + " <" and all(r.n_chars == len(r.text) for r in got)
+    assert pages.extract(empty(df)).count() == 0
+
+
+ITEM = "A train leaves Paris at 60 km per hour and meets another train after 3 hours of quiet travel through hills"
+
+
+def _found(spark, texts, items=((1, ITEM),)):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(items), "item_id long, text string")
+    return {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(docs, bench).collect()}
+
+
+def test_reparameterised_items_are_caught(spark):
+    changed = ITEM.replace("Paris", "Rome").replace("60 km", "7.5 mi").replace("3 hours", "12 days")
+    got = _found(spark, [
+        ITEM, f"Well then. {changed}. The end", ITEM.upper(), "Nothing of that kind stands here at all, I am sure",
+        ITEM.replace("quiet", "noisy"), " ".join(ITEM.split()[:10]), ITEM.replace("train", "horse")])
+    # Capitals keep thirteen words between the names; the fifth text keeps as many before its change.
+    assert set(got) == {(0, 1), (1, 1), (2, 1), (4, 1)}
+    assert got[1, 1].changed and not got[0, 1].changed
+
+
+def test_placeholders_must_be_consistent(spark):
+    item = "Anna gave 5 apples to her friend and then 5 pears to the same friend while walking home with Anna slowly"
+    items = ((1, f"so {item}"),)
+    same = lambda name, n: f"so {item}".replace("Anna", name).replace("5", n)
+    mixed = same("Berta", "8").replace("8 pears", "9 pears")
+    merged = ("so Bob gave 4 apples to his friend", "x")[1]
+    got = _found(spark, [same("Berta", "8"), mixed, same("Anna", "5"), merged], items)
+    assert set(got) == {(0, 1), (2, 1)}
+    two = "Tom has 3 dogs and 4 cats at home while his neighbour keeps 3 dogs and a bird in the yard"
+    got = _found(spark, [two.replace("4", "3"), two.replace("3", "6")], ((1, two),))
+    assert set(got) == {(1, 1)}                              # two values of the item may not become one
+
+
+def test_short_items_and_numbers_in_rows(spark):
+    items = ((1, "short item with only six words"), (2, "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16"), (3, None), (4, ""), (5, "?!"),
+             (6, "short item with only six words"))
+    got = _found(spark, ["Here is a short item with only six words, see", "9 8 7 6 5 4 3 2 1 0 9 8 7 6 5 4 3 2 1", None, "", "?!"], items)
+    assert set(got) == {(0, 1)}
+
+
+def test_template_against_a_plain_scanner():
+    token = re.compile(r"\d[\d.,]*\d|\d|[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?:;\n\"“”«»(\[|>*#$&%]")
+    units = set(decontaminate.UNITS.split())
+
+    def plain(text):
+        out, before = [], "mark"
+        for match in token.finditer(text):
+            word = match.group()
+            low = "".join(c.lower() if len(c.lower()) == 1 else c for c in word)
+            if word[0].isdecimal():
+                out.append((match.start(), "number"))
+                before = "number"
+            elif word == "%":
+                out += [(match.start(), "unit")] if before == "number" else []
+                before = "percent"
+            elif not word[0].isalnum():
+                before = "mark"
+            else:
+                name = before not in ("mark", "percent") and word[0] != low[0] and word[1:] == low[1:] and len(word) > 1
+                out.append((match.start(), "unit" if before == "number" and low in units else "name" if name else None))
+                before = "word"
+        return out
+
+    rng = random.Random(1)
+    names = {int(decontaminate.NUMBER): "number", int(decontaminate.UNIT): "unit", int(decontaminate.NAME): "name"}
+    texts = ["".join(rng.choice("aBçÉ 5.,%'’-_\nkm!İß²٣") for _ in range(120)) for _ in range(300)] + ["", " ", "%", "5%", LONG, ITEM]
+    for text in texts:
+        starts, _, hashes, literal = decontaminate.template(text)
+        got = [(int(a), None if plain_word else names[int(h)]) for a, h, plain_word in zip(starts, hashes, literal)]
+        assert got == plain(text)
+
+
+def test_block_and_piece_sizes_do_not_change_windows(monkeypatch):
+    texts = ["", LONG[:20_000], "one two three four five six seven eight nine. Ten", "x", ITEM * 3] * 3
+    whole = sorted(decontaminate._windows(texts, [3, 8]))
+    monkeypatch.setattr(decontaminate, "_BLOCK_CHARS", 50)
+    monkeypatch.setattr(decontaminate, "_PIECE_CHARS", 5_000)
+    assert sorted(decontaminate._windows(texts, [3, 8])) == whole
+
+
+def test_passages_of_the_stored_benchmark(spark, sf_dir):
+    docs, bench = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench).collect()}
+    want = {(d.doc_id, b.item_id) for d in docs.collect() for b in bench.collect() if b.text in d.text}
+    assert found == want and len(want) > 20
+    kept = {r.doc_id for r in decontaminate.keep_clean(docs, bench).collect()}
+    assert kept == {r.doc_id for r in docs.collect()} - {i for i, _ in want}
+
+
+def test_decontamination_of_awkward_rows(spark):
+    docs = awkward_documents(spark, "pairs", "shift", "hash", "item_id")
+    bench = spark.createDataFrame([(1, LONG[:400]), (None, "One plain text with a few words in it."), (3, None)], "item_id long, text string")
+    found = decontaminate.contaminated(docs, bench).collect()
+    assert {r.doc_id for r in found} == {1, 5}
+    kept = decontaminate.keep_clean(docs, bench)
+    assert kept.columns == docs.columns and kept.count() == docs.count() - 3
+    for d, b in ((empty(docs), bench), (docs, empty(bench))):
+        assert decontaminate.contaminated(d, b).count() == 0 and decontaminate.keep_clean(d, b).count() == d.count()
+
+
+MESSAGES = [
+    (1, 0, "user", "hello there\nsecond line"), (1, 1, "assistant", "another message"),
+    (1, 2, "user", "> hello   there\n> second line\n\nmy answer"), (1, 3, "user", ">> hello there\n> my answer\nok then"),
+    (1, 4, "user", "new topic"), (1, 5, "user", "> unknown quote\nhm"), (1, 6, "user", "> ok then\nfine"), (1, 6, "user", "> ok then\nfine"),
+    (None, 3, "u", None), (2, None, "u", "> x"), (2, 1, None, ""), (3, 1, "a", "x\ny"), (3, 2, "b", "y\nz"),
+    (3, 3, "c", "> x\n> y\n> z\n>\n> > y\n  > z\nend"), (3, 5000, "c", ">x\n>y"), (3, 9000, "c", ">end\n>>x"), (4, 1, "a", "> later"),
+    (4, 2, "b", "later"), (5, 1, "a", LONG), (5, 2, "b", "> " + LONG.replace("\n", "\n> ") + "\nyes")]
+
+
+@pytest.fixture(scope="module")
+def messages(spark):
+    df = spark.createDataFrame(MESSAGES, "conv_id long, turn long, role string, text string")
+    return df.selectExpr("*", "'x' as message", "1 as thread", "2 as hash")
+
+
+def test_answers_and_threads(messages):
+    got = {(r.conv_id, r.turn): r for r in quotes.reply_ordered(messages).collect()}
+    assert {k: (r.reply_to, r.thread) for k, r in got.items() if k[0] == 1} == {
+        (1, 0): (None, 0), (1, 1): (None, 1), (1, 2): (0, 0), (1, 3): (2, 0), (1, 4): (None, 4), (1, 5): (None, 5), (1, 6): (3, 0)}
+    assert (got[3, 3].reply_to, got[3, 5000].reply_to, got[3, 9000].thread) == (2, 1, 2)
+    assert got[4, 1].reply_to is None and got[5, 2].reply_to == 1 and got[5, 2].content == "yes"
+    assert got[1, 3].content == "ok then" and (got[1, 3].n_quotes, got[1, 3].n_linked) == (2, 2)
+    assert got[1, 3].formatted == "<|im_start|>user\nok then<|im_end|>\n"
+
+
+def test_answers_match_the_sql(spark, messages):
+    import duckdb
+    import oracle
+
+    from tallymill.llm.queries import ORACLES
+
+    con = duckdb.connect()
+    con.execute("create table conversations(conv_id bigint, turn bigint, role varchar, text varchar)")
+    con.executemany("insert into conversations values (?, ?, ?, ?)", MESSAGES)
+    ours, theirs = oracle.compare(quotes.reply_ordered(messages), con, ORACLES["op3_reply_order"])
+    assert ours == theirs and len(ours[1]) == len(MESSAGES)
+
+
+def test_a_long_chain_and_a_repeated_line(spark):
+    chain = [(1, k, "u", f"> say {k - 1}\nsay {k}" if k else "say 0") for k in range(150)]
+    echo = [(2, k, "u", "ok" if k % 2 else "> ok\nok") for k in range(20_000)]
+    df = spark.createDataFrame(chain + echo, "conv_id long, turn long, role string, text string")
+    rows = quotes.reply_ordered(df).collect()
+    assert {r.thread for r in rows if r.conv_id == 1} == {0}
+    assert all(r.reply_to == (r.turn - 1 if r.turn and r.turn % 2 == 0 else None) for r in rows if r.conv_id == 2)
+    order = [(r.conv_id, r.thread, r.turn) for r in rows]
+    assert order == sorted(order)
+
+
+def test_quotes_of_awkward_tables(spark, messages):
+    assert quotes.reply_ordered(messages).count() == len(MESSAGES)
+    assert quotes.reply_ordered(empty(messages)).count() == 0
+    assert not [p for p in quotes.reply_ordered(messages)._jdf.queryExecution().toString().split() if "Python" in p]

@@ -27,7 +27,7 @@ from tallymill.llm.common import components
 from tallymill.session import materialise
 
 THRESHOLD = 0.95
-PROJECTIONS = 40
+PROJECTIONS = 32
 CELL_ROWS = 48
 TASK_ROWS = 2048
 BLOCK_ROWS = 4096
@@ -152,7 +152,9 @@ def _link_group(index, threshold, projection, cross, ids, copies, side, unit):
 
 
 def _units(values):
+    """Unit vectors in double precision; scaled first, so that no square over- or underflows."""
     x = np.array([np.asarray(v, np.float64) for v in values])
+    x /= np.abs(x).max(axis=1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -162,14 +164,8 @@ def usable(embedding):
     return F.coalesce(F.forall(embedding, finite) & F.exists(embedding, lambda x: x != 0), F.lit(False))
 
 
-def _scaled(embedding):
-    """A usable vector over its largest component, so that no square over- or underflows."""
-    top = F.array_max(F.transform(embedding, F.abs))
-    return F.transform(embedding, lambda x: x / top)
-
-
-def _dealt(index, task_rows, block_rows):
-    """Column function: one row per projection and task of a vector, with keys (projection, prefix)."""
+def _prefixes(index, task_rows):
+    """Column function: the cell prefix of a vector on every projection."""
     shift = min(index.bits, int(np.log2(max(1, task_rows // CELL_ROWS))))
 
     @F.pandas_udf("array<long>")
@@ -183,7 +179,7 @@ def _dealt(index, task_rows, block_rows):
 def link_distinct(vectors, index, threshold=THRESHOLD, task_rows=TASK_ROWS, block_rows=BLOCK_ROWS):
     """``vec_id, links, root`` per task for distinct usable vectors ``vec_id, vector, copies``."""
     dealt = vectors.select("vec_id", "vector", "copies", F.posexplode(
-        _dealt(index, task_rows, block_rows)("vector")).alias("projection", "prefix"))
+        _prefixes(index, task_rows)("vector")).alias("projection", "prefix"))
     keys = ["projection", "prefix"]
     sizes = dealt.groupBy(*keys).agg(F.count("*").alias("n"))
     crowded = materialise(sizes.where(F.col("n") > block_rows)
@@ -222,10 +218,12 @@ def near_duplicates(embeddings, threshold=THRESHOLD):
     has no component.  Rows that share an id and vector count as copies of each other.
     Other columns are not read.  An empty table gives no rows.
     """
-    rows = embeddings.select(F.col("vec_id").cast("bigint").alias("vec_id"),
-                             F.transform("embedding", lambda x: x.cast("double")).alias("embedding"))
+    known = dict(embeddings.dtypes)["embedding"] in ("array<float>", "array<double>")
+    rows = embeddings.select(
+        F.col("vec_id").cast("bigint").alias("vec_id"),
+        (F.col("embedding") if known else F.transform("embedding", lambda x: x.cast("double"))).alias("embedding"))
     able = rows.where(usable(F.col("embedding")) & F.col("vec_id").isNotNull())
-    able = able.select("vec_id", _scaled(F.col("embedding")).alias("vector"))
+    able = able.select("vec_id", F.col("embedding").alias("vector"))
     classes = materialise(able.groupBy("vector").agg(F.min("vec_id").alias("first_id"), F.count("*").alias("copies")), "vectors")
     lengths = [r["d"] for r in classes.select(F.size("vector").alias("d")).distinct().collect()]
     parts = []

@@ -16,8 +16,6 @@ _REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 # The references that pages hold most come first in the lookup.
 _COMMON = ["amp", "lt", "gt", "quot", "nbsp", "apos", "laquo", "raquo", "mdash", "ndash", "hellip", "copy", "middot"]
 
-_UNCOMMON = "&(#|(?!(?:" + "|".join(_COMMON) + ");)[A-Za-z])"
-
 
 def _named_references():
     """Map of all names to their characters; one JSON literal, which folds to one constant."""
@@ -55,10 +53,7 @@ def unescape(c):
 
     def one(x):
         decoded = F.transform(F.split(x, "&"), lambda part, i: F.when(i == 0, part).otherwise(decode(part)))
-        common = x
-        for name in [*_COMMON[1:], "amp"]:       # the ampersand last, so that nothing is decoded twice
-            common = F.replace(common, F.lit(f"&{name};"), F.lit(html5[f"{name};"]))
-        return F.when(x.rlike(_UNCOMMON), F.array_join(decoded, "")).otherwise(common)
+        return F.when(F.contains(x, F.lit("&")), F.array_join(decoded, "")).otherwise(x)
 
     # A one-element array names the text, which is thereby computed once.
     return F.get(F.transform(F.array(c), one), 0)

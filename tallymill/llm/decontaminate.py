@@ -2,7 +2,9 @@
 
 Texts become word templates: numbers, units after numbers, and capitalised words
 inside sentences become typed placeholders; other words are lower-cased.  Windows
-of template words are hashed and joined with the windows of the benchmark.  Hits
+of template words are hashed and joined with the windows of the benchmark, and so
+are the windows of the words as they stand, so that a copy is found however few
+of its words are ordinary.  Hits
 on one alignment of a document with an item are held together: they must cover
 enough words, and each placeholder value of the item must stand for one and the
 same value of the document everywhere, and the other way round.
@@ -99,26 +101,32 @@ def template(text):
     with dots and commas inside. A capitalised word is a name unless it begins the
     text or follows a mark that may end a sentence; a unit or percent sign counts as
     one right after a number, and other percent signs are marks."""
+    return _words(text)[:4]
+
+
+def _words(text):
+    """What ``template`` gives, and the hash of each word as it stands, in lower case."""
     table, lower = _characters()
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     if not len(codes):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool)
+        return (*np.zeros((2, 0), np.int64), np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros(0, np.uint64))
     kinds = table[codes]
     _join_numbers(kinds)
     starts = np.concatenate([[0], np.flatnonzero(kinds[1:] != kinds[:-1]) + 1])
     kind, ends = kinds[starts], np.append(starts[1:], len(kinds))
     token = np.flatnonzero((kind == _LETTER) | (kind == _DIGIT) | (kind == _PERCENT))
     if not len(token):
-        return starts[:0], ends[:0], np.zeros(0, np.uint64), np.zeros(0, bool)
+        return starts[:0], ends[:0], np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros(0, np.uint64)
     marked = np.diff(np.cumsum(kind == _MARK)[token], prepend=-1) > 0
     starts, ends, kind = starts[token], ends[token], kind[token]
     before = np.where(marked, _MARK, np.concatenate([[_MARK], kind[:-1]]))
-    hashes = np.full(len(token), NUMBER, np.uint64)
+    low = lower[codes]
+    plain = _word_hashes(low, starts, ends - starts)
+    hashes = np.where(kind == _DIGIT, NUMBER, plain)
     words = np.flatnonzero(kind == _LETTER)
     name, unit = np.zeros(len(token), bool), (kind == _PERCENT) & (before == _DIGIT)
     if len(words):
-        low, lengths = lower[codes], ends[words] - starts[words]
-        hashes[words] = _word_hashes(low, starts[words], lengths)
+        lengths = ends[words] - starts[words]
         capitals = np.concatenate([[0], np.cumsum(low != codes)])
         head = low[starts[words]] != codes[starts[words]]
         alone = capitals[ends[words]] - capitals[starts[words]] == 1
@@ -127,7 +135,7 @@ def template(text):
         unit[measured] = np.isin(hashes[measured], _UNIT_HASHES)
     hashes[name], hashes[unit] = NAME, UNIT
     kept = (kind != _PERCENT) | unit
-    return starts[kept], ends[kept], hashes[kept], ~(name | unit | (kind == _DIGIT))[kept]
+    return starts[kept], ends[kept], hashes[kept], ~(name | unit | (kind == _DIGIT))[kept], plain[kept]
 
 
 def runs(hashes, length):
@@ -154,14 +162,15 @@ def _pieces(text):
 
 
 def _templates(texts):
-    """(text number, starts, ends, hashes, literal) of the words of blocks of consecutive texts; a
-    text is never cut between blocks."""
+    """(text number, starts, ends, hashes, literal, plain) of the words of blocks of consecutive texts;
+    a text is never cut between blocks."""
     block, held = [], 0
     for i, text in enumerate(texts):
         if len(text) > _PIECE_CHARS:
-            parts = [(at, *template(piece)) for at, piece in _pieces(text)]
+            parts = [(at, *_words(piece)) for at, piece in _pieces(text)]
             starts, ends = (np.concatenate([p[0] + p[k] for p in parts]) for k in (1, 2))
-            yield (np.full(len(starts), i), starts, ends, *(np.concatenate([p[k] for p in parts]) for k in (3, 4)))
+            yield (np.full(len(starts), i), starts, ends,
+                   *(np.concatenate([p[k] for p in parts]) for k in range(3, len(parts[0]))))
             continue
         if held and held + len(text) > _BLOCK_CHARS:
             yield _block(block)
@@ -175,31 +184,35 @@ def _templates(texts):
 def _block(block):
     numbers = np.array([i for i, _ in block])
     first = np.concatenate([[0], np.cumsum([len(text) + 1 for _, text in block])[:-1]])
-    starts, ends, hashes, literal = template("\n".join(text for _, text in block))
+    starts, ends, *rest = _words("\n".join(text for _, text in block))
     of = np.searchsorted(first, starts, side="right") - 1
-    return numbers[of], starts - first[of], ends - first[of], hashes, literal
+    return numbers[of], starts - first[of], ends - first[of], *rest
 
 
 def _windows(texts, lengths, wanted=None):
-    """(text number, hash, position, length, values) of windows with enough ordinary words; a value
-    is empty for an ordinary word.  ``wanted`` keeps only hashes whose bit is set in a
-    filter."""
-    for owner, starts, ends, hashes, literal in _templates(texts):
+    """(text number, hash, position, length, values) of the readings of all windows: with placeholders,
+    if enough ordinary words remain, and word for word.  A value is empty for a word
+    that stands for itself.  ``wanted`` keeps only hashes whose bit is set in a filter."""
+    for owner, starts, ends, hashes, literal, plain in _templates(texts):
         ordinary = np.concatenate([[0], np.cumsum(literal)])
         first = np.searchsorted(owner, owner)
         for length in lengths:
-            mixed = runs(hashes, length)
-            if not len(mixed):
+            if len(owner) < length:
                 continue
-            chosen = owner[length - 1:] == owner[:len(mixed)]
-            chosen &= ordinary[length:] - ordinary[:-length] >= min(MIN_LITERALS, length)
-            if wanted is not None:
-                bits = (mixed & np.uint64(FILTER_BITS - 1)).astype(np.int64)
-                chosen &= (wanted[bits >> 3] >> (bits & 7).astype(np.uint8)) & 1 == 1
-            for at in np.flatnonzero(chosen).tolist():
-                text = texts[owner[at]]
-                yield (int(owner[at]), int(mixed[at].view(np.int64)), int(at - first[at]), length,
-                       ["" if literal[k] else text[starts[k]:ends[k]] for k in range(at, at + length)])
+            whole = owner[length - 1:] == owner[:len(owner) - length + 1]
+            n_ordinary = ordinary[length:] - ordinary[:-length]
+            # A window of ordinary words only has one and the same hash in both readings.
+            for words, itself, chosen in ((hashes, literal, n_ordinary >= min(MIN_LITERALS, length)),
+                                          (plain, np.ones(len(owner), bool), n_ordinary < length)):
+                mixed = runs(words, length)
+                chosen = chosen & whole
+                if wanted is not None:
+                    bits = (mixed & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+                    chosen &= (wanted[bits >> 3] >> (bits & 7).astype(np.uint8)) & 1 == 1
+                for at in np.flatnonzero(chosen).tolist():
+                    text = texts[owner[at]]
+                    yield (int(owner[at]), int(mixed[at].view(np.int64)), int(at - first[at]), length,
+                           ["" if itself[k] else text[starts[k]:ends[k]] for k in range(at, at + length)])
 
 
 def item_windows(benchmark, window=WINDOW):
@@ -257,11 +270,25 @@ def hits(docs, windows):
     return found.join(windows, ["hash", "length"])
 
 
+def _longest(at, length):
+    """Column of the most consecutive words that windows at sorted positions cover."""
+    zero = F.lit(0).cast("int")
+    start = F.struct(zero.alias("first"), zero.alias("end"), zero.alias("best"))
+
+    def step(run, p):
+        first = F.when(p <= run["end"], run["first"]).otherwise(p)
+        end = p + F.col(length)
+        return F.struct(first.alias("first"), end.alias("end"), F.greatest(run["best"], end - first).alias("best"))
+
+    return F.aggregate(at, start, step, lambda run: run["best"])
+
+
 def contaminated(docs, benchmark, window=WINDOW, min_words=MIN_WORDS):
     """``doc_id, text_hash, item_id, n_windows, item_from, item_to, doc_from, changed``: alignments of a
     document with an item that cover at least ``min_words`` words of it (all, if it has
-    fewer) with consistent placeholders.  ``changed`` tells that some placeholder has
-    another value than in the item.  Clean documents give no row.
+    fewer) with consistent placeholders.  Windows that overlap or adjoin cover all words
+    between them.  ``changed`` tells that some placeholder has another value than in the
+    item.  Clean documents give no row.
 
     Items with equal texts count once, under the least id.  Null, empty and wordless
     texts match nothing.  Repeated rows of a document are one document; a null
@@ -273,14 +300,14 @@ def contaminated(docs, benchmark, window=WINDOW, min_words=MIN_WORDS):
     aligned = (hits(docs, windows)
                .withColumn("pairs", F.filter(same, lambda p: (p["item_values"] != "") | (p["doc_values"] != "")))
                .groupBy("doc_id", "text_hash", "item_id", "item_words", (F.col("doc_pos") - F.col("item_pos")).alias("shift"))
-               .agg(F.countDistinct("item_pos").alias("n_windows"), F.min("item_pos").alias("item_from"),
-                    F.max(F.col("item_pos") + F.col("length")).alias("item_to"), F.min("doc_pos").alias("doc_from"),
+               .agg(F.array_sort(F.collect_set("item_pos")).alias("at"), F.min("doc_pos").alias("doc_from"),
                     F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"), F.max("length").alias("length")))
-    covered = F.col("n_windows") + F.col("length") - 1
+    covered = F.greatest(F.size("at") + F.col("length") - 1, _longest("at", "length"))
     one_to_one = ((F.size(F.array_distinct(F.transform("pairs", lambda p: p["item_values"]))) == F.size("pairs"))
                   & (F.size(F.array_distinct(F.transform("pairs", lambda p: p["doc_values"]))) == F.size("pairs")))
     return (aligned.where((covered >= F.least(F.lit(min_words), "item_words")) & one_to_one)
-            .select("doc_id", "text_hash", "item_id", "n_windows", "item_from", "item_to", "doc_from",
+            .select("doc_id", "text_hash", "item_id", F.size("at").cast("bigint").alias("n_windows"),
+                    F.array_min("at").alias("item_from"), (F.array_max("at") + F.col("length")).alias("item_to"), "doc_from",
                     F.exists("pairs", lambda p: p["item_values"] != p["doc_values"]).alias("changed")))
 
 

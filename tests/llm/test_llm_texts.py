@@ -173,6 +173,16 @@ def test_short_items_and_numbers_in_rows(spark):
     assert set(got) == {(0, 1)}
 
 
+def test_copies_dense_in_placeholders_are_caught(spark):
+    sums = "Compute 12 + 45 * 3 - 7 / 2 + 9 and round 8 to 5 then add 6 and 14"
+    short = "the sum of 3 and 4 and 5 6 7 8 9"
+    bridged = "we know that each of the boxes has 3 4 5 6 7 items inside of the big old barn"
+    got = _found(spark, [f"See this: {sums}. Done", f"Here {short} is", bridged, bridged.replace("5", "8"),
+                         re.sub(r"(\d+)", r"1\1", sums)], ((1, sums), (2, short), (3, bridged)))
+    assert set(got) == {(0, 1), (1, 2), (2, 3), (3, 3)}
+    assert not got[0, 1].changed and not got[2, 3].changed
+
+
 def test_template_against_a_plain_scanner():
     token = re.compile(r"\d[\d.,]*\d|\d|[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?:;\n\"“”«»(\[|>*#$&%]")
     units = set(decontaminate.UNITS.split())

@@ -105,18 +105,19 @@ def template(text):
 
 
 def _words(text):
-    """What ``template`` gives, and the hash of each word as it stands, in lower case."""
+    """What ``template`` gives, the hash of each word as it stands, in lower case, and whether it may
+    be a name that opens a text or sentence."""
     table, lower = _characters()
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     if not len(codes):
-        return (*np.zeros((2, 0), np.int64), np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros(0, np.uint64))
+        return (*np.zeros((2, 0), np.int64), np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros(0, np.uint64), np.zeros(0, bool))
     kinds = table[codes]
     _join_numbers(kinds)
     starts = np.concatenate([[0], np.flatnonzero(kinds[1:] != kinds[:-1]) + 1])
     kind, ends = kinds[starts], np.append(starts[1:], len(kinds))
     token = np.flatnonzero((kind == _LETTER) | (kind == _DIGIT) | (kind == _PERCENT))
     if not len(token):
-        return starts[:0], ends[:0], np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros(0, np.uint64)
+        return starts[:0], ends[:0], np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros(0, np.uint64), np.zeros(0, bool)
     marked = np.diff(np.cumsum(kind == _MARK)[token], prepend=-1) > 0
     starts, ends, kind = starts[token], ends[token], kind[token]
     before = np.where(marked, _MARK, np.concatenate([[_MARK], kind[:-1]]))
@@ -124,18 +125,20 @@ def _words(text):
     plain = _word_hashes(low, starts, ends - starts)
     hashes = np.where(kind == _DIGIT, NUMBER, plain)
     words = np.flatnonzero(kind == _LETTER)
-    name, unit = np.zeros(len(token), bool), (kind == _PERCENT) & (before == _DIGIT)
+    name, opens = np.zeros((2, len(token)), bool)
+    unit = (kind == _PERCENT) & (before == _DIGIT)
     if len(words):
         lengths = ends[words] - starts[words]
         capitals = np.concatenate([[0], np.cumsum(low != codes)])
         head = low[starts[words]] != codes[starts[words]]
         alone = capitals[ends[words]] - capitals[starts[words]] == 1
-        name[words] = head & alone & (lengths > 1) & (before[words] != _MARK) & (before[words] != _PERCENT)
+        capital, inside = head & alone & (lengths > 1), (before[words] != _MARK) & (before[words] != _PERCENT)
+        name[words], opens[words] = capital & inside, capital & ~inside
         measured = words[before[words] == _DIGIT]
         unit[measured] = np.isin(hashes[measured], _UNIT_HASHES)
     hashes[name], hashes[unit] = NAME, UNIT
     kept = (kind != _PERCENT) | unit
-    return starts[kept], ends[kept], hashes[kept], ~(name | unit | (kind == _DIGIT))[kept], plain[kept]
+    return starts[kept], ends[kept], hashes[kept], ~(name | unit | (kind == _DIGIT))[kept], plain[kept], opens[kept]
 
 
 def runs(hashes, length):
@@ -162,8 +165,8 @@ def _pieces(text):
 
 
 def _templates(texts):
-    """(text number, starts, ends, hashes, literal, plain) of the words of blocks of consecutive texts;
-    a text is never cut between blocks."""
+    """(text number, starts, ends, hashes, literal, plain, opens) of the words of blocks of consecutive
+    texts; a text is never cut between blocks."""
     block, held = [], 0
     for i, text in enumerate(texts):
         if len(text) > _PIECE_CHARS:
@@ -189,38 +192,69 @@ def _block(block):
     return numbers[of], starts - first[of], ends - first[of], *rest
 
 
+def _readings(hashes, literal, plain, opens, length):
+    """(first words, hashes, stand, opened) of the readings of all windows; ``stand`` tells of each
+    word of a window whether it stands for itself, or is one such array for all words.
+
+    A window is read with placeholders, if enough ordinary words remain, and word for
+    word.  A capitalised word that opens a sentence may be an ordinary word or a name,
+    so a window is also read with every choice of its openers as names."""
+    least = min(MIN_LITERALS, length)
+    ordinary, openers = (np.concatenate([[0], np.cumsum(flags)]) for flags in (literal, opens))
+    n_ordinary, n_openers = ordinary[length:] - ordinary[:-length], openers[length:] - openers[:-length]
+    mixed = runs(hashes, length)
+    at = np.flatnonzero(n_ordinary >= least)
+    yield at, mixed[at], literal, False
+    # A window of ordinary words only has one and the same hash in both readings.
+    mixed = runs(plain, length)
+    at = np.flatnonzero(n_ordinary < length)
+    yield at, mixed[at], np.ones(len(plain), bool), False
+    n_names = np.minimum(n_openers, n_ordinary - least)
+    for count in np.unique(n_openers[n_names > 0]).tolist():
+        at = np.flatnonzero((n_openers == count) & (n_names > 0))
+        place = at[:, None] + np.arange(length)
+        words, itself, opening = hashes[place], literal[place], opens[place]
+        ordinal = np.where(opening, np.cumsum(opening, axis=1) - 1, length)
+        most = int(n_names[at].max())
+        for choice in range(1, 1 << count):
+            if choice.bit_count() > most:
+                continue
+            fits = n_names[at] >= choice.bit_count()
+            named = (choice >> ordinal[fits]) & 1 == 1
+            chosen = np.where(named, NAME, words[fits])
+            mixed = np.full(len(chosen), length, np.uint64)
+            for k in range(length):
+                mixed = _mix(mixed ^ chosen[:, k])
+            yield at[fits], mixed, itself[fits] & ~named, True
+
+
 def _windows(texts, lengths, wanted=None):
-    """(text number, hash, position, length, values) of the readings of all windows: with placeholders,
-    if enough ordinary words remain, and word for word.  A value is empty for a word
-    that stands for itself.  ``wanted`` keeps only hashes whose bit is set in a filter."""
-    for owner, starts, ends, hashes, literal, plain in _templates(texts):
-        ordinary = np.concatenate([[0], np.cumsum(literal)])
+    """(text number, hash, position, length, opened, values) of the readings of all windows; ``opened``
+    tells that an opener is read as a name, and a value is empty for a word that stands
+    for itself.  ``wanted`` keeps only hashes whose bit is set in a filter."""
+    for owner, starts, ends, *words in _templates(texts):
         first = np.searchsorted(owner, owner)
         for length in lengths:
             if len(owner) < length:
                 continue
-            whole = owner[length - 1:] == owner[:len(owner) - length + 1]
-            n_ordinary = ordinary[length:] - ordinary[:-length]
-            # A window of ordinary words only has one and the same hash in both readings.
-            for words, itself, chosen in ((hashes, literal, n_ordinary >= min(MIN_LITERALS, length)),
-                                          (plain, np.ones(len(owner), bool), n_ordinary < length)):
-                mixed = runs(words, length)
-                chosen = chosen & whole
+            for begin, mixed, stand, opened in _readings(*words, length):
+                chosen = owner[begin + length - 1] == owner[begin]
                 if wanted is not None:
                     bits = (mixed & np.uint64(FILTER_BITS - 1)).astype(np.int64)
                     chosen &= (wanted[bits >> 3] >> (bits & 7).astype(np.uint8)) & 1 == 1
-                for at in np.flatnonzero(chosen).tolist():
-                    text = texts[owner[at]]
-                    yield (int(owner[at]), int(mixed[at].view(np.int64)), int(at - first[at]), length,
-                           ["" if itself[k] else text[starts[k]:ends[k]] for k in range(at, at + length)])
+                for i in np.flatnonzero(chosen).tolist():
+                    at = int(begin[i])
+                    text, itself = texts[owner[at]], stand[i] if stand.ndim == 2 else stand[at:at + length]
+                    yield (int(owner[at]), int(mixed[i].view(np.int64)), int(at - first[at]), length, opened,
+                           ["" if alone else text[starts[k]:ends[k]] for k, alone in zip(range(at, at + length), itself)])
 
 
 def item_windows(benchmark, window=WINDOW):
-    """``hash, item_id, item_pos, length, item_values, item_words``; an item shorter than the window is
+    """``hash, item_id, item_pos, length, item_opened, item_values, item_words``; an item shorter than the window is
     one window of its own length.  Items with equal texts give windows once, under their least id."""
     _characters()
     items = benchmark.where("text is not null").groupBy("text").agg(F.min("item_id").alias("item_id"))
-    schema = "item_id long, hash long, item_pos int, length int, item_values array<string>, item_words int"
+    schema = "item_id long, hash long, item_pos int, length int, item_opened boolean, item_values array<string>, item_words int"
 
     def cut(batches):
         for batch in batches:
@@ -229,7 +263,8 @@ def item_windows(benchmark, window=WINDOW):
                 n = len(template(text)[0])
                 if n:
                     rows += [(item, *found, n) for _, *found in _windows([text], [min(n, window)])]
-            yield pd.DataFrame(rows, columns=["item_id", "hash", "item_pos", "length", "item_values", "item_words"]
+            yield pd.DataFrame(rows, columns=["item_id", "hash", "item_pos", "length", "item_opened", "item_values",
+                                               "item_words"]
                                ).astype({"item_id": "Int64"})
 
     return items.mapInPandas(cut, schema)
@@ -248,20 +283,20 @@ def _filter(windows):
 
 
 def hits(docs, windows):
-    """``doc_id, text_hash, doc_pos, doc_values`` with the item's columns, for windows of documents
+    """``doc_id, text_hash, doc_pos, doc_opened, doc_values`` with the item's columns, for windows of documents
     that equal a window of the benchmark.  A document's windows pass a bit filter of
     fixed size (the only thing broadcast) before they are shuffled."""
     _characters()
     lengths = sorted(r["length"] for r in windows.select("length").distinct().collect())
     wanted = docs.sparkSession.sparkContext.broadcast(_filter(windows))
-    schema = "doc_id long, text_hash long, hash long, doc_pos int, length int, doc_values array<string>"
+    schema = "doc_id long, text_hash long, hash long, doc_pos int, length int, doc_opened boolean, doc_values array<string>"
 
     def cut(batches):
         bits = wanted.value
         for batch in batches:
             ids, keys = batch["doc_id"].tolist(), batch["text_hash"].tolist()
             rows = [(ids[i], keys[i], *found) for i, *found in _windows(batch["text"].tolist(), lengths, bits)]
-            yield pd.DataFrame(rows, columns=["doc_id", "text_hash", "hash", "doc_pos", "length", "doc_values"]
+            yield pd.DataFrame(rows, columns=["doc_id", "text_hash", "hash", "doc_pos", "length", "doc_opened", "doc_values"]
                                ).astype({"doc_id": "Int64"})
 
     found = (docs.where("text is not null")
@@ -287,7 +322,8 @@ def contaminated(docs, benchmark, window=WINDOW, min_words=MIN_WORDS):
     """``doc_id, text_hash, item_id, n_windows, item_from, item_to, doc_from, changed``: alignments of a
     document with an item that cover at least ``min_words`` words of it (all, if it has
     fewer) with consistent placeholders.  Windows that overlap or adjoin cover all words
-    between them.  ``changed`` tells that some placeholder has another value than in the
+    between them.  An alignment counts if it holds with the openers of sentences as
+    ordinary words, or else as names where that fits.  ``changed`` tells that some placeholder has another value than in the
     item.  Clean documents give no row.
 
     Items with equal texts count once, under the least id.  Null, empty and wordless
@@ -297,18 +333,29 @@ def contaminated(docs, benchmark, window=WINDOW, min_words=MIN_WORDS):
     """
     windows = materialise(item_windows(benchmark, window), "benchmark-windows")
     same = F.arrays_zip("item_values", "doc_values")
+    strict = ~(F.col("item_opened") | F.col("doc_opened"))
+    places = lambda kept: F.array_sort(F.collect_set(F.when(kept, F.col("item_pos"))))
+    values = lambda kept: F.array_distinct(F.flatten(F.collect_set(F.when(kept, F.col("pairs")))))
     aligned = (hits(docs, windows)
                .withColumn("pairs", F.filter(same, lambda p: (p["item_values"] != "") | (p["doc_values"] != "")))
                .groupBy("doc_id", "text_hash", "item_id", "item_words", (F.col("doc_pos") - F.col("item_pos")).alias("shift"))
-               .agg(F.array_sort(F.collect_set("item_pos")).alias("at"), F.min("doc_pos").alias("doc_from"),
-                    F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"), F.max("length").alias("length")))
-    covered = F.greatest(F.size("at") + F.col("length") - 1, _longest("at", "length"))
-    one_to_one = ((F.size(F.array_distinct(F.transform("pairs", lambda p: p["item_values"]))) == F.size("pairs"))
-                  & (F.size(F.array_distinct(F.transform("pairs", lambda p: p["doc_values"]))) == F.size("pairs")))
-    return (aligned.where((covered >= F.least(F.lit(min_words), "item_words")) & one_to_one)
-            .select("doc_id", "text_hash", "item_id", F.size("at").cast("bigint").alias("n_windows"),
-                    F.array_min("at").alias("item_from"), (F.array_max("at") + F.col("length")).alias("item_to"), "doc_from",
-                    F.exists("pairs", lambda p: p["item_values"] != p["doc_values"]).alias("changed")))
+               .agg(F.struct(places(strict).alias("at"), values(strict).alias("pairs")).alias("strict"),
+                    F.struct(places(F.lit(True)).alias("at"), values(F.lit(True)).alias("pairs")).alias("any"),
+                    F.max("length").alias("length")))
+
+    def holds(reading):
+        at, pairs = reading["at"], reading["pairs"]
+        covered = F.greatest(F.size(at) + F.col("length") - 1, _longest(at, "length"))
+        one_to_one = [F.size(F.array_distinct(F.transform(pairs, lambda p: p[side]))) == F.size(pairs)
+                      for side in ("item_values", "doc_values")]
+        return (F.size(at) > 0) & (covered >= F.least(F.lit(min_words), "item_words")) & one_to_one[0] & one_to_one[1]
+
+    found = F.when(holds(F.col("strict")), F.col("strict")).when(holds(F.col("any")), F.col("any"))
+    return (aligned.withColumn("found", found).where("found is not null")
+            .select("doc_id", "text_hash", "item_id", F.size("found.at").cast("bigint").alias("n_windows"),
+                    F.array_min("found.at").alias("item_from"), (F.array_max("found.at") + F.col("length")).alias("item_to"),
+                    (F.array_min("found.at") + F.col("shift")).alias("doc_from"),
+                    F.exists("found.pairs", lambda p: p["item_values"] != p["doc_values"]).alias("changed")))
 
 
 def keep_clean(docs, benchmark, window=WINDOW, min_words=MIN_WORDS):

@@ -183,6 +183,17 @@ def test_copies_dense_in_placeholders_are_caught(spark):
     assert not got[0, 1].changed and not got[2, 3].changed
 
 
+def test_names_that_open_sentences_are_slots(spark):
+    item = "Tom has 3 apples in a bag. Tom gives 2 of them to Ann. How many are left for Tom now?"
+    other = item.replace("Tom", "Bob").replace("Ann", "Sue").replace("3", "9").replace("2", "4")
+    short = "Rivers carry sand to the sea every year"
+    edged = "This small dog sleeps. The big cat of our house sits on a mat by the door all day"
+    got = _found(spark, [f"Question: {other}", f"they say {other}", f"We know Rivers{short[6:]} here", "Nothing of that kind",
+                         edged.replace("This", "The")], ((1, item), (2, short), (3, edged)))
+    assert set(got) == {(0, 1), (1, 1), (2, 2), (4, 3)}
+    assert got[0, 1].changed and not got[2, 2].changed
+
+
 def test_template_against_a_plain_scanner():
     token = re.compile(r"\d[\d.,]*\d|\d|[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?:;\n\"“”«»(\[|>*#$&%]")
     units = set(decontaminate.UNITS.split())

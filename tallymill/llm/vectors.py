@@ -10,6 +10,8 @@ The number of sign directions follows the number of vectors, so that windows hol
 about as many vectors at every size.  The collision count to demand is calibrated:
 partners at exactly the threshold are made for a bounded sample of the vectors,
 and the count is the largest that all but a small share of those pairs reach.
+Longer cells are shared by fewer partners, so projections are added until that
+count is at least one; a build that cannot reach it fails.
 
 Work is dealt by projection and cell prefix; a prefix with too many vectors is
 cut into blocks, and each pair of blocks is a task of its own.  A pair is verified
@@ -27,7 +29,8 @@ from tallymill.llm.common import components
 from tallymill.session import materialise
 
 THRESHOLD = 0.95
-PROJECTIONS = 32
+PROJECTIONS = 40
+MAX_PROJECTIONS = 1024
 CELL_ROWS = 48
 TASK_ROWS = 2048
 BLOCK_ROWS = 4096
@@ -65,7 +68,21 @@ def collisions(index, cells_a, at_a, cells_b, at_b):
 
 
 def build(sample, n_vectors, threshold=THRESHOLD, projections=PROJECTIONS, cell_rows=CELL_ROWS, recall=RECALL, seed=SEED):
-    """An index for about ``n_vectors`` unit vectors, calibrated on a sample of them."""
+    """An index for about ``n_vectors`` unit vectors, calibrated on a sample of them: with at least
+    ``projections``, and as many as it takes for the sample to reach ``recall``."""
+    while True:
+        index, reached = _calibrated(sample, n_vectors, threshold, projections, cell_rows, recall, seed)
+        if index.count >= 1:
+            return index
+        if projections >= MAX_PROJECTIONS:
+            raise ValueError(f"recall {recall} is out of reach for {n_vectors} vectors: "
+                             f"{projections} projections find {reached:.3f} of the sample's pairs at the threshold")
+        projections = min(projections + max(1, projections // 4), MAX_PROJECTIONS)
+
+
+def _calibrated(sample, n_vectors, threshold, projections, cell_rows, recall, seed):
+    """(index, share of the sample's pairs that collide at all); a count of zero tells that ``recall``
+    is not reached."""
     rng = np.random.default_rng(seed)
     dimension = sample.shape[1]
     bits = max(0, int(np.ceil(np.log2(max(1, n_vectors) / cell_rows))))
@@ -79,8 +96,9 @@ def build(sample, n_vectors, threshold=THRESHOLD, projections=PROJECTIONS, cell_
     size = np.linalg.norm(away, axis=1, keepdims=True)
     partner = threshold * base + np.sqrt(1 - threshold ** 2) * away / np.where(size > 0, size, 1)
     counts = collisions(index, *index.place(base), *index.place(partner)).sum(axis=1)
-    index.count = max(1, int(np.quantile(counts, 1 - recall, method="lower"))) if len(counts) else 1
-    return index
+    if len(counts):
+        index.count = int(np.quantile(counts, 1 - recall, method="lower"))
+    return index, float((counts > 0).mean()) if len(counts) else 1.0
 
 
 def _near_pairs(cells, at, width):

@@ -155,6 +155,25 @@ def test_links_reach_the_recall_and_hold_the_threshold(spark, spread):
     assert all(got[i].component_id <= i for i in got)
 
 
+@pytest.mark.parametrize("n_vectors", [10 ** 3, 10 ** 8, 10 ** 9])
+def test_recall_is_held_for_any_number_of_vectors(n_vectors):
+    rng = np.random.default_rng(9)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    index = vectors.build(unit(rng.normal(size=(512, 64))), n_vectors)
+    a, away = unit(rng.normal(size=(4000, 64))), rng.normal(size=(4000, 64))
+    away = unit(away - (away * a).sum(axis=1, keepdims=True) * a)
+    b = 0.95 * a + np.sqrt(1 - 0.95 ** 2) * away
+    hits = vectors.collisions(index, *index.place(a), *index.place(b)).sum(axis=1)
+    assert index.count >= 1 and (hits >= index.count).mean() >= vectors.RECALL - 0.01
+
+
+def test_a_recall_out_of_reach_fails(monkeypatch):
+    monkeypatch.setattr(vectors, "MAX_PROJECTIONS", vectors.PROJECTIONS)
+    x = np.random.default_rng(9).normal(size=(512, 64))
+    with pytest.raises(ValueError, match="recall 0.98 is out of reach"):
+        vectors.build(x / np.linalg.norm(x, axis=1, keepdims=True), 10 ** 10)
+
+
 def test_crowded_prefixes_are_split_without_loss(spark):
     x = _clustered(n_clusters=2, size=300, spread=0.02)
     rows = [(i, v.tolist(), 1) for i, v in enumerate(x)]

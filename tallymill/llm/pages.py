@@ -28,6 +28,7 @@ MIN_RUN = 6
 COVERED = 0.8
 
 DROPPED, ARTICLE, OPEN = range(3)
+PLAIN, UNLESS, NEVER = range(3)
 
 # Element and class names.
 _RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "object", "canvas", "video",
@@ -43,6 +44,11 @@ _WORDS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising
           "gdpr", "notice", "notices", "banner", "popup", "modal", "newsletter", "subscribe", "subscription", "signup", "share",
           "sharing", "social", "related", "recommended", "comment", "comments", "commentlist", "disqus", "widget", "widgets",
           "pagination", "pager", "masthead", "footer", "login", "search", "toolbar"}
+# A wrapper of these holds no article of the page, even where an article element stands in it.
+_NEVER = {"nav", "footer", "aside", "menu", "dialog", "head"}
+_NEVER_ROLES = {"navigation", "contentinfo", "complementary", "dialog", "alert", "alertdialog", "menu", "menubar"}
+_NEVER_WORDS = {"comment", "comments", "commentlist", "disqus", "related", "recommended"}
+_TEXT = {"p", "h1", "h2", "h3", "h4", "h5", "h6"}
 _OUTSIDE_WORDS = {"header", "topbar", "copyright", "legal"}
 _CLOSES_P = {"p", "div", "ul", "ol", "li", "dl", "table", "section", "article", "main", "header", "footer", "nav", "aside", "form",
              "h1", "h2", "h3", "h4", "h5", "h6", "pre", "blockquote", "figure", "hr", "address", "fieldset"}
@@ -54,31 +60,47 @@ _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\
 _SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
 
-def _is_boilerplate(name, attributes, in_article):
-    """Whether an element never holds article text, by its name, role, class and id."""
-    if name in _BOILERPLATE or (name == "header" and not in_article):
-        return True
+def _mark(name, attributes, in_article):
+    """PLAIN, or by name, role, class and id: UNLESS an element never holds article text but around an
+    article element, NEVER if not even then.
+
+    Class and id of paragraphs and headings of an article, and the id of its sections,
+    tell what the text is about."""
+    mark = NEVER if name in _NEVER else UNLESS if name in _BOILERPLATE or (name == "header" and not in_article) else PLAIN
     if not attributes.strip() or name in ("html", "body", "article", "main"):
-        return False
+        return mark
     for key, *values in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), values[0] or values[1] or values[2]
         if key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
-            return True
+            return NEVER
         if key == "role" and value.lower() in _ROLES:
-            return True
-        if key in ("class", "id"):
+            mark = max(mark, NEVER if value.lower() in _NEVER_ROLES else UNLESS)
+        if key in ("class", "id") and not (in_article and name in _TEXT):
             words = {w for part in value.split() for w in _SPLIT.split(part.lower())}
+            if words & _NEVER_WORDS:
+                return NEVER
+            if in_article and name == "section" and key == "id":
+                continue
             if words & _WORDS or (not in_article and words & _OUTSIDE_WORDS):
-                return True
-    return False
+                mark = max(mark, UNLESS)
+    return mark
 
 
 def blocks(html):
     """(text, state) of the blocks of a page in order; states DROPPED, ARTICLE, OPEN.
 
     References are decoded, white space is one space, empty blocks are left out.
-    Elements that are not closed end with the element around them or the page."""
-    out, buffer, stack = [], [], []  # stack: (name, state inside)
+    Elements that are not closed end with the element around them or the page. An
+    element around an article is not dropped for its name, class or id, except one of
+    those that hold other articles: menus, asides, footers, comments."""
+    out, around = _blocks(html, frozenset())
+    return _blocks(html, around)[0] if around else out
+
+
+def _blocks(html, kept):
+    """The blocks of a page, and where dropped elements around article elements begin; those in
+    ``kept`` are not dropped."""
+    out, buffer, stack, around = [], [], [], set()  # stack: (name, state inside, begin, in an element of NEVER)
     state, at = OPEN, 0
 
     def flush():
@@ -93,7 +115,7 @@ def blocks(html):
         if match is None:
             buffer.append(html[at:])
             flush()
-            return out
+            return out, around
         if match.start() > at:
             buffer.append(html[at:match.start()])
         at = match.end()
@@ -123,18 +145,26 @@ def blocks(html):
             if name not in _INLINE:
                 flush()
             continue
-        marked = state != DROPPED and _is_boilerplate(name, attributes, state == ARTICLE)
+        mark = _mark(name, attributes, state == ARTICLE)
+        marked = state != DROPPED and (mark == NEVER or (mark == UNLESS and match.start() not in kept))
         if name in _INLINE and not marked:
             continue
         flush()
         if name in _CLOSES_P and stack and stack[-1][0] == "p":
             stack.pop()
             state = stack[-1][1] if stack else OPEN
-            marked = state != DROPPED and _is_boilerplate(name, attributes, state == ARTICLE)
+            mark = _mark(name, attributes, state == ARTICLE)
+            marked = state != DROPPED and (mark == NEVER or (mark == UNLESS and match.start() not in kept))
         if attributes.endswith("/") and name not in ("p", "div"):
             continue
         inside = DROPPED if marked or state == DROPPED else ARTICLE if name in ("article", "main") else state
-        stack.append((name, inside))
+        never = mark == NEVER or bool(stack and stack[-1][3])
+        if name in ("article", "main") and inside == DROPPED and not never:
+            for _, held, begin, _ in reversed(stack):
+                if held != DROPPED or begin in around:
+                    break
+                around.add(begin)
+        stack.append((name, inside, match.start(), never))
         state = inside
 
 

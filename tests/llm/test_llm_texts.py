@@ -97,6 +97,22 @@ def test_article_text():
     assert text == "Head&line First paragraph here. Second — line. Third &lt; one One Two"
 
 
+@pytest.mark.parametrize("page,want", [
+    ("<form id='aspnetForm'><nav>Menu</nav><div><article><p>The text</p></article></div></form>", "The text"),
+    ("<div class='layout with-sidebar'><div class='no-share'><article>The text</article></div><aside>Else</aside></div>", "The text"),
+    ("<div id='page' class='no-sidebar'><main>The text</main></div><div class='sidebar'>Else</div>", "The text"),
+    ("<main><div class='with-sidebar'><article>The text</article></div></main>", "The text"),
+    ("<article><h2 id='social-history'>One</h2><section id='search'>Two</section><p class='notice-period'>Three</p></article>",
+     "One Two Three"),
+    ("<article>The text<div class='related'><article>Card</article></div></article><form><nav><article>Card</article></nav></form>",
+     "The text"),
+    ("<article>The text</article><div class='comments'><article>Great!</article></div><aside><article>Card</article></aside>",
+     "The text"),
+    ("<div hidden><article>Unseen</article></div><article>The text<div class='social'>Share</div></article>", "The text")])
+def test_wrappers_and_words_of_articles(page, want):
+    assert pages.main_text(pages.blocks(page), None) == want
+
+
 def test_articles_of_the_stored_pages(spark, sf_dir):
     stored = table(spark, sf_dir, "pages")
     got = {r.page_id: r for r in pages.extract(stored).collect()}

@@ -9,6 +9,12 @@ Suffixes of distinct pages that are neighbours there, with equal beginnings,
 mark a long repeated run; a block that repeated runs cover almost whole is
 boilerplate, and the unique ones stay.
 
+A page without an article element may have its whole text on other pages of the
+host: copies under other addresses, print views, quotations.  Such pages with
+equal streams are one page, a run needs ``MIN_PAGES`` of them to count as repeated,
+and what fewer pages repeat than the host's commonest blocks stays where it is the
+larger part of what those leave.
+
 The order is that of a shuffle by the hash of host and tokens: equal beginnings
 meet as one partially aggregated group, so neither a large host nor a menu that
 stands on all its pages fills a task.
@@ -25,7 +31,9 @@ from pyspark.sql import functions as F
 from tallymill.session import materialise
 
 MIN_RUN = 6
+MIN_PAGES = 3
 COVERED = 0.8
+COMMON = 0.5
 
 DROPPED, ARTICLE, OPEN = range(3)
 PLAIN, UNLESS, NEVER = range(3)
@@ -180,10 +188,12 @@ def outside_tokens(parts):
 
 
 def suffixes(pages, min_run=MIN_RUN):
-    """``page, run, pos, is_open``: the first tokens of every suffix of every page's stream outside
-    articles as one hash with the host; ``is_open`` where they touch an undecided block.  A
-    shorter stream is one run."""
-    schema = "page long, run long, pos int, is_open boolean"
+    """``page, source, site, run, pos, is_open``: the first tokens of every suffix of every page's stream
+    outside articles as one hash with the host; ``is_open`` where they touch an undecided
+    block.  A shorter stream is one run.  ``source`` tells pages apart: by their rows, and
+    without an article by their streams; ``site`` is the hash of the host."""
+    schema = "page long, source long, site long, run long, pos int, is_open boolean"
+    hashed = lambda text, seed: int(np.uint64(xxhash.xxh64_intdigest(text, seed)).view(np.int64))
 
     def cut(batches):
         for batch in batches:
@@ -193,15 +203,21 @@ def suffixes(pages, min_run=MIN_RUN):
                 tokens, owner = outside_tokens(parts)
                 is_open = [parts[i][1] == OPEN for i in owner]
                 seed = xxhash.xxh64_intdigest((host or "").encode("utf-8", "surrogatepass"))
+                site = int(np.uint64(seed).view(np.int64))
+                source = page if has_article(parts) else hashed("\0".join(tokens).encode("utf-8", "surrogatepass"), seed)
                 for pos in range(max(1, len(tokens) - min_run + 1) if tokens else 0):
                     run = "\0".join(tokens[pos:pos + min_run]).encode("utf-8", "surrogatepass")
-                    out.append((page, int(np.uint64(xxhash.xxh64_intdigest(run, seed)).view(np.int64)), pos,
-                                any(is_open[pos:pos + min_run])))
-            yield pd.DataFrame(out, columns=["page", "run", "pos", "is_open"])
+                    out.append((page, source, site, hashed(run, seed), pos, any(is_open[pos:pos + min_run])))
+            yield pd.DataFrame(out, columns=["page", "source", "site", "run", "pos", "is_open"])
 
     return pages.mapInPandas(cut, schema)
 
 
+def has_article(parts):
+    """Whether blocks hold text of an article element."""
+    return any(state == ARTICLE for _, state in parts)
+
+
 def _keyed(pages):
     """Pages with a hash of the whole row as ``page``, and their host."""
     return pages.select(
@@ -211,37 +227,58 @@ def _keyed(pages):
 
 
 def repeated_positions(keyed, min_run=MIN_RUN):
-    """``page, covered``: where runs that other pages of the host repeat begin in a page's stream, for
-    pages with undecided blocks among them."""
+    """``page, covered``: where runs that other pages of the host repeat begin in a page's stream, on
+    how many pages they stand, and whether that is near the most of any run of the host,
+    for pages with undecided blocks among them."""
     stored = materialise(suffixes(keyed.select("page", "host", "html"), min_run), "suffixes")
-    repeated = (stored.groupBy("run").agg(F.min("page").alias("a"), F.max("page").alias("b"))
-                .where("a <> b").select("run"))
-    covered = (stored.where("is_open").join(repeated, "run", "left_semi")
-               .groupBy("page").agg(F.collect_set("pos").alias("covered")))
+    # Written before the join, so that a run on very many pages can be split there.
+    counted = materialise(stored.groupBy("site", "run").agg(F.countDistinct("source").alias("n")).where("n > 1"), "counted-runs")
+    most = materialise(counted.groupBy("site").agg(F.max("n").alias("most")), "commonest-runs")
+    repeated = materialise(counted.join(most, "site").select("run", "n", (F.col("n") > F.col("most") * COMMON).alias("common")),
+                           "repeated-runs")
+    covered = (stored.where("is_open").join(repeated, "run")
+               .groupBy("page").agg(F.collect_set(F.struct("pos", "n", "common")).alias("covered")))
     return materialise(covered, "covered")
 
 
-def main_text(parts, covered, min_run=MIN_RUN):
-    """The article of a page's blocks, given where its repeated runs begin."""
-    open_blocks = [i for i, (_, state) in enumerate(parts) if state == OPEN]
+def _repeated_blocks(parts, starts, min_run):
+    """Undecided blocks that runs beginning at ``starts`` cover almost whole."""
+    _, owner = outside_tokens(parts)
+    inside = np.zeros(len(owner) + min_run + 1, np.int64)
+    np.add.at(inside, starts, 1)
+    np.add.at(inside, starts + min_run, -1)
+    hit = np.cumsum(inside)[:len(owner)] > 0
+    of, hits = np.bincount(owner, minlength=len(parts)), np.bincount(owner, weights=hit, minlength=len(parts))
+    return {i for i, (_, state) in enumerate(parts) if state == OPEN and hits[i] >= COVERED * of[i]}
+
+
+def main_text(parts, covered, on=None, common=None, min_run=MIN_RUN):
+    """The article of a page's blocks, given where its repeated runs begin, on how many pages each
+    stands, and whether it is common on the host."""
     dropped = set()
-    if open_blocks and covered is not None and len(covered):
-        _, owner = outside_tokens(parts)
-        inside = np.zeros(len(owner) + min_run + 1, np.int64)
-        np.add.at(inside, np.asarray(covered), 1)
-        np.add.at(inside, np.asarray(covered) + min_run, -1)
-        hit = np.cumsum(inside)[:len(owner)] > 0
-        of, hits = np.bincount(owner, minlength=len(parts)), np.bincount(owner, weights=hit, minlength=len(parts))
-        dropped = {i for i in open_blocks if hits[i] >= COVERED * of[i]}
+    if any(state == OPEN for _, state in parts) and covered is not None and len(covered):
+        starts = np.asarray(covered)
+        if has_article(parts):
+            dropped = _repeated_blocks(parts, starts, min_run)
+        else:
+            several = np.asarray(on) >= MIN_PAGES
+            dropped = _repeated_blocks(parts, starts[several], min_run)
+            commonest = _repeated_blocks(parts, starts[several & np.asarray(common, bool)], min_run)
+            size = lambda chosen: sum(len(parts[i][0].split()) for i in chosen)
+            alone = {i for i, (_, state) in enumerate(parts) if state == OPEN} - dropped
+            if size(dropped - commonest) > size(alone):
+                dropped = commonest
+            elif not alone:
+                dropped = set()
     return " ".join(text for i, (text, state) in enumerate(parts) if state != DROPPED and i not in dropped)
 
 
 def _extract(html, covered):
     @F.pandas_udf("string")
-    def text(htmls: pd.Series, wheres: pd.Series) -> pd.Series:
-        return pd.Series([main_text(blocks(h), w) for h, w in zip(htmls, wheres)], dtype=object)
+    def text(htmls: pd.Series, wheres: pd.Series, ons: pd.Series, commons: pd.Series) -> pd.Series:
+        return pd.Series([main_text(blocks(h), *runs) for h, *runs in zip(htmls, wheres, ons, commons)], dtype=object)
 
-    return text(html, covered)
+    return text(html, *(F.col(covered)[k] for k in ("pos", "n", "common")))
 
 
 def extract(pages):
@@ -249,7 +286,7 @@ def extract(pages):
 
     Null and empty pages and pages without text give the empty text.  A repeated
     row is one page to its host, so it is no evidence against itself; it gives a
-    repeated result.  Pages without a host share one.  Other columns are not read.
+    repeated result.  So are pages without an article that differ in markup only.  Pages without a host share one.  Other columns are not read.
     An empty table gives no rows.
     """
     keyed = _keyed(pages)

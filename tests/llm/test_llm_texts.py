@@ -139,6 +139,24 @@ def test_repeated_runs_of_a_host_go_and_unique_ones_stay(spark):
     assert {got[30 + k] for k in range(3)} == {inner}        # an article keeps its words, the repeat outside goes
 
 
+def test_copies_and_quotations_on_a_host_without_articles_stay(spark):
+    rng = random.Random(6)
+    words = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    menu, legal, story, quoted = words(12), words(10), words(40), words(15)
+    page = lambda *parts: "<body>" + "".join(f"<div>{p}</div>" for p in parts) + "</body>"
+    rows = [(k, f"http://a.example/{k}", page(menu, words(30), legal)) for k in range(8)]
+    rows += [(10 + k, f"http://a.example/story?page={k}", page(menu, story, legal)) for k in range(4)]       # equal copies
+    rows += [(20, "http://a.example/print", page(story)), (21, "http://a.example/print2", page("printed twice", story))]
+    rows += [(30 + k, f"http://a.example/q{k}", page(menu, words(30), quoted, legal)) for k in range(2)]
+    rows += [(40 + k, f"http://b.example/{k}", f"<body class=c{k}><div>{story}</div></body>") for k in range(5)]
+    got = {r.page_id: r.text for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert {got[k] for k in range(10, 14)} == {story} == {got[40 + k] for k in range(5)}
+    assert (got[20], got[21]) == (story, f"printed twice {story}")
+    for k in (30, 31):
+        assert got[k].endswith(quoted) and len(got[k].split()) == 45
+    assert all(len(got[k].split()) == 30 and menu not in got[k] for k in range(8))
+
+
 def test_pages_of_awkward_rows(spark):
     rows = [(1, "http://h.example/a", None), (2, None, ""), (3, "x", "no tags & all"), (None, None, "<p>one"), (None, None, "<p>one"),
             (4, "http://h.example/b", "<p>" + LONG + "<"), (5, "", "<div <p a='>b</p>" + "<" * 500), (6, "http://h.example/c", "<nav>only</nav>")]

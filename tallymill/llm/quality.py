@@ -236,8 +236,9 @@ def _encoded(texts):
 def _sample(docs, labels, per_class, max_lines):
     """Features of at most ``per_class`` labelled texts of each class outside the held-out fold.
 
-    Texts of more than ``max_lines`` lines do not teach.  Only feature arrays of this
-    bounded sample come to the driver."""
+    A repeated id teaches once, by its text of least hash.  A text of more than
+    ``max_lines`` lines teaches by that many consecutive lines from its middle.  Only
+    feature arrays of this bounded sample come to the driver."""
     known = (labels.where(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("label"))
              .where(F.col("doc_id").isNotNull() & ~held_out("doc_id")))
     order = F.xxhash64("doc_id")
@@ -248,19 +249,20 @@ def _sample(docs, labels, per_class, max_lines):
     def features(texts: pd.Series) -> pd.Series:
         out = []
         for text in _encoded(texts):
-            if text.count(b"\n") >= max_lines:
-                out.append([])
-                continue
+            spare = text.count(b"\n") + 1 - max_lines
+            if spare > 0:
+                text = b"\n".join(text.split(b"\n")[spare // 2:spare // 2 + max_lines])
             x, lengths, _ = line_features([text])
             out.append(np.concatenate([lengths[:, None], x], axis=1).ravel())
         return pd.Series(out)
 
     rows = (docs.select("doc_id", "text").join(picked, "doc_id")
-            .select("doc_id", "label", features("text").alias("f"))
-            .orderBy("doc_id").limit(2 * per_class).collect())
+            .groupBy("doc_id", "label").agg(F.min(F.struct(F.col("text").isNull().alias("no_text"), F.xxhash64("text").alias("hash"), "text"))
+                                            .alias("least"))
+            .select("doc_id", "label", features("least.text").alias("f"))
+            .orderBy("doc_id").collect())
     counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    # Texts that do not teach are left out here: as a filter, the test would run below the join.
-    texts = [(int(r["label"]), np.asarray(r["f"]).reshape(-1, N_FEATURES + 1)) for r in rows if len(r["f"])]
+    texts = [(int(r["label"]), np.asarray(r["f"]).reshape(-1, N_FEATURES + 1)) for r in rows]
     return texts, counts.get(1, 0) / max(1, sum(counts.values()))
 
 

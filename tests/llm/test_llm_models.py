@@ -100,6 +100,21 @@ def test_quality_of_awkward_rows(spark, field):
     assert quality.train(docs, one_kind).fitted is False
 
 
+def test_repeated_ids_and_long_texts_leave_both_labels(spark):
+    good = lambda k: f"The quiet river runs along the old town and number {k} of the boats is here.\n" * 3
+    bad = lambda k: f"%% $$ {k} ## @@ !! ^^\n" * 3
+    ids = [r["id"] for r in spark.range(400).where(~quality.held_out("id")).orderBy("id").limit(20).collect()]
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "doc_id long, quality int")
+    rows = [(i, (good if k % 2 else bad)(i)) for k, i in enumerate(ids)]
+    repeated = spark.createDataFrame(rows + rows[:1] * 60, "doc_id long, text string")
+    long = spark.createDataFrame([(i, t * 60) for i, t in rows], "doc_id long, text string")
+    for docs in (repeated, long):
+        texts, rate = quality._sample(docs, labels, 12, quality.MAX_SAMPLE_LINES)
+        assert sorted(label for label, _ in texts) == [0] * 10 + [1] * 10 and rate == 0.5
+        assert all(len(f) <= quality.MAX_SAMPLE_LINES for _, f in texts)
+        assert quality.train(docs, labels, 12).fitted
+
+
 def test_block_size_does_not_change_a_score(field):
     texts = [b"plain words here\nand there " * 5, b"", LONG.encode(), b"LOUD!! NOISE!!\nquiet line"] * 3
     whole = field.quality(texts)

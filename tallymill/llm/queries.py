@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from tallymill.llm import decontaminate, langid, lines, mixing, pages, quality, quotes, sharding, simhash, vectors
+from tallymill.llm import (
+    decontaminate, langid, licenses, lines, mixing, pages, quality, quotes, sharding, simhash, vectors)
 from tallymill.llm.common import table
 
 QUERIES = {}
@@ -166,3 +167,45 @@ def op10_template_matches(spark, sf_dir):
     found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.groupBy("doc_id", "text_hash", "item_id").agg(
         F.count("*").alias("n_places"), F.max("n_windows").alias("n_windows"), F.max("changed").alias("changed"))
+
+
+@query
+def op13_license_blocks(spark, sf_dir):
+    """Licenses that every document names, by phrases and by templates."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+_TEMPLATES = ", ".join(
+    f"('{label}', {licenses.template_words(text)}, {licenses.needed(len(licenses.template_words(text)), licenses.THRESHOLD)})"
+    for label, text in licenses.TEMPLATES)
+_PHRASES = ", ".join(f"('{label}', {phrase.split(' ')})" for phrase, label in licenses.PHRASES)
+ORACLES["op13_license_blocks"] = r"""
+WITH templates(label, t, need) AS (VALUES {templates}), phrases(label, p) AS (VALUES {phrases}),
+d AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered FROM documents),
+w AS (
+    SELECT r, doc_id, lowered, list_filter(string_split_regex(lowered, '{between}'), lambda x: x <> '') AS words FROM d),
+places AS (
+    SELECT r, p.label, unnest(list_filter(range(len(words)),
+           lambda i: list_slice(words, (i + 1)::BIGINT, (i + len(p.p))::BIGINT) = p.p)) AS place FROM w, phrases p),
+base AS (
+    SELECT r, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, list(DISTINCT label) AS labels
+    FROM places GROUP BY r),
+blocks AS (
+    SELECT r, unnest(string_split_regex(regexp_replace(lowered, '([.!?])[	- ]+', '' || chr(10) || chr(10), 'g'),
+                                        '
+[	- ]*
+')) AS block FROM d),
+sets AS (SELECT r, list_distinct(string_split_regex(block, '{between}')) AS words FROM blocks),
+met AS (
+    SELECT r, label, len(list_intersect(words, t))::DOUBLE / len(t)::DOUBLE AS share
+    FROM sets, templates WHERE len(list_intersect(words, t)) >= need),
+more AS (SELECT r, list(DISTINCT label) AS labels, max(share) AS share FROM met GROUP BY r)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+       last_word::BIGINT AS last_word, coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(more.labels, [])))), ','), '')
+           AS labels,
+       CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0::DOUBLE) END AS score
+FROM w LEFT JOIN base USING (r) LEFT JOIN more USING (r)
+""".replace("{templates}", _TEMPLATES).replace("{phrases}", _PHRASES).replace("{between}", licenses.BETWEEN_WORDS)

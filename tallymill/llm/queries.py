@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tallymill.llm import (
-    decontaminate, langid, licenses, lines, mixing, pages, quality, quotes, sharding, simhash, vectors)
+    decontaminate, langid, licenses, lines, mixing, pages, quality, quotes, sharding, simhash, spelling, vectors)
 from tallymill.llm.common import table
 
 QUERIES = {}
@@ -169,6 +169,12 @@ def op10_template_matches(spark, sf_dir):
         F.count("*").alias("n_places"), F.max("n_windows").alias("n_windows"), F.max("changed").alias("changed"))
 
 
+@query
+def op12_spelling_forms(spark, sf_dir):
+    """Words of all documents with their near words and the form that each is a variant of."""
+    return spelling.variants(spelling.corpus_words(table(spark, sf_dir, "documents")))
+
+
 @query
 def op13_license_blocks(spark, sf_dir):
     """Licenses that every document names, by phrases and by templates."""
@@ -193,9 +199,11 @@ base AS (
     SELECT r, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, list(DISTINCT label) AS labels
     FROM places GROUP BY r),
 blocks AS (
-    SELECT r, unnest(string_split_regex(regexp_replace(lowered, '([.!?])[	- ]+', '' || chr(10) || chr(10), 'g'),
+    SELECT r, unnest(string_split_regex(regexp_replace(lowered, '([.!?])[	-
+ ]+', '' || chr(10) || chr(10), 'g'),
                                         '
-[	- ]*
+[	-
+ ]*
 ')) AS block FROM d),
 sets AS (SELECT r, list_distinct(string_split_regex(block, '{between}')) AS words FROM blocks),
 met AS (

@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from tallymill.llm import (
-    decontaminate, langid, licenses, lines, mixing, pages, quality, quotes, sharding, simhash, spelling, vectors)
+    decontaminate, langid, licenses, lines, mixing, pages, quality, quotes, sharding, simhash, spelling,
+    structure, vectors)
 from tallymill.llm.common import table
 
 QUERIES = {}
@@ -169,6 +170,21 @@ def op10_template_matches(spark, sf_dir):
         F.count("*").alias("n_places"), F.max("n_windows").alias("n_windows"), F.max("changed").alias("changed"))
 
 
+@query
+def op11_lightest_repair(spark, sf_dir):
+    """Faults of damaged conversations, their cheapest repair and a digest of its result."""
+    messages = table(spark, sf_dir, "conversations")
+    report, repaired = structure.repair(structure.damage(messages))
+    hashes = structure.digests(repaired)
+    ids = messages.select("conv_id").distinct()
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return (ids.join(report, ids.conv_id.eqNullSafe(report.conv_id), "left")
+            .join(hashes, ids.conv_id.eqNullSafe(hashes.conv_id), "left")
+            .select(ids.conv_id, *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in numbers],
+                    F.coalesce("audit", F.lit("")).alias("audit"),
+                    F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")))
+
+
 @query
 def op12_spelling_forms(spark, sf_dir):
     """Words of all documents with their near words and the form that each is a variant of."""

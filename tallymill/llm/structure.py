@@ -192,7 +192,9 @@ def _blocks(keyed):
                        F.repeat(initial, F.col("n")).alias("initials"))
     grouped = marked.groupBy("conv_id", F.shiftright("place", BLOCK_BITS).alias("block")).agg(
         F.min("place").alias("at"), F.sort_array(F.collect_list(message)).alias("messages"),
-        F.min("turn").alias("least"), F.max("turn").alias("most"), F.count_distinct("turn").alias("turns"),
+        # As text: integers beside nulls would come to Python as floats.
+        F.min("turn").cast("string").alias("least"), F.max("turn").cast("string").alias("most"),
+        F.count_distinct("turn").alias("turns"),
         F.sum(F.when(F.col("blank"), F.col("n")).otherwise(0)).alias("blank"),
         F.sum(F.when(F.col("blank"), 0).otherwise(F.col("n") - F.when(repeated, 0).otherwise(1))).alias("duplicate"),
         F.sum(F.when(sound & F.col("short"), 1).otherwise(0)).alias("truncated"))
@@ -232,7 +234,7 @@ def _conversation(blocks):
                                        for b in blocks])
     turned = [b for b in blocks if b["least"] is not None]
     shared = sum(a["most"] == b["least"] for a, b in itertools.pairwise(turned))
-    gaps = (turned[-1]["most"] - turned[0]["least"] + 1 - sum(b["turns"] for b in turned) + shared) if turned else 0
+    gaps = (int(turned[-1]["most"]) - int(turned[0]["least"]) + 1 - sum(b["turns"] for b in turned) + shared) if turned else 0
     ends = [b["ends"] for b in blocks]
     illegal = sum(b["illegal"] for b in blocks) + _illegal("".join(ends)) - sum(_illegal(e) for e in ends)
     return {"gaps": gaps, **{c: sum(b[c] for b in blocks) for c in _SUMS}, "illegal": illegal, "cost": cost, "audit": audit,

@@ -5,7 +5,8 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from tallymill.functions import tags, text
-from tallymill.operators import clean, evaluate, extract, lookup, routing
+from tallymill.operators import clean, elements, evaluate, extract, lookup, routing
+from tallymill.operators.elements import ElementRule, Selector
 from tallymill.operators.extract import PageRule
 from tallymill.plans.catalog import query
 from tallymill.plans.views import CORPUS, GENERATIONS, corpus, generations, table
@@ -405,3 +406,63 @@ select model_name, top_p, temperature, count(*)::bigint as n_texts,
 from generations join d using (top_p, temperature) group by all""")
 def sweep_report(spark, sf_dir):
     return evaluate.sweep_report(generations(spark, sf_dir))
+
+
+# Pages whose layout nests: the stored title, menu and article inside the blocks of four sources.
+_TITLE, _ARTICLE = r"(?s)<title>(.*?)</title>", r"(?s)<article>(.*)</article>"
+_MENU = r"(?s)<nav>(.*?)</nav>"
+ELEMENT_RULES = (
+    ElementRule("cards", ".example.com", item=Selector(classes="IGRa5"), label=Selector(classes="_4K6U+ _9dcVo"),
+                text=Selector(classes="BDPZt KUbeq")),
+    ElementRule("columns", ".example.net", item=Selector(classes="col-xs-12 col-md-6"), label=Selector(classes="t"),
+                text=Selector(classes="text")),
+    ElementRule("boxes", ".example.org", item=Selector("div", "text_box"), label=Selector("h6")),
+    ElementRule("single", "", label=Selector("h1"), label_last_word=True, text=Selector(classes="p-3")),
+)
+_LAYOUTS = {
+    ".example.com": ['<div class="feed IGRa5"><nav class="_4K6U+">', "menu", '</nav><h3 class="_4K6U+ _9dcVo">', "title",
+                     '</h3><div class="BDPZt KUbeq"><div>', "article", '</div> <i>ok</i></div><div class="IGRa5 in">'
+                     '<b class="_9dcVo _4K6U+">no</b><b class="_4K6U+ _9dcVo">in</b><p class="BDPZt KUbeq">', "title",
+                     "</div></div>"],
+    ".example.net": ['<section class="col-xs-12 col-md-6"><ul>', "menu", '</ul><a title="</section>" class="x t">', "title",
+                     '</a><div class="text wide"><div class="text">', "article", "</div>, </div>after</section>"
+                     '<section class="col-md-6 col-xs-12"><i class="t">no</i></section>'],
+    ".example.org": ['<div class="text_box first"><h6>', "title", "</h6>: <div>", "article", '<div class="text_box">',
+                     "title", "</div></div>end</div>"],
+    "": ["<h1>", "title", "</h1><main class=p-3>", "article", "<main>", "title", "</main></main>"],
+}
+
+
+def _nested(hosts, concat, literal, parts):
+    """The page of a host as one expression, in either dialect."""
+    return {host: concat([parts[x] if x in parts else literal(x) for x in _LAYOUTS[host]]) for host in hosts}
+
+
+def nested_pages(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    parts = {"title": F.regexp_extract("html", _TITLE, 1), "menu": F.regexp_extract("html", _MENU, 1),
+             "article": F.regexp_extract("html", _ARTICLE, 1)}
+    layouts = _nested(_LAYOUTS, lambda x: F.concat(*x), F.lit, parts)
+    html = F
+    for suffix, layout in layouts.items():
+        html = html.when(F.endswith(extract.host(), F.lit(suffix)), layout)
+    return pages.select("page_id", "url", html.otherwise(layouts[""]).alias("html"))
+
+
+# What those blocks hold, from the parts themselves: no element is sought in SQL.
+@query("extract_elements", f"""
+with parts as (
+  select page_id, regexp_extract(url, '^https?://([^/?#:]+)', 1) as host, {_plain_sql(f"regexp_extract(html, '{_TITLE}', 1)")} as title,
+    {_plain_sql(f"regexp_replace(regexp_extract(html, '{_ARTICLE}', 1), '(?s)<script[^a-z].*?</script>|<style[^a-z].*?</style>|<!--.*?-->', '', 'g')")} as article
+  from pages),
+records as (
+  select page_id, title as zodiac, article || ' ok' as horo, 'cards' as source from parts where ends_with(host, '.example.com')
+  union all select page_id, 'in', title, 'cards' from parts where ends_with(host, '.example.com')
+  union all select page_id, title, article || ', ', 'columns' from parts where ends_with(host, '.example.net')
+  union all select page_id, title, title || ': ' || article || title || 'end', 'boxes' from parts where ends_with(host, '.example.org')
+  union all select page_id, '', title, 'boxes' from parts where ends_with(host, '.example.org')
+  union all select page_id, {_last_word_sql('title')}, article || title, 'single' from parts where not {_KNOWN})
+select page_id, timestamp '2024-03-02' as date, zodiac, horo, source from records""")
+def extract_elements(spark, sf_dir):
+    """Records by tag and class from nested blocks, unclosed tags of the stored articles inside."""
+    return elements.extract_elements(nested_pages(spark, sf_dir), ELEMENT_RULES, "2024-03-02", keep=("page_id",))

@@ -3,14 +3,11 @@
 Plain DataFrame functions, so the batch form and the stream share one plan.
 """
 
-from functools import reduce
-from operator import and_
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tallymill.operators.clean import first_by_key
 from tallymill.schemas import CLICKS
+from tallymill.streaming import levels
 from tallymill.streaming.run import drain_batches
 
 # The country kept and the fields passed on.
@@ -59,42 +56,30 @@ def dedupe_redelivered(events, key, event_time, delay, spread_by=None, salts=32)
     return events.dropDuplicatesWithinWatermark(keys)
 
 
-def _written(spark, sink):
-    try:
-        return spark.read.parquet(sink)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
-def dedupe_written(events, key, sink, checkpoint, buckets=64):
-    """Append each event once to a parquet folder, however late its copies are.
+def dedupe_written(events, key, sink, checkpoint, buckets=64, cell=None, fan=levels.FAN, report=None):
+    """Append each event once to a levelled folder, however late its copies are.
 
     A micro-batch reduces to one row per key (the least in column order) and is
-    anti-joined with the keys already written to the hash buckets it touches. Rows
-    stand under ``_bucket`` and ``_batch``; a batch that is replayed after a failure
-    ignores and replaces its own rows. Read with ``read_deduped``.
+    anti-joined with the keys already written in the cells it touches; see
+    :mod:`tallymill.streaming.levels`. ``cell`` is a column expression that copies of
+    an event share, such as its day; without it keys are dealt to ``buckets`` by hash.
+    ``report`` is called with (batch id, what the batch read). Rows carry ``_batch``.
+    Read with ``read_deduped``.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    if cell is None:
+        cell = F.pmod(F.xxhash64(*keys), F.lit(buckets))
+    store = levels.Levels(sink, tuple(keys), cell, fan)
 
     def write(batch, batch_id):
-        spark = batch.sparkSession
-        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-        fresh = first_by_key(batch, keys).withColumn("_bucket", bucket)
-        written = _written(spark, sink)
-        if written is not None:
-            touched = [r[0] for r in batch.select(bucket).distinct().collect()]   # ``buckets`` at most
-            seen = (written.where(F.col("_bucket").isin(touched) & (F.col("_batch") != batch_id))
-                    .select(*[F.col(k).alias(f"_seen_{k}") for k in keys]).distinct())
-            same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_seen_{k}")) for k in keys])
-            fresh = fresh.join(seen, same, "left_anti")
-        (fresh.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("_bucket", "_batch").parquet(sink))
+        fresh = first_by_key(batch, keys).withColumn("_batch", F.lit(batch_id))
+        done = levels.append(store, fresh, fresh_only=True)
+        if report:
+            report(batch_id, done)
 
     drain_batches(events, write, checkpoint)
 
 
 def read_deduped(spark, sink):
     """The events kept by :func:`dedupe_written`."""
-    return spark.read.parquet(sink).drop("_bucket", "_batch")
+    return levels.read(spark, sink).drop(levels.CELL, "_batch")

@@ -1,0 +1,67 @@
+"""Levelled folders of rows by key."""
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallymill.operators.clean import first_by_key
+from tallymill.streaming import levels
+
+
+def _rows(spark, keys, batch=0):
+    return spark.createDataFrame([(k, batch) for k in keys], "k long, batch int")
+
+
+def test_runs_stay_logarithmic_and_keys_single(spark, tmp_path):
+    store = levels.Levels(str(tmp_path / "s"), ("k",), F.floor(F.col("k") / 10), fan=3)
+    kept, read = set(), []
+    for batch in range(20):
+        keys = [*range(batch * 10, batch * 10 + 10), *range(max(0, batch * 10 - 5), batch * 10), 0, None]
+        before = {k for k in kept if k is None or k // 10 in {x // 10 for x in keys if x is not None}}
+        done = levels.append(store, _rows(spark, set(keys), batch), fresh_only=True)
+        read.append(done["rows_read"])
+        assert done["rows_read"] == len(before)
+        kept |= set(keys)
+        live = levels.runs(spark, store.path)
+        assert [r.first for r in live][1:] == [r.last + 1 for r in live][:-1] and live[-1].last == batch
+        assert len(live) <= 2 * (math.log(batch + 1, 3) + 1)
+    rows = levels.read(spark, store.path).collect()
+    assert len(rows) == len(kept) and {r.k for r in rows} == kept
+    assert max(read) <= 22 < len(kept)          # three cells, however long the history
+
+
+def test_a_cut_off_write_is_not_seen_and_a_replay_adds_nothing(spark, tmp_path):
+    store = levels.Levels(str(tmp_path / "s"), ("k",), fan=4)
+    levels.append(store, _rows(spark, range(50)), fresh_only=True)
+    _rows(spark, range(900, 950)).withColumn(levels.CELL, F.lit("c1")).write.partitionBy(levels.CELL).parquet(f"{store.path}/run=1-1")
+    (tmp_path / "s" / "run=1-1" / "_SUCCESS").unlink()
+    assert levels.read(spark, store.path).count() == 50
+    for _ in range(2):
+        levels.append(store, _rows(spark, range(25, 75)), fresh_only=True)
+    assert sorted(r.k for r in levels.read(spark, store.path).collect()) == list(range(75))
+
+
+def test_merging_reduces_and_outdated_runs_go_one_batch_later(spark, tmp_path):
+    reduce = lambda rows: first_by_key(rows, ["k"])
+    store = levels.Levels(str(tmp_path / "s"), ("k",), fan=3, reduce=reduce)
+    for batch in (2, 1, 0):
+        levels.append(store, _rows(spark, range(10), batch))
+    assert [(r.first, r.last) for r in levels.runs(spark, store.path)] == [(0, 2)]
+    assert len([p for p in (tmp_path / "s").iterdir() if p.name.startswith("run=")]) == 4
+    assert sorted((r.k, r.batch) for r in levels.read(spark, store.path).collect()) == [(k, 0) for k in range(10)]
+    levels.append(store, _rows(spark, range(5, 15), 7))
+    assert sorted(p.name for p in (tmp_path / "s").iterdir() if p.name.startswith("run=")) == ["run=0-2", "run=3-3"]
+    levels.compact(store, spark)
+    assert sorted((r.k, r.batch) for r in levels.read(spark, store.path).collect()) == (
+        [(k, 0) for k in range(10)] + [(k, 7) for k in range(10, 15)])
+
+
+@pytest.mark.parametrize("fresh_only", [True, False])
+def test_batches_without_rows(spark, tmp_path, fresh_only):
+    store = levels.Levels(str(tmp_path / "s"), ("k",), fan=2)
+    for keys in ((), (), (), (1,), (), (2,), ()):
+        levels.append(store, _rows(spark, keys), fresh_only)
+    assert levels.runs(spark, store.path)[-1].last == 6
+    assert sorted(r.k for r in levels.read(spark, store.path).collect()) == [1, 2]
+    assert levels.read(spark, str(tmp_path / "none")) is None

@@ -8,7 +8,8 @@ from tallymill.plans.views import CLICKS, LISTINGS, clicks, listings, table
 from tallymill.session import scratch_path
 from tallymill.sources import runs
 from tallymill.sources.clicks import synthetic_clicks, to_messages
-from tallymill.streaming.clicks import dedupe_written, filter_clicks, read_deduped, rekey
+from tallymill.streaming import levels
+from tallymill.streaming.clicks import dedupe_redelivered, dedupe_written, filter_clicks, read_deduped, rekey
 from tallymill.streaming.run import drain, file_stream
 
 _FILTERED = f"with {CLICKS} select ts, user_id, object_id, domain, url from clicks where geo = 'ru'"
@@ -62,6 +63,86 @@ def redelivery_dedup_stream(spark, sf_dir):
     return read_deduped(spark, sink).select("event_id", "user_id", "event_type")
 
 
+def _one_by_one(spark, batches, name):
+    """Rows staged as one file per value of ``batch``, which a file stream reads in that order."""
+    staged = scratch_path(spark, name)
+    batches.repartition("batch").write.partitionBy("batch").parquet(staged)
+    root = spark._jvm.org.apache.hadoop.fs.Path(staged)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for folder in fs.listStatus(root):
+        if folder.isDirectory():
+            number = int(folder.getPath().getName().removeprefix("batch="))
+            for file in fs.listStatus(folder.getPath()):
+                fs.setTimes(file.getPath(), 1_700_000_000_000 + 1000 * number, -1)
+    return file_stream(spark, f"{staged}/*", batches.drop("batch").schema, max_files=1)
+
+
+_N_BATCHES, _PER_CELL = 64, 500
+
+
+@query("redelivery_dedup_levels", f"""
+with n as (select max(event_id) + 1 as n from events),
+first as (select event_id, event_id // {_PER_CELL} as cell, (event_id * {_N_BATCHES} // n)::int as batch from events, n),
+deliveries as (
+  select event_id, cell, batch from first
+  union select event_id, cell, least({_N_BATCHES - 1}, batch + event_id % 3)::int from first
+  union select event_id, cell, {_N_BATCHES - 1} from first where event_id % 997 = 0),
+touched as (select distinct batch, cell from deliveries),
+reads as (select t.batch, count(*)::bigint as rows_read from touched t join first f on f.cell = t.cell and f.batch < t.batch group by 1),
+kept as (select batch, count(*)::bigint as n_kept, sum(event_id)::bigint as id_sum from first group by 1)
+select k.batch, n_kept, id_sum, coalesce(rows_read, 0)::bigint as rows_read,
+  (k.batch % 4 + k.batch // 4 % 4 + k.batch // 16 % 4)::bigint as n_runs
+from kept k left join reads r on r.batch = k.batch""")
+def redelivery_dedup_levels(spark, sf_dir):
+    """Events delivered again in later batches, over 64 micro-batches: what each batch kept, how many
+    written rows it read, and from how many runs."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    n = events.agg(F.max("event_id")).first()[0] + 1
+    first = events.withColumn("at", F.floor(F.col("event_id") * _N_BATCHES / n).cast("int"))
+    last = F.lit(_N_BATCHES - 1)
+    again = F.array_distinct(F.array_compact(F.array(
+        "at", F.least(last, (F.col("at") + F.col("event_id") % 3).cast("int")), F.when(F.col("event_id") % 997 == 0, last))))
+    stream = _one_by_one(spark, first.select("event_id", "user_id", "event_type", F.explode(again).alias("batch")), "deliveries")
+    sink, reads = scratch_path(spark, "deduped"), []
+    dedupe_written(stream, "event_id", sink, scratch_path(spark, "checkpoint"), fan=4,
+                   cell=F.floor(F.col("event_id") / _PER_CELL),
+                   report=lambda batch, done: reads.append((batch, done["rows_read"], done["runs"])))
+    kept = levels.read(spark, sink).groupBy(F.col("_batch").alias("batch")).agg(
+        F.count("*").alias("n_kept"), F.sum("event_id").alias("id_sum"))
+    return kept.join(spark.createDataFrame(reads, "batch int, rows_read long, n_runs long"), "batch")
+
+
+_LATE_BATCHES = 104
+
+
+@query("stream_progress", f"""
+with e as (select event_id, (event_id % {_LATE_BATCHES})::int as batch from events),
+late as (select * from e where batch > 2 and event_id % 7 = 0)
+select 'input_rows' as name, (select count(*) from e)::varchar as value
+union all select 'late_rows', (select count(*) from late)::varchar
+union all select 'fed_batches', (select count(distinct batch) from e)::varchar
+union all select 'kept_rows', ((select count(*) from e) - (select count(*) from late))::varchar""")
+def stream_progress(spark, sf_dir):
+    """More micro-batches than a query remembers, with rows that come days too late in most of them:
+    the run log counts every one."""
+    events = table(spark, sf_dir, "events").select("event_id")
+    batch = (F.col("event_id") % _LATE_BATCHES).cast("int")
+    days = F.when((batch > 2) & (F.col("event_id") % 7 == 0), -30).otherwise(0)
+    ts = F.timestamp_seconds(F.lit(1_700_000_000) + 3600 * batch + 86400 * days)
+    stream = _one_by_one(spark, events.select("event_id", ts.alias("ts"), batch.alias("batch")), "late-deliveries")
+    log, out = scratch_path(spark, "run-log"), scratch_path(spark, "kept")
+    # Little state here: one state partition keeps the many small batches short.
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        drain(dedupe_redelivered(stream, "event_id", "ts", "2 hours"), out, scratch_path(spark, "checkpoint"), log=(log, "late"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    logged = runs.latest(spark.read.parquet(log)).where("name <> 'batches'").select("name", "value")
+    kept = spark.read.parquet(out).agg(F.count("*").cast("string").alias("value"))
+    return logged.unionByName(kept.select(F.lit("kept_rows").alias("name"), "value"))
+
+
 @query("synthetic_clicks", """
 with h as (select floor(epoch(ts))::int as ts, md5(concat_ws('|', event_id::varchar, 'clicks')) as h from events),
 p as (select ts, ['banner', 'article', 'link'][('0x' || substr(h, 1, 8))::bigint % 3 + 1] as kind,

@@ -1,5 +1,7 @@
 """Starting and draining streaming queries."""
 
+from tallymill.streaming.progress import log_progress, watched
+
 # Fixed value: trigger interval of the continuous job.
 INTERVAL = "10 seconds"
 
@@ -15,24 +17,30 @@ def start(df, checkpoint, fmt="parquet", options=None, interval=INTERVAL, availa
 
 def late_rows(query):
     """Rows dropped behind the watermark, over the progress a query still remembers
-    (``spark.sql.streaming.numRecentProgressUpdates`` micro-batches)."""
+    (``spark.sql.streaming.numRecentProgressUpdates`` micro-batches); the sums of a whole run
+    are those of :mod:`tallymill.streaming.progress`."""
     return sum(operator["numRowsDroppedByWatermark"] for progress in query.recentProgress
                for operator in progress["stateOperators"])
 
 
-def drain(df, path, checkpoint, timeout=None, late="allow"):
+def drain(df, path, checkpoint, timeout=None, late="allow", log=None):
     """Process everything now available into a parquet folder, then stop.
 
-    ``late="fail"`` raises if any row was dropped behind the watermark."""
-    query = start(df, checkpoint, options={"path": path}, available_now=True)
-    if timeout and not query.awaitTermination(timeout):
-        query.stop()
-        raise TimeoutError(f"stream not drained within {timeout} s")
-    if not timeout:
-        query.awaitTermination()
-    dropped = late_rows(query) if late == "fail" else 0
-    if dropped:
-        raise ValueError(f"{dropped} rows came too late for the watermark")
+    ``late="fail"`` raises if any row of the whole run was dropped behind the watermark.
+    ``log`` is a run log and a run's name: the sums of the run are appended there."""
+    spark = df.sparkSession
+    with watched(spark) as progress:
+        query = start(df, checkpoint, options={"path": path}, available_now=True)
+        if timeout and not query.awaitTermination(timeout):
+            query.stop()
+            raise TimeoutError(f"stream not drained within {timeout} s")
+        if not timeout:
+            query.awaitTermination()
+        totals = progress.totals(query) if log or late == "fail" else None
+    if log:
+        log_progress(spark, *log, totals)
+    if late == "fail" and totals["late_rows"]:
+        raise ValueError(f"{totals['late_rows']} rows came too late for the watermark")
     return path
 
 

@@ -188,3 +188,31 @@ def test_messages_are_routed_on_a_stream(spark, tmp_path):
     run.drain(stream, str(tmp_path / "out"), str(tmp_path / "ck"))
     got = {r.text: r.intent for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got == {"Назад": "back", "hello": "greeting", "?": "fallback"}
+
+
+def test_late_rows_are_counted_beyond_what_a_query_remembers(spark, tmp_path):
+    from tallymill.streaming.progress import watched
+
+    day = lambda i: datetime(2024, 1, 1 + i)
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "2")
+    try:
+        # The late rows are in the first files, the last ones hold none.
+        for i in range(9):
+            rows = [(10 * i, day(i + 5))] + ([(10 * i + k, day(0)) for k in (1, 2)] if 2 <= i < 5 else [])
+            spark.createDataFrame(rows, "event_id int, ts timestamp").coalesce(1).write.mode("append").parquet(str(tmp_path / "src"))
+        stream = run.file_stream(spark, str(tmp_path / "src"), "event_id int, ts timestamp", max_files=1)
+        deduped = dedupe_redelivered(stream, "event_id", "ts", "1 hour")
+        with watched(spark) as progress:
+            query = run.start(deduped, str(tmp_path / "ck"), options={"path": str(tmp_path / "out")}, available_now=True)
+            query.awaitTermination()
+            totals = progress.totals(query)
+        assert run.late_rows(query) < totals["late_rows"] == 6
+        assert totals["fed_batches"] == 9 and totals["input_rows"] == 15
+        with pytest.raises(ValueError, match="6 rows"):
+            run.drain(deduped, str(tmp_path / "out2"), str(tmp_path / "ck2"), late="fail", log=(str(tmp_path / "log"), "r"))
+        log = {r.name: r.value for r in spark.read.parquet(str(tmp_path / "log")).collect()}
+        assert log["late_rows"] == "6" and log["input_rows"] == "15"
+    finally:
+        spark.conf.set(key, before)

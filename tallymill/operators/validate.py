@@ -1,8 +1,9 @@
 """Ranking metrics, metric resampling, hypothesis tests, champion selection."""
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F, Window
-from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, DoubleType, IntegerType, LongType, StructField, StructType
 
 from tallymill.functions.hashing import PRIME, coefficients, digest, polynomial
 from tallymill.functions.stats import SHAPIRO_MAX, shapiro_wilk, t_two_sided
@@ -70,15 +71,45 @@ def sample_replicates(df, key, salt, replicates=REPLICATES, share=SAMPLE_SHARE):
     )
 
 
+def gap_replicates(df, key, salt, replicates=REPLICATES, share=SAMPLE_SHARE):
+    """The same kind of samples as :func:`sample_replicates`, drawn by gaps: a row hops from one
+    replicate it belongs to to the next, so its work is its memberships, not the replicates.
+
+    The gaps between successes of independent trials are geometric; hop ``k`` inverts that
+    distribution at the value of the row's polynomial at ``k``.
+    """
+    if not 0 < share < 1:
+        raise ValueError("share must be between 0 and 1")
+    columns, rate = df.columns, np.log(1 - share)
+
+    def hop(batches):
+        for batch in batches:
+            seeds = np.array(batch["_c"].tolist(), dtype=np.int64).reshape(-1, 4)
+            rows, at, k = np.arange(len(batch)), np.full(len(batch), -1, dtype=np.int64), 0
+            while len(rows):
+                value = seeds[rows, 3]
+                for i in (2, 1, 0):
+                    value = (value * k + seeds[rows, i]) % PRIME
+                at = at + 1 + np.floor(np.log((value + 0.5) / PRIME) / rate).astype(np.int64)
+                inside = at < replicates
+                rows, at, k = rows[inside], at[inside], k + 1
+                # One batch at most per hop, however many replicates a row belongs to.
+                yield batch[columns].iloc[rows].assign(replicate=at.astype(np.int32))
+
+    schema = StructType([*df.schema.fields, StructField("replicate", IntegerType())])
+    return df.withColumn("_c", coefficients(digest(key, F.col(salt)))).mapInPandas(hop, schema)
+
+
 def auc_replicates(df, key, label, scores, weight=None, replicates=REPLICATES,
-                   share=SAMPLE_SHARE, degenerate="exclude"):
+                   share=SAMPLE_SHARE, degenerate="exclude", by_gaps=False):
     """AUC of ``replicates`` samples for each model, as ``(model, replicate,
     n_rows, auc)``, in one job.
 
     ``scores`` maps model name to score column; every model draws its own
     samples. One-class samples have no AUC: ``exclude`` drops them, ``keep``
     leaves null, ``mllib`` gives Spark ML's constants (0 without positives, 1
-    without negatives, 0.5 for an empty sample).
+    without negatives, 0.5 for an empty sample). ``by_gaps`` draws other samples of the
+    same kind, with work in proportion to their rows: for thousands of replicates.
     """
     weight_column = F.col(weight).cast("double") if weight else F.lit(1.0)
     models = F.array(*[F.struct(F.lit(m).alias("model"), F.col(c).cast("double").alias("_score"))
@@ -86,7 +117,7 @@ def auc_replicates(df, key, label, scores, weight=None, replicates=REPLICATES,
     long = (df.select(key, F.col(label).alias("_y"), weight_column.alias("_w"),
                       F.explode(models).alias("_m"))
             .select(key, "_y", "_w", "_m.*"))
-    drawn = sample_replicates(long, key, "model", replicates, share)
+    drawn = (gap_replicates if by_gaps else sample_replicates)(long, key, "model", replicates, share)
     out = weighted_auc(drawn, "_y", "_score", "_w", by=("model", "replicate"))
     if degenerate == "keep":
         return out.select("model", "replicate", "n_rows", "auc")

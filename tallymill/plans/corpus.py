@@ -4,14 +4,15 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from tallymill import schemas
 from tallymill.functions import tags, text
 from tallymill.operators import clean, elements, evaluate, extract, lookup, routing
 from tallymill.operators.elements import ElementRule, Selector
 from tallymill.operators.extract import PageRule
 from tallymill.plans.catalog import query
 from tallymill.plans.views import CORPUS, GENERATIONS, corpus, generations, table
-from tallymill.session import scratch_path
-from tallymill.sources import files
+from tallymill.session import materialise, scratch_path
+from tallymill.sources import files, quoted
 
 _ANY = r"[^\p{L} !.,:?;«»-]+"
 _CLEAN_HORO = (rf"regexp_replace(replace(replace(split_part(horo, chr(160), 1), chr(10), ''), chr(160), ''),"
@@ -43,6 +44,21 @@ def csv_corpus_clean(spark, sf_dir):
     return clean.clean_corpus(files.read_corpus_csv(spark, path), any_script)
 
 
+@query("csv_corpus_ranges", f"with {_CLEAN_CORPUS} select * from cleaned")
+def csv_corpus_ranges(spark, sf_dir):
+    """The same round trip through one file, read in ranges of 128 KB that begin anywhere."""
+    path = scratch_path(spark, "corpus-csv")
+    files.append_records(corpus(spark, sf_dir).coalesce(1), path, fmt="csv")
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "128k")
+    try:
+        rows = materialise(quoted.read_quoted_csv(spark, path, schemas.CORPUS), "corpus-rows")
+    finally:
+        spark.conf.set(key, before)
+    return clean.clean_corpus(rows, any_script)
+
+
 @query("text_dedup", f"""
 with {CORPUS} select zodiac, source, count(*)::bigint as n_texts, sum(length(horo))::bigint as n_chars
 from (select distinct date, zodiac, {_CLEAN_HORO} as horo, source from corpus) group by all""")

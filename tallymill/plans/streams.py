@@ -194,6 +194,57 @@ def reconcile_irregular(spark, sf_dir):
     return reconcile.compare(listed, target, source_prefix="p/")
 
 
+def _nearly_equal(spark, sf_dir):
+    """A listing and a copy of it in which a few keys are missing, extra, resized or listed again."""
+    source, _ = listings(spark, sf_dir)
+    source = reconcile.strip_prefix(source, "p/")
+    k = F.col("key").cast("bigint")
+    size = F.when(k % 1500 == 11, F.col("size") + 1).otherwise(F.col("size"))
+    target = source.filter(k % 1500 != 7).withColumn("size", size)
+    again = source.filter(k % 1500 == 13)
+    extra = source.filter(k % 1500 == 17).withColumn("key", F.concat("key", F.lit("x")))
+    return source, target.unionByName(again).unionByName(extra)
+
+
+_NEARLY = LISTINGS + """,
+s as (select key, size from source_listing),
+t as (
+  select key, case when key::bigint % 1500 = 11 then size + 1 else size end as size from s where key::bigint % 1500 <> 7
+  union all select key, size from s where key::bigint % 1500 = 13
+  union all select key || 'x', size from s where key::bigint % 1500 = 17),
+tg as (select key, count(*) as n, max(size) as size from t group by key),
+both_sides as (
+  select coalesce(s.key, tg.key) as key, s.size as source_size, tg.size as target_size, coalesce(tg.n, 0) as n,
+    case when tg.key is null then 'missing' when s.key is null then 'extra' when s.size <> tg.size then 'size_mismatch'
+      else 'ok' end as status from s full join tg on s.key = tg.key),
+changed as (select *, md5(key) as h from both_sides where status <> 'ok' or n > 1),
+keys as (select key, md5(key) as h from s union select key, md5(key) from t)"""
+
+
+@query("reconcile_digests", f"with {_NEARLY} select key, source_size, target_size, status from both_sides where status <> 'ok'")
+def reconcile_digests(spark, sf_dir):
+    """Differences of two listings from digests: equal leaves are never compared key by key."""
+    return reconcile.compare_by_digest(*_nearly_equal(spark, sf_dir))[0]
+
+
+@query("reconcile_digest_levels", f"""
+with {_NEARLY}
+""" + " union all ".join(f"""
+select {d} as digits, (select count(distinct left(h, {d})) from keys where {"true" if d == 1 else
+  f"left(h, {d - 1}) in (select left(h, {d - 1}) from changed)"})::bigint as n_compared,
+  (select count(distinct left(h, {d})) from changed)::bigint as n_differing""" for d in (1, 2, 3, 4)) + """
+union all select 32, (select count(*) from (select key from s union all select key from t)
+  where left(md5(key), 4) in (select left(h, 4) from changed))::bigint, (select count(*) from both_sides where status <> 'ok')::bigint""")
+def reconcile_digest_levels(spark, sf_dir):
+    """Nodes compared and found different on each level of the digests, and entries at last."""
+    source, target = _nearly_equal(spark, sf_dir)
+    found, levels = reconcile.compare_by_digest(source, target)
+    leaves, _ = reconcile.differing_leaves(reconcile.digests(source), reconcile.digests(target))
+    moved = source.select("key").unionByName(target.select("key")).join(
+        leaves, F.left(F.md5(F.col("key").cast("binary")), F.lit(4)) == F.col("node"), "left_semi").count()
+    return spark.createDataFrame([*levels, (32, moved, found.count())], "digits int, n_compared long, n_differing long")
+
+
 @query("reconcile_counts", f"""
 with {LISTINGS} select case when t.key is null then 'missing' when s.key is null then 'extra'
     when s.size <> t.size then 'size_mismatch' else 'ok' end as status, count(*)::bigint as n

@@ -193,6 +193,28 @@ def auc_many_replicates(spark, sf_dir):
                      for n, f in (("mean", F.avg), ("min", F.min), ("max", F.max))])
 
 
+_GAPS, _GAP_SHARE = 10_000, 0.001
+
+
+@query("auc_gap_replicates", f"""
+with recursive {_REPLICATES.split("drawn as (")[0].strip()}
+hops as (
+  select model, y, w, s, c0, c1, c2, c3, 1::bigint as k,
+    floor(ln((c0 + 0.5::double) / 2147483647) / ln(1 - {_GAP_SHARE}::double))::bigint as replicate from seeds
+  union all
+  select model, y, w, s, c0, c1, c2, c3, k + 1, replicate + 1 + floor(ln(
+    ((((c3 * k + c2) % 2147483647 * k + c1) % 2147483647 * k + c0) % 2147483647 + 0.5::double) / 2147483647)
+    / ln(1 - {_GAP_SHARE}::double))::bigint
+  from hops where replicate < {_GAPS}),
+drawn as (select model, replicate::int as replicate, y, w, s from hops where replicate < {_GAPS}),
+{_auc_ctes('drawn', 'model, replicate, ')}
+select model, replicate, n_rows, round(auc, 6) as auc from auc where auc is not null""")
+def auc_gap_replicates(spark, sf_dir):
+    """Ten thousand samples per model, with a row of work for each member."""
+    return validate.auc_replicates(predictions(spark, sf_dir), "event_id", "label", _MODELS, "weight", replicates=_GAPS,
+                                   share=_GAP_SHARE, by_gaps=True).withColumn("auc", F.round("auc", 6))
+
+
 # The p-value in the check is the finite series of Student's t for whole degrees of freedom.
 @query("score_ttest", f"""
 with {_TTEST} select n1::bigint as n_first, n2::bigint as n_second, round(m1, 6) as mean_first,

@@ -5,7 +5,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from tallymill.operators import clean, profile
+from tallymill.operators import clean, profile, sketches
 from tallymill.plans.catalog import query
 from tallymill.plans.views import CLEAN, TX, TX_COMPLETE, TX_ORDER, transactions
 from tallymill.session import scratch_path
@@ -322,3 +322,78 @@ with {TX}, ranked as (
 select {_OUT} from ranked where rn = 1""")
 def clean_arrivals_filters_first(spark, sf_dir):
     return _arrivals(spark, sf_dir, "last")
+
+
+# Three runs over the transactions that share two thirds of their ids with each other.
+_SHARES = (0.01, 0.25, 0.5, 0.9)
+_RUN_SQL = """
+runs as (select r.run, tx.* from tx, (values ('1', 1), ('2', 2), ('3', 3)) r(run, k) where tranaction_id % 4 <> k)"""
+
+
+def _stored_sketches(spark, sf_dir, name, sketch):
+    path = scratch_path(spark, name)
+    tx = transactions(spark, sf_dir)
+    for run in (1, 2, 3):
+        sketches.store(sketch(tx.filter(F.col("tranaction_id") % 4 != run)), path, run)
+    return sketches.stored(spark, path)
+
+
+# Sketches of 2^18 entries hold every id of the check's table, so that their numbers are exact there.
+@query("run_overlaps", f"""
+with {TX}, {_RUN_SQL}, d as (select distinct run, tranaction_id as v from runs)
+select a.run as run_a, b.run as run_b, (select count(*) from d where run = a.run)::bigint as n_a,
+  (select count(*) from d where run = b.run)::bigint as n_b,
+  (select count(*) from (select v from d where run = a.run intersect select v from d where run = b.run))::bigint as n_both,
+  (select count(*) from (select v from d where run = a.run union select v from d where run = b.run))::bigint as n_either,
+  (select count(*) from (select v from d where run = a.run except select v from d where run = b.run))::bigint as n_only_a
+from (select distinct run from d) a, (select distinct run from d) b where a.run < b.run""")
+def run_overlaps(spark, sf_dir):
+    """Ids that runs share, from their stored sketches."""
+    kept = _stored_sketches(spark, sf_dir, "exact-sketches", lambda df: sketches.key_sketches(df, ["tranaction_id"], log_entries=18))
+    return sketches.overlaps(kept, log_entries=18).drop("column")
+
+
+@query("run_overlaps_rough", f"""
+with {TX}, {_RUN_SQL}, d as (select distinct run, tranaction_id as id, customer_id from runs),
+n as (select 'tranaction_id' as c, count(distinct id) as n_all, count(*) as n from d
+  union all select 'customer_id', count(distinct customer_id), count(customer_id) from runs)
+select c as column, 3::bigint as runs, (select count(customer_id) from runs)::bigint as n_customers, n_all::bigint as n_distinct,
+  true as within from n""")
+def run_overlaps_rough(spark, sf_dir):
+    """Distinct values over the runs by sketches of the usual size, held against exact counts."""
+    kept = _stored_sketches(spark, sf_dir, "sketches", lambda df: sketches.key_sketches(df, ["tranaction_id", "customer_id"]))
+    united = sketches.distinct_over_runs(kept).withColumnRenamed("n_distinct", "estimate")
+    tx = transactions(spark, sf_dir).filter("tranaction_id IS NOT NULL")
+    exact = tx.agg(*[F.count_distinct(c).alias(c) for c in ("tranaction_id", "customer_id")]).unpivot(
+        [], ["tranaction_id", "customer_id"], "column", "n_distinct")
+    customers = kept.where("column = 'customer_id'").agg(F.sum("n").alias("n_customers"))
+    within = F.abs(F.col("estimate") - F.col("n_distinct")) <= 0.05 * F.col("n_distinct")
+    return united.join(exact, "column").select("column", "runs", F.lit(customers.first()[0]).alias("n_customers"), "n_distinct",
+                                               within.alias("within"))
+
+
+_QUANTILE_COLUMNS = ("tx_amount", "terminal_id")
+
+
+@query("run_quantiles", f"with {TX}, {_RUN_SQL}, third as (select * from runs where tranaction_id % 3 = 0) " + " union all ".join(f"""
+select '{c}' as column, count({c})::bigint as n, min({c})::double as least, max({c})::double as most, {s}::double as share,
+  quantile_disc({c}::double, {s}) as value, true as rough_within from third""" for c in _QUANTILE_COLUMNS for s in _SHARES))
+def run_quantiles(spark, sf_dir):
+    """Quantiles of three runs from their merged sketches: exact where the sketches hold all values, and within
+    three rank errors for sketches of the usual size."""
+    tx = transactions(spark, sf_dir).filter(F.col("tranaction_id") % 3 == 0)
+    paths = {name: scratch_path(spark, f"{name}-quantiles") for name in ("exact", "rough")}
+    for run in (1, 2, 3):
+        part = tx.filter(F.col("tranaction_id") % 4 != run)
+        sketches.store(sketches.quantile_sketches(part, _QUANTILE_COLUMNS, k=65535), paths["exact"], run)
+        sketches.store(sketches.quantile_sketches(part, _QUANTILE_COLUMNS), paths["rough"], run)
+    exact, rough = (sketches.quantiles_over_runs(sketches.stored(spark, p), _SHARES) for p in paths.values())
+    near = sketches.quantiles_over_runs(sketches.stored(spark, paths["exact"]), sorted(
+        {min(1.0, max(0.0, round(s + d, 6))) for s in _SHARES for d in (-0.05, 0.05)}))
+    low, high = (near.select("column", F.col("share").alias("near"), F.col("value").alias(n)) for n in ("low", "high"))
+    is_near = lambda d: F.abs(F.col("near") - F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("share") + d))) < 1e-6
+    judged = (rough.select("column", "share", F.col("value").alias("rough"))
+              .join(low, "column").where(is_near(-0.05)).drop("near")
+              .join(high, "column").where(is_near(0.05))
+              .select("column", "share", F.col("rough").between(F.col("low"), F.col("high")).alias("rough_within")))
+    return exact.join(judged, ["column", "share"])

@@ -7,7 +7,8 @@ are the windows of the words as they stand, so that a copy is found however few
 of its words are ordinary.  Hits
 on one alignment of a document with an item are held together: they must cover
 enough words, and each placeholder value of the item must stand for one and the
-same value of the document everywhere, and the other way round.
+same value of the document everywhere, and the other way round.  Enough words in a
+row that stand there word for word count whatever the placeholders elsewhere.
 """
 
 import numpy as np
@@ -29,6 +30,7 @@ dollar dollars cent cents euro euros usd eur gbp"""
 _OTHER, _LETTER, _DIGIT, _MARK, _PERCENT, _APOSTROPHE, _DOT, _COMMA = range(8)
 _BLOCK_CHARS = 1 << 19
 _PIECE_CHARS = 1 << 20
+_SPACES = " \t\r\f\v\u00a0\u2009\u3000"
 _MULTIPLIERS = np.random.default_rng(5).integers(1 << 62, 1 << 63, 65, dtype=np.uint64) | np.uint64(1)
 _TABLES = {}
 
@@ -153,12 +155,15 @@ def runs(hashes, length):
 
 
 def _pieces(text):
-    """A text cut into pieces of bounded size, after a line end or sentence where there is one."""
+    """A text cut into pieces of bounded size, after a line end or sentence where there is one, else
+    after white space; only a word longer than a piece is cut itself."""
     at = 0
     while len(text) - at > _PIECE_CHARS:
         end = at + _PIECE_CHARS
         cut = max(text.rfind("\n", at, end) + 1, text.rfind(". ", at, end) + 2)
-        cut = cut if cut > at + 1 else end
+        if cut <= at + 1:
+            cut = max(text.rfind(space, at, end) for space in _SPACES) + 1
+        cut = cut if cut > at else end
         yield at, text[at:cut]
         at = cut
     yield at, text[at:]
@@ -323,7 +328,8 @@ def contaminated(docs, benchmark, window=WINDOW, min_words=MIN_WORDS):
     document with an item that cover at least ``min_words`` words of it (all, if it has
     fewer) with consistent placeholders.  Windows that overlap or adjoin cover all words
     between them.  An alignment counts if it holds with the openers of sentences as
-    ordinary words, or else as names where that fits.  ``changed`` tells that some placeholder has another value than in the
+    ordinary words, or else as names where that fits, or else if ``min_words`` words stand word for
+    word in a row, whatever the placeholders elsewhere on the alignment.  ``changed`` tells that some placeholder has another value than in the
     item.  Clean documents give no row.
 
     Items with equal texts count once, under the least id.  Null, empty and wordless
@@ -338,9 +344,11 @@ def contaminated(docs, benchmark, window=WINDOW, min_words=MIN_WORDS):
     values = lambda kept: F.array_distinct(F.flatten(F.collect_set(F.when(kept, F.col("pairs")))))
     aligned = (hits(docs, windows)
                .withColumn("pairs", F.filter(same, lambda p: (p["item_values"] != "") | (p["doc_values"] != "")))
+               .withColumn("literal", strict & (F.col("item_values") == F.col("doc_values")))
                .groupBy("doc_id", "text_hash", "item_id", "item_words", (F.col("doc_pos") - F.col("item_pos")).alias("shift"))
                .agg(F.struct(places(strict).alias("at"), values(strict).alias("pairs")).alias("strict"),
                     F.struct(places(F.lit(True)).alias("at"), values(F.lit(True)).alias("pairs")).alias("any"),
+                    F.struct(places(F.col("literal")).alias("at"), values(F.col("literal")).alias("pairs")).alias("literal"),
                     F.max("length").alias("length")))
 
     def holds(reading):
@@ -350,7 +358,9 @@ def contaminated(docs, benchmark, window=WINDOW, min_words=MIN_WORDS):
                       for side in ("item_values", "doc_values")]
         return (F.size(at) > 0) & (covered >= F.least(F.lit(min_words), "item_words")) & one_to_one[0] & one_to_one[1]
 
-    found = F.when(holds(F.col("strict")), F.col("strict")).when(holds(F.col("any")), F.col("any"))
+    in_a_row = _longest(F.col("literal.at"), "length") >= F.least(F.lit(min_words), "item_words")
+    found = (F.when(holds(F.col("strict")), F.col("strict")).when(holds(F.col("any")), F.col("any"))
+             .when(in_a_row, F.col("literal")))
     return (aligned.withColumn("found", found).where("found is not null")
             .select("doc_id", "text_hash", "item_id", F.size("found.at").cast("bigint").alias("n_windows"),
                     F.array_min("found.at").alias("item_from"), (F.array_max("found.at") + F.col("length")).alias("item_to"),

@@ -197,7 +197,54 @@ def test_placeholders_must_be_consistent(spark):
     assert set(got) == {(0, 1), (2, 1)}
     two = "Tom has 3 dogs and 4 cats at home while his neighbour keeps 3 dogs and a bird in the yard"
     got = _found(spark, [two.replace("4", "3"), two.replace("3", "6")], ((1, two),))
-    assert set(got) == {(1, 1)}                              # two values of the item may not become one
+    # Two values of the item may not become one, but fourteen words stand word for word behind the first case's change.
+    assert set(got) == {(0, 1), (1, 1)} and not got[0, 1].changed
+    near = "Tom has 3 dogs and 4 cats at home while his dog sleeps in the yard"
+    assert not _found(spark, [near.replace("4", "3").replace("his", "her")], ((1, near),))
+
+
+def test_a_copy_is_found_whatever_changes_elsewhere(spark):
+    words = ("In a town of 3 squares every square has a fountain with a rim of grey stone and a statue in its middle and"
+             " all but one of the 3 statues face east").split()
+    item = " ".join([*words, "so how many of them face the other way if 3 more are built"])
+    changed = " ".join(["4" if i == len(item.split()) - 4 else w for i, w in enumerate(item.split())])
+    assert sum(a != b for a, b in zip(item.split(), changed.split())) == 1
+    got = _found(spark, [item, changed, f"Well: {changed}. Yes"], ((1, item),))
+    assert set(got) == {(0, 1), (1, 1), (2, 1)}
+
+
+def test_every_stretch_of_thirteen_words_is_found(spark):
+    """Items with random changes of their values against a plain search for words in a row."""
+    draw, items, docs = random.Random(8), [], []
+    vocabulary = "the a of red old house Tom Ann 3 4 5 12 km has gives takes and then by river stone".split()
+    for i in range(12):
+        words = draw.choices(vocabulary, k=30)
+        items.append((i, " ".join(words)))
+        for _ in range(6):
+            other = list(words)
+            for at in draw.sample(range(30), draw.randrange(1, 6)):
+                other[at] = draw.choice(["7", "8", "9", "Bob", "Eve", "zebra"])
+            docs.append((i, other))
+    got = _found(spark, [" ".join(w) for _, w in docs], items)
+    n = 0
+    for d, (i, other) in enumerate(docs):
+        same = [a.lower() == b.lower() for a, b in zip(items[i][1].split(), other)]
+        if any(all(same[k:k + 13]) for k in range(len(same) - 12)):
+            n += 1
+            assert (d, i) in got
+    assert n > 20
+
+
+def test_long_texts_are_cut_between_words(spark, monkeypatch):
+    passage = " ".join(f"passage{k} word" for k in range(12))
+    text = " ".join(f"filler{k}" for k in range(400))
+    for size in (1900, 2000, 2100):
+        monkeypatch.setattr(decontaminate, "_PIECE_CHARS", size)
+        for at in range(1700, 2200, 37):
+            cut = text.index(" ", at)
+            whole = f"{text[:cut]} {passage} {text[cut:]}"
+            pieces = list(decontaminate._pieces(whole))
+            assert "".join(p for _, p in pieces) == whole and all(whole[a - 1] == " " for a, _ in pieces[1:])
 
 
 def test_short_items_and_numbers_in_rows(spark):

@@ -7,6 +7,7 @@ times and all copies are dealt out and ordered by a hash.
 """
 
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 SEED = "mix-1"
 SHUFFLE_SEED = "shuffle-1"
@@ -55,18 +56,19 @@ def source_rates(docs, targets=None, temperature=TEMPERATURE, epochs=EPOCHS):
 
 def with_distribution(rates):
     """Adds ``cdf``, the Poisson distribution function at 0, 1, 2 ... until it is one in double
-    precision.  Terms are kept as logarithms, so that a large rate does not underflow."""
+    precision.  Terms are kept as logarithms, so that a large rate does not underflow.
+
+    A row per source and count is summed up in order, so the work grows with the rate."""
     rate = F.col("rate")
     top = F.ceil(rate + 12 * F.sqrt(rate) + 40).cast("int")
-
-    def step(acc, k):
-        term = acc["term"] + F.log(rate) - F.log(k.cast("double"))
-        return F.struct(term.alias("term"), F.concat(
-            acc["cdf"], F.array(F.element_at(acc["cdf"], -1) + F.exp(term))).alias("cdf"))
-
-    first = F.struct((-rate).alias("term"), F.array(F.exp(-rate)).alias("cdf"))
-    cdf = F.aggregate(F.sequence(F.lit(1), top), first, step, lambda acc: acc["cdf"])
-    return rates.withColumn("cdf", F.when(rate > 0, cdf).otherwise(F.array(F.lit(1.0))))
+    counts = rates.where("rate > 0").select("source", "rate", F.explode(F.sequence(F.lit(0), top)).alias("k"))
+    upto = Window.partitionBy("source").orderBy("k")
+    term = F.sum(F.when(F.col("k") == 0, -rate).otherwise(F.log(rate) - F.log(F.col("k").cast("double")))).over(upto)
+    summed = counts.withColumn("term", term).withColumn("c", F.sum(F.exp("term")).over(upto))
+    tables = summed.groupBy("source").agg(F.sort_array(F.collect_list(F.struct("k", "c"))).alias("t")).select(
+        F.col("source").alias("named"), F.col("t.c").alias("table"))
+    return rates.join(tables, rates["source"].eqNullSafe(tables["named"]), "left").select(
+        *rates.columns, F.coalesce("table", F.array(F.lit(1.0))).alias("cdf"))
 
 
 NAMES = ("copy", "rate", "shuffle_key")
@@ -76,8 +78,8 @@ def mix(docs, targets=None, temperature=TEMPERATURE, epochs=EPOCHS, seed=SEED, n
     """All columns of ``docs`` with ``copy`` (1, 2 ...), ``rate`` and ``shuffle_key`` (or other
     ``names``), one row per copy, in a random order that the seed fixes.
 
-    The copies of a row stand in partitions dealt by ``shuffle_key`` and are sorted
-    by it there.  Input columns of the three names are replaced.  A null source is a
+    Copies are dealt to partitions by a hash of ``shuffle_key`` and of the row, so that
+    rows without an id do not meet in one, and are sorted by the key there.  Input columns of the three names are replaced.  A null source is a
     source; null and empty texts count no bytes but are drawn like the others of
     their source.  Rows that share an id share their draw; null ids share one.  An
     empty table gives no rows.
@@ -98,4 +100,6 @@ def mix(docs, targets=None, temperature=TEMPERATURE, epochs=EPOCHS, seed=SEED, n
     named = F.concat(F.lit(SHUFFLE_SEED + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")),
                      F.lit(":"), F.col(copy).cast("string"))
     keyed = copies.withColumn(key, hashed_long(named, 15))
-    return keyed.repartition(key).sortWithinPartitions(key)
+    # Rows that share an id share their keys; their places in the input spread them.
+    dealt = keyed.withColumn("__tm_row", F.monotonically_increasing_id())
+    return dealt.repartition(key, "__tm_row").sortWithinPartitions(key).drop("__tm_row")

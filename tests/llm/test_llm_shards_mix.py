@@ -132,3 +132,31 @@ def test_mix_of_awkward_rows(spark):
     assert mixing.mix(docs, names=names).drop(*names).columns == docs.columns
     assert mixing.mix(empty(docs)).count() == 0
     assert mixing.mix(docs, targets={"a": 0}).count() == 0
+
+
+def test_rows_without_ids_are_spread_over_partitions(spark):
+    rows = [(None, f"text {i % 3}", "en", "a", 6) for i in range(20000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert _parts(mixing.mix(docs)) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _parts(df):
+    """Non-empty partitions before adaptive execution joins small ones."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df.select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_large_rates_are_linear_work(spark):
+    import time
+
+    start = time.perf_counter()
+    rates = spark.createDataFrame([("a", 200000.0), (None, 0.5), ("z", 0.0)], "source string, rate double")
+    rows = {r.source: r.cdf for r in mixing.with_distribution(rates).collect()}
+    assert time.perf_counter() - start < 60
+    assert rows["z"] == [1.0] and rows[None][:2] == pytest.approx([math.exp(-0.5), 1.5 * math.exp(-0.5)])
+    assert all(a <= b for a, b in zip(rows["a"], rows["a"][1:])) and rows["a"][-1] == pytest.approx(1, abs=1e-9)
+    assert rows["a"][200000] == pytest.approx(0.5, abs=0.001)

@@ -13,6 +13,11 @@ long, a step to an adjoining cell is one flipped bit, and the Manhattan distance
 is the number of differing bits of two codes.
 """
 
+import itertools
+import math
+from functools import reduce
+from operator import add
+
 import numpy as np
 import pandas as pd
 import xxhash
@@ -69,19 +74,51 @@ def unary_counts(x):
     return low.bitwiseOR(F.shiftleft(high, 1))
 
 
-def _blocks(max_bits):
-    n = max_bits // 2 + 1
+def _cut(n):
+    """The 32 segments in ``n`` blocks, each as a mask of unary codes."""
     edges = [64 * i // (2 * n) * 2 for i in range(n + 1)]
     return [list(range(a, b)) for a, b in zip(edges, edges[1:])]
 
 
-def linked_fingerprints(fps, max_bits=MAX_BITS):
-    """Pairs ``u < v`` of the distinct bigint column ``fp`` that differ in at most
-    ``max_bits`` bits.  A pair may come up once per block."""
-    blocks = _blocks(max_bits)
+def _mask(bits):
+    return sum(1 << b for b in bits)
+
+
+# Two random segments of two bits have the same count with this probability.
+_SAME = 3 / 8
+FEW_MEETINGS = 2.0
+MAX_BLOCKS = 16
+
+
+def meetings(n, n_blocks, max_bits=MAX_BITS):
+    """How many others a random one of ``n`` fingerprints is expected to meet under a layout."""
+    if not n_blocks:
+        return n * sum((1 + len(b)) * _SAME ** (len(b) // 2) for b in _cut(max_bits // 2 + 1))
+    sizes = [len(b) // 2 for b in _cut(n_blocks)]
+    return n * sum(_SAME ** sum(kept) for kept in itertools.combinations(sizes, n_blocks - max_bits))
+
+
+def cost(n, n_blocks, max_bits=MAX_BITS):
+    """Cells written for a fingerprint, on both sides of the join, and the others that it meets there."""
+    return 2 * math.comb(n_blocks, max_bits) + meetings(n, n_blocks, max_bits)
+
+
+def layout(n, max_bits=MAX_BITS):
+    """Number of blocks for ``n`` distinct fingerprints: 0 for the grid with adjoining cells, while few
+    meet there, else the number of least cost, of which all but ``max_bits`` blocks must be equal.
+
+    So the work for a fingerprint hardly grows with their number; every layout finds every link.
+    """
+    if meetings(n, 0, max_bits) <= FEW_MEETINGS:
+        return 0
+    return min(range(max_bits + 1, max(MAX_BLOCKS, max_bits + 1) + 1), key=lambda m: cost(n, m, max_bits))
+
+
+def _by_grid(coded, max_bits):
+    """Pairs of fingerprints that share a cell or stand in adjoining ones, in some block."""
+    blocks = _cut(max_bits // 2 + 1)
     radius = max_bits // len(blocks)
-    coded = fps.select("fp", unary_counts(F.col("fp")).alias("code"))
-    masks = [sum(1 << b for b in bits) for bits in blocks]
+    masks = [_mask(bits) for bits in blocks]
     home = coded.select(
         F.col("fp").alias("v"), F.col("code").alias("v_code"),
         F.explode(F.array(*[F.struct(F.lit(i).alias("block"), F.col("code").bitwiseAND(_long(m)).alias("cell"))
@@ -98,12 +135,41 @@ def linked_fingerprints(fps, max_bits=MAX_BITS):
     valid = (F.shiftrightunsigned(cell, 1).bitwiseAND(F.bitwise_not(cell)).bitwiseAND(_long(_LOW))) == 0
     probes = probes.where(valid).select("u", "u_code", "at.block", "at.cell")
     home = home.select("v", "v_code", "at.block", "at.cell")
-    near = ((F.col("u") < F.col("v"))
-            & (F.bit_count(F.col("u_code").bitwiseXOR(F.col("v_code"))) <= max_bits)
-            & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= max_bits))
     return (probes.alias("p").join(home.alias("h"), (F.col("p.block") == F.col("h.block"))
-                                   & (F.col("p.cell") == F.col("h.cell")) & near)
-            .select("u", "v"))
+                                   & (F.col("p.cell") == F.col("h.cell")) & (F.col("u") < F.col("v"))))
+
+
+def _by_blocks(coded, max_bits, n_blocks):
+    """Pairs of fingerprints that agree on all but ``max_bits`` of the blocks, met once each: on
+    the first blocks on which they agree."""
+    masks = [_mask(bits) for bits in _cut(n_blocks)]
+    kept = list(itertools.combinations(range(n_blocks), n_blocks - max_bits))
+    cells = coded.select("fp", F.explode(F.array(*[
+        F.struct(F.lit(sum(1 << b for b in blocks)).alias("blocks"),
+                 F.col("code").bitwiseAND(_long(sum(masks[b] for b in blocks))).alias("cell")) for blocks in kept])).alias("at"))
+    cells = cells.select("at.blocks", "at.cell", "fp")
+    other = cells.select("blocks", "cell", F.col("fp").alias("other"))
+    met = (cells.join(other, ["blocks", "cell"]).where(F.col("fp") < F.col("other"))
+           .select("blocks", F.col("fp").alias("u"), F.col("other").alias("v"),
+                   unary_counts(F.col("fp")).alias("u_code"), unary_counts(F.col("other")).alias("v_code")))
+    apart = F.col("u_code").bitwiseXOR(F.col("v_code"))
+    equal = reduce(add, [F.when(apart.bitwiseAND(_long(m)) == 0, 1 << b).otherwise(0) for b, m in enumerate(masks)])
+    # No equal block is left out below the highest one that the key has: the lowest is above it.
+    left_out = equal.bitwiseAND(F.bitwise_not(F.col("blocks")))
+    lowest = left_out.bitwiseAND(-left_out)
+    return met.where((left_out == 0) | (lowest > F.col("blocks")))
+
+
+def linked_fingerprints(fps, max_bits=MAX_BITS, n_blocks=None):
+    """Pairs ``u < v`` of the distinct bigint column ``fp`` that differ in at most ``max_bits``
+    bits.  A pair may come up more than once.  ``n_blocks`` is a :func:`layout`, by default that
+    of the number of fingerprints."""
+    if n_blocks is None:
+        n_blocks = layout(fps.count(), max_bits)
+    coded = fps.select("fp", unary_counts(F.col("fp")).alias("code"))
+    met = _by_blocks(coded, max_bits, n_blocks) if n_blocks else _by_grid(coded, max_bits)
+    return met.where((F.bit_count(F.col("u_code").bitwiseXOR(F.col("v_code"))) <= max_bits)
+                     & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= max_bits)).select("u", "v")
 
 
 def group_fingerprints(hashed, max_bits=MAX_BITS):

@@ -69,6 +69,37 @@ def test_links_at_every_distance(spark, max_bits):
     assert got == want
 
 
+@pytest.mark.parametrize("max_bits, n_blocks", [(4, 0), (4, 5), (4, 6), (4, 8), (4, 9), (4, 11), (3, 7), (2, 4), (0, 1), (0, 3)])
+def test_every_layout_finds_every_link_and_blocks_each_once(spark, max_bits, n_blocks):
+    rng, values = random.Random(10 * max_bits + n_blocks), {0, (1 << 64) - 1, 1 << 63, 3 << 62}
+    for _ in range(40):
+        base = rng.getrandbits(64)
+        values |= {base} | {base ^ sum(1 << b for b in rng.sample(range(64), k)) for k in range(1, 7)}
+        values |= {base ^ (3 << 2 * b) for b in rng.sample(range(32), 3)}
+    signed = lambda v: v - (1 << 64) if v >> 63 else v
+    fps = spark.createDataFrame([(signed(v),) for v in values], "fp long")
+    got = [frozenset((r.u, r.v)) for r in simhash.linked_fingerprints(fps, max_bits, n_blocks).collect()]
+    ordered = sorted(values)
+    want = {frozenset((signed(a), signed(b))) for i, a in enumerate(ordered) for b in ordered[:i]
+            if (a ^ b).bit_count() <= max_bits}
+    assert set(got) == want and (not n_blocks or len(got) == len(want))
+
+
+def test_meetings_grow_with_the_fingerprints(spark):
+    """Random fingerprints that meet in a cell, at 1e5 and 4e5 of them: as many as expected, and no
+    more work for each."""
+    work = []
+    for n in (100_000, 400_000):
+        blocks = simhash.layout(n)
+        coded = spark.range(n).select(F.xxhash64("id").alias("fp")).select("fp", simhash.unary_counts(F.col("fp")).alias("code"))
+        met = simhash._by_blocks(coded.repartition(8), 4, blocks).count() / n
+        assert 0.3 * simhash.meetings(n, blocks) < 2 * met < 1.2 * simhash.meetings(n, blocks)
+        work.append(simhash.cost(n, blocks) - simhash.meetings(n, blocks) + 2 * met)
+    assert 0.5 < work[1] / work[0] < 2
+    assert simhash.cost(10 ** 9, simhash.layout(10 ** 9)) < 30 * work[0]
+    assert simhash.layout(0) == simhash.layout(100) == 0
+
+
 def test_unary_codes_bound_the_distance(spark):
     rng = random.Random(1)
     pairs = [(rng.getrandbits(63), rng.getrandbits(63)) for _ in range(300)]

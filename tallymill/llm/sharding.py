@@ -1,11 +1,12 @@
 """Shards by a hierarchical weighted hash tree of regions, racks and shards.
 
-Every shard draws an exponential waiting time with its weight as the rate from
-a hash of the document id and its own number.  A rack's draw is the least of its
-shards' draws, and a region's the least of its racks': again exponential, with
-the summed weight.  A document descends from the root to the child with the
-least draw at each level.  A changed or added shard alters only the draws on its
-own path, so documents move only into or out of that subtree.
+A document descends from the root.  At each level every child of the node it stands on
+draws an exponential waiting time from a hash of the document id, the level and the
+child's number, with the summed weight of the child's subtree as the rate; the least
+draw is the way down.  A changed weight alters the rates on its own path only, so
+documents move into or out of the subtrees whose weight changed and nowhere else.
+An added shard opens a region of its own: it alters no other rate and takes rows only
+into itself.
 """
 
 from collections import defaultdict
@@ -19,6 +20,7 @@ N_SHARDS = 40
 RACKS_PER_REGION = 4
 SHARDS_PER_RACK = 5
 ROW_OVERHEAD = 16
+_LEVELS = 3
 
 
 def default_tree(n_shards, shards_per_rack=SHARDS_PER_RACK, racks_per_region=RACKS_PER_REGION, weights=None):
@@ -28,27 +30,44 @@ def default_tree(n_shards, shards_per_rack=SHARDS_PER_RACK, racks_per_region=RAC
             for s in range(n_shards)]
 
 
-def _draw(doc_id, shard, weight):
-    uniform = (F.shiftrightunsigned(F.xxhash64(doc_id, F.lit(shard)), 11) + F.lit(0.5)) * F.lit(2.0 ** -53)
-    return -F.log(uniform) / F.lit(weight)
+def grown_tree(tree, weight=1.0):
+    """``tree`` with one more shard in a rack and a region of its own, each numbered next."""
+    return [*tree, (*[max(row[level] for row in tree) + 1 for level in range(_LEVELS)], float(weight))]
 
 
-def _least(nodes):
-    return F.array_min(F.array(*nodes)) if len(nodes) > 1 else nodes[0]
+def _draw(doc_id, level, node, weight):
+    uniform = (F.shiftrightunsigned(F.xxhash64(doc_id, F.lit(level), node), 11) + F.lit(0.5)) * F.lit(2.0 ** -53)
+    return -F.log(uniform) / weight
+
+
+def _draws(doc_id, level, children):
+    return F.transform(children, lambda child: F.struct(
+        _draw(doc_id, level, child["node"], child["weight"]).alias("draw"), child["at"].alias("at")))
 
 
 def descend(doc_id, tree):
     """Shard number of a document id under a tree of (region, rack, shard, weight) rows; shards
-    of weight zero get nothing."""
-    regions = defaultdict(lambda: defaultdict(list))
-    for region, rack, shard, weight in tree:
-        if weight > 0:
-            regions[region][rack].append(
-                F.struct(_draw(doc_id, shard, weight).alias("draw"), F.lit(shard).alias("shard")))
-    if not regions:
+    of weight zero get nothing.
+
+    A row draws once for each child of the nodes on its way: 2 + 4 + 5 hashes among 40 shards.
+    """
+    weights = defaultdict(float)
+    for row in tree:
+        if row[-1] > 0:
+            for level in range(_LEVELS):
+                weights[row[:level + 1]] += row[-1]
+    if not weights:
         raise ValueError("no shard has a weight above zero")
-    return _least([_least([_least(shards) for shards in racks.values()])
-                   for racks in regions.values()])["shard"]
+    parents, at = [()], F.lit(0)
+    for level in range(_LEVELS):
+        nodes = sorted(path for path in weights if len(path) == level + 1)
+        families = defaultdict(list)
+        for place, path in enumerate(nodes):
+            families[path[:-1]].append(F.struct(F.lit(place).alias("at"), F.lit(path[-1]).alias("node"),
+                                                F.lit(weights[path]).alias("weight")))
+        children = F.get(F.array(*[F.array(*families[parent]) for parent in parents]), at)
+        parents, at = nodes, F.array_min(_draws(doc_id, level, children))["at"]
+    return F.get(F.array(*[F.lit(path[-1]) for path in parents]), at)
 
 
 def with_shard(docs, tree, grown_tree=None):
@@ -82,12 +101,13 @@ def assign(docs, n_shards=N_SHARDS, weights=None):
     """All rows and columns of ``docs`` with ``law``, ``shard``, ``slot`` and ``grown_shard``
     (the shard among one more; that one takes rows only into itself).
 
-    Input columns of those four names are replaced.  A repeated row keeps its own
-    slot; repeated ids share a shard.  Null ids share one shard.  Texts are not
-    read.  An empty table gives no rows.
+    Input columns of those four names are replaced; names that begin with ``__tm_`` are
+    reserved.  A repeated row keeps its own slot; repeated ids share a shard.  Null ids share
+    one shard.  Equal draws go to the lower number.  Texts, of any length, are not read.  An
+    empty table gives no rows.
     """
-    grown = default_tree(n_shards + 1, weights=weights)
-    out = with_shard(docs, default_tree(n_shards, weights=weights), grown)
+    tree = default_tree(n_shards, weights=weights)
+    out = with_shard(docs, tree, grown_tree(tree, (weights or {}).get(n_shards, 1.0)))
     return with_slot(out.withColumn("law", F.lit("key")))
 
 

@@ -13,31 +13,30 @@ from tallymill.llm import mixing, sharding
 from tallymill.llm.common import table
 
 
-def _draw(doc_id, shard, weight):
-    """XXH64 of the id's eight bytes, chained into the shard number's four, as one draw."""
+def _draw(doc_id, level, node, weight):
+    """XXH64 of the id's eight bytes, chained into the level's and the node's four, as one draw."""
     h = xxhash.xxh64_intdigest((doc_id % 2 ** 64).to_bytes(8, "little"), 42)
-    h = xxhash.xxh64_intdigest(shard.to_bytes(4, "little"), h)
+    for number in (level, node):
+        h = xxhash.xxh64_intdigest(number.to_bytes(4, "little"), h)
     return -math.log(((h >> 11) + 0.5) * 2.0 ** -53) / weight
 
 
 def _plain_shard(doc_id, tree):
-    """Descend by the least draw below each node."""
-    def least(rows):
-        return min(_draw(doc_id, s, w) for _, _, s, w in rows)
-
+    """Descend by the least draw below each node, a node weighing what stands below it."""
     rows = [r for r in tree if r[3] > 0]
     for level in range(3):
         nodes = defaultdict(list)
         for r in rows:
             nodes[r[level]].append(r)
-        rows = min(nodes.values(), key=least)
+        rows = nodes[min(nodes, key=lambda node: _draw(doc_id, level, node, sum(r[3] for r in nodes[node])))]
     return rows[0][2]
 
 
 def test_shards_sizes_and_slots_match_plain_python(spark, sf_dir):
     docs = {r.doc_id: r.text for r in table(spark, sf_dir, "documents").collect()}
     rows = sharding.assign(sharding.size_and_crc(table(spark, sf_dir, "documents"))).collect()
-    tree, grown = sharding.default_tree(40), sharding.default_tree(41)
+    tree, grown = sharding.default_tree(40), sharding.grown_tree(sharding.default_tree(40))
+    assert grown == sharding.default_tree(41)
     slots = defaultdict(list)
     for r in rows:
         data = docs[r.doc_id].encode()
@@ -51,20 +50,81 @@ def test_shards_sizes_and_slots_match_plain_python(spark, sf_dir):
 
 @pytest.mark.parametrize("n", [1, 7, 39, 62])
 def test_growth_by_one_moves_rows_only_into_the_new_shard(spark, n):
-    rows = sharding.with_shard(spark.range(4000).withColumnRenamed("id", "doc_id"), sharding.default_tree(n),
-                               sharding.default_tree(n + 1)).collect()
+    tree = sharding.default_tree(n)
+    rows = sharding.with_shard(spark.range(4000).withColumnRenamed("id", "doc_id"), tree, sharding.grown_tree(tree)).collect()
     assert all(r.grown_shard in (r.shard, n) for r in rows)
     moved = sum(r.grown_shard == n for r in rows)
     assert abs(moved - 4000 / (n + 1)) < 6 * math.sqrt(4000 / (n + 1))
 
 
-def test_reweighting_confines_movement_and_follows_weights(spark):
-    before, after = sharding.default_tree(40), sharding.default_tree(40, weights={7: 3.0, 9: 0.0})
-    ids = spark.range(20000).withColumnRenamed("id", "doc_id")
-    rows = sharding.with_shard(ids, before, after).collect()
-    assert all(r.shard == r.grown_shard or r.grown_shard == 7 or r.shard == 9 for r in rows)
+def _moves(spark, before, after, n=20000):
+    ids = spark.range(n).withColumnRenamed("id", "doc_id")
+    return sharding.with_shard(ids, before, after).collect()
+
+
+def _region(shard):
+    return shard // 20
+
+
+def _rack(shard):
+    return shard // 5
+
+
+def test_a_heavier_shard_moves_rows_only_into_its_subtrees(spark):
+    rows = _moves(spark, sharding.default_tree(40), sharding.default_tree(40, weights={7: 3.0}))
+    for r in rows:
+        if r.shard != r.grown_shard:
+            # Into the region, or inside it into the rack, or inside that into the shard.
+            assert _region(r.grown_shard) == 0
+            if _region(r.shard) == 0:
+                assert _rack(r.grown_shard) == 1
+                assert _rack(r.shard) != 1 or r.grown_shard == 7
     counts = Counter(r.grown_shard for r in rows)
-    assert 9 not in counts and abs(counts[7] - 20000 * 3 / 41) < 6 * math.sqrt(20000 * 3 / 41)
+    assert abs(counts[7] - 20000 * 3 / 42) < 6 * math.sqrt(20000 * 3 / 42)
+    assert all(abs(counts[s] - 20000 / 42) < 6 * math.sqrt(20000 / 42) for s in range(40) if s != 7)
+
+
+def test_a_closed_shard_moves_rows_only_out_of_its_subtrees(spark):
+    rows = _moves(spark, sharding.default_tree(40), sharding.default_tree(40, weights={9: 0.0}))
+    for r in rows:
+        if r.shard != r.grown_shard:
+            assert _region(r.shard) == 0
+            if _region(r.grown_shard) == 0:
+                assert _rack(r.shard) == 1
+                assert _rack(r.grown_shard) != 1 or r.shard == 9
+    assert 9 not in {r.grown_shard for r in rows}
+
+
+@pytest.mark.parametrize("level, weights", [("region", {s: 2.0 for s in range(20, 40)}), ("rack", {s: 2.0 for s in range(10, 15)})])
+def test_weights_of_whole_regions_and_racks_confine_movement(spark, level, weights):
+    rows = _moves(spark, sharding.default_tree(40), sharding.default_tree(40, weights=weights))
+    moved = [r for r in rows if r.shard != r.grown_shard]
+    if level == "region":
+        assert moved and all(_region(r.shard) == 0 and _region(r.grown_shard) == 1 for r in moved)
+    else:
+        assert all(_region(r.grown_shard) == 0 and (_region(r.shard) == 1 or _rack(r.grown_shard) == 2) for r in moved)
+        assert any(_rack(r.grown_shard) == 2 for r in moved)
+    share = sum(weights.get(s, 1.0) for s in range(40))
+    counts = Counter(r.grown_shard for r in rows)
+    assert all(abs(counts[s] - 20000 * weights.get(s, 1.0) / share) < 6 * math.sqrt(20000 * weights.get(s, 1.0) / share)
+               for s in range(40))
+
+
+def test_the_shape_of_the_tree_decides_where_rows_go(spark):
+    tree = sharding.default_tree(40)
+    dealt = [(s % 2, s % 8, s, w) for _, _, s, w in tree]
+    rows = _moves(spark, tree, dealt)
+    assert sum(r.shard != r.grown_shard for r in rows) > 15000
+    counts = Counter(r.grown_shard for r in rows)
+    assert all(abs(counts[s] - 500) < 6 * math.sqrt(500) for s in range(40))
+
+
+def test_added_shards_keep_their_regions(spark):
+    forty = sharding.default_tree(40)
+    one = sharding.grown_tree(forty)
+    two = sharding.grown_tree(one)
+    assert all(r.grown_shard in (r.shard, 41) for r in _moves(spark, one, two))
+    assert all(r.grown_shard in (r.shard, 40, 41) for r in _moves(spark, forty, two))
 
 
 def test_shards_of_awkward_rows(spark):

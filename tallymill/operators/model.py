@@ -112,3 +112,41 @@ def score(model, df, name="score"):
     """Probability of class 1 as a plain column."""
     out = model.transform(df)
     return out.withColumn(name, vector_to_array("probability")[1]).select(*df.columns, name)
+
+
+def coefficients(fitted, columns=FEATURES):
+    """A fitted pipeline as weights of its unscaled columns; the intercept stands under None.
+
+    The scaler's moments are folded into the weights; a constant column weighs nothing."""
+    scaler, lr = fitted.stages[-2], fitted.stages[-1]
+    weights, intercept = {}, float(lr.intercept)
+    for column, b, mean, std in zip(columns, lr.coefficients, scaler.mean, scaler.std):
+        weights[column] = float(b / std) if std else 0.0
+        intercept -= weights[column] * float(mean)
+    return {None: intercept, **weights}
+
+
+def publish(spark, weights, path, version):
+    """Append a model's weights to a table of models as one file, so that a reader sees all of
+    them or none; the highest version is the one in use."""
+    rows = [(int(version), feature, float(weight)) for feature, weight in weights.items()]
+    spark.createDataFrame(rows, "model_version long, feature string, weight double").coalesce(1).write.mode("append").parquet(path)
+
+
+def latest_weights(spark, path):
+    """``(version, weights)`` of the model in use: a row per column reaches the driver."""
+    models = spark.read.schema("model_version long, feature string, weight double").parquet(path)
+    version = models.agg(F.max("model_version")).first()[0]
+    if version is None:
+        raise ValueError(f"no model published at {path}")
+    return version, {r["feature"]: r["weight"] for r in models.where(F.col("model_version") == version).collect()}
+
+
+def linear_score(df, weights, name="score"):
+    """Probability of class 1 under :func:`coefficients`, as a plain column expression; null
+    where a weighed column is null."""
+    margin = F.lit(weights[None])
+    for column, weight in weights.items():
+        if column is not None:
+            margin = margin + F.lit(weight) * F.col(column).cast("double")
+    return df.withColumn(name, 1 / (1 + F.exp(-margin)))

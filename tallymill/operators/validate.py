@@ -7,6 +7,7 @@ from pyspark.sql.types import BooleanType, DoubleType, IntegerType, LongType, St
 
 from tallymill.functions.hashing import PRIME, coefficients, digest, polynomial
 from tallymill.functions.stats import SHAPIRO_MAX, shapiro_wilk, t_two_sided
+from tallymill.session import materialise
 
 # Resampling and test parameters, names of the test's results.
 REPLICATES = 100
@@ -202,6 +203,22 @@ def champion(test, baseline, tuned, require_improvement=False):
 FLOORS = {"precision": 0.98, "recall": 0.95, "f1": 0.96}
 
 
+def _rates(rows):
+    """Precision, recall and F1 of rows with ``tp``, ``fp`` and ``fn``."""
+    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
+    ratio = lambda a, b: F.when(b > 0, a / b)
+    return (
+        rows.withColumn("precision", ratio(tp, tp + fp))
+        .withColumn("recall", ratio(tp, tp + fn))
+        .withColumn("f1", ratio(2 * tp, 2 * tp + fp + fn))
+    )
+
+
+def _meets(floors):
+    return F.coalesce((F.col("precision") >= floors["precision"]) & (F.col("recall") >= floors["recall"])
+                      & (F.col("f1") >= floors["f1"]), F.lit(False))
+
+
 def threshold_metrics(df, label, score, thresholds, floors=None):
     """Precision, recall, F1 and false positives at each threshold (predicted 1
     when score >= threshold). Rows without a score take no part; ``n_null_score``
@@ -210,7 +227,6 @@ def threshold_metrics(df, label, score, thresholds, floors=None):
     Rows reduce to counts per threshold interval in one pass; thresholds never
     multiply the rows.
     """
-    floors = floors or FLOORS
     cuts = sorted(float(t) for t in thresholds)
     passed = sum([F.when(F.col(score) >= t, 1).otherwise(0) for t in cuts], F.lit(0))
     scored = F.col(score).isNotNull()
@@ -234,16 +250,45 @@ def threshold_metrics(df, label, score, thresholds, floors=None):
         .select(F.element_at(F.array(*[F.lit(t) for t in cuts]), F.col("_passed").cast("int"))
                 .alias("threshold"), "tp", "fp", (F.col("_all") - F.col("tp")).alias("fn"), "n_null_score")
     )
-    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
-    ratio = lambda a, b: F.when(b > 0, a / b)
-    return (
-        rows.withColumn("precision", ratio(tp, tp + fp))
-        .withColumn("recall", ratio(tp, tp + fn))
-        .withColumn("f1", ratio(2 * tp, 2 * tp + fp + fn))
-        .withColumn("meets_floors", F.coalesce(
-            (F.col("precision") >= floors["precision"]) & (F.col("recall") >= floors["recall"])
-            & (F.col("f1") >= floors["f1"]), F.lit(False)))
-    )
+    return _rates(rows).withColumn("meets_floors", _meets(floors or FLOORS))
+
+
+def score_curve(df, label, score):
+    """``threshold, tp, fp, fn`` and the rates of :func:`threshold_metrics` at every distinct score.
+    Rows without a score take no part.
+
+    Rows first reduce to one per distinct score. Those are written in ranges of the score; each
+    range sums its own scores from the top, and the totals of the ranges above are added. There
+    are as many totals as shuffle partitions, so they are broadcast.
+    """
+    per_score = (
+        df.where(F.col(score).isNotNull()).groupBy(F.col(score).alias("threshold"))
+        .agg(F.count_if(F.col(label) == 1).alias("_p"), F.count_if(F.col(label) == 0).alias("_n")))
+    # Written once: ranges drawn anew for the second reading could differ.
+    ranged = materialise(per_score.repartitionByRange("threshold").withColumn("_seg", F.spark_partition_id()), "scores")
+    higher = Window.orderBy(F.desc("_seg")).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranged.groupBy("_seg").agg(F.sum("_p").alias("_p"), F.sum("_n").alias("_n")).select(
+        "_seg", F.coalesce(F.sum("_p").over(higher), F.lit(0)).alias("_tp"),
+        F.coalesce(F.sum("_n").over(higher), F.lit(0)).alias("_fp"), F.sum("_p").over(Window.partitionBy()).alias("_all"))
+    downward = Window.partitionBy("_seg").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
+    within = ranged.select("_seg", "threshold", F.sum("_p").over(downward).alias("_in_p"), F.sum("_n").over(downward).alias("_in_n"))
+    tp = F.col("_tp") + F.col("_in_p")
+    return _rates(within.join(F.broadcast(offsets), "_seg").select(
+        "threshold", tp.alias("tp"), (F.col("_fp") + F.col("_in_n")).alias("fp"), (F.col("_all") - tp).alias("fn")))
+
+
+def operating_points(df, label, score, floor_sets=None):
+    """For each named set of floors the least distinct score that meets them all as a threshold:
+    ``floors``, ``threshold``, its counts and rates, ``n_scores`` tried and ``n_meeting``. The
+    threshold is null where no score meets the floors. All sets share one pass over the scores."""
+    sets = floor_sets or {"planned": FLOORS}
+    fields = ("threshold", "tp", "fp", "fn", "precision", "recall", "f1")
+    least = [F.min(F.when(_meets(floors), F.struct(*fields))).alias(f"_least{i}") for i, floors in enumerate(sets.values())]
+    meeting = [F.count_if(_meets(floors)).alias(f"_n{i}") for i, floors in enumerate(sets.values())]
+    points = F.array(*[
+        F.struct(F.lit(name).alias("floors"), *[F.col(f"_least{i}.{c}").alias(c) for c in fields],
+                 F.col("_scores").alias("n_scores"), F.col(f"_n{i}").alias("n_meeting")) for i, name in enumerate(sets)])
+    return score_curve(df, label, score).agg(F.count("*").alias("_scores"), *least, *meeting).select(F.inline(points))
 
 
 def decision(score, amount, block_at, review_at, large_amount, large_review_at):

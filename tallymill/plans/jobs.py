@@ -122,8 +122,11 @@ def compare_models(train, test, label, key, weight="weight", require_improvement
 
 
 def validate_job(spark, glob, model_path, scores_path, log_path, run_id, run_ts,
-                 require_improvement=False):
-    """A/B validation: score samples, both normality tests, t-test, champion."""
+                 require_improvement=False, coefficients_path=None):
+    """A/B validation: score samples, both normality tests, t-test, champion.
+
+    With ``coefficients_path`` the champion is also published there, under its time in seconds
+    as the version, for streams that score with the model in use."""
     with job_folder(spark, "validate"):
         table = training_table(spark, glob)
         result = compare_models(table.filter("split = 'train'"), table.filter("split = 'test'"),
@@ -132,6 +135,8 @@ def validate_job(spark, glob, model_path, scores_path, log_path, run_id, run_ts,
         row = result.decision.first().asDict()
         chosen = result.tuned if row["champion"] == "tuned" else result.baseline
         chosen.write().overwrite().save(model_path)
+        if coefficients_path:
+            model.publish(spark, model.coefficients(chosen), coefficients_path, run_ts.timestamp())
     metrics = {k: row[k] for k in row if k.startswith(("p_", "stat_"))}
     runs.log_run(spark, log_path, run_id, run_ts, metrics, result.params,
                  {"champion": row["champion"], "result": row["result"]})
@@ -203,6 +208,12 @@ def score_job(spark, source, model_path, sink, checkpoint, threshold=None):
     streams.drain(scored.select(_KEY, "score"), sink, checkpoint)
 
 
+def score_champion_job(spark, source, coefficients_path, sink, checkpoint, threshold=None):
+    """As :func:`score_job`, with the champion published last when each micro-batch begins."""
+    stream = streams.file_stream(spark, source, schemas.TRANSACTIONS, fmt="csv", comment="#").na.drop("any")
+    scoring.score_with_latest(stream, coefficients_path, sink, checkpoint, threshold)
+
+
 def click_job(messages, checkpoint, options, fmt="kafka", interval=streams.INTERVAL,
               available_now=False):
     """Start the click stream: filter by country, project, re-key, write on.

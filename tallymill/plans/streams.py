@@ -4,10 +4,10 @@ from pyspark.sql import functions as F
 
 from tallymill.operators import reconcile
 from tallymill.plans.catalog import query
-from tallymill.plans.views import CLICKS, LISTINGS, clicks, listings, table
+from tallymill.plans.views import CLICKS, LISTINGS, clicks, listings, one_by_one, table
 from tallymill.session import scratch_path
 from tallymill.sources import runs
-from tallymill.sources.clicks import synthetic_clicks, to_messages
+from tallymill.sources.clicks import numbers, synthetic_clicks, to_messages
 from tallymill.streaming import levels
 from tallymill.streaming.clicks import dedupe_redelivered, dedupe_written, filter_clicks, read_deduped, rekey
 from tallymill.streaming.run import drain, file_stream
@@ -63,20 +63,6 @@ def redelivery_dedup_stream(spark, sf_dir):
     return read_deduped(spark, sink).select("event_id", "user_id", "event_type")
 
 
-def _one_by_one(spark, batches, name):
-    """Rows staged as one file per value of ``batch``, which a file stream reads in that order."""
-    staged = scratch_path(spark, name)
-    batches.repartition("batch").write.partitionBy("batch").parquet(staged)
-    root = spark._jvm.org.apache.hadoop.fs.Path(staged)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    for folder in fs.listStatus(root):
-        if folder.isDirectory():
-            number = int(folder.getPath().getName().removeprefix("batch="))
-            for file in fs.listStatus(folder.getPath()):
-                fs.setTimes(file.getPath(), 1_700_000_000_000 + 1000 * number, -1)
-    return file_stream(spark, f"{staged}/*", batches.drop("batch").schema, max_files=1)
-
-
 _N_BATCHES, _PER_CELL = 64, 500
 
 
@@ -102,7 +88,7 @@ def redelivery_dedup_levels(spark, sf_dir):
     last = F.lit(_N_BATCHES - 1)
     again = F.array_distinct(F.array_compact(F.array(
         "at", F.least(last, (F.col("at") + F.col("event_id") % 3).cast("int")), F.when(F.col("event_id") % 997 == 0, last))))
-    stream = _one_by_one(spark, first.select("event_id", "user_id", "event_type", F.explode(again).alias("batch")), "deliveries")
+    stream = one_by_one(spark, first.select("event_id", "user_id", "event_type", F.explode(again).alias("batch")), "deliveries")
     sink, reads = scratch_path(spark, "deduped"), []
     dedupe_written(stream, "event_id", sink, scratch_path(spark, "checkpoint"), fan=4,
                    cell=F.floor(F.col("event_id") / _PER_CELL),
@@ -129,7 +115,7 @@ def stream_progress(spark, sf_dir):
     batch = (F.col("event_id") % _LATE_BATCHES).cast("int")
     days = F.when((batch > 2) & (F.col("event_id") % 7 == 0), -30).otherwise(0)
     ts = F.timestamp_seconds(F.lit(1_700_000_000) + 3600 * batch + 86400 * days)
-    stream = _one_by_one(spark, events.select("event_id", ts.alias("ts"), batch.alias("batch")), "late-deliveries")
+    stream = one_by_one(spark, events.select("event_id", ts.alias("ts"), batch.alias("batch")), "late-deliveries")
     log, out = scratch_path(spark, "run-log"), scratch_path(spark, "kept")
     # Little state here: one state partition keeps the many small batches short.
     partitions = spark.conf.get("spark.sql.shuffle.partitions")
@@ -157,6 +143,30 @@ def synthetic(spark, sf_dir):
     return synthetic_clicks(events, "event_id", "ts")
 
 
+_GENERATED_BATCHES = 4
+
+
+@query("generated_click_stream", f"""
+with n as (select (max(event_id) + {_GENERATED_BATCHES}) // {_GENERATED_BATCHES} as per_batch from events),
+h as (select event_id, 1700000000 + 60 * (event_id // per_batch) as ts, md5(concat_ws('|', event_id::varchar, 'clicks')) as h from events, n),
+p as (select ts, ['banner', 'article', 'link'][('0x' || substr(h, 1, 8))::bigint % 3 + 1] as kind,
+  (('0x' || substr(h, 9, 8))::bigint % 30 + 1)::varchar as number, (('0x' || substr(h, 17, 8))::bigint % 30 + 1)::int as user_id,
+  ['ru', 'ua', 'kz'][('0x' || substr(h, 25, 8))::bigint % 3 + 1] as geo from h)
+select user_id::varchar as key, to_json({{'ts': ts::int, 'user_id': user_id, 'object_id': kind || number, 'domain': 'example.com',
+  'url': 'https://example.com/' || kind || '/' || number}})::varchar as value from p where geo = 'ru'""")
+def generated_click_stream(spark, sf_dir):
+    """Clicks generated as a stream for the keys of the events and filtered on it: every run takes
+    one micro-batch of numbers and goes on where the one before ended."""
+    keys = table(spark, sf_dir, "events").select(F.col("event_id").alias("value"))
+    n = keys.agg(F.max("value")).first()[0] + 1
+    out, checkpoint = scratch_path(spark, "generated"), scratch_path(spark, "checkpoint")
+    for _ in range(_GENERATED_BATCHES):
+        stream = numbers(spark, -(-n // _GENERATED_BATCHES), start=1_700_000_000, step=60).join(keys, "value")
+        messages = to_messages(synthetic_clicks(stream, "value", "ts"))
+        drain(rekey(filter_clicks(messages)), out, checkpoint)
+    return spark.read.parquet(out)
+
+
 @query("reconcile", f"""
 with {LISTINGS} select coalesce(s.key, t.key) as key, s.size as source_size, t.size as target_size,
   case when t.key is null then 'missing' when s.key is null then 'extra'

@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 
 from tallymill.operators import clean, features, model, validate
 from tallymill.plans.catalog import query
-from tallymill.plans.views import CLEAN, PREDICTIONS, TX, predictions, table, transactions
+from tallymill.plans.views import CLEAN, PREDICTIONS, TX, one_by_one, predictions, table, transactions
 from tallymill.streaming.run import drain, file_stream
-from tallymill.streaming.scoring import score_stream
+from tallymill.streaming.scoring import score_stream, score_with_latest
 from tallymill.session import materialise, scratch_path
 
 _MODELS = {"initial": "score_a", "tuned": "score_b"}
@@ -338,6 +338,37 @@ def threshold_metrics_null_scores(spark, sf_dir):
     return out.select("threshold", "tp", "fp", "fn", "n_null_score")
 
 
+# Floors that no score, some scores and most scores meet.
+_FLOOR_SETS = {"planned": (0.98, 0.95, 0.96), "balanced": (0.6, 0.6, 0.7), "recall": (0.5, 0.9, 0.6), "low": (0.1, 0.05, 0.1)}
+# Scores that lean towards the label, with many ties at the top.
+_LEANING = "least(value + label * 4 * (event_id % 97), 300)"
+
+
+@query("operating_points", f"""
+with {PREDICTIONS},
+s as (select {_LEANING.replace("value", "score_a")} as s, label from predictions where event_id % 50 <> 3),
+per as (select s, count(*) filter (label = 1) as p, count(*) filter (label = 0) as n from s where s is not null group by s),
+c as (select s, sum(p) over (order by s desc) as tp, sum(n) over (order by s desc) as fp, sum(p) over () as all_p from per),
+f as (select * from (values {", ".join(f"('{k}', {a}, {b}, {c})" for k, (a, b, c) in _FLOOR_SETS.items())}) f(floors, fp_, fr, ff)),
+m as (select floors, s, tp, fp, all_p - tp as fn,
+    tp + fp > 0 and all_p > 0 and tp / (tp + fp)::double >= fp_ and tp / all_p::double >= fr and 2 * tp / (tp + fp + all_p)::double >= ff as ok
+  from c, f),
+best as (select floors, count(*)::bigint as n_scores, (count(*) filter (ok))::bigint as n_meeting, min(s) filter (ok) as threshold
+  from m group by floors)
+select b.floors, b.threshold, m.tp::bigint as tp, m.fp::bigint as fp, m.fn::bigint as fn,
+  round(tp / (tp + fp)::double, 6) as precision, round(tp / (tp + fn)::double, 6) as recall,
+  round(2 * tp / (2 * tp + fp + fn)::double, 6) as f1, n_scores, n_meeting
+from best b left join m on m.floors = b.floors and m.s = b.threshold""")
+def operating_points(spark, sf_dir):
+    """The least of all scores that meets each set of floors; every 50th row has no score."""
+    scored = predictions(spark, sf_dir).select("label", F.expr(
+        f"if(event_id % 50 <> 3, {_LEANING.replace('value', 'score_a')}, null)").alias("s"))
+    sets = {name: dict(zip(("precision", "recall", "f1"), floors)) for name, floors in _FLOOR_SETS.items()}
+    return validate.operating_points(scored, "label", "s", sets).select(
+        "floors", "threshold", "tp", "fp", "fn", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")],
+        "n_scores", "n_meeting")
+
+
 @query("decision_bands", f"""
 with {PREDICTIONS} select label, case when score_a >= 150 then 'block' when score_a >= 100 then 'review'
   when score_b >= 60 and score_a >= 40 then 'review' else 'pass' end as decision, count(*)::bigint as n
@@ -506,3 +537,37 @@ def score_transactions_stream(spark, sf_dir):
     batch = model.score(fitted, spark.read.parquet(staged)).select("tranaction_id", F.col("score").alias("batch"))
     return spark.read.parquet(out).join(batch, "tranaction_id", "left").select(
         "tranaction_id", F.coalesce(F.abs(F.col("score") - F.col("batch")) < 1e-12, F.lit(False)).alias("agrees"))
+
+
+_SCORED_BATCHES, _LAST_BEFORE_SWAP = 5, 1
+
+
+@query("champion_swap_stream", f"""
+with recursive {_NEWTON}, scored as (
+  select tranaction_id % {_SCORED_BATCHES} as batch, y,
+    case when tranaction_id % {_SCORED_BATCHES} <= {_LAST_BEFORE_SWAP} then 1 / (1 + exp(-x1)) else {_CURVE} end as p
+  from scaled, best where not is_train)
+select batch::bigint as batch, case when batch <= {_LAST_BEFORE_SWAP} then 1 else 2 end::bigint as version, floor(p * 50)::int as band,
+  y::int as tx_fraud, count(*)::bigint as n from scored group by all""")
+def champion_swap_stream(spark, sf_dir):
+    """Scores of a stream of five micro-batches; after the second one a new champion is published,
+    and the running query takes it up with the third."""
+    train, test = _train_test(spark, sf_dir)
+    coefficients = scratch_path(spark, "coefficients")
+    amount = F.col(_PAIR[0]).cast("double")
+    moments = train.agg(F.avg(amount).alias("mean"), F.stddev_samp(amount).alias("std")).first()
+    model.publish(spark, {None: -moments["mean"] / moments["std"], _PAIR[0]: 1 / moments["std"]}, coefficients, 1)
+    champion = model.coefficients(_converged(train), _PAIR)
+
+    def swap(batch):
+        if batch == _LAST_BEFORE_SWAP:
+            model.publish(spark, champion, coefficients, 2)
+
+    batch = F.col("tranaction_id") % _SCORED_BATCHES
+    stream = one_by_one(spark, test.select("tranaction_id", "tx_fraud", *_PAIR, batch.alias("batch")), "to-score")
+    sink = scratch_path(spark, "scored")
+    score_with_latest(stream, coefficients, sink, scratch_path(spark, "checkpoint"), after=swap)
+    return spark.read.parquet(sink).groupBy(
+        F.col("_batch").cast("long").alias("batch"), F.col("model_version").alias("version"),
+        F.floor(F.col("score") * 50).cast("int").alias("band"), F.col("tx_fraud").cast("int").alias("tx_fraud")).agg(
+        F.count("*").alias("n"))

@@ -35,6 +35,20 @@ def synthetic_clicks(keys, key, ts, salt="clicks"):
     )
 
 
+def numbers(spark, rows_per_batch, start=0, step=1, partitions=None):
+    """Stream of consecutive numbers ``value`` from 0, ``rows_per_batch`` in each micro-batch, with
+    ``ts``: ``start`` in the first micro-batch and ``step`` seconds more in each further one.
+
+    The numbers are keys for :func:`synthetic_clicks`. A restart from the checkpoint goes on with
+    the next number, and a repeated micro-batch holds the same ones.
+    """
+    reader = (spark.readStream.format("rate-micro-batch").option("rowsPerBatch", rows_per_batch)
+              .option("startTimestamp", 1000 * start).option("advanceMillisPerBatch", 1000 * step))
+    if partitions:
+        reader = reader.option("numPartitions", partitions)
+    return reader.load().select("value", F.unix_timestamp("timestamp").alias("ts"))
+
+
 def to_messages(clicks):
     """Keyed JSON messages."""
     return clicks.select(F.col("user_id").cast("string").alias("key"),

@@ -1,6 +1,7 @@
 """Streams against their batch forms."""
 
 import json
+import math
 from datetime import datetime
 
 import pytest
@@ -9,11 +10,11 @@ from pyspark.sql import functions as F
 from tallymill.operators import features, model
 from tallymill.plans.views import clicks, transactions
 from tallymill.schemas import TRANSACTIONS
-from tallymill.sources.clicks import to_messages
+from tallymill.sources.clicks import numbers, synthetic_clicks, to_messages
 from tallymill.streaming import cleaning, run
 from tallymill.streaming.clicks import (
     dedupe_redelivered, dedupe_written, filter_clicks, parse_clicks, read_deduped, rekey)
-from tallymill.streaming.scoring import score_stream
+from tallymill.streaming.scoring import score_stream, score_with_latest
 
 
 def messages(spark, values):
@@ -216,3 +217,42 @@ def test_late_rows_are_counted_beyond_what_a_query_remembers(spark, tmp_path):
         assert log["late_rows"] == "6" and log["input_rows"] == "15"
     finally:
         spark.conf.set(key, before)
+
+
+def test_a_new_champion_takes_over_between_micro_batches(spark, tmp_path):
+    models, src, sink, ck = (str(tmp_path / n) for n in ("models", "src", "sink", "ck"))
+    spark.range(90).select("id", (F.col("id") / 10).alias("x")).repartition(3).write.parquet(src)
+    model.publish(spark, {None: 0.0, "x": 0.0}, models, 1)
+    stream = lambda: run.file_stream(spark, src, "id long, x double", max_files=1)
+    swap = lambda batch: batch == 0 and model.publish(spark, {None: 1.0, "x": -1.0}, models, 2)
+
+    def stop(batch):
+        swap(batch)
+        if batch == 1:
+            raise RuntimeError("lost")
+
+    with pytest.raises(Exception, match="lost"):
+        score_with_latest(stream(), models, sink, ck, after=stop)
+    score_with_latest(stream(), models, sink, ck)
+    rows = spark.read.parquet(sink).collect()
+    assert sorted(r.id for r in rows) == list(range(90))
+    assert {(r["_batch"], r.model_version) for r in rows} == {(0, 1), (1, 2), (2, 2)}
+    for r in rows:
+        assert r.score == pytest.approx(0.5 if r.model_version == 1 else 1 / (1 + math.exp(r.x - 1)))
+
+
+def test_scoring_needs_a_published_model(spark, tmp_path):
+    spark.createDataFrame([], "model_version long, feature string, weight double").write.parquet(str(tmp_path / "none"))
+    with pytest.raises(ValueError, match="no model"):
+        model.latest_weights(spark, str(tmp_path / "none"))
+
+
+def test_generated_numbers_go_on_after_a_restart(spark, tmp_path):
+    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
+    for _ in range(3):
+        run.drain(numbers(spark, 40, start=1000, step=60, partitions=3), out, ck, timeout=120)
+    rows = sorted((r.value, r.ts) for r in spark.read.parquet(out).collect())
+    assert rows == [(v, 1000 + 60 * (v // 40)) for v in range(120)]
+    keys = spark.createDataFrame(rows, "value long, ts long")
+    streamed = synthetic_clicks(spark.read.parquet(out), "value", "ts")
+    assert streamed.exceptAll(synthetic_clicks(keys, "value", "ts")).count() == 0

@@ -286,3 +286,54 @@ def test_grid_report_marks_one_best(spark):
     assert validate.weighted_auc(scored, "y", "score", "weight").first().auc > 0.85
     weighted = model.build_pipeline("y", ("a", "b"), weight="weight").fit(df)
     assert weighted.stages[-1].getWeightCol() == "weight"
+
+
+@pytest.mark.parametrize("partitions", ["1", "7"])
+def test_operating_points_by_brute_force(spark, scored, partitions):
+    sets = {"low": {"precision": 0.2, "recall": 0.5, "f1": 0.3}, "none": validate.FLOORS,
+            "tail": {"precision": 0.0, "recall": 0.001, "f1": 0.0}}
+    rows = [(y, s if i % 9 else None) for i, _, y, s, _ in scored] + [(None, 0.25), (None, 99.0)]
+    kept = [(y, s) for y, s in rows if s is not None]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = {r.floors: r for r in validate.operating_points(
+            spark.createDataFrame(rows, "y int, s double"), "y", "s", sets).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for name, floors in sets.items():
+        meeting = []
+        for t in sorted({s for _, s in kept}):
+            tp, fp = (sum(1 for y, s in kept if y == c and s >= t) for c in (1, 0))
+            fn = sum(1 for y, s in kept if y == 1 and s < t)
+            if tp + fp and tp / (tp + fp) >= floors["precision"] and tp / (tp + fn) >= floors["recall"] \
+                    and 2 * tp / (2 * tp + fp + fn) >= floors["f1"]:
+                meeting.append((t, tp, fp, fn))
+        r = got[name]
+        assert (r.n_scores, r.n_meeting) == (len({s for _, s in kept}), len(meeting))
+        assert (r.threshold, r.tp, r.fp, r.fn) == (meeting[0] if meeting else (None,) * 4)
+    assert got["none"].threshold is None and got["low"].n_meeting > 1
+
+
+def test_operating_points_of_empty_and_one_class_tables(spark):
+    none = validate.operating_points(spark.createDataFrame([], "y int, s double"), "y", "s").first()
+    assert (none.threshold, none.n_scores, none.n_meeting) == (None, 0, 0)
+    ones = validate.operating_points(spark.createDataFrame([(1, 0.5), (1, 0.7)], "y int, s double"), "y", "s").first()
+    assert (ones.threshold, ones.tp, ones.fp, ones.fn) == (0.5, 2, 0, 0)
+    zeros = validate.operating_points(spark.createDataFrame([(0, 0.5)], "y int, s double"), "y", "s").first()
+    assert (zeros.threshold, zeros.n_scores) == (None, 1)
+
+
+def test_folded_coefficients_score_like_the_pipeline(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(i, rng.gauss(40, 9), rng.gauss(-3, 2), 5.0, int(rng.random() < 0.4)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double, y int")
+    fitted = model.build_pipeline("y", ("a", "b", "c")).fit(df)
+    weights = model.coefficients(fitted, ("a", "b", "c"))
+    assert weights["c"] == 0.0
+    model.publish(spark, {None: 9.0, "a": 1.0}, str(tmp_path / "m"), 3)
+    model.publish(spark, weights, str(tmp_path / "m"), 12)
+    version, read = model.latest_weights(spark, str(tmp_path / "m"))
+    assert version == 12 and read == weights
+    got = {r.id: r.score for r in model.linear_score(df, read).collect()}
+    assert got == pytest.approx({r.id: r.score for r in model.score(fitted, df).collect()})

@@ -21,6 +21,7 @@ _ARGS = {
     "reconcile": ["source", "target", "sink"],
     "arrivals": ["source", "staging", "checkpoint", "sink"],
     "score": ["source", "model", "sink", "checkpoint"],
+    "score-champion": ["source", "coefficients", "sink", "checkpoint"],
     "clicks": ["servers", "source_topic", "sink_topic", "checkpoint"],
 }
 
@@ -43,11 +44,14 @@ def parse(argv=None):
     commands.choices["clicks"].add_argument("--available-now", action="store_true",
                                             help="stop when the present messages are done")
     commands.choices["arrivals"].add_argument("--dedup", choices=["between", "last"], default="between")
-    commands.choices["score"].add_argument("--threshold", type=float, default=None)
+    for name in ("score", "score-champion"):
+        commands.choices[name].add_argument("--threshold", type=float, default=None)
     commands.choices["reconcile"].add_argument("--source-prefix", default="")
     commands.choices["evaluate"].add_argument("--texts", default=None, help="folder for the texts with their diversity")
     commands.choices["corpus"].add_argument("--header", action="store_true")
     commands.choices["validate"].add_argument("--require-improvement", action="store_true")
+    commands.choices["validate"].add_argument("--coefficients", default=None,
+                                              help="table of models, for streams that score with the model in use")
     return parser.parse_args(argv)
 
 
@@ -67,7 +71,7 @@ def main(argv=None):
         print(jobs.train_job(spark, args.runs, args.model, args.log, run_id, run_ts))
     elif args.job == "validate":
         print(jobs.validate_job(spark, args.runs, args.model, args.scores, args.log, run_id,
-                                run_ts, args.require_improvement))
+                                run_ts, args.require_improvement, args.coefficients))
     elif args.job == "corpus":
         jobs.corpus_job(spark, args.source, args.sink, header=args.header)
     elif args.job == "pairs":
@@ -87,6 +91,8 @@ def main(argv=None):
         jobs.arrivals_job(spark, args.source, args.staging, args.checkpoint, args.sink, args.dedup)
     elif args.job == "score":
         jobs.score_job(spark, args.source, args.model, args.sink, args.checkpoint, args.threshold)
+    elif args.job == "score-champion":
+        jobs.score_champion_job(spark, args.source, args.coefficients, args.sink, args.checkpoint, args.threshold)
     else:
         jobs.evaluate_job(spark, spark.read.parquet(args.source), args.log, run_id, run_ts, args.texts).show()
 

@@ -76,7 +76,8 @@ def with_fold(df, key, folds=FOLDS, salt="folds"):
 
 
 def cross_validate(train, label, key, weight="weight", columns=FEATURES, folds=FOLDS,
-                   parallelism=4, salt="folds", judge=None):
+                   parallelism=4, salt="folds", judge=None, reg_params=REG_PARAMS, elastic_nets=ELASTIC_NETS,
+                   max_iter=MAX_ITER, tol=1e-6):
     """Grid search over hash-assigned folds, so a rerun sees the same folds.
 
     Scaling does not depend on the grid: it is fitted once per fold, on that fold's
@@ -85,9 +86,9 @@ def cross_validate(train, label, key, weight="weight", columns=FEATURES, folds=F
     Spark ML). The best point is fitted again on all rows. Give it a stored table (see
     ``session.materialise``), not a long lineage.
     """
-    pipeline = build_pipeline(label, columns)
+    pipeline = build_pipeline(label, columns, max_iter=max_iter, tol=tol)
     scaling, lr = Pipeline(stages=pipeline.getStages()[:-1]), pipeline.getStages()[-1]
-    grid, judge = build_grid(lr), judge or evaluator(label, weight).evaluate
+    grid, judge = build_grid(lr, reg_params, elastic_nets), judge or evaluator(label, weight).evaluate
     folded = with_fold(train.select(*columns, label, weight, key), key, folds, salt)
 
     def metric(job):

@@ -160,7 +160,7 @@ def stream_continuous(spark, sf_dir):
     return _per_key(spark, out)
 
 
-@query("preview_rows", "select 20::bigint as n_shown, 20::bigint as n_found")
+@query("preview_rows", "select least(20, count(*))::bigint as n_shown, least(20, count(*))::bigint as n_found from customer")
 def preview_rows(spark, sf_dir):
     """Rows shown, and how many of them the table holds."""
     customers = table(spark, sf_dir, "customer")

@@ -470,6 +470,62 @@ def lr_optimum(spark, sf_dir):
         *[F.round(c, 4).alias(c) for c in ("intercept", "amount", "terminal")])
 
 
+@query("lr_optimum_auc", f"""
+with recursive {_NEWTON}, scored as (select y, 1.0::double as w, {_CURVE} as s from scaled, best where not is_train),
+{_auc_ctes("scored")} select n_rows, round(auc, 5) as auc from auc""")
+def lr_optimum_auc(spark, sf_dir):
+    """Test AUC of the converged fit; weights by class leave it as it is."""
+    train, test = _train_test(spark, sf_dir)
+    scored = model.score(_converged(train), test)
+    return validate.weighted_auc(scored, "tx_fraud", "score", "weight").select("n_rows", F.round("auc", 5).alias("auc"))
+
+
+# Ridge penalties of the grid whose metrics SQL computes: one optimum per fold and penalty.
+_RIDGES = (1.0, 0.1, 0.001)
+_RIDGE_GRID = f"""{_TRAIN_TEST},
+folded as (select tx_fraud as y, {_PAIR[0]}::double as a, {_PAIR[1]}::double as b,
+  ('0x' || substr(md5(concat_ws('|', tranaction_id::varchar, 'folds')), 1, 8))::bigint % 2 as fold from sides where is_train),
+moments as (select 1 - fold as fold, avg(a) as m1, stddev_samp(a) as s1, avg(b) as m2, stddev_samp(b) as s2 from folded group by fold),
+ridge_rows as (select m.fold, f.fold <> m.fold as learn, y, (a - m1) / s1 as x1, (b - m2) / s2 as x2 from folded f, moments m),
+steps as (
+  select 0 as k, fold, reg, 0.0::double as b0, 0.0::double as b1, 0.0::double as b2
+  from moments, (select unnest({list(_RIDGES)})::double as reg)
+  union all
+  select k + 1, fold, reg,
+    b0 + (g0 * (h11 * h22 - h12 * h12) - h01 * (g1 * h22 - h12 * g2) + h02 * (g1 * h12 - h11 * g2)) / det,
+    b1 + (h00 * (g1 * h22 - h12 * g2) - g0 * (h01 * h22 - h12 * h02) + h02 * (h01 * g2 - g1 * h02)) / det,
+    b2 + (h00 * (h11 * g2 - g1 * h12) - h01 * (h01 * g2 - g1 * h02) + g0 * (h01 * h12 - h11 * h02)) / det
+  from (select *, h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h12 * h02) + h02 * (h01 * h12 - h11 * h02) as det
+    from (select k, fold, reg, any_value(b0) as b0, any_value(b1) as b1, any_value(b2) as b2, sum(y - p) as g0,
+        sum((y - p) * x1) - count(*) * reg * any_value(b1) as g1, sum((y - p) * x2) - count(*) * reg * any_value(b2) as g2,
+        sum(w) as h00, sum(w * x1) as h01, sum(w * x2) as h02, sum(w * x1 * x1) + count(*) * reg as h11,
+        sum(w * x1 * x2) as h12, sum(w * x2 * x2) + count(*) * reg as h22
+      from (select *, p * (1 - p) as w from (
+        select k, s.fold, reg, b0, b1, b2, y, x1, x2, {_CURVE} as p
+        from steps s join ridge_rows r on r.fold = s.fold and r.learn where k < 12))
+      group by k, fold, reg))),
+judged as (select s.fold, reg, y, 1.0::double as w, b0 + b1 * x1 + b2 * x2 as s
+  from steps s join ridge_rows r on r.fold = s.fold and not r.learn where k = 12),
+{_auc_ctes("judged", "fold, reg, ")},
+averages as (select reg as reg_param, avg(auc) as avg_auc from auc group by reg)"""
+
+
+@query("lr_ridge_grid", f"""
+with recursive {_RIDGE_GRID} select reg_param, 0.0::double as elastic_net, round(avg_auc, 5) as avg_auc,
+  avg_auc = (select max(avg_auc) from averages) as is_best from averages""")
+def lr_ridge_grid(spark, sf_dir):
+    """Average AUC over the folds of every ridge penalty, run to convergence, and the best one."""
+    train = materialise(_train_test(spark, sf_dir)[0], "train")
+
+    def judge(scored):
+        return validate.weighted_auc(scored.withColumn("s", vector_to_array("rawPrediction")[1]),
+                                     "tx_fraud", "s", "weight").first()["auc"]
+
+    search = model.cross_validate(train, "tx_fraud", "tranaction_id", columns=_PAIR, judge=judge, reg_params=_RIDGES,
+                                  elastic_nets=(0.0,), max_iter=200, tol=1e-14)
+    return search.report(spark).select("reg_param", "elastic_net", F.round("avg_auc", 5).alias("avg_auc"), "is_best")
+
+
 @query("lr_optimum_scores", f"""
 with recursive {_NEWTON}, scored as (select y, {_CURVE} as p from scaled, best where not is_train)
 select floor(p * 50)::int as band, y::int as tx_fraud, count(*)::bigint as n from scored group by all""")

@@ -100,6 +100,39 @@ LEFT JOIN threads t ON t.conv_id = o.conv_id AND t.turn = o.turn
 """
 
 
+def _quoting(conversations):
+    """Stored messages that quote the message one turn before them and, one level deeper, the one before that."""
+    said = conversations.where("text IS NOT NULL").groupBy("conv_id", "turn").agg(F.max("text").alias("said"))
+    before = {depth: said.select("conv_id", (F.col("turn") + depth).alias("turn"), F.col("said").alias(f"said{depth}"))
+              for depth in (1, 2)}
+    quoted = lambda column, marks: F.concat(
+        F.lit(marks), F.replace(F.col(column), F.lit("\n"), F.lit("\n" + marks)), F.lit("\n"))
+    joined = conversations.join(before[1], ["conv_id", "turn"], "left").join(before[2], ["conv_id", "turn"], "left")
+    empty = F.lit("")
+    return joined.select("conv_id", "turn", "role", F.concat(
+        F.coalesce(quoted("said2", "> > "), empty), F.coalesce(quoted("said1", "> "), empty),
+        F.coalesce("text", empty)).alias("text"))
+
+
+@query
+def quoted_replies(spark, sf_dir):
+    """Reply order of the stored messages, each of which quotes the two before it at nested depths."""
+    return quotes.reply_ordered(_quoting(table(spark, sf_dir, "conversations")))
+
+
+_QUOTING = """quoting AS (
+    SELECT c.conv_id, c.turn, c.role,
+           coalesce('> > ' || replace(s2.said, chr(10), chr(10) || '> > ') || chr(10), '')
+           || coalesce('> ' || replace(s1.said, chr(10), chr(10) || '> ') || chr(10), '') || coalesce(c.text, '') AS text
+    FROM conversations c
+    LEFT JOIN (SELECT conv_id, turn, max(text) AS said FROM conversations WHERE text IS NOT NULL GROUP BY ALL) s1
+        ON s1.conv_id = c.conv_id AND s1.turn + 1 = c.turn
+    LEFT JOIN (SELECT conv_id, turn, max(text) AS said FROM conversations WHERE text IS NOT NULL GROUP BY ALL) s2
+        ON s2.conv_id = c.conv_id AND s2.turn + 2 = c.turn),"""
+ORACLES["quoted_replies"] = (ORACLES["op3_reply_order"].replace("FROM conversations)", "FROM quoting)")
+                             .replace("WITH RECURSIVE", f"WITH RECURSIVE {_QUOTING}"))
+
+
 @query
 def op4_projection_links(spark, sf_dir):
     """Vectors with a cosine of at least 0.95, and their components."""

@@ -17,13 +17,15 @@ from pyspark.sql import functions as F
 from tallymill.llm.common import held_out, text_blocks
 
 SAMPLE_PER_LANGUAGE = 600
-MAX_LANGUAGES = 300
+MAX_LANGUAGES = 2000
 WINDOWS_PER_TEXT = 2
 TRAIN_WINDOW = 48
 WINDOW = 128
 LANES = 1024
 HIDDEN = 4
 STEPS = 400
+# A network of more languages than this gets more units and steps.
+FEW_LANGUAGES = 16
 BATCH = 256
 RATE = 0.02
 SEED = 7
@@ -157,8 +159,17 @@ def _loss_gradients(params, seen, wanted):
     return [g_table, g_recurrent, g_output, g_bias]
 
 
-def fit(seen, wanted, languages, hidden=HIDDEN, steps=STEPS, seed=SEED):
+def capacity(n):
+    """Units per direction and training steps for ``n`` languages: steps in proportion beyond
+    ``FEW_LANGUAGES``, units with their square root."""
+    share = max(1.0, n / FEW_LANGUAGES)
+    return round(HIDDEN * share ** 0.5), round(STEPS * share)
+
+
+def fit(seen, wanted, languages, hidden=None, steps=None, seed=SEED):
     """A network trained on windows and their language numbers."""
+    units, rounds = capacity(len(languages))
+    hidden, steps = hidden or units, steps or rounds
     rng = np.random.default_rng(seed)
     n = len(languages)
     params = [rng.normal(0, 0.3, (2, 256, 3 * hidden)), rng.normal(0, 0.4, (2, hidden, 3 * hidden)),
@@ -180,18 +191,23 @@ def fit(seen, wanted, languages, hidden=HIDDEN, steps=STEPS, seed=SEED):
 def train(docs, per_language=SAMPLE_PER_LANGUAGE, seed=SEED):
     """A network trained on rows outside the held-out fold with a language and a letter.
 
-    Each of the ``MAX_LANGUAGES`` most frequent languages gives about ``per_language`` rows, chosen by a hash of the id and
-    text, and of each a few windows at hashed places; only those windows come to
-    the driver.  None without any such row.
+    Each language gives about ``per_language`` distinct texts, chosen by a hash of the text, and
+    of each a few windows at hashed places; only those windows come to the driver.  A text counts
+    once for a language however often it is repeated.  More than ``MAX_LANGUAGES`` languages are
+    an error: such a column holds something else.  None without any row to learn from.
     """
     known = docs.select("doc_id", "text", "lang").where(
         F.col("lang").isNotNull() & (F.col("lang") != UNKNOWN) & F.col("text").rlike(r"\p{L}") & ~held_out("doc_id"))
-    counts = (known.groupBy("lang").agg(F.count("*").alias("n"))
-              .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect())
+    order = F.xxhash64("text")
+    # A sketch counts the texts: no shuffle of the rows.
+    counts = (known.groupBy("lang").agg(F.approx_count_distinct(order).alias("n"))
+              .orderBy("lang").limit(MAX_LANGUAGES + 1).collect())
     if not counts:
         return None
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     sizes = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(r["n"]))])
-    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    draw = F.pmod(order, F.lit(1 << 30)) / F.lit(float(1 << 30))
 
     @F.pandas_udf("array<binary>")
     def cut(texts: pd.Series) -> pd.Series:
@@ -204,7 +220,8 @@ def train(docs, per_language=SAMPLE_PER_LANGUAGE, seed=SEED):
         return pd.Series(out)
 
     rows = (known.where(draw * F.element_at(sizes, F.col("lang")) < per_language)
-            .select("lang", F.xxhash64("doc_id", "text").alias("order"), cut("text").alias("windows"))
+            .select("lang", order.alias("order"), cut("text").alias("windows"))
+            .dropDuplicates(["lang", "order"])
             .orderBy("order", "lang").limit(2 * per_language * len(counts)).collect())
     if not rows:
         return None

@@ -195,6 +195,30 @@ def test_languages_of_awkward_rows(spark, network):
     assert langid.train(odd).languages == ["en"]
 
 
+def test_repeats_of_a_text_teach_once(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(langid, "fit", lambda windows, wanted, languages, seed: seen.append((windows, wanted, languages)))
+    one = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("the very same words again and again").alias("text"), F.lit("en").alias("lang"))
+    other = spark.range(3000, 3300).select(F.col("id").alias("doc_id"), F.concat(F.lit("autre texte numero "), F.col("id").cast("string")).alias("text"),
+                                           F.when(F.col("id") % 3 == 0, "en").otherwise("fr").alias("lang"))
+    langid.train(one.unionByName(other))
+    windows, wanted, languages = seen[0]
+    kept = [r.lang for r in other.where(~held_out("doc_id")).collect()]
+    assert languages == ["en", "fr"]
+    assert [int((wanted == k).sum()) for k in (0, 1)] == [langid.WINDOWS_PER_TEXT * n for n in (kept.count("en") + 1, kept.count("fr"))]
+
+
+def test_many_languages_are_all_learnt_or_an_error(spark, monkeypatch):
+    monkeypatch.setattr(langid, "fit", lambda windows, wanted, languages, seed: languages)
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat(F.lit("words "), F.col("id").cast("string")).alias("text"),
+                                    F.concat(F.lit("l"), (F.col("id") % 400).cast("string")).alias("lang"))
+    assert len(langid.train(docs)) == 400
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 399)
+    with pytest.raises(ValueError, match="languages"):
+        langid.train(docs)
+    assert langid.capacity(4) == (langid.HIDDEN, langid.STEPS) and langid.capacity(400) == (20, 10000)
+
+
 def test_a_held_out_language_is_not_learnt(spark):
     docs = spark.range(400).select(F.col("id").alias("doc_id"), F.lit("some words of text here").alias("text"),
                                    F.when(held_out("id"), "xx").otherwise("en").alias("lang"))

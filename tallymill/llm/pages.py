@@ -21,6 +21,7 @@ stands on all its pages fills a task.
 """
 
 import re
+from collections import Counter
 from html import unescape
 
 import numpy as np
@@ -39,11 +40,12 @@ DROPPED, ARTICLE, OPEN = range(3)
 PLAIN, UNLESS, NEVER = range(3)
 
 # Element and class names.
-_RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "object", "canvas", "video",
+_RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "object", "canvas", "video",
         "audio", "select", "button"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 _INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label",
-           "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "img"}
+           "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "img",
+           "math", "mfrac", "mi", "mn", "mo", "mroot", "mrow", "ms", "msqrt", "msub", "msubsup", "msup", "mtext"}
 _BOILERPLATE = {"nav", "footer", "aside", "form", "menu", "dialog", "head", "fieldset"}
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu",
           "menubar", "toolbar"}
@@ -110,6 +112,7 @@ def _blocks(html, kept):
     ``kept`` are not dropped."""
     out, buffer, stack, around = [], [], [], set()  # stack: (name, state inside, begin, in an element of NEVER)
     state, at = OPEN, 0
+    standing = Counter()  # open elements by name: a closing tag without one is not looked for
 
     def flush():
         if buffer:
@@ -132,15 +135,15 @@ def _blocks(html, kept):
             continue
         name, attributes = name.lower(), match.group(3)
         if match.group(1):
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == name:
-                    flush()
-                    del stack[depth:]
-                    state = stack[-1][1] if stack else OPEN
-                    break
-            else:
-                if name not in _INLINE:
-                    flush()
+            if standing[name]:
+                flush()
+                closed = None
+                while closed != name:
+                    closed = stack.pop()[0]
+                    standing[closed] -= 1
+                state = stack[-1][1] if stack else OPEN
+            elif name not in _INLINE:
+                flush()
             continue
         if name in _RAW and not attributes.endswith("/"):
             flush()
@@ -159,7 +162,7 @@ def _blocks(html, kept):
             continue
         flush()
         if name in _CLOSES_P and stack and stack[-1][0] == "p":
-            stack.pop()
+            standing[stack.pop()[0]] -= 1
             state = stack[-1][1] if stack else OPEN
             mark = _mark(name, attributes, state == ARTICLE)
             marked = state != DROPPED and (mark == NEVER or (mark == UNLESS and match.start() not in kept))
@@ -173,6 +176,7 @@ def _blocks(html, kept):
                     break
                 around.add(begin)
         stack.append((name, inside, match.start(), never))
+        standing[name] += 1
         state = inside
 
 

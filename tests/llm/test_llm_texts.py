@@ -3,6 +3,7 @@
 import html
 import random
 import re
+import time
 
 import pytest
 from cases import LONG, awkward_documents, empty
@@ -108,11 +109,24 @@ def test_article_text():
      "The text"),
     ("<article>The text</article><div class='comments'><article>Great!</article></div><aside><article>Card</article></aside>",
      "The text"),
+    ("<article>Where <math><mi>E</mi><mo>=</mo><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup></math> holds</article>", "Where E=mc2 holds"),
+    ("<article><b>One</i></nav> <div>two</p></div></section>three</article></article><p>four", "One two three four"),
     ("<div hidden><article>Unseen</article></div><article>The text<div class='social'>Share</div></article>", "The text")])
 def test_wrappers_and_words_of_articles(page, want):
     assert pages.main_text(pages.blocks(page), None) == want
 
 
+def test_unmatched_closing_tags_cost_no_search():
+    def seconds(n):
+        page = "<div>word" * n + "</section>" * n
+        begin = time.perf_counter()
+        assert len(pages.blocks(page)) == n
+        return time.perf_counter() - begin
+
+    seconds(2000)
+    assert seconds(40000) < 60 * max(seconds(2000), 0.002)
+
+
 def test_articles_of_the_stored_pages(spark, sf_dir):
     stored = table(spark, sf_dir, "pages")
     got = {r.page_id: r for r in pages.extract(stored).collect()}

@@ -5,6 +5,7 @@ import random
 import re
 import time
 
+import numpy as np
 import pytest
 from cases import LONG, awkward_documents, empty
 
@@ -53,6 +54,32 @@ def test_line_runs_of_the_stored_documents(spark):
     assert {r.doc_id: (r.text, r.n_removed) for r in lines.remove_repeated(docs).collect()} == want
 
 
+def test_only_matched_positions_are_extended(spark):
+    shared = [f"shared line number {i} of five" for i in range(9)]
+    docs = [(doc, "\n".join([f"own {doc} {i} of these lines" for i in range(20)] + (shared if doc < 2 else [])
+                            + [f"end {doc} {i} of these lines" for i in range(20)])) for doc in range(40)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    texts = lines.hashed_lines(docs, 12).collect()
+    assert len(texts) == 40 and all(len(t.selected) < len(t.lines) == len(t.hashes) for t in texts)
+    at = {t.doc_id: t for t in texts}
+    common = set(at[0].hashes) & set(at[1].hashes)
+    point = [(0, t.text_hash, t.lines, t.hashes, t.words, [i for i in t.selected if t.hashes[i] in common]) for t in (at[0],)]
+    schema = "doc_id long, text_hash long, lines array<int>, hashes array<long>, words array<int>, matched array<int>"
+    windows = lines.extended(spark.createDataFrame(point, schema), 12).collect()
+    assert windows and all(w.last >= 20 and w.first < 29 for w in windows)
+    assert [(r.doc_id, r.spans[0].first, r.spans[-1].last) for r in lines.repeated_runs(docs, 12).collect()] == [(1, 20, 28)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_least_lines_of_windows(seed):
+    rng = np.random.default_rng(seed)
+    hashes, words = rng.integers(0, 9, 60).astype(np.uint64), rng.integers(1, 7, 60)
+    windows = lines.line_windows(words, 10)
+    want = [a + int(hashes[a:b + 1].argmin()) for a, b in windows.tolist()]
+    assert lines.selected(hashes, windows).tolist() == want
+    assert lines.selected(hashes[:0], lines.line_windows(words[:0], 10)).tolist() == []
+
+
 def test_one_long_line_counts_as_a_run(spark):
     passage = " ".join(f"w{i}" for i in range(60))
     docs = [(1, f"own\n{passage}\nown too"), (2, f"else\n{passage}\nelse too"), (3, "w0 w1\nshort")]

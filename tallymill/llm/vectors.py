@@ -11,7 +11,8 @@ about as many vectors at every size.  The collision count to demand is calibrate
 partners at exactly the threshold are made for a bounded sample of the vectors,
 and the count is the largest that all but a small share of those pairs reach.
 Longer cells are shared by fewer partners, so projections are added until that
-count is at least one; a build that cannot reach it fails.
+count is at least ``MIN_COUNT`` (about 80 projections for 1e8 vectors, 120 for 1e9);
+a build that cannot reach it fails.
 
 Work is dealt by projection and cell prefix; a prefix with too many vectors is
 cut into blocks, and each pair of blocks is a task of its own.  A pair is verified
@@ -31,6 +32,7 @@ from tallymill.session import materialise
 THRESHOLD = 0.95
 PROJECTIONS = 40
 MAX_PROJECTIONS = 1024
+MIN_COUNT = 3
 CELL_ROWS = 48
 TASK_ROWS = 2048
 BLOCK_ROWS = 4096
@@ -69,14 +71,14 @@ def collisions(index, cells_a, at_a, cells_b, at_b):
 
 def build(sample, n_vectors, threshold=THRESHOLD, projections=PROJECTIONS, cell_rows=CELL_ROWS, recall=RECALL, seed=SEED):
     """An index for about ``n_vectors`` unit vectors, calibrated on a sample of them: with at least
-    ``projections``, and as many as it takes for the sample to reach ``recall``."""
+    ``projections``, and as many as it takes for the sample to reach ``recall`` by ``MIN_COUNT`` collisions."""
     while True:
         index, reached = _calibrated(sample, n_vectors, threshold, projections, cell_rows, recall, seed)
-        if index.count >= 1:
+        if index.count >= MIN_COUNT:
             return index
         if projections >= MAX_PROJECTIONS:
             raise ValueError(f"recall {recall} is out of reach for {n_vectors} vectors: "
-                             f"{projections} projections find {reached:.3f} of the sample's pairs at the threshold")
+                             f"{projections} projections meet {reached:.3f} of the sample's pairs at the threshold at all")
         projections = min(projections + max(1, projections // 4), MAX_PROJECTIONS)
 
 

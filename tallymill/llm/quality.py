@@ -20,6 +20,7 @@ from tallymill.llm.common import held_out, text_blocks
 
 SAMPLE_PER_CLASS = 1200
 MAX_SAMPLE_LINES = 120
+SAMPLE_BLOCKS = 2400
 THRESHOLD = 0.7
 ROUNDS = 2
 STEPS = 80
@@ -233,42 +234,48 @@ def _encoded(texts):
     return [(t or "").encode("utf-8", "surrogatepass") for t in texts]
 
 
-def _sample(docs, labels, per_class, max_lines):
+def _sample(docs, labels, per_class, max_lines, max_blocks=None):
     """Features of at most ``per_class`` labelled texts of each class outside the held-out fold.
 
-    A repeated id teaches once, by its text of least hash.  A text of more than
-    ``max_lines`` lines teaches by that many consecutive lines from its middle.  Only
-    feature arrays of this bounded sample come to the driver."""
+    A repeated id teaches once, by its text of least hash.  A text is cut into
+    consecutive blocks of ``max_lines`` lines, in an order drawn from its length; the
+    first block of every text is taken, then the second, up to ``max_blocks`` a class
+    (None: one block of each text).  All lines of all texts teach unless that bound is
+    met.  Only feature arrays of this bounded sample come to the driver."""
     known = (labels.where(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("label"))
              .where(F.col("doc_id").isNotNull() & ~held_out("doc_id")))
     order = F.xxhash64("doc_id")
     chosen = [known.where(F.col("label") == c).orderBy(order, "doc_id").limit(per_class) for c in (0, 1)]
     picked = F.broadcast(chosen[0].unionByName(chosen[1]))
+    most = max_blocks or 1
 
-    @F.pandas_udf("array<double>")
+    @F.pandas_udf("array<array<double>>")
     def features(texts: pd.Series) -> pd.Series:
         out = []
         for text in _encoded(texts):
-            spare = text.count(b"\n") + 1 - max_lines
-            if spare > 0:
-                text = b"\n".join(text.split(b"\n")[spare // 2:spare // 2 + max_lines])
             x, lengths, _ = line_features([text])
-            out.append(np.concatenate([lengths[:, None], x], axis=1).ravel())
+            rows = np.concatenate([lengths[:, None], x], axis=1)
+            starts = np.arange(0, len(rows), max_lines)
+            drawn = np.random.default_rng(len(text)).permutation(starts)[:most]
+            out.append([rows[a:a + max_lines].ravel() for a in drawn])
         return pd.Series(out)
 
-    rows = (docs.select("doc_id", "text").join(picked, "doc_id")
-            .groupBy("doc_id", "label").agg(F.min(F.struct(F.col("text").isNull().alias("no_text"), F.xxhash64("text").alias("hash"), "text"))
-                                            .alias("least"))
-            .select("doc_id", "label", features("least.text").alias("f"))
-            .orderBy("doc_id").collect())
+    blocks = (docs.select("doc_id", "text").join(picked, "doc_id")
+              .groupBy("doc_id", "label").agg(F.min(F.struct(F.col("text").isNull().alias("no_text"), F.xxhash64("text").alias("hash"), "text"))
+                                              .alias("least"))
+              .select("doc_id", "label", F.posexplode(features("least.text")).alias("block", "f")))
+    if max_blocks:
+        taken = [blocks.where(F.col("label") == c).orderBy("block", order, "doc_id").limit(max_blocks) for c in (0, 1)]
+        blocks = taken[0].unionByName(taken[1])
+    rows = blocks.orderBy("doc_id", "block").collect()
     counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     texts = [(int(r["label"]), np.asarray(r["f"]).reshape(-1, N_FEATURES + 1)) for r in rows]
     return texts, counts.get(1, 0) / max(1, sum(counts.values()))
 
 
-def train(docs, labels, per_class=SAMPLE_PER_CLASS, max_lines=MAX_SAMPLE_LINES):
+def train(docs, labels, per_class=SAMPLE_PER_CLASS, max_lines=MAX_SAMPLE_LINES, max_blocks=SAMPLE_BLOCKS):
     """A field fitted to a bounded sample of labelled rows; see ``_sample``."""
-    rows, good_rate = _sample(docs, labels, per_class, max_lines)
+    rows, good_rate = _sample(docs, labels, per_class, max_lines, max_blocks)
     if not rows:
         return constant(0.5)
     lines = np.concatenate([f for _, f in rows])

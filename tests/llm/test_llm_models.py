@@ -115,6 +115,21 @@ def test_repeated_ids_and_long_texts_leave_both_labels(spark):
         assert quality.train(docs, labels, 12).fitted
 
 
+def test_all_lines_of_long_texts_teach(spark):
+    ids = [r["id"] for r in spark.range(400).where(~quality.held_out("id")).orderBy("id").limit(12).collect()]
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "doc_id long, quality int")
+    docs = spark.createDataFrame([(i, "\n".join(f"line {j} of text {i}" for j in range(10 + 50 * k))) for k, i in enumerate(ids)],
+                                 "doc_id long, text string")
+    texts, _ = quality._sample(docs, labels, 12, 40, 100)
+    assert max(len(f) for _, f in texts) <= 40
+    assert sum(len(f) for _, f in texts) == sum(10 + 50 * k for k in range(12))
+    whole, _, _ = quality.line_features(["\n".join(f"line {j} of text {ids[11]}" for j in range(560)).encode()])
+    taught = {tuple(row[1:]) for _, f in texts for row in f}
+    assert all(tuple(row) in taught for row in whole)
+    bounded, _ = quality._sample(docs, labels, 12, 40, 8)
+    assert sorted(label for label, _ in bounded) == [0] * 8 + [1] * 8
+
+
 def test_block_size_does_not_change_a_score(field):
     texts = [b"plain words here\nand there " * 5, b"", LONG.encode(), b"LOUD!! NOISE!!\nquiet line"] * 3
     whole = field.quality(texts)

@@ -1,9 +1,10 @@
 """A folder of rows by key that grows by micro-batches and is merged in levels.
 
-Every batch adds a run: its rows, one folder per cell of keys.  When ``fan`` runs of one
-width stand at the end they are merged into one run of their whole width, so after n
+Every batch adds a run: its rows, sorted by cell of keys in each file.  When ``fan`` runs
+of one width stand at the end they are merged into one run of their whole width, so after n
 batches a cell stands in O(log n) runs, and each row is rewritten O(log n) times.  A
-batch reads those cells only that its own keys fall in.
+batch is compared with those cells only that its own keys fall in; the minima and maxima in
+the files spare it most pages of the others.  Files follow the number of rows, not of cells.
 
 A run is there once its write has left its success marker, and then for good: a batch
 that is replayed finds its own keys written, and a write that was cut off is not seen
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 FAN = 8
 CELLS = 64
 CELL = "_cell"
-NAMED_CELLS = 10_000        # a batch of more cells reads all of them
+NAMED_CELLS = 10_000        # the cells of a batch of more are not named in the read but joined
 _RUN = re.compile(r"run=(\d+)-(\d+)$")
 
 
@@ -82,18 +83,17 @@ def runs(spark, path):
 
 def read(spark, path, only=None):
     """Rows of the live runs, or of ``only``; none if nothing is written yet."""
-    fs, root = _files(spark, path)
+    _, root = _files(spark, path)
     live = runs(spark, path) if only is None else only
-    # A run without rows has no cells.
-    held = [r.path for r in live if any(s.isDirectory() for s in fs.listStatus(_files(spark, r.path)[1]))]
-    if not held:
+    if not live:
         return None
-    return spark.read.option("basePath", root.toString()).parquet(*held).drop("run")
+    # A run without rows has a file with the columns.
+    return spark.read.option("basePath", root.toString()).parquet(*[r.path for r in live]).drop("run")
 
 
 def _write(rows, path):
-    # One file per cell, more only where a cell is large.
-    rows.hint("rebalance", CELL).write.mode("overwrite").partitionBy(CELL).parquet(path)
+    # Files of even size; a cell stands together in one, in more only where it is large.
+    rows.hint("rebalance", CELL).sortWithinPartitions(CELL).write.mode("overwrite").parquet(path)
 
 
 def _sweep(spark, path, live):
@@ -116,9 +116,7 @@ def _merge(levels, spark):
 def _join(levels, spark, some):
     """One run in place of consecutive ones."""
     rows = read(spark, levels.path, some)
-    if rows is None:
-        rows = spark.createDataFrame([], f"n int, {CELL} string")
-    elif levels.reduce:
+    if levels.reduce:
         rows = levels.reduce(rows)
     _write(rows, f"{levels.path}/run={some[0].first}-{some[-1].last}")
 
@@ -126,8 +124,9 @@ def _join(levels, spark, some):
 def append(levels, rows, fresh_only=False):
     """Add a batch's rows as a run, then merge; returns what the batch read.
 
-    With ``fresh_only`` rows whose key is already written are left out: only the cells that
-    the batch's rows fall in are read.  Equal keys within the batch must be reduced before.
+    With ``fresh_only`` rows whose key is already written are left out: ``rows_read`` counts the
+    written rows of the cells that the batch's rows fall in, which these are compared with.
+    Equal keys within the batch must be reduced before.
     """
     spark = rows.sparkSession
     live = runs(spark, levels.path)
@@ -137,7 +136,10 @@ def append(levels, rows, fresh_only=False):
     written = read(spark, levels.path, live) if fresh_only else None
     if written is not None:
         touched = [r[0] for r in rows.select(CELL).distinct().limit(NAMED_CELLS + 1).collect()]
-        seen = written if len(touched) > NAMED_CELLS else written.where(F.col(CELL).isin(touched))
+        if len(touched) > NAMED_CELLS:
+            seen = written.join(rows.select(CELL).distinct(), CELL, "left_semi")
+        else:
+            seen = written.where(F.col(CELL).isin(touched))
         seen = seen.select(CELL, *levels.keys)
         n_read = seen.count()
         old = seen.select(*[F.col(c).alias(f"_seen_{c}") for c in seen.columns]).distinct()

@@ -65,3 +65,23 @@ def test_batches_without_rows(spark, tmp_path, fresh_only):
     assert levels.runs(spark, store.path)[-1].last == 6
     assert sorted(r.k for r in levels.read(spark, store.path).collect()) == [1, 2]
     assert levels.read(spark, str(tmp_path / "none")) is None
+
+
+def test_files_follow_rows_and_not_cells(spark, tmp_path):
+    store = levels.Levels(str(tmp_path / "s"), ("k",), F.col("k"), fan=2)
+    for batch in range(2):
+        levels.append(store, _rows(spark, range(batch * 300, batch * 300 + 400), batch), fresh_only=True)
+    assert len([*(tmp_path / "s").glob("run=0-1/**/*.parquet")]) < 10
+    assert sorted(r.k for r in levels.read(spark, store.path).collect()) == list(range(700))
+    for file in (tmp_path / "s").glob("run=0-1/**/*.parquet"):
+        cells = [r[0] for r in spark.read.parquet(str(file)).select(levels.CELL).collect()]
+        assert cells == sorted(cells)
+
+
+def test_a_batch_of_many_cells_is_compared_with_them_only(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(levels, "NAMED_CELLS", 3)
+    store = levels.Levels(str(tmp_path / "s"), ("k",), F.floor(F.col("k") / 10))
+    levels.append(store, _rows(spark, [*range(100), None]), fresh_only=True)
+    done = levels.append(store, _rows(spark, [5, 15, 25, 35, 200, None], 1), fresh_only=True)
+    assert done["rows_read"] == 41
+    assert levels.read(spark, store.path).count() == 102

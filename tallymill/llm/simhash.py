@@ -147,7 +147,8 @@ def _by_blocks(coded, max_bits, n_blocks):
     cells = coded.select("fp", F.explode(F.array(*[
         F.struct(F.lit(sum(1 << b for b in blocks)).alias("blocks"),
                  F.col("code").bitwiseAND(_long(sum(masks[b] for b in blocks))).alias("cell")) for blocks in kept])).alias("at"))
-    cells = cells.select("at.blocks", "at.cell", "fp")
+    # Both sides of the join read one shuffle.
+    cells = cells.select("at.blocks", "at.cell", "fp").repartition("blocks", "cell")
     other = cells.select("blocks", "cell", F.col("fp").alias("other"))
     met = (cells.join(other, ["blocks", "cell"]).where(F.col("fp") < F.col("other"))
            .select("blocks", F.col("fp").alias("u"), F.col("other").alias("v"),

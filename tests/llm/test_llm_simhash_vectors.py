@@ -230,3 +230,16 @@ def test_vectors_without_direction_and_other_awkward_rows(spark):
     want += [(13, 1, 13, True), (14, 1, 13, False)]
     assert got == sorted(want, key=str)
     assert vectors.near_duplicates(empty(df)).count() == 0
+
+
+def test_both_sides_of_the_block_join_read_one_shuffle(spark):
+    fps = spark.range(2000).select(F.xxhash64("id").alias("fp"))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = simhash.linked_fingerprints(fps, n_blocks=6)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("ReusedExchange") == 1

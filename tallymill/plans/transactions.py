@@ -1,5 +1,6 @@
 """Queries over transactions: scans, profiling, cleaning."""
 
+import math
 from datetime import datetime
 from functools import reduce
 
@@ -298,14 +299,18 @@ def csv_scan_clean(spark, sf_dir):
         files.read_transactions_csv(spark, path)))
 
 
+_N_ARRIVALS, _ROWS_PER_FILE = 4, 1_000_000
+
+
 def _arrivals(spark, sf_dir, dedup):
-    """The cleaning job as a stream over four files, one per micro-batch; the copies of an
-    id stand in different files."""
+    """The cleaning job as a stream of four micro-batches, each of as many files as its rows need;
+    the copies of an id stand in different files."""
     staged = scratch_path(spark, "arrivals")
     tx = transactions(spark, sf_dir)
-    tx.repartition(4, F.xxhash64(*tx.columns)).write.parquet(staged)
+    per_batch = math.ceil(max(1, tx.count()) / (_N_ARRIVALS * _ROWS_PER_FILE))
+    tx.repartition(_N_ARRIVALS * per_batch, F.xxhash64(*tx.columns)).write.parquet(staged)
     sink = scratch_path(spark, "cleaned")
-    stream = file_stream(spark, staged, tx.schema, max_files=1)
+    stream = file_stream(spark, staged, tx.schema, max_files=per_batch)
     cleaning.clean_arrivals(stream, sink, scratch_path(spark, "checkpoint"), dedup)
     return _shown(cleaning.read_cleaned(spark, sink, dedup))
 

@@ -3,10 +3,14 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
 from tallymill.operators import clean, profile, validate
+from tallymill.plans import corpus as corpus_plans, transactions as transaction_plans
 from tallymill.plans.views import predictions, transactions
+from tallymill.sources import files
+from tallymill.streaming.run import file_stream
 
 LAZY = ["clean_transactions", "reject_report", "profile_missing", "profile_summary", "profile_keys",
         "id_gaps", "cross_run_dedup", "clean_text", "train_pairs", "extract_records", "class_weights",
@@ -65,3 +69,39 @@ def test_auc_is_ranked_in_segments(spark, sf_dir):
 def test_gap_windows_are_blocked(spark, sf_dir):
     text = plan(profile.id_gaps(transactions(spark, sf_dir), "tranaction_id"))
     assert text.count("windowspecdefinition(block#") == 3
+
+
+def test_corpus_ranges_are_written_by_all_tasks(spark, monkeypatch):
+    text = F.repeat(F.lit('it said "so",\n'), 35)
+    records = spark.range(0, 4, 1, 4).select(
+        F.timestamp_seconds(F.lit(0)).alias("date"), F.col("id").cast("string").alias("zodiac"), text.alias("horo"), F.lit("s").alias("source"))
+    written, append_records = [], files.append_records
+
+    def append(df, path, fmt):
+        append_records(df, path, fmt=fmt)
+        written.append(len(spark.read.text(path).inputFiles()))
+
+    monkeypatch.setattr(corpus_plans, "corpus", lambda spark, sf_dir: records)
+    monkeypatch.setattr(corpus_plans.files, "append_records", append)
+    assert corpus_plans.csv_corpus_ranges(spark, "").count() == clean.clean_corpus(records, corpus_plans.any_script).count() > 0
+    assert written == [4]
+
+
+@pytest.mark.parametrize("dedup", ["between", "last"])
+def test_arrivals_stand_in_files_of_bounded_rows(spark, monkeypatch, dedup):
+    tx = spark.range(4000).selectExpr(
+        "id % 3000 AS tranaction_id", "timestamp'2024-01-01' AS tx_datetime", "id % 7 - 1 AS customer_id", "id % 1100 AS terminal_id",
+        "CAST(id % 50 AS float) AS tx_amount", "CAST(id AS int) AS tx_time_seconds", "1 AS tx_time_days", "0 AS tx_fraud",
+        "0 AS tx_fraud_scenario")
+    staged = []
+
+    def stream(spark, path, schema, max_files):
+        staged.extend([spark.read.parquet(path).groupBy(F.input_file_name()).count().collect(), max_files])
+        return file_stream(spark, path, schema, max_files=max_files)
+
+    monkeypatch.setattr(transaction_plans, "transactions", lambda spark, sf_dir: tx)
+    monkeypatch.setattr(transaction_plans, "_ROWS_PER_FILE", 250)
+    monkeypatch.setattr(transaction_plans, "file_stream", stream)
+    got = transaction_plans._arrivals(spark, "", dedup).collect()
+    assert len(staged[0]) == 16 and staged[1] == 4 and max(r["count"] for r in staged[0]) < 500
+    assert sorted(got) == sorted(transaction_plans._shown(clean.clean_transactions(tx, dedup)).collect())

@@ -1,5 +1,7 @@
 """Ranking metrics, metric resampling, hypothesis tests, champion selection."""
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F, Window
@@ -13,10 +15,12 @@ from tallymill.session import materialise
 REPLICATES = 100
 SAMPLE_SHARE = 0.01
 ALPHA = 0.01
+# A task holds the hash table of its sampled rows.
+MEMBERS_PER_TASK = 1_000_000
 DIFFERENT, IDENTICAL = "dist_DIFFERENT", "dist_IDENTICAL"
 
 
-def weighted_auc(df, label, score, weight=None, by=()):
+def weighted_auc(df, label, score, weight=None, by=(), partitions=None):
     """Exact weighted area under the ROC curve, optionally per group.
 
     Rows first reduce to one per distinct score. Those are range-partitioned, so
@@ -25,8 +29,14 @@ def weighted_auc(df, label, score, weight=None, by=()):
     positives beat all negatives of the segments below). Ties count one half.
     ``auc`` is null where a class is absent. Rows without a score take no part;
     ``n_null_score`` counts them.
+
+    ``partitions`` sets the tasks of each step in place of the session's number, for many groups
+    that no one score fills: rows meet by group and score without being reduced before.
     """
     by = list(by)
+    tasks = [partitions] if partitions else []
+    if partitions:
+        df = df.repartition(partitions, *by, score)
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
     scored = F.col(score).isNotNull()
     per_score = (
@@ -35,8 +45,10 @@ def weighted_auc(df, label, score, weight=None, by=()):
              F.sum(F.when(scored & (F.col(label) == 0), w).otherwise(0.0)).alias("_n"),
              F.count_if(scored).alias("_rows"), F.count_if(~scored).alias("_null"))
     )
-    ranged = (per_score.repartitionByRange(*by, "_s")
+    ranged = (per_score.repartitionByRange(*tasks, *by, "_s")
               .withColumn("_seg", F.spark_partition_id()))
+    if partitions:
+        ranged = ranged.repartition(partitions, *by, "_seg")
     earlier = (Window.partitionBy(*by, "_seg").orderBy("_s")
                .rowsBetween(Window.unboundedPreceding, -1))
     below = F.coalesce(F.sum("_n").over(earlier), F.lit(0.0))
@@ -110,7 +122,8 @@ def auc_replicates(df, key, label, scores, weight=None, replicates=REPLICATES,
     samples. One-class samples have no AUC: ``exclude`` drops them, ``keep``
     leaves null, ``mllib`` gives Spark ML's constants (0 without positives, 1
     without negatives, 0.5 for an empty sample). ``by_gaps`` draws other samples of the
-    same kind, with work in proportion to their rows: for thousands of replicates.
+    same kind, with work in proportion to their rows: for thousands of replicates. Their number
+    is expected from a count of ``df``, and the tasks follow it.
     """
     weight_column = F.col(weight).cast("double") if weight else F.lit(1.0)
     models = F.array(*[F.struct(F.lit(m).alias("model"), F.col(c).cast("double").alias("_score"))
@@ -118,8 +131,14 @@ def auc_replicates(df, key, label, scores, weight=None, replicates=REPLICATES,
     long = (df.select(key, F.col(label).alias("_y"), weight_column.alias("_w"),
                       F.explode(models).alias("_m"))
             .select(key, "_y", "_w", "_m.*"))
+    partitions = None
+    if by_gaps:
+        members = df.count() * len(scores) * replicates * share
+        if members > MEMBERS_PER_TASK:
+            partitions = max(math.ceil(members / MEMBERS_PER_TASK), df.sparkSession.sparkContext.defaultParallelism)
+            long = long.repartition(partitions)
     drawn = (gap_replicates if by_gaps else sample_replicates)(long, key, "model", replicates, share)
-    out = weighted_auc(drawn, "_y", "_score", "_w", by=("model", "replicate"))
+    out = weighted_auc(drawn, "_y", "_score", "_w", by=("model", "replicate"), partitions=partitions)
     if degenerate == "keep":
         return out.select("model", "replicate", "n_rows", "auc")
     if degenerate == "exclude":

@@ -337,3 +337,14 @@ def test_folded_coefficients_score_like_the_pipeline(spark, tmp_path):
     assert version == 12 and read == weights
     got = {r.id: r.score for r in model.linear_score(df, read).collect()}
     assert got == pytest.approx({r.id: r.score for r in model.score(fitted, df).collect()})
+
+
+def test_gap_replicates_are_spread_by_their_number(spark, monkeypatch):
+    df = spark.range(400).selectExpr("id", "CAST(id % 3 = 0 AS int) AS y", "CAST(id % 37 AS double) AS a", "1.5D AS w")
+    scores = lambda: validate.auc_replicates(df, "id", "y", {"m": "a"}, "w", replicates=200, share=0.1, by_gaps=True)
+    rows = lambda out: {(r.model, r.replicate): (r.n_rows, round(r.auc, 9)) for r in out.collect()}
+    plain = rows(scores())
+    monkeypatch.setattr(validate, "MEMBERS_PER_TASK", 400)
+    spread = scores()
+    assert rows(spread) == plain and len(plain) == 200
+    assert spread._jdf.queryExecution().optimizedPlan().toString().count(", 20") >= 3
